@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import hyperminhash, packing
 from .common import read_table
 
 
@@ -15,8 +15,13 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 % of their three-word shingles."""
+    return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack}
+    return {"op1_pack": op1_pack, "op6_near": op6_near}
 
 
 def oracle_sql() -> dict[str, str]:
