@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hyperminhash, packing
+from . import hyperminhash, packing, suffixdedup
 from .common import read_table
 
 
@@ -15,13 +15,18 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 100 bytes take away from each document."""
+    return suffixdedup.remove_repeats(read_table(spark, sf_dir, "documents"), min_bytes=100).drop("kept")
+
+
 def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 85 % of their three-word shingles."""
     return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op6_near": op6_near}
+    return {"op1_pack": op1_pack, "op4_repeats": op4_repeats, "op6_near": op6_near}
 
 
 def oracle_sql() -> dict[str, str]:
