@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hyperminhash, packing, suffixdedup
-from .common import read_table
+from . import hyperminhash, linededup, mixing, packing, suffixdedup
+from .common import materialize, read_table
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,9 +25,26 @@ def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of the sources by weights 5, 2, 1 takes of each document."""
+    thin = mixing.keyed(read_table(spark, sf_dir, "documents")).select("_key", "_id", "_size")
+    return mixing.mix_report(materialize(thin, "sizes"))
+
+
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated runs of lines take away from each document."""
+    return linededup.line_report(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op4_repeats": op4_repeats, "op6_near": op6_near}
+    return {
+        "op1_pack": op1_pack,
+        "op4_repeats": op4_repeats,
+        "op6_near": op6_near,
+        "op7_mix": op7_mix,
+        "op10_lines": op10_lines,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mix": mixing.REPORT_SQL, "op10_lines": linededup.REPORT_SQL}
