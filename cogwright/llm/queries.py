@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hyperminhash, linededup, mixing, packing, suffixdedup
+from . import hyperminhash, linededup, mixing, packing, simhash, suffixdedup
 from .common import materialize, read_table
 
 
@@ -15,6 +15,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of an edited copy, with their likeness."""
+    return simhash.near_report(read_table(spark, sf_dir, "documents"))
+
+
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated strings of 100 bytes take away from each document."""
     return suffixdedup.remove_repeats(read_table(spark, sf_dir, "documents"), min_bytes=100).drop("kept")
@@ -39,6 +44,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
+        "op2_simhash": op2_simhash,
         "op4_repeats": op4_repeats,
         "op6_near": op6_near,
         "op7_mix": op7_mix,
