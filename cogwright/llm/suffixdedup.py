@@ -26,6 +26,8 @@ GRAM = 16
 SHARD_BYTES = 4_000_000
 #: Bytes of text that are handled at once; positions inside need 24 bits.
 BUFFER = 2_000_000
+#: Repeated anchors that are sent to all executors, at most (some 20 MB); more are joined by a shuffle.
+BROADCAST_ANCHORS = 1_000_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
@@ -116,19 +118,35 @@ def _pieces(raw: list[bytes], min_bytes: int) -> Iterator[tuple[list[tuple[int,
         yield flush()
 
 
+def _segments_of(pdf: pd.DataFrame, min_bytes: int) -> Iterator[tuple]:
+    raw = [t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
+    for origin, data, bounds in _pieces(raw, min_bytes):
+        text, first, size, anchor, content = segments(data, bounds, min_bytes)
+        if len(first):
+            which, at = np.array(origin, dtype=np.int64).T
+            yield which[text], first - bounds[text] + at[text], size, anchor, content
+
+
+def repeated_anchors(docs: DataFrame, min_bytes: int) -> DataFrame:
+    """(anchor) of the anchors that stand at several places."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for _, _, _, anchor, _ in _segments_of(pdf, min_bytes):
+                values, n = np.unique(anchor, return_counts=True)
+                yield pd.DataFrame({"anchor": values, "n": n.astype(np.int32)})
+
+    return docs.select("text").mapInPandas(run, "anchor long, n int").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
+
+
 def segment_rows(docs: DataFrame, min_bytes: int) -> DataFrame:
     """(anchor, content, size, doc_id, sub, start) of every segment of every text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            raw = [t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
             ids, subs = pdf["doc_id"].to_numpy(), pdf["sub"].to_numpy()
-            for origin, data, bounds in _pieces(raw, min_bytes):
-                text, first, size, anchor, content = segments(data, bounds, min_bytes)
-                if len(first):
-                    which, at = np.array(origin, dtype=np.int64).T
-                    start = first - bounds[text] + at[text]
-                    yield pd.DataFrame({"anchor": anchor, "content": content, "size": size.astype(np.int32), "doc_id": ids[which[text]], "sub": subs[which[text]], "start": start})
+            for which, start, size, anchor, content in _segments_of(pdf, min_bytes):
+                yield pd.DataFrame({"anchor": anchor, "content": content, "size": size.astype(np.int32), "doc_id": ids[which], "sub": subs[which], "start": start})
 
     return docs.mapInPandas(run, "anchor long, content long, size int, doc_id long, sub long, start long")
 
@@ -316,12 +334,15 @@ def segment_texts(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFra
 
 def repeated_strings(docs: DataFrame, min_bytes: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, sub, start, size): starts, in runs of `size`, of strings of min_bytes bytes that start earlier too."""
-    rows = materialize(segment_rows(docs, min_bytes), "segments")
+    repeated = materialize(repeated_anchors(docs, min_bytes), "repeated")
+    few = repeated.count() <= BROADCAST_ANCHORS
+    rows = materialize(segment_rows(docs, min_bytes).join(F.broadcast(repeated) if few else repeated, "anchor", "left_semi"), "segments")
     place = F.struct("doc_id", "sub", "start")
-    contents = rows.groupBy("anchor", "content", "size").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    # A content hash takes in the anchor's bytes and the length.
+    contents = rows.groupBy("content").agg(F.first("anchor").alias("anchor"), F.first("size").alias("size"), F.min(place).alias("first"), F.count("*").alias("n"))
     contents = materialize(contents, "contents")
-    copied = contents.filter("n > 1").select("anchor", "content", "size", "first")
-    copies = rows.join(copied, ["anchor", "content", "size"]).filter(place != F.col("first")).select("doc_id", "sub", "start", F.col("size").cast("long").alias("size"))
+    copied = contents.filter("n > 1").select("content", "first")
+    copies = rows.join(copied, "content").filter(place != F.col("first")).select("doc_id", "sub", "start", F.col("size").cast("long").alias("size"))
 
     weight = F.sum(F.col("size") + F.lit(min_bytes - 1))
     anchors = contents.groupBy("anchor").agg(F.count("*").alias("kinds"), weight.alias("bytes")).filter("kinds > 1")
