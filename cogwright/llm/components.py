@@ -18,18 +18,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("b").alias("v"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("v").agg(F.sum("down").alias("down"), F.max("up").alias("up")).filter("down > 1 or (down = 1 and up = 1)").isEmpty()
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(a, b) of long ids to (node, component), the component being its least id; nodes without a link don't appear.
 
     The number of rounds grows with the logarithm of the longest path; each round's links are written to shared scratch.
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
-    seen = None
-    while True:
-        large = _star(edges, True).filter("a <> b").distinct()
-        edges = materialize(_star(large, False).filter("a <> b").distinct(), "links")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
+    # Done when no node has two links towards lesser nodes and none is both a centre and linked to a lesser one.
+    while not _is_stars(edges):
+        edges = materialize(_star(_star(edges, True).filter("a <> b"), False).filter("a <> b").distinct(), "links")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()

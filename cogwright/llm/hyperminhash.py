@@ -3,8 +3,10 @@
 Each register keeps the leading-zero count and ten mantissa bits of a bucket's least hash (16 bits). A bucket has a
 permutation of its own, so that short texts fill all registers. Four registers make a 64-bit band. Texts with equal
 sets are one class from the start, so a group of copies costs one row in all that follows. Within a band's bucket a
-class is first held against the bucket's least class only; pairs inside the bucket are looked at only where those
-links left it in several components, and only as a join condition, so no bucket is expanded into its pairs.
+class is first held against the bucket's most central class only (the one whose bands most others share); pairs
+inside the bucket are looked at only where those links left it in several components, and only as a join condition,
+so no bucket is expanded into its pairs. A parity sketch (which elements' hashed places are hit an odd number of
+times) bounds the symmetric difference from below and keeps all but likely links from the confirmation on full sets.
 """
 
 from __future__ import annotations
@@ -28,6 +30,11 @@ MANTISSA_BITS = 10
 #: Standard errors that an estimate may lie below the threshold before a pair is given up.
 MARGIN = 6.0
 BAND_COLUMNS = [f"b{i}" for i in range(BANDS)]
+PARITY_BITS = 1024
+PARITY_COLUMNS = [f"p{i}" for i in range(PARITY_BITS // 64)]
+SKETCH_COLUMNS = [*BAND_COLUMNS, *PARITY_COLUMNS]
+#: Ids that are sent to all executors, at most (1.6 MB); more are joined by a shuffle.
+BROADCAST_IDS = 200_000
 
 
 @functools.cache
@@ -107,9 +114,19 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
         bands = np.zeros((len(sets), BANDS), dtype=np.uint64)
         if full := [i for i, s in enumerate(sets) if len(s)]:
             bands[full] = sketch_bands([sets[i] for i in full])
-        return dict(zip(BAND_COLUMNS, bands.T.view(np.int64), strict=True))
+        columns = [*np.ascontiguousarray(bands.T).view(np.int64), *parities(sets).T]
+        return dict(zip(SKETCH_COLUMNS, columns, strict=True))
 
-    return _by_batch(docs, width, ", ".join(f"{c} long" for c in BAND_COLUMNS), more)
+    return _by_batch(docs, width, ", ".join(f"{c} long" for c in SKETCH_COLUMNS), more)
+
+
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set, which of PARITY_BITS places an odd number of its elements hash to, as longs."""
+    out = np.zeros((len(sets), PARITY_BITS), dtype=np.uint8)
+    for i, s in enumerate(sets):
+        if len(s):
+            out[i] = np.bincount((s & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(out, axis=1).view(np.int64)
 
 
 def set_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -122,13 +139,33 @@ def agreeing(left: str, right: str) -> Column:
     total = None
     for c in BAND_COLUMNS:
         x = F.col(f"{left}.{c}").bitwiseXOR(F.col(f"{right}.{c}"))
-        for step in (8, 4, 2, 1):  # the lowest bit of each 16-bit lane gathers the lane's bits
-            x = x.bitwiseOR(F.shiftrightunsigned(x, step))
-        lanes = F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
-        total = lanes if total is None else total + lanes
+        for shift in (0, 16, 32, 48):
+            mask = 0xFFFF << shift
+            other = (x.bitwiseAND(F.lit(mask - 2**64 if mask >= 2**63 else mask).cast("long")) != 0).cast("int")
+            total = other if total is None else total + other
     return F.lit(REGISTERS) - total
 
 
+def differing(left: str, right: str) -> Column:
+    """Places where two parity sketches differ: never more than the symmetric difference has elements."""
+    total = F.lit(0)
+    for c in PARITY_COLUMNS:
+        total = total + F.bit_count(F.col(f"{left}.{c}").bitwiseXOR(F.col(f"{right}.{c}")))
+    return total
+
+
+def _most_differing(n: str, percent: int) -> Column:
+    """How many places may differ between similar enough sets, the larger of which has `n` elements.
+
+    That is the symmetric difference which the threshold allows, or MARGIN standard errors above the places that so
+    many elements are expected to leave odd, if that is less. It grows with n.
+    """
+    most = 2 * F.col(n) * F.lit((100 - percent) / (100 + percent))
+    m = float(PARITY_BITS)
+    expected = F.lit(m / 2) * (1 - F.exp(-2 * most / m))
+    return F.floor(F.least(most + 1e-9, expected + F.lit(MARGIN) * F.sqrt(F.lit(m / 4) * (1 - F.exp(-4 * most / m))) + 1))
+
+
 def _least_agreeing(threshold: float) -> int:
     """Registers that must agree: the corrected estimate may lie MARGIN standard errors below the threshold."""
     floor = threshold - MARGIN * (threshold * (1 - threshold) / REGISTERS) ** 0.5
@@ -148,11 +185,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     docs = docs.select(key_or_sentinel("doc_id").alias("doc_id"), text_or_empty().alias("text"))
     sketch = materialize(sketches(docs, width), "sketches")
     key = ["sig_a", "sig_b", "n"]
-    classes = sketch.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in BAND_COLUMNS))
+    classes = sketch.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in SKETCH_COLUMNS))
     # A doc_id with several texts could stand for several classes: a class is named by its least id and its signature.
     classes = materialize(classes.withColumn("cls", F.xxhash64("rep", *key)), "classes")
-    links = _links(docs, classes, width, percent)
-    component = connected_components(links)
+    component = _components(docs, classes, width, percent)
     # cls is a hash; the least doc_id of each component is wanted.
     named = component.join(classes.select(F.col("cls").alias("node"), "rep"), "node")
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -163,61 +199,52 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return out.select(key_or_null("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), key_or_null(comp).alias("component_id"), (F.col("doc_id") == comp).alias("kept"))
 
 
-def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between classes, enough to connect what is linked."""
+def _components(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, component) of the classes that have a confirmed link."""
     need = _least_agreeing(percent / 100)
     # Different sets can be similar enough only from a size on: one shingle of n + 1 may differ.
     banded = classes.filter(F.col("n") * (100 - percent) >= percent).select("cls", F.posexplode(F.array(*BAND_COLUMNS)).alias("band", "value"))
-    buckets = banded.groupBy("band", "value").agg(F.min("cls").alias("leader"), F.count("*").alias("members")).filter("members > 1")
-    members = materialize(banded.join(buckets.drop("members"), ["band", "value"]), "buckets")
-    slim = classes.select("cls", "n", *BAND_COLUMNS)
+    banded = banded.select("cls", "band", F.xxhash64("band", "value").alias("bucket"))
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    members = materialize(banded.join(sizes, "bucket"), "members")
+    central = members.groupBy("cls").agg(F.sum("members").alias("weight"))
+    leaders = members.join(central, "cls").groupBy("bucket").agg(F.max_by("cls", F.struct("weight", "cls")).alias("leader"))
+    stars = members.join(leaders, "bucket").filter("cls <> leader").select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct()
+    slim = classes.select("cls", "n", _most_differing("n", percent).alias("most"), *SKETCH_COLUMNS)
 
     def fits(a: str, b: str) -> Column:
         small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-        return (100 * small >= percent * large) & (agreeing(a, b) >= need)
+        return (100 * small >= percent * large) & (differing(a, b) <= F.greatest(f"{a}.most", f"{b}.most"))
 
-    stars = members.filter("cls <> leader").select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct()
     stars = stars.join(slim.alias("x"), F.col("a") == F.col("x.cls")).join(slim.alias("y"), F.col("b") == F.col("y.cls"))
-    stars = stars.filter(fits("x", "y")).select("a", "b", agreeing("x", "y").alias("score"))
-    stars = materialize(stars, "stars")
+    stars = materialize(stars.filter(fits("x", "y") & (agreeing("x", "y") >= need)).select("a", "b"), "stars")
     sets = materialize(_sets_of(docs, classes, stars.select(F.col("a").alias("cls")).union(stars.select("b")).distinct(), width), "sets")
-    # The likeliest star of each class first; the others only where that left the two apart.
-    best = stars.groupBy("a").agg(F.max_by("b", F.struct("score", "b")).alias("b"))
-    first = materialize(_confirmed(best, sets, percent), "confirmed")
-    joined = _renamed(stars.select("a", "b"), connected_components(first))
-    rest = joined.filter("ca <> cb").select("a", "b").join(best, ["a", "b"], "left_anti")
-    found = materialize(first.union(_confirmed(rest, sets, percent)), "confirmed")
+    found = materialize(_confirmed(stars, sets, percent), "confirmed")
+    component = connected_components(found)
 
     # What the stars left in several components within one bucket.
-    component = connected_components(found)
-    labelled = members.join(component.withColumnRenamed("node", "cls"), "cls", "left").select("band", "value", "cls", F.coalesce("component", "cls").alias("component"))
-    apart = labelled.groupBy("band", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("band", "value")
-    open_rows = labelled.join(apart, ["band", "value"]).join(slim, "cls")
-    open_rows = materialize(open_rows, "open")
+    labelled = members.join(component.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "band", "cls", F.coalesce("component", "cls").alias("component"))
+    apart = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
+    open_rows = materialize(labelled.join(apart, "bucket").join(slim, "cls"), "open")
     x, y = open_rows.alias("x"), open_rows.alias("y")
     earlier = F.lit(False)  # an earlier band that agrees has this pair already
     for i, c in enumerate(BAND_COLUMNS):
         earlier = earlier | ((F.lit(i) < F.col("x.band")) & (F.col(f"x.{c}") == F.col(f"y.{c}")))
-    on = (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.component") != F.col("y.component"))
-    pairs = x.join(y, on & fits("x", "y") & ~earlier).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+    on = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.component") != F.col("y.component"))
+    pairs = x.join(y, on & fits("x", "y") & ~earlier).filter(agreeing("x", "y") >= need).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
     pairs = materialize(pairs, "pairs")
     if pairs.isEmpty():
-        return found
+        return component
     more = materialize(_sets_of(docs, classes, pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), width), "sets")
-    return found.union(_confirmed(pairs, more, percent))
-
-
-def _renamed(pairs: DataFrame, component: DataFrame) -> DataFrame:
-    a = component.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    b = component.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    out = pairs.join(a, "a", "left").join(b, "b", "left")
-    return out.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+    # Each class's link to its component's least class stands for all links found before.
+    return connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_confirmed(pairs, more, percent)))
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(cls, set) of the classes in `wanted`, from their representatives' whole texts."""
     reps = classes.select("cls", F.col("rep").alias("doc_id"), "n", "sig_a", "sig_b").join(wanted, "cls")
-    texts = docs.join(reps.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = materialize(reps.select("doc_id").distinct(), "ids")
+    texts = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
     # The signature tells which text it was, should a doc_id have several.
     return set_rows(texts, width).join(reps, ["doc_id", "n", "sig_a", "sig_b"]).select("cls", "set")
 
