@@ -35,6 +35,8 @@ PARITY_COLUMNS = [f"p{i}" for i in range(PARITY_BITS // 64)]
 SKETCH_COLUMNS = [*BAND_COLUMNS, *PARITY_COLUMNS]
 #: Ids that are sent to all executors, at most (1.6 MB); more are joined by a shuffle.
 BROADCAST_IDS = 200_000
+#: Rows of one bucket that are compared with each other in one task, at most.
+BLOCK = 20_000
 
 
 @functools.cache
@@ -226,13 +228,7 @@ def _components(docs: DataFrame, classes: DataFrame, width: int, percent: int) -
     labelled = members.join(component.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "band", "cls", F.coalesce("component", "cls").alias("component"))
     apart = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
     open_rows = materialize(labelled.join(apart, "bucket").join(slim, "cls"), "open")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    earlier = F.lit(False)  # an earlier band that agrees has this pair already
-    for i, c in enumerate(BAND_COLUMNS):
-        earlier = earlier | ((F.lit(i) < F.col("x.band")) & (F.col(f"x.{c}") == F.col(f"y.{c}")))
-    on = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.component") != F.col("y.component"))
-    pairs = x.join(y, on & fits("x", "y") & ~earlier).filter(agreeing("x", "y") >= need).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    pairs = materialize(pairs, "pairs")
+    pairs = materialize(_pairs_apart(open_rows, percent, need).distinct(), "pairs")
     if pairs.isEmpty():
         return component
     more = materialize(_sets_of(docs, classes, pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), width), "sets")
@@ -240,6 +236,66 @@ def _components(docs: DataFrame, classes: DataFrame, width: int, percent: int) -
     return connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_confirmed(pairs, more, percent)))
 
 
+def _pairs_apart(rows: DataFrame, percent: int, need: int) -> DataFrame:
+    """(a, b): classes in one bucket, in different components, whose sketches allow a link.
+
+    A bucket of more than BLOCK rows is cut into blocks, and each two of its blocks are a group of their own; so a
+    task never holds more than two blocks. Pairs are compared in arrays and leave the task only if they may be links.
+    """
+    blocks = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "band", "cls", "component", "n", "most", *SKETCH_COLUMNS)
+    sorted_rows = dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        bucket, lo, hi, own, band, cls, component, n, most = (pdf[c].to_numpy() for c in ("bucket", "lo", "hi", "own", "band", "cls", "component", "n", "most"))
+        parity = pdf[PARITY_COLUMNS].to_numpy().view(np.uint64)
+        bands = np.ascontiguousarray(pdf[BAND_COLUMNS].to_numpy())
+        registers = bands.view(np.uint16)
+        i = np.arange(len(pdf) - 1)
+        found = []
+        step = 1
+        while len(i):
+            j = i + step
+            together = (bucket[i] == bucket[j]) & (lo[i] == lo[j]) & (hi[i] == hi[j])
+            i, j = i[together], j[together]
+            ok = (component[i] != component[j]) & ((lo[i] == hi[i]) | (own[i] != own[j]))
+            ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            x, y = i[ok], j[ok]
+            if len(x):
+                near = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64) <= np.maximum(most[x], most[y])
+                x, y = x[near], y[near]
+            if len(x):
+                near = (registers[x] == registers[y]).sum(axis=1) >= need
+                x, y = x[near], y[near]
+            if len(x):  # an earlier band that agrees has this pair already
+                new = (bands[x] == bands[y]).argmax(axis=1) == band[x]
+                found.append(np.stack([cls[x][new], cls[y][new]], axis=1))
+            step += 1
+            i = i[i + step < len(pdf)]
+        out = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+        return pd.DataFrame({"a": out.min(axis=1) if len(out) else out[:, 0], "b": out.max(axis=1) if len(out) else out[:, 1]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # rows of the group that may go on
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            key = pdf[["bucket", "lo", "hi"]].to_numpy()
+            last = np.flatnonzero((key != key[-1]).any(axis=1))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            if cut == 0 and held and tuple(held[-1][["bucket", "lo", "hi"]].iloc[-1]) == tuple(key[0]):
+                held.append(pdf)
+                continue
+            yield compare(pd.concat([*held, pdf.iloc[:cut]], ignore_index=True))
+            held = [pdf.iloc[cut:]]
+        if held:
+            yield compare(pd.concat(held, ignore_index=True))
+
+    return sorted_rows.mapInPandas(run, "a long, b long")
+
+
 def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(cls, set) of the classes in `wanted`, from their representatives' whole texts."""
     reps = classes.select("cls", F.col("rep").alias("doc_id"), "n", "sig_a", "sig_b").join(wanted, "cls")
