@@ -24,11 +24,21 @@ QUERY_EVERY = 50
 RANGES = 512
 
 
-def terms(text: Column) -> Column:
-    """Hashes of the word pairs of a text, in order."""
-    hashed = F.transform(F.filter(F.split(text, SPACE_RE, -1), lambda w: w != ""), lambda w: F.xxhash64(w))
-    pairs = F.zip_with(F.slice(hashed, F.lit(1), F.size(hashed) - 1), F.slice(hashed, F.lit(2), F.size(hashed) - 1), lambda a, b: F.xxhash64(a, b))
-    return F.when(F.size(hashed) > 1, pairs).otherwise(hashed)
+def weighted_terms(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, term, n) for rows of (keys, text): hashes of word pairs with their counts, one row for each.
+
+    Each step is a projection of its own, so that an array is made once and not in each place that refers to it. Equal
+    terms are counted in the sorted array, by the places where one ends.
+    """
+    words = texts.select(*keys, F.split("text", SPACE_RE, -1).alias("w"))
+    hashed = words.select(*keys, F.transform(F.filter("w", lambda w: w != ""), lambda w: F.xxhash64(w)).alias("h"))
+    pairs = F.zip_with(F.slice("h", F.lit(1), F.size("h") - 1), F.slice("h", F.lit(2), F.size("h") - 1), lambda a, b: F.xxhash64(a, b))
+    ordered = hashed.select(*keys, F.when(F.size("h") > 1, pairs).otherwise(F.col("h")).alias("t")).select(*keys, F.sort_array("t").alias("s"))
+    last = F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda i: ~F.get(F.col("s"), i).eqNullSafe(F.get(F.col("s"), i + 1)))
+    ends = ordered.select(*keys, "s", F.when(F.size("s") > 0, last).alias("e"))
+    each = F.transform("e", lambda i, j: F.struct(F.get(F.col("s"), i).alias("term"), (i - F.coalesce(F.get(F.col("e"), j - 1), F.lit(-1))).alias("n")))
+    # A plain explode would have its input's size tested below all these steps, which makes every array again.
+    return ends.select(*keys, F.explode_outer(each).alias("x")).select(*keys, "x.term", "x.n").filter("term is not null")
 
 
 def _votes(h: Column, step: int) -> Column:
@@ -37,11 +47,8 @@ def _votes(h: Column, step: int) -> Column:
 
 
 def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, hi, lo) of rows (keys, words array<long>): one row for each key with a term.
-
-    Rows must already lie together by (some of) their keys, or they are shuffled as terms.
-    """
-    counted = texts.select(*keys, F.explode("terms").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
+    """(keys, hi, lo) for rows of (keys, text): one row for each key whose text has words."""
+    counted = weighted_terms(texts, keys)
     weight = (F.lit(UNIT) * (1 + F.log2("n"))).cast("long")
     weighed = counted.select(*keys, "term", F.xxhash64("term").alias("other"), weight.alias("w"))
     sums = [F.sum(_votes(F.col(c), i) * F.col("w")).alias(f"{c}{i}") for c in ("term", "other") for i in range(32)]
@@ -135,7 +142,7 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -
 def document_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, hi, lo of each row's text; a text without words has no set bit."""
     rows = docs.select(key_or_sentinel("doc_id").alias("_id"), text_or_empty().alias("_text")).withColumn("_sub", F.xxhash64("_text"))
-    prints = fingerprints(rows.select("_id", "_sub", terms(F.col("_text")).alias("terms")), ["_id", "_sub"])
+    prints = fingerprints(rows.select("_id", "_sub", F.col("_text").alias("text")).dropDuplicates(["_id", "_sub"]), ["_id", "_sub"])
     out = rows.select("_id", "_sub").join(prints, ["_id", "_sub"], "left")
     return out.select(key_or_null("_id").alias("doc_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("hi", "lo")))
 
@@ -162,7 +169,7 @@ def near_report(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     n = F.char_length("_text")
     edited = F.concat(F.substring("_text", F.lit(1), (n - F.floor(n / 4)).cast("int")), F.col("_tail"))
     kinds = both.select("_id", "_sub", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"), F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("_text").alias("t")), F.struct(F.lit(1).alias("k"), edited.alias("t")))).alias("_kind"))
-    prints = fingerprints(kinds.select("_id", "_sub", F.col("_kind.k").alias("_edited"), terms(F.col("_kind.t")).alias("terms")), ["_id", "_sub", "_edited"])
+    prints = fingerprints(kinds.select("_id", "_sub", F.col("_kind.k").alias("_edited"), F.col("_kind.t").alias("text")), ["_id", "_sub", "_edited"])
     prints = materialize(prints, "prints")
     meta = kinds.filter("_kind.k = 0").select("_id", "_sub", "n_chars", "edited_sha256")
     zero = F.lit(0).cast("long")
