@@ -26,8 +26,8 @@ GRAM = 16
 SHARD_BYTES = 4_000_000
 #: Bytes of text that are handled at once; positions inside need 24 bits.
 BUFFER = 2_000_000
-#: Repeated anchors that are sent to all executors, at most (some 20 MB); more are joined by a shuffle.
-BROADCAST_ANCHORS = 1_000_000
+#: Repeated anchors that are sent to all executors, at most (1 MB); more are joined by a shuffle.
+BROADCAST_ANCHORS = 50_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
