@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hyperminhash, linededup, mixing, packing, simhash, suffixdedup
+from . import hyperminhash, linededup, mixing, packing, quality, simhash, suffixdedup
 from .common import materialize, read_table
 
 
@@ -20,6 +20,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_report(read_table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents the quality classifier keeps, with the rates of their sites."""
+    return quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated strings of 100 bytes take away from each document."""
     return suffixdedup.remove_repeats(read_table(spark, sf_dir, "documents"), min_bytes=100).drop("kept")
@@ -45,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
         "op2_simhash": op2_simhash,
+        "op3_quality": op3_quality,
         "op4_repeats": op4_repeats,
         "op6_near": op6_near,
         "op7_mix": op7_mix,
