@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hyperminhash, linededup, mixing, packing, quality, simhash, suffixdedup
+from . import chroma, hyperminhash, licenses, linededup, mixing, packing, quality, revisits, simhash, suffixdedup
 from .common import materialize, read_table
 
 
@@ -30,6 +30,11 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_repeats(read_table(spark, sf_dir, "documents"), min_bytes=100).drop("kept")
 
 
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which response each not-modified capture of the pages confirms."""
+    return revisits.revisit_report(spark, sf_dir)
+
+
 def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 85 % of their three-word shingles."""
     return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, percent=85)
@@ -41,6 +46,17 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(materialize(thin, "sizes"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families that the paragraphs of each document name."""
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op9_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chroma fingerprints of the melodies that the embeddings stand for, and which sound alike."""
+    vectors = read_table(spark, sf_dir, "embeddings").selectExpr("vec_id as rec_id", "embedding as vector")
+    return chroma.recording_report(vectors)
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated runs of lines take away from each document."""
     return linededup.line_report(read_table(spark, sf_dir, "documents"))
@@ -52,11 +68,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_simhash": op2_simhash,
         "op3_quality": op3_quality,
         "op4_repeats": op4_repeats,
+        "op5_revisits": op5_revisits,
         "op6_near": op6_near,
         "op7_mix": op7_mix,
+        "op8_licenses": op8_licenses,
+        "op9_chroma": op9_chroma,
         "op10_lines": op10_lines,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mix": mixing.REPORT_SQL, "op10_lines": linededup.REPORT_SQL}
+    return {"op5_revisits": revisits.REPORT_SQL, "op7_mix": mixing.REPORT_SQL, "op10_lines": linededup.REPORT_SQL}
