@@ -1,0 +1 @@
+"""Native column functions: text, URLs, dates, records."""

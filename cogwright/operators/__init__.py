@@ -1,0 +1 @@
+"""Joins, merges, gates and serving operators over DataFrames."""
