@@ -1,0 +1 @@
+"""Readers: delimited files, JSON documents, captures, sitemaps and web archives."""

@@ -1,0 +1 @@
+"""Structured Streaming jobs over file drops."""
