@@ -254,7 +254,7 @@ def test_quality_held_out():
 def test_licenses(docs, empty):
     out = licenses.scan_licenses(docs).toPandas()
     assert len(out) == len(rows())
-    assert out["n_licensed"].sum() == 1 and out.loc[out.n_licensed == 1, "families"].iloc[0].tolist() == ["mit"]
+    assert out["n_licensed"].sum() == 1 and out.loc[out.n_licensed == 1, "families"].iloc[0] == ["mit"]
     assert licenses.scan_licenses(empty).count() == 0
 
 
