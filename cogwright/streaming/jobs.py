@@ -23,6 +23,11 @@ def stream_discovered(spark: SparkSession, in_dir: str, out_dir: str, checkpoint
     return first.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def write_new(rows: DataFrame, out_dir: str, checkpoint: str) -> StreamingQuery:
+    """All that has arrived, appended as Parquet."""
+    return rows.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def stream_insert_new(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema: str, keys: Sequence[str]) -> StreamingQuery:
     """Rows whose key is not in the output yet (records of captures, versions of records); a batch that is run again adds nothing."""
 
