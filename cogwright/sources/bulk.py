@@ -6,13 +6,14 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.records import natural_key
+from ..functions.dates import model_year
+from ..functions.records import canonical_json, natural_key, record_digest
 from ..functions.text import cp1252_from_latin1
 
 
@@ -81,10 +82,24 @@ def split_rows(lines: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFram
     return records, rejects
 
 
+def normalised(records: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Records in the one shape of all datasets: keys, digest, the role columns, and the payload as JSON."""
+    role = lambda r: F.nullif(F.trim(F.col(spec.roles[r])), F.lit("")) if r in spec.roles else F.lit(None).cast("string")
+    fields = [c for c in records.columns if c not in ("file", "line", "natural_key", "natural_key_sha256")]
+    return records.select(
+        F.lit(spec.name).alias("dataset_name"), "natural_key_sha256", record_digest(fields).alias("record_sha256"), F.col("natural_key").alias("natural_key_text"), role("external_id").alias("external_id"),
+        role("make").alias("make_name"), role("model").alias("model_name"), model_year(role("model_year")).alias("model_year"), role("campaign").alias("campaign_number"), role("component").alias("component_name"), role("summary").alias("summary_text"),
+        canonical_json(fields).alias("payload_json"), F.col("file").alias("member_name"), F.col("line").alias("source_line"),
+    )
+
+
 def read_dataset(spark: SparkSession, path: str, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
     """(records, rejects) of the files below a path. A header line is checked against the spec and left out."""
     lines = numbered_lines(spark, path)
     if spec.header:
+        first = lines.filter("line = 1").limit(1).collect()
+        if first and not spec.fields:
+            spec = replace(spec, fields=tuple(header_names(first[0]["value"].lstrip("\ufeffï»¿"), spec.delimiter, spec.required)))
         lines = lines.filter("line > 1")
     return split_rows(lines, spec)
 

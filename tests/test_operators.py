@@ -100,3 +100,15 @@ def test_pages(spark):
     assert tuple(names[0]["v"]) == ("TOYOTA", "COROLLA ALTIS", 1800, 4, "automatic")
     assert tuple(names[1]["v"]) == ("HONDA", "FIT", 1500, 5, "cvt")
     assert names[2]["v"]["brand"] is None
+
+
+def test_dataset_layouts(spark, tmp_path):
+    from cogwright.sources.datasets import DATASETS, members
+
+    assert len(DATASETS) == 14 and len(DATASETS["recalls"].fields) == 29 and len(members("complaints")) == 7
+    (tmp_path / "a.csv").write_text("Make,Model,Model-Yr,Body Style\nToyota,\"A, b\",2010,x\nToyota,,2011,y\n")
+    spec = bulk.DatasetSpec("t", (), ("MAKE", "MODEL_YR"), delimiter=",", header=True, quote='"', required=("MAKE", "MODEL"), roles={"make": "MAKE", "model": "MODEL", "model_year": "MODEL_YR"})
+    records, rejects = bulk.read_dataset(spark, str(tmp_path / "a.csv"), spec)
+    row = bulk.normalised(records, spec).first()
+    assert (row.make_name, row.model_name, row.model_year, row.source_line) == ("Toyota", "A, b", 2010, 2)
+    assert [r.error_type for r in rejects.collect()] == ["missing_field"]
