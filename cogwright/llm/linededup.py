@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import key_or_null, key_or_sentinel, materialize, text_or_empty
+from .common import key_or_sentinel, materialize, text_or_empty
 
 #: Lines that a repeated run has at least.
 RUN_LINES = 2
@@ -51,7 +51,7 @@ def repeated_runs(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
 
 
 def drop_repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
-    """docs with _kept (the text without later copies of repeated runs), _n_lines, _n_removed and _n_runs.
+    """Each row of docs as the struct _row, with _kept (the text without later copies of repeated runs), _n_lines, _n_removed and _n_runs.
 
     A window of `run` lines is a later copy if its lines stand, in this order, at an earlier place: in a document of
     smaller doc_id, or further up in the same one. All lines of later copies go; lines that hold only separators count
@@ -59,7 +59,7 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     documents in the order of a hash; rows that repeat both are one document, and each gets its result. An empty table
     gives no rows. docs must read the same each time.
     """
-    rows = docs.withColumns({"_id": key_or_sentinel("doc_id"), "_text": text_or_empty()})
+    rows = docs.select(F.struct("*").alias("_row"), key_or_sentinel("doc_id").alias("_id"), text_or_empty().alias("_text"))
     repeats = not rows.groupBy("_id").count().filter("count > 1").isEmpty()
     rows = rows.withColumn("_sub", F.xxhash64("_text") if repeats else F.lit(0).cast("long"))
     runs = repeated_runs(rows.select("_id", "_sub", F.col("_text").alias("text")), run)
@@ -71,11 +71,12 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     joined = joined.withColumn("_worded", worded).withColumn("_gone", gone)
     kept = F.when(F.col("_runs").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(F.col("_all"), i)), "\n"))
+    none = F.col("_runs").isNull()
     return joined.withColumn("_all", lines).select(
-        *docs.columns,
+        "_row",
         F.size("_worded").cast("long").alias("_n_lines"),
-        F.when(F.col("_runs").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("_n_removed"),
-        F.when(F.col("_runs").isNull(), 0).otherwise(F.size("_runs")).cast("long").alias("_n_runs"),
+        F.when(none, 0).otherwise(F.size("_gone")).cast("long").alias("_n_removed"),
+        F.when(none, 0).otherwise(F.size("_runs")).cast("long").alias("_n_runs"),
         kept.alias("_kept"),
     )
 
@@ -83,7 +84,7 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
 def line_report(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     """doc_id, n_lines, n_removed, n_runs, kept_sha256 of every document."""
     out = drop_repeated_lines(docs.select("doc_id", "text"), run)
-    return out.select(key_or_null(key_or_sentinel("doc_id")).alias("doc_id"), F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.col("_n_runs").alias("n_runs"), F.sha2("_kept", 256).alias("kept_sha256"))
+    return out.select("_row.doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.col("_n_runs").alias("n_runs"), F.sha2("_kept", 256).alias("kept_sha256"))
 
 
 def remove_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
@@ -93,10 +94,10 @@ def remove_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     """
     out = drop_repeated_lines(docs, run).filter("_n_removed = 0 or _n_removed < _n_lines")
     changed = F.col("_n_removed") > 0
-    columns = {"text": F.when(changed, F.col("_kept")).otherwise(F.col("text"))}
+    new = {"text": F.when(changed, F.col("_kept")).otherwise(F.col("_row.text"))}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(changed, F.char_length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.withColumns(columns).select(*docs.columns)
+        new["n_chars"] = F.when(changed, F.char_length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+    return out.select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 #: DuckDB SQL for line_report over `documents`, for runs of two lines and unique ids.

@@ -50,7 +50,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: in
 def with_copies(docs: DataFrame, sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP, seed: int = 0) -> DataFrame:
     """docs with _size, source_size, target and _copies: how often the mix takes each document.
 
-    docs: rows with _key, _id and _size, read anew from a stable table; sizes: the same three columns alone. Within
+    docs: rows with _key, _id, _size and others, read anew from a stable table; sizes: the same three columns alone. Within
     its source a document's expected copies are target / source_size. They are summed in the order of (size, doc_id),
     a random offset of the source is added, and a document is taken once for each whole number that is crossed. As
     the order is by size, a source's words differ from its target by little more than its longest document has.
@@ -66,12 +66,12 @@ def with_copies(docs: DataFrame, sizes: DataFrame, weights: Sequence[float] = WE
     starts = counts.select("_key", "_size", "_part", earlier_parts.alias("_in_size")).join(of_size.select("_key", "_size", earlier_sizes.alias("_before")), ["_key", "_size"])
     starts = starts.join(F.broadcast(source_targets(sizes, weights, cap)) if _few_sources(sizes) else source_targets(sizes, weights, cap), "_key")
     inside = Window.partitionBy("_key", "_size", "_part").orderBy("_id")
-    ranked = docs.withColumn("_part", part).withColumn("_row", F.row_number().over(inside)).join(starts, ["_key", "_size", "_part"])
-    rank = (F.col("_before") + F.col("_in_size") + F.col("_row")).cast("double")
+    ranked = docs.withColumn("_part", part).withColumn("_place", F.row_number().over(inside)).join(starts, ["_key", "_size", "_part"])
+    rank = (F.col("_before") + F.col("_in_size") + F.col("_place")).cast("double")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("_key"))), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
     copies = F.floor(rate * rank + offset) - F.floor(rate * (rank - 1) + offset)
-    return ranked.withColumn("_copies", copies.cast("long")).drop("_part", "_row", "_before", "_in_size")
+    return ranked.withColumn("_copies", copies.cast("long")).drop("_part", "_place", "_before", "_in_size")
 
 
 def _few_sources(sizes: DataFrame) -> bool:
@@ -80,7 +80,8 @@ def _few_sources(sizes: DataFrame) -> bool:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_key": _source_key("source"), "_id": key_or_sentinel("doc_id"), "_size": word_count("text")})
+    """(_row, _key, _id, _size): each row as a struct, so that its columns clash with none here."""
+    return docs.select(F.struct("*").alias("_row"), _source_key("source").alias("_key"), key_or_sentinel("doc_id").alias("_id"), word_count("text").alias("_size"))
 
 
 def mix_report(thin: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP, seed: int = 0) -> DataFrame:
@@ -99,7 +100,7 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int
     """
     rows = keyed(docs)
     taken = with_copies(rows, rows.select("_key", "_id", "_size"), weights, cap, seed).filter("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")
 
 
 #: DuckDB SQL for mix_report over `documents` with the parameters above.

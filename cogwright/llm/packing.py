@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import key_or_null, key_or_sentinel, materialize, text_or_empty
 
 CAPACITY = 1024
 END_ID = 2
@@ -56,7 +56,10 @@ def encode(texts: list[str], vocabulary: str) -> list[list[int]]:
 
 
 def tokenize_pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Pieces of at most `capacity` ids of every document; of a longer document the first piece takes the remainder."""
+    """Pieces of at most `capacity` ids of every document; of a longer document the first piece takes the remainder.
+
+    A null doc_id is NULL_ID here; place_pieces gives it back.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -70,9 +73,9 @@ def tokenize_pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capa
                     rows.append((doc_id, k, start, n, zlib.crc32(ids[start : start + n].tobytes())))
                     start, k = start + n, k + 1
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64", "piece": "int32"})
+            yield out.astype({"piece": "int32"})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(run, PIECES)
+    return docs.select(key_or_sentinel("doc_id").alias("doc_id"), text_or_empty().alias("text")).mapInPandas(run, PIECES)
 
 
 @dataclass
@@ -192,7 +195,7 @@ def _best_fit(counts: np.ndarray, capacity: int) -> list[Run]:
 
 
 def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Give every piece a sequence_id and its offset there. `pieces` is read three times: pass a written table."""
+    """Give every piece a sequence_id and its offset there. `pieces` (see tokenize_pieces) is read three times: pass a written table."""
     part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(RANK_PARTS)).cast("int")
     sized = pieces.withColumn("_part", part)
     counts = sized.groupBy("length", "_part").agg(F.count("*").alias("_n"))
@@ -226,11 +229,10 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             i = np.searchsorted(slot_key, pdf["length"].to_numpy() * 2**52 + pdf["_rank"].to_numpy(), side="right") - 1
             pdf["sequence_id"] = slot_sequence[i] + pdf.pop("_rank").to_numpy() - slot_rank[i]
             pdf["offset"] = slot_offset[i]
-            pdf["doc_id"] = pdf["doc_id"].astype("Int64")
             yield pdf
 
     out = f"{PIECES}, sequence_id long, offset long"
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "_rank").mapInPandas(locate, out)
+    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "_rank").mapInPandas(locate, out).withColumn("doc_id", key_or_null("doc_id"))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

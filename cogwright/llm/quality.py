@@ -203,7 +203,8 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column | None = None, path:
     host = F.coalesce(F.col("source"), F.lit("")) if host is None else host
     path = F.concat(F.coalesce(F.col("source"), F.lit("")), F.lit("/"), F.coalesce(F.col("lang"), F.lit(""))) if path is None else path
     model = train(docs, labels)
-    rows = docs.select(*keys, host.alias("host"), path.alias("path"), "text")
+    named = docs.select(*keys, host.alias("host"), path.alias("path"), "text")
+    rows = named.withColumn("doc_id", key_or_sentinel("doc_id"))
     scored = materialize(score(rows, model, [*keys, "host", "path"]), "scores")
     given = labels.groupBy("doc_id").agg(F.avg(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1.0).otherwise(0.0)).alias("label"))
     evidence = scored.join(given, "doc_id", "left").select("host", "path", F.coalesce("label", 1 / (1 + F.exp(-F.col("logit")))).alias("p"))
@@ -212,12 +213,13 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column | None = None, path:
     base = F.coalesce(F.col("logit"), F.lit(float(np.log(rate / (1 - rate)))))
     p = 1 / (1 + F.exp(-(base + odds)))
     out = scored.join(sites, ["host", "path"]).withColumn("reject_probability", p if model else F.lit(0.0))
-    return out.select(*keys, "host", "path", F.col("logit").alias("doc_score"), "host_rate", "path_rate", "reject_probability", (F.col("reject_probability") < threshold).alias("kept"))
+    return out.withColumn("doc_id", key_or_null("doc_id")).select(*keys, "host", "path", F.col("logit").alias("doc_score"), "host_rate", "path_rate", "reject_probability", (F.col("reject_probability") < threshold).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs (doc_id, text, source, lang, ...) that are not rejected, with their columns."""
     mark = F.xxhash64(text_or_empty(), F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
-    marked = docs.withColumns({"_id": key_or_sentinel("doc_id"), "_mark": mark})
-    rejected = judge(marked, labels, keys=["doc_id", "_id", "_mark"]).filter("not kept").select("_id", "_mark").distinct()
-    return marked.join(rejected, ["_id", "_mark"], "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), key_or_sentinel("doc_id").alias("_id"), mark.alias("_mark"))
+    thin = docs.select("doc_id", "text", "source", "lang", mark.alias("_mark"))
+    rejected = judge(thin, labels, keys=["doc_id", "_mark"]).filter("not kept").select(key_or_sentinel("doc_id").alias("_id"), "_mark").distinct()
+    return rows.join(rejected, ["_id", "_mark"], "left_anti").select("_row.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cogwright.llm import hyperminhash, linededup, mixing, packing, quality
 from cogwright.llm.common import key_or_sentinel, materialize, read_table
@@ -24,7 +25,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: five words a shingle, similarity 0.8."""
     groups = hyperminhash.near_duplicates(docs, width=5, percent=80)
     gone = groups.filter("not kept").select(key_or_sentinel("doc_id").alias("_id")).distinct()
-    return docs.withColumn("_id", key_or_sentinel("doc_id")).join(gone, "_id", "left_anti").select(*docs.columns)
+    return docs.select(F.struct("*").alias("_row"), key_or_sentinel("doc_id").alias("_id")).join(gone, "_id", "left_anti").select("_row.*")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

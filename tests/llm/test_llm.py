@@ -201,7 +201,7 @@ def test_mixing(spark, docs, empty):
     per = out.groupby("source_size")[["target"]].first()
     assert abs(per["target"].sum() - out["size"].sum()) < 1e-6
     mixed = mixing.mix_documents(docs)
-    assert mixed.columns == docs.columns
+    assert mixed.columns == docs.columns and mixed.select("_key").distinct().count() == 2
     assert sorted(map(repr, mixed.collect())) == sorted(map(repr, mixing.mix_documents(docs).collect()))
     assert mixing.mix_documents(empty).count() == 0
     sizes = [("s" + k, i, s) for k, n, s in (("a", 100, 10), ("b", 1000, 10), ("c", 500, 21)) for i in range(n)]
