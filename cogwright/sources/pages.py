@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, is_blank, part_key
+from ..functions.urls import query_param
 
-PARSED = "page_id long, title string, heading string, breadcrumb array<string>, metadata map<string,string>, tables array<struct<header:array<string>,rows:array<struct<cells:array<string>,links:array<string>>>>>"
+PARSED = "page_id long, title string, heading string, breadcrumb array<string>, metadata map<string,string>, anchors array<struct<href:string,text:string,data:map<string,string>>>, tables array<struct<header:array<string>,rows:array<struct<cells:array<string>,links:array<string>>>>>"
 
 
 class _Page(HTMLParser):
@@ -34,13 +35,17 @@ class _Page(HTMLParser):
         self._text = ""
         self._term = ""
         self._crumb_depth = 0
-        self._stack = 0
+        self.anchors: list[dict] = []
+        self._link: dict | None = None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         a = dict(attrs)
         for k, v in a.items():
             if k.startswith("data-") and v and k not in ("data-href", "data-url"):
                 self.meta.setdefault(k[5:], v.strip())
+        if tag == "a":
+            self._link = {"href": a.get("href") or "", "text": "", "data": {k[5:]: v or "" for k, v in a.items() if k.startswith("data-")}}
+            self.anchors.append(self._link)
         if "breadcrumb" in (a.get("class") or ""):
             self._crumb_depth = self._crumb_depth or 1
         if tag == "table":
@@ -62,6 +67,8 @@ class _Page(HTMLParser):
             self._row[-1][0] += data
         if self._into:
             self._text += data
+        if self._link is not None:
+            self._link["text"] += data
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "table" and self._depth:
@@ -76,6 +83,9 @@ class _Page(HTMLParser):
                 if len(cells) == 2:
                     self.meta.setdefault(cells[0].rstrip(":"), cells[1])
             self._row = None
+        elif tag == "a" and self._link is not None:
+            self._link["text"] = " ".join(self._link["text"].split())
+            self._link = None
         elif tag == self._into:
             text = " ".join(self._text.split())
             if tag == "title":
@@ -104,8 +114,8 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                 p.feed(html or "")
                 p.close()
                 tables = [{"header": t["header"] or [], "rows": t["rows"]} for t in p.tables]
-                out.append((page_id, p.title, p.heading, p.crumbs, p.meta, tables))
-            yield pd.DataFrame(out, columns=["page_id", "title", "heading", "breadcrumb", "metadata", "tables"])
+                out.append((page_id, p.title, p.heading, p.crumbs, p.meta, p.anchors, tables))
+            yield pd.DataFrame(out, columns=["page_id", "title", "heading", "breadcrumb", "metadata", "anchors", "tables"])
 
     return pages.select("page_id", "html").mapInPandas(run, PARSED)
 
@@ -138,6 +148,62 @@ def extract_parts(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.select("page_id", "part_number", "number", "name", "code", "quantity", "range", "note"), rows.filter("error is not null").select("page_id", "table_no", "row_no", "number", "name", "error")
 
 
+def _anchors(parsed: DataFrame) -> DataFrame:
+    rows = parsed.select("page_id", F.posexplode("anchors").alias("place", "a"))
+    return rows.select("page_id", "place", F.col("a.href").alias("href"), clean_text("a.text").alias("text"), F.col("a.data").alias("data"))
+
+
+def extract_brands(parsed: DataFrame, path: str = r"^/[^/?#]+/?$") -> tuple[DataFrame, DataFrame]:
+    """(brands, malformed): links whose path is a brand's; each name once, the first kept; links without a name are malformed."""
+    links = _anchors(parsed).filter(F.regexp_replace("href", "^https?://[^/]+", "").rlike(path))
+    w = Window.partitionBy("page_id", "text").orderBy("place")
+    good = links.filter("text is not null").withColumn("_n", F.row_number().over(w)).filter("_n = 1")
+    return good.select("page_id", F.col("text").alias("brand"), "href"), links.filter("text is null").select("page_id", "place", "href")
+
+
+def extract_models(parsed: DataFrame, brands: DataFrame) -> DataFrame:
+    """(page_id, brand, model, href): links below the page's own brand; brands: (page_id, brand_slug). Foreign brands are passed over."""
+    links = _anchors(parsed).join(brands, "page_id").withColumn("_p", F.filter(F.split(F.regexp_extract(F.regexp_replace("href", "^https?://[^/]+", ""), "^([^?#]*)", 1), "/"), lambda x: x != ""))
+    own = links.filter((F.size("_p") == 2) & (F.lower(F.get("_p", F.lit(0))) == F.lower("brand_slug")) & F.col("text").isNotNull())
+    w = Window.partitionBy("page_id", "text").orderBy("place")
+    return own.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("page_id", F.col("brand_slug").alias("brand"), F.col("text").alias("model"), "href")
+
+
+def extract_categories(parsed: DataFrame, key: str = "cid") -> tuple[DataFrame, DataFrame]:
+    """(categories, malformed): the first name of each category id on a page; other names of it are malformed."""
+    links = _anchors(parsed).withColumn("cid", query_param("href", key)).filter("cid is not null and text is not null")
+    first = F.first("text").over(Window.partitionBy("page_id", "cid").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    links = links.withColumn("name", first)
+    return links.groupBy("page_id", "cid").agg(F.first("name").alias("name")), links.filter("text <> name").select("page_id", "cid", F.col("text").alias("name"))
+
+
+def extract_groups(parsed: DataFrame) -> DataFrame:
+    """(page_id, cid, code, uid, name): `CODE: NAME` links; an image link has an empty code and gives way to a text link of its uid."""
+    links = _anchors(parsed).withColumns({"cid": query_param("href", "cid"), "uid": query_param("href", "uid")}).filter("uid is not null")
+    links = links.withColumns({"code": F.coalesce(clean_text(F.regexp_extract("text", "^([^:]+):", 1)), F.lit("")), "name": clean_text(F.regexp_replace("text", "^[^:]+:", ""))})
+    text_of = F.max((F.col("code") != "").cast("int")).over(Window.partitionBy("page_id", "cid", "uid"))
+    kept = links.withColumn("_t", text_of).filter((F.col("code") != "") | (F.col("_t") == 0))
+    w = Window.partitionBy("page_id", "cid", "uid", "code").orderBy("place")
+    return kept.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("page_id", "cid", "code", "uid", "name")
+
+
+def extract_hints(parsed: DataFrame, field: str) -> DataFrame:
+    """(page_id, place, value): what links carry in a data attribute, such as compatibility hints or related numbers."""
+    return _anchors(parsed).withColumn("value", F.element_at("data", field)).filter(~is_blank("value")).select("page_id", "place", "value")
+
+
+def diagram_of(parsed: DataFrame, fields: Sequence[str] = ("Diagram", "diagram")) -> DataFrame:
+    """(page_id, diagram): from the metadata, else the heading."""
+    return parsed.select("page_id", F.coalesce(*(clean_text(F.element_at("metadata", f)) for f in fields), clean_text("heading")).alias("diagram"))
+
+
+def replay_diff(stored: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Digests that a replay lacks, or has besides those stored: (keys, record_sha256, side). Equal runs give no rows."""
+    on = [*keys, "record_sha256"]
+    gone = stored.select(*on).join(fresh.select(*on), on, "left_anti").withColumn("side", F.lit("missing"))
+    return gone.unionByName(fresh.select(*on).join(stored.select(*on), on, "left_anti").withColumn("side", F.lit("unexpected")))
+
+
 def taxonomy(parsed: DataFrame) -> DataFrame:
     """(page_id, depth, name, path, parent_path): one node for each depth of the breadcrumb."""
     step = F.transform(F.col("breadcrumb"), lambda name, i: F.struct(i.alias("depth"), name.alias("name"), F.array_join(F.slice("breadcrumb", F.lit(1), i + 1), " > ").alias("path"), F.when(i > 0, F.array_join(F.slice("breadcrumb", F.lit(1), i), " > ")).alias("parent_path")))
