@@ -130,3 +130,19 @@ def test_page_links(spark):
     b = spark.createDataFrame([(1, "x"), (2, "z")], "k int, record_sha256 string")
     assert {(r.k, r.record_sha256, r.side) for r in pages.replay_diff(a, b, ["k"]).collect()} == {(2, "y", "missing"), (2, "z", "unexpected")}
     assert pages.replay_diff(a, a, ["k"]).count() == 0
+
+
+def test_export(spark, tmp_path):
+    from cogwright.operators import export
+
+    fitments = spark.createDataFrame([(1, 5, True), (2, 5, False)], "occurrence_id int, vehicle_id int, is_verified boolean")
+    occurrences = spark.createDataFrame([(1, "=A1", "bolt", "a > b > c"), (2, "B", "nut", "a")], "occurrence_id int, part_number string, part_name string, category_path string")
+    vehicles = spark.createDataFrame([(5, "Toyota", "Corolla")], "vehicle_id int, brand string, model string")
+    hints = spark.createDataFrame([(2, "fits some")], "occurrence_id int, hint string")
+    out = export.export(fitments, occurrences, vehicles, hints)
+    assert {(r.occurrence_id, r.category_small, r.hint) for r in out.collect()} == {(1, "c", None), (2, None, "fits some")}
+    assert export.export(fitments, occurrences, vehicles, unverified=True).count() == 2
+    export.write_csv(out, str(tmp_path / "csv"))
+    assert "'=A1" in {r.part_number for r in spark.read.option("header", True).csv(str(tmp_path / "csv")).collect()}
+    export.write_jsonl(out, str(tmp_path / "json"))
+    assert spark.read.json(str(tmp_path / "json")).count() == 2
