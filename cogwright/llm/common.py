@@ -21,12 +21,17 @@ _MULT_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _TABLE = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**64 - 1, size=256, dtype=np.uint64)
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; tests without one get a temporary folder of their own."""
+    """The shared folder named by spark.checkpoint.dir; a session without one (as in tests) gets a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="spark-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_ROOTS:
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="spark-scratch-")
+        root = _OWN_ROOTS[app]
     return root.rstrip("/")
 
 
