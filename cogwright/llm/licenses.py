@@ -37,6 +37,7 @@ UNKNOWN = len(FAMILIES)
 BITS = 16
 #: Lines of the corpus that the unknown class is fitted on, at most: those with the least hashes.
 NEGATIVES = 3000
+SAMPLE_CHARS = 500
 VARIANTS = 40
 THRESHOLD = 0.5
 #: Share of a template's word triples that a paragraph must hold.
@@ -130,8 +131,9 @@ def scan_licenses(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
     a null doc_id stays null. Whole texts are read, whatever their length. An empty table gives no rows.
     """
     rows = docs.select(key_or_sentinel("doc_id").alias("doc_id"), text_or_empty().alias("text"))
-    # A bounded sample: for the documents with the least hashes, their first lines.
-    drawn = rows.filter("text <> ''").orderBy(F.xxhash64("doc_id", "text")).limit(negatives).select(F.substring_index("text", "\n", 1).alias("line")).collect()
+    # A bounded sample: the first lines, up to SAMPLE_CHARS, of the documents with the least hashes. Only lines are sorted.
+    lines = rows.select(F.xxhash64("doc_id", "text").alias("h"), F.substring(F.substring_index("text", "\n", 1), 1, SAMPLE_CHARS).alias("line"))
+    drawn = lines.filter("line <> ''").orderBy("h", "line").limit(negatives).select("line").collect()
     known = {t.lower() for ts in TEMPLATES.values() for t in ts}
     weights, temperature = fit(sorted({r[0] for r in drawn if r[0].strip() and not any(t in r[0].lower() for t in known)}))
     shapes = []
