@@ -16,6 +16,8 @@ from .common import key_or_sentinel, materialize, text_or_empty
 
 #: Lines that a repeated run has at least.
 RUN_LINES = 2
+#: A line of more words than this is a window of its own in remove_lines.
+LONG_WORDS = 50
 
 
 def _lines(text: str = "text") -> Column:
@@ -27,34 +29,50 @@ def _worded(lines: Column) -> Column:
     return F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].rlike(r"[^\x20\x09-\x0D]"))
 
 
-def windows(docs: DataFrame, run: int) -> DataFrame:
-    """(_id, _sub, k, mark, at, content): each window's first line, its fingerprint, the place of that, and its content hash."""
-    hashes = docs.select("_id", "_sub", F.transform(_worded(_lines()), lambda s: F.xxhash64(s["x"])).alias("h"))
-    starts = F.sequence(F.lit(1), F.size("h") - (run - 1))
-    hashes = hashes.filter(F.size("h") >= run).select("_id", "_sub", F.explode(F.transform(starts, lambda k: F.struct((k - 1).alias("k"), F.slice("h", k, run).alias("w")))).alias("s"))
+def _longer(line: Column, n: int) -> Column:
+    """Whether a line has more than n words; possessive, so that each line is read once."""
+    return line.rlike(rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{n}}}[^\x20\x09-\x0D]")
+
+
+def windows(docs: DataFrame, run: int, long_words: int | None = None) -> DataFrame:
+    """(_id, _sub, k, n, mark, at, content): each window's first line and number of lines, its fingerprint, the place of that, and its content hash.
+
+    Windows are `run` lines, and each line of more than long_words words, if given.
+    """
+    lines = docs.select("_id", "_sub", _worded(_lines()).alias("x"))
+    hashes = lines.select("_id", "_sub", F.transform("x", lambda s: F.xxhash64(s["x"])).alias("h"), *([] if long_words is None else [F.transform("x", lambda s: _longer(s["x"], long_words)).alias("long")]))
+    places = F.sequence(F.lit(1), F.size("h"))
+
+    def cut(starts: Column, n: int) -> Column:
+        return F.transform(starts, lambda k: F.struct((k - 1).alias("k"), F.slice("h", k, n).alias("w")))
+
+    each = cut(F.filter(places, lambda k: k <= F.size("h") - (run - 1)), run)
+    if long_words is not None and run > 1:
+        each = F.concat(each, cut(F.filter(places, lambda k: F.get(F.col("long"), k - 1)), 1))
+    hashes = hashes.filter(F.size("h") >= (run if long_words is None else 1)).select("_id", "_sub", F.explode(each).alias("s"))
     least = F.array_min("s.w")
-    return hashes.select("_id", "_sub", F.col("s.k").alias("k"), least.alias("mark"), (F.col("s.k") + F.array_position("s.w", least) - 1).cast("int").alias("at"), F.xxhash64("s.w").alias("content"))
+    return hashes.select("_id", "_sub", F.col("s.k").alias("k"), F.size("s.w").alias("n"), least.alias("mark"), (F.col("s.k") + F.array_position("s.w", least) - 1).cast("int").alias("at"), F.xxhash64("s.w").alias("content"))
 
 
-def repeated_runs(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
+def repeated_runs(docs: DataFrame, run: int = RUN_LINES, long_words: int | None = None) -> DataFrame:
     """(_id, _sub, first, last): maximal runs of lines that later windows cover."""
-    rows = materialize(windows(docs, run), "windows")
+    rows = materialize(windows(docs, run, long_words), "windows")
     marks = rows.groupBy("mark").agg(F.min(F.struct("_id", "_sub", "at")).alias("lo"), F.max(F.struct("_id", "_sub", "at")).alias("hi")).filter("lo <> hi").select("mark")
-    likely = rows.join(marks, "mark").select("_id", "_sub", "k", "content")
+    likely = rows.join(marks, "mark").select("_id", "_sub", "k", "n", "content")
     place = F.struct("_id", "_sub", "k")
     firsts = rows.groupBy("content").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("content", "first")
-    later = likely.join(firsts, "content").filter(place > F.col("first")).select("_id", "_sub", "k")
-    by_doc = Window.partitionBy("_id", "_sub").orderBy("k")
-    fresh = F.when(F.col("k") > F.lag("k").over(by_doc) + run, 1).otherwise(0)
+    later = likely.join(firsts, "content").filter(place > F.col("first")).select("_id", "_sub", "k", (F.col("k") + F.col("n") - 1).alias("end"))
+    by_doc = Window.partitionBy("_id", "_sub").orderBy("k", "end")
+    fresh = F.when(F.col("k") > F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1)) + 1, 1).otherwise(0)
     chained = later.withColumn("_new", fresh).withColumn("_run", F.sum("_new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
-    return chained.groupBy("_id", "_sub", "_run").agg(F.min("k").alias("first"), (F.max("k") + run - 1).alias("last")).drop("_run")
+    return chained.groupBy("_id", "_sub", "_run").agg(F.min("k").alias("first"), F.max("end").alias("last")).drop("_run")
 
 
-def drop_repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, run: int = RUN_LINES, long_words: int | None = None) -> DataFrame:
     """Each row of docs as the struct _row, with _kept (the text without later copies of repeated runs), _n_lines, _n_removed and _n_runs.
 
     A window of `run` lines is a later copy if its lines stand, in this order, at an earlier place: in a document of
-    smaller doc_id, or further up in the same one. All lines of later copies go; lines that hold only separators count
+    smaller doc_id, or further up in the same one. With long_words, a line of more words is a window of its own. All lines of later copies go; lines that hold only separators count
     as no lines and stay. A null text is empty; a null doc_id comes first. Several texts with one doc_id are separate
     documents in the order of a hash; rows that repeat both are one document, and each gets its result. An empty table
     gives no rows. docs must read the same each time.
@@ -62,7 +80,7 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     rows = docs.select(F.struct("*").alias("_row"), key_or_sentinel("doc_id").alias("_id"), text_or_empty().alias("_text"))
     repeats = not rows.groupBy("_id").count().filter("count > 1").isEmpty()
     rows = rows.withColumn("_sub", F.xxhash64("_text") if repeats else F.lit(0).cast("long"))
-    runs = repeated_runs(rows.select("_id", "_sub", F.col("_text").alias("text")), run)
+    runs = repeated_runs(rows.select("_id", "_sub", F.col("_text").alias("text")), run, long_words)
     runs = runs.groupBy("_id", "_sub").agg(F.collect_list(F.sequence("first", "last")).alias("_runs"))
     joined = rows.join(runs, ["_id", "_sub"], "left")
     lines = _lines("_text")
@@ -82,17 +100,17 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
 
 
 def line_report(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
-    """doc_id, n_lines, n_removed, n_runs, kept_sha256 of every document."""
+    """doc_id, n_lines, n_removed, n_runs, kept_sha256 of every document, for windows of `run` lines as in REPORT_SQL."""
     out = drop_repeated_lines(docs.select("doc_id", "text"), run)
     return out.select("_row.doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.col("_n_runs").alias("n_runs"), F.sha2("_kept", 256).alias("kept_sha256"))
 
 
-def remove_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
-    """docs with the repeated runs taken out of text; documents of which no line is left are dropped, if they had any.
+def remove_lines(docs: DataFrame, run: int = RUN_LINES, long_words: int | None = LONG_WORDS) -> DataFrame:
+    """docs with the repeated runs and repeated long lines taken out of text; documents of which no line is left are dropped, if they had any.
 
     n_chars, where docs has it, follows the new text.
     """
-    out = drop_repeated_lines(docs, run).filter("_n_removed = 0 or _n_removed < _n_lines")
+    out = drop_repeated_lines(docs, run, long_words).filter("_n_removed = 0 or _n_removed < _n_lines")
     changed = F.col("_n_removed") > 0
     new = {"text": F.when(changed, F.col("_kept")).otherwise(F.col("_row.text"))}
     if "n_chars" in docs.columns:

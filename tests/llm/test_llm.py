@@ -228,6 +228,17 @@ def test_lines(docs, unique, empty):
     assert linededup.remove_lines(docs).columns == docs.columns
 
 
+def test_long_lines(spark):
+    long, short = [" ".join(words(k, n)) for k, n in ((21, 51), (22, 50))]
+    texts = [long, f"u1\n{long}\nu2", f"u3\n{short}\nu4", f"u5\n{short}\nu6", long, f"p\nq\n{long}", f"v\np\nq\n{long}\n\nw", f"{long}\n{long}"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    out = {r["_row"].doc_id: r for r in linededup.drop_repeated_lines(table, long_words=50).collect()}
+    gone = {i: r["_n_removed"] for i, r in out.items()}
+    assert gone == {0: 0, 1: 1, 2: 0, 3: 0, 4: 1, 5: 1, 6: 3, 7: 2} and all(out[i]["_n_runs"] == (gone[i] > 0) for i in out)
+    left = {r.doc_id: r.text for r in linededup.remove_lines(table).collect()}
+    assert left == {0: long, 1: "u1\nu2", 2: texts[2], 3: texts[3], 5: "p\nq", 6: "v\n\nw"}
+
+
 def test_quality(spark, sf_dir, docs, empty):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
