@@ -1,6 +1,7 @@
 """Licence scan: a trained paragraph classifier finds licence families, and templates confirm what it finds.
 
-Paragraphs are the lines of a text. A multinomial logistic regression over hashed word n-grams (one and two words) is
+Paragraphs are the lines of a text, and notices that go over several lines of a block (neighbouring lines with words)
+are found where a template's word triples stand in order. A multinomial logistic regression over hashed word n-grams (one and two words) is
 trained on the templates below, on variants of them with words dropped or replaced, and on a bounded sample of the
 corpus's own lines as the unknown class. A temperature fitted on held-out rows calibrates it; a paragraph whose best
 family stays below the threshold is unknown. A family counts only if the paragraph also holds enough of one of its
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHasher, batch_buffer, key_or_null, key_or_sentinel, mix64, slices, text_or_empty
+from .common import SpanHasher, batch_buffer, key_or_null, key_or_sentinel, materialize, mix64, slices, text_or_empty
 from .quality import _LETTER
 
 #: Short notices by which licences are named, by family.
@@ -30,14 +31,13 @@ TEMPLATES = {
     "lgpl-3.0": ["This library is licensed under the GNU Lesser General Public License, version 3."],
     "mit": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "proprietary": ["All rights reserved. No part of this publication may be reproduced without permission."],
+    "proprietary": ["All rights reserved.", "All rights reserved. No part of this publication may be reproduced without permission."],
 }
 FAMILIES = sorted(TEMPLATES)
 UNKNOWN = len(FAMILIES)
 BITS = 16
 #: Lines of the corpus that the unknown class is fitted on, at most: those with the least hashes.
 NEGATIVES = 3000
-SAMPLE_CHARS = 500
 VARIANTS = 40
 THRESHOLD = 0.5
 #: Share of a template's word triples that a paragraph must hold.
@@ -62,21 +62,30 @@ def _pairs(words: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return two, line[:-1] == line[1:]
 
 
+def _features(words: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    two, same = _pairs(words, line)
+    keep = np.uint64(2**BITS - 1)
+    return np.concatenate([words & keep, two[same] & keep]).astype(np.int64), np.concatenate([line, line[:-1][same]])
+
+
 def _design(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature, line, lines) of the words and word pairs; features of a line weigh one over the root of their number."""
     words, line, breaks, _ = _grams(texts)
-    two, same = _pairs(words, line)
-    keep = np.uint64(2**BITS - 1)
-    return np.concatenate([words & keep, two[same] & keep]).astype(np.int64), np.concatenate([line, line[:-1][same]]), np.arange(len(breaks))
+    return *_features(words, line), np.arange(len(breaks))
 
 
-def _scores(texts: list, weights: np.ndarray) -> np.ndarray:
-    feature, line, lines = _design(texts)
-    n = np.maximum(1, np.bincount(line, minlength=len(lines)))
-    z = np.stack([np.bincount(line, weights=weights[feature, k], minlength=len(lines)) for k in range(weights.shape[1])], axis=1)
+def _word_scores(words: np.ndarray, line: np.ndarray, lines: int, weights: np.ndarray) -> np.ndarray:
+    feature, line = _features(words, line)
+    n = np.maximum(1, np.bincount(line, minlength=lines))
+    z = np.stack([np.bincount(line, weights=weights[feature, k], minlength=lines) for k in range(weights.shape[1])], axis=1)
     return z / np.sqrt(n)[:, None]
 
 
+def _scores(texts: list, weights: np.ndarray) -> np.ndarray:
+    words, line, breaks, _ = _grams(texts)
+    return _word_scores(words, line, len(breaks), weights)
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -124,22 +133,62 @@ def _triples(words: np.ndarray) -> np.ndarray:
         return mix64((words[:-2] * np.uint64(0x9FB21C651E98DF25) + words[1:-1]) * np.uint64(0x9FB21C651E98DF25) + words[2:])
 
 
+class Shapes:
+    """The templates' word triples, and the passages of consecutive lines that hold enough of one of them."""
+
+    def __init__(self) -> None:
+        self.all = [(k, _triples(_grams([t])[0]), len(t.split())) for k, family in enumerate(FAMILIES) for t in TEMPLATES[family]]
+        self.sets = [(k, np.unique(t)) for k, t, _ in self.all]
+        self.known = np.unique(np.concatenate([t for _, t in self.sets]))
+
+    def passages(self, words: np.ndarray, line: np.ndarray, block: np.ndarray) -> list[tuple[int, int, int]]:
+        """(family, first word, last word) of passages over several lines; block: the block of each word."""
+        if len(words) < 3:
+            return []
+        triples = _triples(words)
+        at = np.flatnonzero(np.isin(triples, self.known) & (block[:-2] == block[2:]))
+        out = []
+        for k, template, n in self.all:
+            place = {int(t): i for i, t in reversed(list(enumerate(template)))}
+            hits = at[np.isin(triples[at], template)]
+            # A passage ends where the template starts again, and where a template's length of words has no hit.
+            groups: list[list[tuple[int, int]]] = []
+            for a, i in zip(hits.tolist(), (place[int(t)] for t in triples[hits]), strict=True):
+                last = groups[-1][-1] if groups else None
+                if last and i > last[1] and a - last[0] <= n and block[a] == block[last[0]]:
+                    groups[-1].append((a, i))
+                else:
+                    groups.append([(a, i)])
+            for g in groups:
+                a, b = g[0][0], g[-1][0] + 2
+                if line[a] != line[b] and len(g) >= CONFIRM * len(place):
+                    out.append((k, a, b))
+        return sorted(out, key=lambda x: (x[1], -x[2]))
+
+
+def sample_lines(rows: DataFrame, n: int) -> list[str]:
+    """n whole lines of rows (doc_id, text) at most, drawn from all their lines by hash.
+
+    Ids and hashes are ordered by the executors; texts are read again for the chosen lines only.
+    """
+    split = F.split("text", "\n", -1)
+    lines = rows.select("doc_id", F.xxhash64("text").alias("sub"), F.posexplode(F.transform(split, lambda x, i: F.when(x.rlike("[A-Za-z\\x80-\\x{10FFFF}]"), F.xxhash64("doc_id", x, i)))).alias("i", "h")).filter("h is not null")
+    drawn = materialize(lines.orderBy("h", "doc_id", "sub", "i").limit(n), "drawn").groupBy("doc_id", "sub").agg(F.collect_set("i").alias("at"))
+    found = rows.withColumn("sub", F.xxhash64("text")).join(F.broadcast(drawn), ["doc_id", "sub"])
+    return sorted({r[0] for r in found.select(F.explode(F.transform("at", lambda i: F.get(split, i)))).collect()})
+
+
 def scan_licenses(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
     """doc_id, n_paragraphs, n_licensed, families (sorted array of strings) of every row.
 
-    n_paragraphs counts lines with words. A null or empty text has none; rows that repeat a doc_id are scanned each;
+    n_paragraphs counts lines with words; n_licensed counts notices, in one line or over several. A null or empty text has none; rows that repeat a doc_id are scanned each;
     a null doc_id stays null. Whole texts are read, whatever their length. An empty table gives no rows.
     """
     rows = docs.select(key_or_sentinel("doc_id").alias("doc_id"), text_or_empty().alias("text"))
-    # A bounded sample: the first lines, up to SAMPLE_CHARS, of the documents with the least hashes. Only lines are sorted.
-    lines = rows.select(F.xxhash64("doc_id", "text").alias("h"), F.substring(F.substring_index("text", "\n", 1), 1, SAMPLE_CHARS).alias("line"))
-    drawn = lines.filter("line <> ''").orderBy("h", "line").limit(negatives).select("line").collect()
+    drawn = sample_lines(rows, negatives)
     known = {t.lower() for ts in TEMPLATES.values() for t in ts}
-    weights, temperature = fit(sorted({r[0] for r in drawn if r[0].strip() and not any(t in r[0].lower() for t in known)}))
-    shapes = []
-    for k, family in enumerate(FAMILIES):
-        for t in TEMPLATES[family]:
-            shapes.append((k, np.unique(_triples(_grams([t])[0]))))
+    weights, temperature = fit([x for x in drawn if not any(t in x.lower() for t in known)])
+    shapes = Shapes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -154,12 +203,28 @@ def scan_licenses(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
                 sure: dict[int, int] = {}
                 for i in likely:
                     own = _triples(words[bounds[i] : bounds[i + 1]]) if bounds[i + 1] - bounds[i] > 2 else words[:0]
-                    if any(k == best[i] and np.isin(t, own).mean() >= CONFIRM for k, t in shapes):
+                    if any(k == best[i] and np.isin(t, own).mean() >= CONFIRM for k, t in shapes.sets):
                         sure[i] = int(best[i])
+                # Blocks are runs of lines with words, within one text.
+                part = np.zeros(len(breaks), dtype=np.int64)
+                part[first[:-1]] = 1
+                part[1:] |= worded[1:] != worded[:-1]
+                wide = shapes.passages(words, line, np.cumsum(part)[line])
+                notices: dict[int, list[int]] = {i: [k] for i, k in sure.items()}
+                if wide:
+                    # Each passage is scored as a line of its own, by its own words.
+                    sizes = np.array([b - a + 1 for _, a, b in wide])
+                    q = _softmax(_word_scores(np.concatenate([words[a : b + 1] for _, a, b in wide]), np.repeat(np.arange(len(wide)), sizes), len(wide), weights) / temperature)
+                    done: dict[int, int] = {}
+                    for (k, a, b), r in zip(wide, q, strict=True):
+                        over = range(int(line[a]), int(line[b]) + 1)
+                        if r[:UNKNOWN].argmax() == k and r[k] >= THRESHOLD and done.get(k, -1) < a and not any(sure.get(i) == k for i in over):
+                            done[k] = b
+                            notices.setdefault(int(line[a]), []).append(k)
                 out = []
                 for d in range(hi - lo):
                     a, b = first[d], first[d + 1]
-                    found = [sure[i] for i in range(a, b) if i in sure] if sure else []
+                    found = [k for i in range(a, b) for k in notices.get(i, ())] if notices else []
                     out.append((ids[lo + d], int(worded[a:b].sum()), len(found), sorted({FAMILIES[k] for k in found})))
                 yield pd.DataFrame(out, columns=["doc_id", "n_paragraphs", "n_licensed", "families"])
 

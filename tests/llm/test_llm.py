@@ -269,6 +269,30 @@ def test_licenses(docs, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_license_notices(spark):
+    def wrap(t, n=7):
+        w = t.split()
+        return "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
+
+    long = {f: max(licenses.TEMPLATES[f], key=len) for f in ("apache-2.0", "bsd-3-clause", "gpl-3.0", "mit")}
+    body = [" ".join(words(k, 60)) for k in range(60)]
+    texts = ["All rights reserved.", *(f"{body[0]}\n\n{wrap(t)}\n{body[1]}" for t in long.values()), f"{wrap(long['mit'])}\n\n{wrap(long['mit'])}"]
+    # Half of the notice in each of two blocks is no notice.
+    texts += ["\n\n".join(wrap(long["mit"]).split("\n")[:1] + [" ".join(body[2].split()[:9])]), *body]
+    out = {r.doc_id: (r.n_licensed, r.families) for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [out[i] for i in range(6)] == [(1, ["proprietary"]), *((1, [f]) for f in long), (2, ["mit"])]
+    assert all(out[i] == (0, []) for i in range(6, len(texts)))
+
+
+def test_license_sample(spark):
+    texts = ["head " + "x" * 900 + f"\nbody{i} words\n\n-- 12\ntail{i} " + "y " * 600 + f"end{i}" for i in range(30)]
+    table = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id long, text string")
+    lines = {x for t in texts for x in t.split("\n") if re.search("[a-z]", x)}
+    assert set(licenses.sample_lines(table, 1000)) == lines
+    few = licenses.sample_lines(table, 20)
+    assert len(few) <= 20 and set(few) <= lines and any(x[:4] in ("body", "tail") for x in few) and few == licenses.sample_lines(table.repartition(5), 20)
+
+
 def test_chroma(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=64) * 0.3
