@@ -17,7 +17,7 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of an edited copy, with their likeness."""
-    return simhash.near_report(read_table(spark, sf_dir, "documents"))
+    return simhash.near_report(read_table(spark, sf_dir, "documents"), simhash.NEAR_RADIUS)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ it than against. The votes of two bits are summed in the two halves of one long,
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ BITS = 128
 #: Weights are counted in quarters.
 UNIT = 4
 RADIUS = 3
+#: Radius of op2_simhash: near copies of five-word similarity 0.8 lie about 11 bits apart, few of them beyond 20.
+NEAR_RADIUS = 20
+#: Blocks that a fingerprint has at most when every block must agree; beyond that, blocks may differ in some bits.
+EXACT_BLOCKS = 8
 #: One in this many documents is looked up by near_report.
 QUERY_EVERY = 50
 #: Ranges of ids within which documents are ordered; see following().
@@ -97,43 +102,61 @@ def following(ids: DataFrame) -> DataFrame:
     return out.select("_id", "_sub", F.col("_next._id").alias("_next_id"), F.col("_next._sub").alias("_next_sub"))
 
 
-def block_tables(prints: DataFrame, radius: int) -> DataFrame:
-    """Rows (table, key, ...) of radius + 1 tables: the fingerprint with another block in front, by which it is found."""
-    blocks = radius + 1
+def block_plan(radius: int) -> list[tuple[int, int, int]]:
+    """(first bit, end, slack) of each block: fingerprints within the radius differ in at most `slack` bits of some block.
+
+    If they differed in more bits of each, the sum of slack + 1 over the blocks, radius + 1, would be beyond the radius.
+    """
+    if not 1 <= radius < BITS:
+        raise ValueError("the radius is at least 1 and less than the bits")
+    blocks = radius + 1 if radius < EXACT_BLOCKS else max(4, -(-(radius + 1) // 3))
     edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
+    return [(a, b, (radius + 1 + i) // blocks - 1) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+
+
+def _block(a: int, b: int) -> Column:
+    """Bits a..b-1 from the top of hi, lo; blocks are at most 64 bits wide."""
+    if b <= 64:
+        return F.shiftrightunsigned(F.shiftleft(F.col("hi"), a), 64 - (b - a))
+    if a >= 64:
+        return F.shiftrightunsigned(F.shiftleft(F.col("lo"), a - 64), 64 - (b - a))
+    return F.shiftleft(_block(a, 64), b - 64).bitwiseOR(F.shiftrightunsigned(F.col("lo"), 128 - b))
 
-    def bits(a: int, b: int) -> Column:
-        """Bits a..b-1 from the top of hi, lo; blocks are at most 64 bits wide."""
-        if b <= 64:
-            return F.shiftrightunsigned(F.shiftleft(F.col("hi"), a), 64 - (b - a))
-        if a >= 64:
-            return F.shiftrightunsigned(F.shiftleft(F.col("lo"), a - 64), 64 - (b - a))
-        return F.shiftleft(bits(a, 64), b - 64).bitwiseOR(F.shiftrightunsigned(F.col("lo"), 128 - b))
-
-    if radius < 1:
-        raise ValueError("the radius is at least 1")
-    keys = F.array(*(bits(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)))
+
+def block_tables(prints: DataFrame, radius: int) -> DataFrame:
+    """Rows (table, key, ...) of one table for each block of block_plan: the fingerprint with that block as its key."""
+    keys = F.array(*(_block(a, b) for a, b, _ in block_plan(radius)))
     return prints.select("*", F.posexplode(keys).alias("table", "key"))
 
 
+def probes(queries: DataFrame, radius: int) -> DataFrame:
+    """Rows (table, key, ...) of every key within a block's slack of the query's own, in each table."""
+    plan = block_plan(radius)
+    own = F.array(*(_block(a, b) for a, b, _ in plan))
+    rows = queries.select("*", F.posexplode(own).alias("table", "_own"))
+    masks = [[sum(1 << i for i in bits) for n in range(slack + 1) for bits in combinations(range(b - a), n)] for a, b, slack in plan]
+    if all(len(m) == 1 for m in masks):
+        return rows.withColumnRenamed("_own", "key")
+    flips = queries.sparkSession.createDataFrame([(i, m - 2**64 if m >= 2**63 else m) for i, own_masks in enumerate(masks) for m in own_masks], "table int, _flip long")
+    return rows.join(F.broadcast(flips), "table").withColumn("key", F.col("_own").bitwiseXOR(F.col("_flip"))).drop("_own", "_flip")
+
+
 def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs of a query fingerprint and each fingerprint at most `radius` bits away, itself included.
 
-    queries, prints: distinct (hi, lo). Two fingerprints that close agree in one of radius + 1 blocks, so one of the
-    tables has them side by side; a pair that several tables have comes from the first. The distance is a condition
-    of the join, so only pairs within the radius leave it. Returns (q_hi, q_lo, hi, lo, distance).
+    queries, prints: distinct (hi, lo). Two fingerprints that close differ in no more bits than its slack in one of the
+    blocks, so one of the tables has them under a probed key; a pair that several tables have comes from the first. The
+    distance is a condition of the join, so only pairs within the radius leave it. Returns (q_hi, q_lo, hi, lo, distance).
     """
-    q = block_tables(queries.select("hi", "lo"), radius).select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo"), "table", "key")
+    q = probes(queries.select("hi", "lo"), radius).select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo"), "table", "key")
     p = block_tables(prints.select("hi", "lo"), radius)
-    blocks = radius + 1
-    edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
     x_hi, x_lo = F.col("q_hi").bitwiseXOR(F.col("hi")), F.col("q_lo").bitwiseXOR(F.col("lo"))
     earlier = F.lit(False)
-    for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+    for i, (a, b, slack) in enumerate(block_plan(radius)):
         mask = ((1 << (b - a)) - 1) << (BITS - b)
         top, low = (m - 2**64 if m >= 2**63 else m for m in (mask >> 64, mask & (2**64 - 1)))
-        same = (x_hi.bitwiseAND(F.lit(top).cast("long")) == 0) & (x_lo.bitwiseAND(F.lit(low).cast("long")) == 0)
-        earlier = earlier | ((F.lit(i) < q["table"]) & same)
+        differ = F.bit_count(x_hi.bitwiseAND(F.lit(top).cast("long"))) + F.bit_count(x_lo.bitwiseAND(F.lit(low).cast("long")))
+        earlier = earlier | ((F.lit(i) < q["table"]) & (differ <= slack))
     near = (F.bit_count(x_hi) + F.bit_count(x_lo)) <= radius
     joined = q.join(p, (q["table"] == p["table"]) & (q["key"] == p["key"]) & near & ~earlier)
     return joined.select("q_hi", "q_lo", "hi", "lo", (F.bit_count(x_hi) + F.bit_count(x_lo)).alias("distance"))

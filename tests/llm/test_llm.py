@@ -194,6 +194,38 @@ def test_within_radius(spark):
         assert got.count() == got.distinct().count() == want
 
 
+def test_within_wide_radius(spark):
+    rng = random.Random(4)
+    near = [0, 2**128 - 1, *(rng.getrandbits(128) for _ in range(30))]
+    values = set(near)
+    for v in near:
+        for n in (1, 6, 8, 9, 19, 20, 21, 22, 30):
+            values.add(v ^ sum(1 << b for b in rng.sample(range(128), n)))
+    for plan in (simhash.block_plan(r) for r in (7, 8, 20, 21, 23)):  # one bit beyond every block's slack
+        values.add(sum(1 << (127 - a - i) for a, _, slack in plan for i in range(slack + 1)))
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    prints = materialize(spark.createDataFrame([(signed(v >> 64), signed(v & (2**64 - 1))) for v in values], "hi long, lo long"), "prints")
+    for radius in (7, 8, 20, 23):
+        got = simhash.within_radius(prints, prints, radius)
+        want = sum((a ^ b).bit_count() <= radius for a in values for b in values)
+        assert got.count() == got.distinct().count() == want
+
+
+def test_near_copies_within(spark):
+    rng = random.Random(6)
+    texts = []
+    for k in range(40):  # a text of 400 words, and a copy with ten words replaced: about 0.78 of the five-word shingles
+        own = words(100 + k, 400, 5000)
+        copy = own[:]
+        for i in rng.sample(range(400), 10):
+            copy[i] = f"new{k}x{i}"
+        texts += [(50 * k, " ".join(own)), (50 * k + 1, " ".join(copy))]
+    table = materialize(spark.createDataFrame(texts, "doc_id long, text string"), "planted")
+    tight, wide = (simhash.near_report(table, r).filter("n_within > 0").count() for r in (simhash.RADIUS, simhash.NEAR_RADIUS))
+    print("recall of 40 planted near copies:", tight, wide)
+    assert wide >= 39 > tight
+
+
 def test_mixing(spark, docs, empty):
     thin = materialize(mixing.keyed(docs).select("_key", "_id", "_size"), "thin")
     out = mixing.mix_report(thin).toPandas()
