@@ -3,7 +3,8 @@
 Frames of a recording become energies of twelve pitch classes. Filters over areas of that image, read from an integral
 image, compare neighbouring areas; each gives two bits, and sixteen of them make a 32-bit integer for each position.
 Recordings with equal fingerprints are one class. A query's integers are joined with those of all classes; differences
-of positions are counted, and the best-supported alignment is confirmed by the share of bits that differ along it.
+of positions are counted over all places of each code, and every alignment that two codes support is confirmed by the
+share of bits that differ along it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ QUERY_EVERY = 50
 #: Share of bits that may differ along an alignment, and positions that it covers at least.
 BIT_ERRORS = 0.15
 LEAST_POSITIONS = 12
+#: Recordings with one code beyond which that code's rows are dealt over SALTS tasks.
+HOT_CODE = 100_000
+SALTS = 64
 #: Filters: (kind, first pitch class, classes, first frame, frames); the kind tells which halves are compared.
 FILTERS = [(kind, low, high, 0, SPAN) for kind in ("time", "pitch") for low, high in ((0, 12), (0, 6), (6, 6), (0, 4), (4, 4), (8, 4), (2, 8), (3, 6))]
 CUTS = (-0.2, 0.0, 0.2)
@@ -91,19 +95,41 @@ def fingerprint_rows(vectors: DataFrame) -> DataFrame:
     return vectors.mapInPandas(run, "rec_id long, codes array<long>")
 
 
+def _shifts(pairs: DataFrame) -> DataFrame:
+    """(q, c, shifts) of pairs (q, c, ats), ats holding the places of each common code: what two codes at least support."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            shifts = []
+            for ats in pdf["ats"]:
+                votes = np.concatenate([np.subtract.outer(np.asarray(x["q_at"]), np.asarray(x["c_at"])).reshape(-1) for x in ats])
+                values, n = np.unique(votes, return_counts=True)
+                keep = n > 1
+                shifts.append(values[keep][np.lexsort((values[keep], np.abs(values[keep]), -n[keep]))].astype(np.int32))
+            out = pd.DataFrame({"q": pdf["q"], "c": pdf["c"], "shifts": shifts})
+            yield out.loc[np.array([len(x) > 0 for x in shifts], dtype=bool)]
+
+    return pairs.mapInPandas(run, "q long, c long, shifts array<int>")
+
+
 def _alignments(candidates: DataFrame) -> DataFrame:
-    """Bit errors along the best alignment of (q, c, shift, q_codes, c_codes)."""
+    """The first alignment of (q, c, shifts, q_codes, c_codes) that is long enough and has few bit errors, if there is one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            errors, covered = [], []
-            for shift, a, b in zip(pdf["shift"], pdf["q_codes"], pdf["c_codes"], strict=True):
-                i = max(0, shift)
-                n = min(len(a) - i, len(b) - (i - shift))
-                x = np.asarray(a[i : i + n], dtype=np.int64) ^ np.asarray(b[i - shift : i - shift + n], dtype=np.int64)
-                errors.append(float(np.bitwise_count(x).sum()) / (32 * max(1, n)))
-                covered.append(n)
-            yield pd.DataFrame({"q": pdf["q"], "c": pdf["c"], "shift": pdf["shift"], "bit_errors": errors, "covered": np.array(covered, dtype=np.int64)})
+            out = []
+            for q, c, shifts, a, b in zip(pdf["q"], pdf["c"], pdf["shifts"], pdf["q_codes"], pdf["c_codes"], strict=True):
+                a, b = np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)
+                for shift in map(int, shifts):
+                    i = max(0, shift)
+                    n = min(len(a) - i, len(b) - (i - shift))
+                    if n < LEAST_POSITIONS:
+                        continue
+                    errors = float(np.bitwise_count(a[i : i + n] ^ b[i - shift : i - shift + n]).sum()) / (32 * n)
+                    if errors <= BIT_ERRORS:
+                        out.append((q, c, shift, errors, n))
+                        break
+            yield pd.DataFrame(out, columns=["q", "c", "shift", "bit_errors", "covered"])
 
     return candidates.mapInPandas(run, "q long, c long, shift int, bit_errors double, covered long")
 
@@ -111,20 +137,23 @@ def _alignments(candidates: DataFrame) -> DataFrame:
 def alike(prints: DataFrame, query_every: int = QUERY_EVERY) -> DataFrame:
     """(q, c, shift, bit_errors, covered): classes that sound like a class with a queried recording, itself left out.
 
-    prints: (rec_id, class_id, codes). A pair needs at least two codes at one difference of positions.
+    prints: (rec_id, class_id, codes). A shift needs at least two codes; the best-supported one that passes is given.
     """
     classes = prints.groupBy("class_id").agg(F.first("codes").alias("codes"), F.max(F.coalesce(F.col("rec_id") % query_every == 0, F.lit(False))).alias("asked"))
     classes = materialize(classes.filter("size(codes) > 0"), "classes")
     rows = classes.select("class_id", "asked", F.posexplode("codes").alias("at", "code"))
-    # A code that repeats within a recording is tried at its first place there.
-    rows = rows.groupBy("class_id", "asked", "code").agg(F.min("at").alias("at"))
-    q = rows.filter("asked").select(F.col("class_id").alias("q"), F.col("at").alias("q_at"), "code")
-    c = rows.select(F.col("class_id").alias("c"), F.col("at").alias("c_at"), "code")
-    hits = q.join(c, "code").filter("q <> c").groupBy("q", "c", (F.col("q_at") - F.col("c_at")).alias("shift")).agg(F.count("*").alias("n")).filter("n > 1")
-    best = hits.groupBy("q", "c").agg(F.max_by("shift", F.struct("n", -F.abs("shift"), "shift")).alias("shift"))
+    rows = materialize(rows.groupBy("class_id", "asked", "code").agg(F.collect_list("at").alias("at")), "places")
+    hot = [r.code for r in rows.groupBy("code").count().filter(F.col("count") > HOT_CODE).select("code").collect()]
+    is_hot = F.col("code").isin(hot) if hot else F.lit(False)
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    q = rows.filter("asked").select(F.col("class_id").alias("q"), F.col("at").alias("q_at"), "code", F.explode(salts).alias("salt"))
+    c = rows.select(F.col("class_id").alias("c"), F.col("at").alias("c_at"), "code", F.when(is_hot, F.pmod(F.xxhash64("class_id"), F.lit(SALTS))).otherwise(0).cast("int").alias("salt"))
+    pairs = q.join(c, ["code", "salt"]).filter("q <> c").groupBy("q", "c").agg(F.collect_list(F.struct("q_at", "c_at")).alias("ats"), F.sum(F.least(F.size("q_at"), F.size("c_at"))).alias("most"))
+    # No shift has more votes than the common codes have places.
+    shifts = _shifts(pairs.filter("most > 1").select("q", "c", "ats"))
     codes = classes.select("class_id", "codes")
-    both = best.join(codes.select(F.col("class_id").alias("q"), F.col("codes").alias("q_codes")), "q").join(codes.select(F.col("class_id").alias("c"), F.col("codes").alias("c_codes")), "c")
-    return _alignments(both).filter((F.col("bit_errors") <= BIT_ERRORS) & (F.col("covered") >= LEAST_POSITIONS))
+    both = shifts.join(codes.select(F.col("class_id").alias("q"), F.col("codes").alias("q_codes")), "q").join(codes.select(F.col("class_id").alias("c"), F.col("codes").alias("c_codes")), "c")
+    return _alignments(both)
 
 
 def recording_report(vectors: DataFrame) -> DataFrame:

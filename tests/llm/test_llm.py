@@ -335,6 +335,17 @@ def test_chroma(spark):
     assert out[4].n_codes == out[5].n_codes == 0 and out[3].n_links is None
 
 
+def test_chroma_repeated_passages(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x, y, z = (rng.integers(0, 2**32, size=n).tolist() for n in (40, 20, 30))
+    codes = {0: x + y, 1: x + z + x + y, 2: z + z, 3: x[:1] + z[:20] + x[:1]}
+    prints = spark.createDataFrame([(k, k, v) for k, v in codes.items()], "rec_id long, class_id long, codes array<long>")
+    for hot in (chroma.HOT_CODE, 1):
+        monkeypatch.setattr(chroma, "HOT_CODE", hot)
+        got = [(r.q, r.c, r["shift"], r.bit_errors, r.covered) for r in chroma.alike(prints).collect()]
+        assert got == [(0, 1, 0 - len(x + z), 0.0, 60)]
+
+
 def test_revisits(spark):
     t = "timestamp '2024-01-01 00:00:00' + make_interval(0,0,0,0,0,m)"
     captures = spark.sql(f"""select record_id, url, {t} captured_at, kind, etag, cast(null as string) last_modified, map('etag', coalesce(etag, ''), h, 'v' || record_id) headers from values
