@@ -374,7 +374,8 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 100, shard_bytes: int = SHA
     docs = docs.select(key_or_sentinel("doc_id").alias("doc_id"), text_or_empty().alias("text"))
     repeats = not docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
     docs = docs.withColumn("sub", F.xxhash64("text") if repeats else F.lit(0).cast("long"))
-    found = repeated_strings(docs, min_bytes, shard_bytes)
+    one = materialize(docs.dropDuplicates(["doc_id", "sub"]), "one") if repeats else docs
+    found = repeated_strings(one, min_bytes, shard_bytes)
     spans = found.groupBy("doc_id", "sub").agg(F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -106,6 +106,24 @@ def test_suffix_dedup(docs, unique, empty):
     assert suffixdedup.remove_repeats(empty, 40).count() == 0
 
 
+def test_suffix_dedup_repeated_rows(spark):
+    p, a, b, c = (" ".join(words(k, n)) for k, n in ((31, 60), (32, 15), (33, 15), (34, 15)))
+    texts = [(3, f"{a} {p} {b}"), (3, f"{a} {p} {b}"), (5, f"{b} {p} {c}"), (1, f"{c} {c}"), (7, p), (7, p)]
+    table = materialize(spark.createDataFrame(texts, "doc_id long, text string"), "repeated-rows")
+    seen, want = set(), {}
+    for key, t in sorted(set(texts)):
+        raw = t.encode()
+        gone = [False] * len(raw)
+        for i in range(len(raw) - 39):
+            if raw[i : i + 40] in seen:
+                gone[i : i + 40] = [True] * 40
+            seen.add(raw[i : i + 40])
+        want[key] = bytes(x for x, g in zip(raw, gone, strict=True) if not g)
+    for shard in (4_000_000, 500):
+        got = sorted((r.doc_id, bytes(r.kept)) for r in suffixdedup.remove_repeats(table, 40, shard).collect())
+        assert got == sorted((k, want[k]) for k, _ in texts)
+
+
 def test_suffix_array_and_kasai():
     rng = np.random.default_rng(0)
     s = rng.integers(0, 3, size=200).astype(np.int16)
