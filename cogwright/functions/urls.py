@@ -45,10 +45,11 @@ def public_url(c: str | Column, hosts: Sequence[str], paths: str, keys: Sequence
 
 
 def redact_url(c: str | Column, keys: Sequence[str]) -> Column:
-    """The values of sensitive query keys are replaced."""
-    head, query = F.substring_index(_c(c), "?", 1), F.regexp_extract(_c(c), r"\?(.*)$", 1)
+    """The values of sensitive query keys are replaced; the fragment stays."""
+    url, fragment = F.regexp_extract(_c(c), r"^([^#]*)", 1), F.regexp_extract(_c(c), r"(?s)(#.*)$", 1)
+    head, query = F.substring_index(url, "?", 1), F.regexp_extract(url, r"\?(.*)$", 1)
     clean = F.transform(F.split(query, "&"), lambda p: F.when(F.lower(F.substring_index(p, "=", 1)).isin(*keys), F.concat(F.substring_index(p, "=", 1), F.lit("=[REDACTED]"))).otherwise(p))
-    return F.when(query == "", _c(c)).otherwise(F.concat(head, F.lit("?"), F.array_join(clean, "&")))
+    return F.when(query == "", _c(c)).otherwise(F.concat(head, F.lit("?"), F.array_join(clean, "&"), fragment))
 
 
 def in_scope(url: str | Column, seed: str | Column) -> Column:

@@ -68,3 +68,14 @@ def test_records(spark):
     assert one(spark, "1,400 - bad", records.undecodable_kind("x", F.lit(""), F.lit(""))) == "invalid_vin"
     a = one(spark, "ab", records.length_prefixed([F.lit("a"), F.lit("bc")]))
     assert a == "1:a2:bc"
+
+
+def test_redact_url_fragment(spark, sf_dir):
+    import duckdb
+
+    for url, want in {"http://a.b/c?x=1&ref=a#f?ref=b": "http://a.b/c?x=1&ref=[REDACTED]#f?ref=b", "http://a.b/c#f?ref=b": "http://a.b/c#f?ref=b", "http://a.b/?ref=a#": "http://a.b/?ref=[REDACTED]#"}.items():
+        assert one(spark, url, urls.redact_url("x", ["ref"])) == want
+    # Every page, those with fragments too.
+    got = {tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", urls.redact_url("url", ["ref", "page"])).collect()}
+    sql = rf"SELECT page_id, regexp_replace(regexp_replace(url, '([?&]ref=)[^&#]*', '\1[REDACTED]', 'g'), '([?&]page=)[^&#]*', '\1[REDACTED]', 'g') FROM '{sf_dir}/pages.parquet'"
+    assert got == set(duckdb.sql(sql).fetchall())
