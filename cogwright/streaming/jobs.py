@@ -63,8 +63,11 @@ def stream_counters(spark: SparkSession, in_dir: str, name: str, checkpoint: str
 
 
 def stream_late_captures(spark: SparkSession, in_dir: str, jobs: DataFrame, out_dir: str, checkpoint: str) -> StreamingQuery:
-    """Captures with `accepted`: fetched within their job's time and five minutes of grace; the rest go aside, none are dropped."""
+    """Captures with `accepted`: fetched within their job's time and five minutes of grace; the rest go to a partition of their own, none are dropped."""
     rows = _read(spark, in_dir, "job_id long, url string, fetched_at timestamp")
     j = rows.join(jobs, "job_id", "left")
     ok = (F.col("fetched_at") >= F.col("started_at")) & (F.col("fetched_at") <= F.col("finished_at") + F.expr("INTERVAL 5 MINUTES"))
-    return j.select("job_id", "url", "fetched_at", F.coalesce(ok, F.lit(False)).alias("accepted")).writeStream.partitionBy("accepted").format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    accepted = F.coalesce(ok, F.lit(False))
+    # A partition column comes back as text, so the flag stays a column of the rows.
+    out = j.select("job_id", "url", "fetched_at", accepted.alias("accepted"), F.when(accepted, "accepted").otherwise("late").alias("side"))
+    return out.writeStream.partitionBy("side").format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
