@@ -2,13 +2,16 @@
 
 Frames of a recording become energies of twelve pitch classes. Filters over areas of that image, read from an integral
 image, compare neighbouring areas; each gives two bits, and sixteen of them make a 32-bit integer for each position.
-Recordings with equal fingerprints are one class. A query's integers are joined with those of all classes; differences
-of positions are counted over all places of each code, and every alignment that two codes support is confirmed by the
-share of bits that differ along it.
+Recordings with equal fingerprints are one class. Classes are found by keys of their windows: each key reads some bits
+of the signs that the filters have over twelve positions, which differ half the time between unrelated recordings and
+seldom between like ones. Equal keys vote for a difference of positions; the votes make a histogram of offsets, and
+every offset with votes is confirmed by the share of bits that differ along it. Chance matches of a key are as rare as
+its bits make them, so the candidates grow with the links and not with the pairs.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +29,16 @@ QUERY_EVERY = 50
 #: Share of bits that may differ along an alignment, and positions that it covers at least.
 BIT_ERRORS = 0.15
 LEAST_POSITIONS = 12
-#: Recordings with one code beyond which that code's rows are dealt over SALTS tasks.
-HOT_CODE = 100_000
-SALTS = 64
+#: Windows of the index: every STRIDE-th one and the last have TABLES keys of KEY_BITS bits; queries probe with all of theirs.
+STRIDE = 4
+TABLES = 12
+KEY_BITS = 28
+#: Alignments of few positions lie at the ends of both recordings: the first and last windows have more, wider keys.
+EDGE_TABLES = 32
+EDGE_BITS = 24
+#: Queries that are looked up together, about; and parts into which the rows of every key are dealt.
+BLOCK = 200
+SALTS = 16
 #: Filters: (kind, first pitch class, classes, first frame, frames); the kind tells which halves are compared.
 FILTERS = [(kind, low, high, 0, SPAN) for kind in ("time", "pitch") for low, high in ((0, 12), (0, 6), (6, 6), (0, 4), (4, 4), (8, 4), (2, 8), (3, 6))]
 CUTS = (-0.2, 0.0, 0.2)
@@ -95,21 +105,79 @@ def fingerprint_rows(vectors: DataFrame) -> DataFrame:
     return vectors.mapInPandas(run, "rec_id long, codes array<long>")
 
 
-def _shifts(pairs: DataFrame) -> DataFrame:
-    """(q, c, shifts) of pairs (q, c, ats), ats holding the places of each common code: what two codes at least support."""
+@functools.cache
+def _readers() -> tuple[np.ndarray, np.ndarray]:
+    """For the inner tables and those of the ends: weights (signs of a window, tables) that read each table's bits as one number."""
+    rng = np.random.Generator(np.random.PCG64(11))
+    out = []
+    for tables, bits in ((TABLES, KEY_BITS), (EDGE_TABLES, EDGE_BITS)):
+        weights = np.zeros((LEAST_POSITIONS * len(FILTERS), tables))
+        for t in range(tables):
+            weights[rng.choice(len(weights), bits, replace=False), t] = 2.0 ** np.arange(bits)
+        out.append(weights)
+    return out[0], out[1]
+
+
+def window_keys(codes: np.ndarray, asked: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a recording's windows and where they start: those of the index, or those that a query probes it with."""
+    count = len(codes) - LEAST_POSITIONS + 1
+    if count < 1:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+    # The first of a filter's two bits tells which half has more energy.
+    signs = (codes.astype(np.int64)[:, None] >> np.arange(2 * len(FILTERS) - 1, 0, -2)) & 1
+    windows = np.lib.stride_tricks.sliding_window_view(signs, LEAST_POSITIONS, axis=0).transpose(0, 2, 1).reshape(count, -1).astype(np.float64)
+    inner, ends = _readers()
+    at = np.arange(count)
+    keys, places = [], []
+
+    def put(where: np.ndarray, weights: np.ndarray, first_table: int) -> None:
+        table = np.arange(first_table, first_table + weights.shape[1], dtype=np.int64) << 32
+        keys.append((table + (windows[where] @ weights).astype(np.int64)).reshape(-1))
+        places.append(np.repeat(where, weights.shape[1]).astype(np.int32))
+
+    put(at if asked else at[(at % STRIDE == 0) | (at == count - 1)], inner, 0)
+    # What begins near a query's end may be a recording's first window, and the other way round.
+    put(at[-STRIDE:] if asked else at[:1], ends, TABLES)
+    put(at[:STRIDE] if asked else at[-1:], ends, TABLES + EDGE_TABLES)
+    return np.concatenate(keys), np.concatenate(places)
+
+
+def _keyed(classes: DataFrame, asked: bool) -> DataFrame:
+    """(class_id, key, at) of the windows of rows (class_id, codes)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            shifts = []
-            for ats in pdf["ats"]:
-                votes = np.concatenate([np.subtract.outer(np.asarray(x["q_at"]), np.asarray(x["c_at"])).reshape(-1) for x in ats])
-                values, n = np.unique(votes, return_counts=True)
-                keep = n > 1
-                shifts.append(values[keep][np.lexsort((values[keep], np.abs(values[keep]), -n[keep]))].astype(np.int32))
-            out = pd.DataFrame({"q": pdf["q"], "c": pdf["c"], "shifts": shifts})
-            yield out.loc[np.array([len(x) > 0 for x in shifts], dtype=bool)]
+            found = [window_keys(np.asarray(c, dtype=np.int64), asked) for c in pdf["codes"]]
+            yield pd.DataFrame({"class_id": pdf["class_id"], "keys": [k for k, _ in found], "ats": [a for _, a in found]})
 
-    return pairs.mapInPandas(run, "q long, c long, shifts array<int>")
+    rows = classes.select("class_id", "codes").mapInPandas(run, "class_id long, keys array<long>, ats array<int>")
+    return rows.select("class_id", F.explode(F.arrays_zip("keys", "ats")).alias("x")).select("class_id", F.col("x.keys").alias("key"), F.col("x.ats").alias("at"))
+
+
+def _shifts(hits: DataFrame) -> DataFrame:
+    """(q, c, shifts) of rows (c, qs, q_ats, c_ats): offsets in the order of their votes, from lists of queries with their places."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out: dict[str, list] = {"q": [], "c": [], "shifts": []}
+            for c, qs, q_ats, c_ats in zip(pdf["c"], pdf["qs"], pdf["q_ats"], pdf["c_ats"], strict=True):
+                q = np.concatenate(list(qs))
+                shift = np.concatenate(list(q_ats)).astype(np.int64) - np.repeat(np.asarray(c_ats, dtype=np.int64), [len(x) for x in qs])
+                ids, q = np.unique(q, return_inverse=True)
+                low = int(shift.min())
+                width = int(shift.max()) - low + 1
+                cell, votes = np.unique(q * width + (shift - low), return_counts=True)
+                who, shift = cell // width, cell % width + low
+                by = np.lexsort((shift, np.abs(shift), -votes, who))
+                cuts = np.searchsorted(who[by], np.arange(len(ids) + 1))
+                for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                    if ids[i] != c:
+                        out["q"].append(ids[i])
+                        out["c"].append(c)
+                        out["shifts"].append(shift[by[a:b]].astype(np.int32))
+            yield pd.DataFrame(out)
+
+    return hits.mapInPandas(run, "q long, c long, shifts array<int>")
 
 
 def _alignments(candidates: DataFrame) -> DataFrame:
@@ -137,20 +205,20 @@ def _alignments(candidates: DataFrame) -> DataFrame:
 def alike(prints: DataFrame, query_every: int = QUERY_EVERY) -> DataFrame:
     """(q, c, shift, bit_errors, covered): classes that sound like a class with a queried recording, itself left out.
 
-    prints: (rec_id, class_id, codes). A shift needs at least two codes; the best-supported one that passes is given.
+    prints: (rec_id, class_id, codes). Of the offsets of a pair that have votes, the first in their order that covers
+    LEAST_POSITIONS with at most BIT_ERRORS is given. Every class is in the index, and every key is followed, however
+    many classes have it: queries go in blocks, so what meets in one row is bounded by a block's queries.
     """
     classes = prints.groupBy("class_id").agg(F.first("codes").alias("codes"), F.max(F.coalesce(F.col("rec_id") % query_every == 0, F.lit(False))).alias("asked"))
-    classes = materialize(classes.filter("size(codes) > 0"), "classes")
-    rows = classes.select("class_id", "asked", F.posexplode("codes").alias("at", "code"))
-    rows = materialize(rows.groupBy("class_id", "asked", "code").agg(F.collect_list("at").alias("at")), "places")
-    hot = [r.code for r in rows.groupBy("code").count().filter(F.col("count") > HOT_CODE).select("code").collect()]
-    is_hot = F.col("code").isin(hot) if hot else F.lit(False)
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    q = rows.filter("asked").select(F.col("class_id").alias("q"), F.col("at").alias("q_at"), "code", F.explode(salts).alias("salt"))
-    c = rows.select(F.col("class_id").alias("c"), F.col("at").alias("c_at"), "code", F.when(is_hot, F.pmod(F.xxhash64("class_id"), F.lit(SALTS))).otherwise(0).cast("int").alias("salt"))
-    pairs = q.join(c, ["code", "salt"]).filter("q <> c").groupBy("q", "c").agg(F.collect_list(F.struct("q_at", "c_at")).alias("ats"), F.sum(F.least(F.size("q_at"), F.size("c_at"))).alias("most"))
-    # No shift has more votes than the common codes have places.
-    shifts = _shifts(pairs.filter("most > 1").select("q", "c", "ats"))
+    classes = materialize(classes.filter(F.size("codes") >= LEAST_POSITIONS), "classes")
+    asked = classes.filter("asked")
+    blocks = asked.count() // BLOCK + 1
+    block = F.pmod(F.xxhash64("class_id"), F.lit(blocks)).alias("block")
+    q = _keyed(asked, True).groupBy("key", block).agg(F.collect_list(F.struct("class_id", "at")).alias("asks"))
+    q = q.select("key", "block", F.col("asks.class_id").alias("q"), F.col("asks.at").alias("q_at"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    c = _keyed(classes, False).select(F.col("class_id").alias("c"), "key", F.col("at").alias("c_at"), F.pmod(F.xxhash64("class_id"), F.lit(SALTS)).cast("int").alias("salt"))
+    hits = c.join(q, ["key", "salt"]).groupBy("c", "block").agg(F.collect_list(F.struct("q", "q_at", "c_at")).alias("hits"))
+    shifts = _shifts(hits.select("c", F.col("hits.q").alias("qs"), F.col("hits.q_at").alias("q_ats"), F.col("hits.c_at").alias("c_ats")))
     codes = classes.select("class_id", "codes")
     both = shifts.join(codes.select(F.col("class_id").alias("q"), F.col("codes").alias("q_codes")), "q").join(codes.select(F.col("class_id").alias("c"), F.col("codes").alias("c_codes")), "c")
     return _alignments(both)

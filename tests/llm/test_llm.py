@@ -353,15 +353,49 @@ def test_chroma(spark):
     assert out[4].n_codes == out[5].n_codes == 0 and out[3].n_links is None
 
 
-def test_chroma_repeated_passages(spark, monkeypatch):
+def test_chroma_recall(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(900, 64)) * 0.1
+    for k in range(30):  # of each queried one a noisy copy, one moved by some notes, and an excerpt between other notes
+        own = vectors[30 * k]
+        vectors[30 * k + 1] = own + rng.normal(size=64) * 0.008
+        vectors[30 * k + 2] = np.concatenate([own[4 + k % 20 :], vectors[30 * k + 2][: 4 + k % 20]]) + rng.normal(size=64) * 0.004
+        vectors[30 * k + 3][16:48] = own[8:40]
+    ids = [50 * i // 30 if i % 30 == 0 else 50 * i + 1 for i in range(900)]
+    rows = [(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)] + [(7, None), (9, []), (11, [0.1] * 10), (50, vectors[30].tolist()), (None, vectors[60].tolist())]
+    table = materialize(spark.createDataFrame(rows, "rec_id long, vector array<double>"), "recordings")
+    prints = materialize(chroma.fingerprint_rows(table.filter("rec_id is not null")).selectExpr("rec_id", "rec_id as class_id", "codes").dropDuplicates(["class_id"]), "recall")
+    codes = {r.rec_id: np.array(r.codes, dtype=np.uint32) for r in prints.collect()}
+    stack = {i: c for i, c in codes.items() if len(c) >= chroma.LEAST_POSITIONS}
+    want = {}
+    for q in (i for i in stack if i % 50 == 0):
+        for c, b in stack.items():
+            a = stack[q]
+            for s in range(chroma.LEAST_POSITIONS - len(b), len(a) - chroma.LEAST_POSITIONS + 1) if c != q else ():
+                i = max(0, s)
+                n = min(len(a) - i, len(b) - (i - s))
+                if np.bitwise_count(a[i : i + n] ^ b[i - s : i - s + n]).sum() <= chroma.BIT_ERRORS * 32 * n:
+                    want.setdefault((q, c), set()).add(s)
+    got = {(r.q, r.c): r["shift"] for r in chroma.alike(prints).collect()}
+    assert len(want) > 60 and all(s in want.get(k, ()) for k, s in got.items())
+    print("recall against brute force:", len(got) / len(want))
+    assert len(got) >= 0.9 * len(want)
+    report = {}
+    for r in chroma.recording_report(table).collect():
+        report.setdefault(r.rec_id, []).append(r)
+    assert sum(map(len, report.values())) == len(rows) and len(report[50]) == 2 and report[None][0].n_links is None
+    assert report[7][0].n_codes == report[9][0].n_codes == 0 and report[50][0].n_links >= 1
+
+
+def test_chroma_repeated_passages(spark):
     rng = np.random.default_rng(5)
     x, y, z = (rng.integers(0, 2**32, size=n).tolist() for n in (40, 20, 30))
     codes = {0: x + y, 1: x + z + x + y, 2: z + z, 3: x[:1] + z[:20] + x[:1]}
     prints = spark.createDataFrame([(k, k, v) for k, v in codes.items()], "rec_id long, class_id long, codes array<long>")
-    for hot in (chroma.HOT_CODE, 1):
-        monkeypatch.setattr(chroma, "HOT_CODE", hot)
-        got = [(r.q, r.c, r["shift"], r.bit_errors, r.covered) for r in chroma.alike(prints).collect()]
-        assert got == [(0, 1, 0 - len(x + z), 0.0, 60)]
+    got = [(r.q, r.c, r["shift"], r.bit_errors, r.covered) for r in chroma.alike(prints).collect()]
+    assert got == [(0, 1, 0 - len(x + z), 0.0, 60)]
+    empty = prints.filter("rec_id < 0")
+    assert chroma.alike(empty).count() == 0 and chroma.recording_report(empty.selectExpr("rec_id", "cast(codes as array<double>) as vector", "class_id as codes", "1 as q")).count() == 0
 
 
 def test_revisits(spark):
