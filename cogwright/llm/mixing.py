@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_RE, key_or_null, key_or_sentinel, text_or_empty
+from .common import key_or_null, key_or_sentinel, range_cuts, range_of, text_or_empty
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
-#: Ranges of doc_id within which documents of one source and size are ranked; their counts are summed first.
-RANGES = 512
+#: Ranges of doc_id, by quantiles, within which documents of one source and size are ranked; their counts are summed first.
+RANGES = 256
 
 
 def word_count(text: str = "text") -> Column:
@@ -50,28 +50,26 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: in
 def with_copies(docs: DataFrame, sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP, seed: int = 0) -> DataFrame:
     """docs with _size, source_size, target and _copies: how often the mix takes each document.
 
-    docs: rows with _key, _id, _size and others, read anew from a stable table; sizes: the same three columns alone. Within
-    its source a document's expected copies are target / source_size. They are summed in the order of (size, doc_id),
+    docs: rows with _key, _id, _size, _tie and others, read anew from a stable table; sizes: the first three alone. Within
+    its source a document's expected copies are target / source_size. They are summed in the order of (size, doc_id, _tie),
     a random offset of the source is added, and a document is taken once for each whole number that is crossed. As
     the order is by size, a source's words differ from its target by little more than its longest document has.
     The sums go by ranges: counts of (source, size, range of ids) are summed, and rows are ranked within them alone.
     """
-    bounds = sizes.agg(F.min("_id").cast("double"), F.max("_id").cast("double")).first()
-    low, width = bounds[0] or 0.0, max(1.0, ((bounds[1] or 0.0) - (bounds[0] or 0.0) + 1) / RANGES)
-    part = F.floor((F.col("_id").cast("double") - F.lit(low)) / F.lit(width)).cast("int")
+    part = range_of(F.col("_id"), range_cuts(sizes, "_id", RANGES))
     counts = sizes.withColumn("_part", part).groupBy("_key", "_size", "_part").agg(F.count("*").alias("_n"))
     of_size = counts.groupBy("_key", "_size").agg(F.sum("_n").alias("_n"))
     earlier_sizes = F.coalesce(F.sum("_n").over(Window.partitionBy("_key").orderBy("_size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     earlier_parts = F.coalesce(F.sum("_n").over(Window.partitionBy("_key", "_size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select("_key", "_size", "_part", earlier_parts.alias("_in_size")).join(of_size.select("_key", "_size", earlier_sizes.alias("_before")), ["_key", "_size"])
     starts = starts.join(F.broadcast(source_targets(sizes, weights, cap)) if _few_sources(sizes) else source_targets(sizes, weights, cap), "_key")
-    inside = Window.partitionBy("_key", "_size", "_part").orderBy("_id")
+    inside = Window.partitionBy("_key", "_size", "_part").orderBy("_id", "_tie")
     ranked = docs.withColumn("_part", part).withColumn("_place", F.row_number().over(inside)).join(starts, ["_key", "_size", "_part"])
     rank = (F.col("_before") + F.col("_in_size") + F.col("_place")).cast("double")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("_key"))), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
     copies = F.floor(rate * rank + offset) - F.floor(rate * (rank - 1) + offset)
-    return ranked.withColumn("_copies", copies.cast("long")).drop("_part", "_place", "_before", "_in_size")
+    return ranked.withColumn("_copies", copies.cast("long")).drop("_part", "_place", "_before", "_in_size", "_tie")
 
 
 def _few_sources(sizes: DataFrame) -> bool:
@@ -80,13 +78,13 @@ def _few_sources(sizes: DataFrame) -> bool:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(_row, _key, _id, _size): each row as a struct, so that its columns clash with none here."""
-    return docs.select(F.struct("*").alias("_row"), _source_key("source").alias("_key"), key_or_sentinel("doc_id").alias("_id"), word_count("text").alias("_size"))
+    """(_row, _key, _id, _size, _tie): each row as a struct, so that its columns clash with none here; _tie is a hash of the text."""
+    return docs.select(F.struct("*").alias("_row"), _source_key("source").alias("_key"), key_or_sentinel("doc_id").alias("_id"), word_count("text").alias("_size"), F.xxhash64(text_or_empty()).alias("_tie"))
 
 
 def mix_report(thin: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP, seed: int = 0) -> DataFrame:
-    """doc_id, size, source_size, target, taken for rows of (_key, _id, _size), one each; see mix_documents."""
-    out = with_copies(thin, thin, weights, cap, seed)
+    """doc_id, size, source_size, target, taken for rows of (_key, _id, _size, _tie), one each; see mix_documents."""
+    out = with_copies(thin, thin.select("_key", "_id", "_size"), weights, cap, seed)
     return out.select(key_or_null("_id").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
@@ -94,9 +92,9 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int
     """The rows of docs, each as often as the mix takes it (0 to `cap` times), with its own columns only.
 
     docs needs doc_id, text and source and must read the same each time. A null text has no words; a null source is a
-    source of its own, after all others; a null doc_id sorts first. Rows that repeat a doc_id count each on its own;
-    which of several rows with equal source, size and doc_id is taken more often is not defined. If no document has
-    words, nothing is taken; an empty table gives no rows. Reruns agree.
+    source of its own, after all others; a null doc_id sorts first. Rows that repeat a doc_id count each on its own, in
+    the order of a hash of their texts where source and size are equal too; rows with the same text stand for each
+    other. If no document has words, nothing is taken; an empty table gives no rows. Reruns agree.
     """
     rows = keyed(docs)
     taken = with_copies(rows, rows.select("_key", "_id", "_size"), weights, cap, seed).filter("_copies > 0")

@@ -42,7 +42,7 @@ def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of the sources by weights 5, 2, 1 takes of each document."""
-    thin = mixing.keyed(read_table(spark, sf_dir, "documents")).select("_key", "_id", "_size")
+    thin = mixing.keyed(read_table(spark, sf_dir, "documents")).select("_key", "_id", "_size", "_tie")
     return mixing.mix_report(materialize(thin, "sizes"))
 
 

@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_RE, key_or_null, key_or_sentinel, materialize, text_or_empty
+from .common import SPACE_RE, key_or_null, key_or_sentinel, materialize, range_cuts, range_of, text_or_empty
 
 BITS = 128
 #: Weights are counted in quarters.
@@ -26,7 +26,7 @@ EXACT_BLOCKS = 8
 #: One in this many documents is looked up by near_report.
 QUERY_EVERY = 50
 #: Ranges of ids within which documents are ordered; see following().
-RANGES = 512
+RANGES = 256
 
 
 def weighted_terms(texts: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,13 +86,11 @@ def likeness(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
 def following(ids: DataFrame) -> DataFrame:
     """(_id, _sub, _next_id, _next_sub) for distinct (_id, _sub): the next in order, the first after the last.
 
-    Ids are ordered within ranges; the ranges' first ids, of which there are RANGES at most, are what follows the last
-    of the range before.
+    Ids are ordered within ranges of about equal size; the ranges' first ids, of which there are RANGES at most, are
+    what follows the last of the range before.
     """
-    bounds = ids.agg(F.min("_id").cast("double"), F.max("_id").cast("double")).first()
-    low, width = bounds[0] or 0.0, max(1.0, ((bounds[1] or 0.0) - (bounds[0] or 0.0) + 1) / RANGES)
     place = F.struct("_id", "_sub")
-    parts = ids.withColumn("_part", F.floor((F.col("_id").cast("double") - F.lit(low)) / F.lit(width)).cast("int"))
+    parts = ids.withColumn("_part", range_of(F.col("_id"), range_cuts(ids, "_id", RANGES)))
     inner = parts.withColumn("_next", F.lead(place).over(Window.partitionBy("_part").orderBy("_id", "_sub")))
     heads = parts.groupBy("_part").agg(F.min(place).alias("_head"))
     all_heads = Window.orderBy("_part")
