@@ -2,8 +2,9 @@
 
 A revisit (304) has no body. Its response is the latest earlier full response of the same canonical URL; where both
 name a validator (entity tag, else modification date), the validators must agree. The merged headers are the response's, overlaid
-with those that a 304 may carry. The as-of search goes by ranges of time: within a range by a window, and across
-ranges by each range's last response, so a URL that a third of all captures have is dealt over many tasks.
+with those that a 304 may carry. The as-of search goes by ranges of time that hold about equally many captures: within
+a range by a window, and across ranges by each range's last response, so a URL that a third of all captures have is
+dealt over many tasks.
 """
 
 from __future__ import annotations
@@ -11,63 +12,76 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table
+from .common import materialize, range_cuts, range_of, read_table
 
 #: Headers that a 304 response may carry and that replace the stored ones.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
-RANGES = 512
+RANGES = 256
 
 
 def canonical_url(url: str | Column) -> Column:
     """Host in lower case without user, default port and leading www.; path without a last slash; query without
-    tracking parameters, sorted; no scheme and no fragment."""
-    c = F.lower(F.trim(F.col(url) if isinstance(url, str) else url))
-    bare = F.regexp_replace(F.regexp_replace(c, r"#.*$", ""), r"^[a-z][a-z0-9+.-]*://", "")
-    host = F.regexp_replace(F.regexp_replace(F.regexp_extract(bare, r"^([^/?]*)", 1), r"^.*@|:(80|443)$", ""), r"^www\.", "")
+    tracking parameters, sorted; no scheme and no fragment. Path and query keep their case."""
+    c = F.trim(F.col(url) if isinstance(url, str) else url)
+    bare = F.regexp_replace(F.regexp_replace(c, r"#.*$", ""), r"(?i)^[a-z][a-z0-9+.-]*://", "")
+    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(bare, r"^([^/?]*)", 1)), r"^.*@|:(80|443)$", ""), r"^www\.", "")
     path = F.regexp_replace(F.regexp_extract(bare, r"^[^/?]*([^?]*)", 1), r"/+$", "")
     query = F.regexp_extract(bare, r"\?(.*)$", 1)
-    kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(r"^(utm_[a-z]*|ref)(=|$)")))
+    kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(r"(?i)^(utm_[a-z]*|ref)(=|$)")))
     return F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(F.lit("")))
 
 
+def header_entries(headers: str | Column) -> Column:
+    """Headers as sorted (name, value) entries: names in lower case, values that aren't null; of one name's values the greatest."""
+    h = F.col(headers) if isinstance(headers, str) else headers
+    pairs = F.transform(F.map_entries(h), lambda e: F.struct(F.lower(e["key"]).alias("name"), e["value"].alias("value")))
+    ordered = F.array_sort(F.filter(pairs, lambda e: e["value"].isNotNull()))
+    return F.coalesce(F.filter(ordered, lambda e, i: ~F.get(ordered, i + 1)["name"].eqNullSafe(e["name"])), F.array().cast("array<struct<name:string,value:string>>"))
+
+
 def resolve_revisits(captures: DataFrame) -> DataFrame:
     """Every revisit with the response that it confirms.
 
     captures: record_id, url, captured_at (timestamp), kind ('response' or 'revisit'), etag, last_modified (strings or
     null) and headers (map of strings); all other columns are ignored. A response with a null time or URL answers
     nothing, and a revisit with one stays unresolved. Responses at the revisit's own time are not earlier. Of several
-    latest responses the one with the greatest record_id is taken. Returns record_id, url_key, captured_at, status
-    ('resolved', 'validator mismatch' or 'no earlier response'), response_id and headers (null unless resolved).
-    Rows that repeat a record_id are resolved each on its own. An empty table gives no rows.
+    latest responses the one with the greatest record_id is taken, null being the least; of several with that record_id
+    too, the one with the greatest entity tag, modification date and headers, in this order. A response without validators, and a revisit without
+    any, agree with all. Header names are compared and given in lower case. Returns record_id, url_key, captured_at,
+    status ('resolved', 'validator mismatch' or 'no earlier response'), response_id and headers (null unless resolved).
+    Rows that repeat a record_id, and rows with a null one, are resolved each on its own. An empty table gives no rows.
+    captures must read the same each time.
     """
-    thin = materialize(captures.select("record_id", canonical_url("url").alias("url_key"), "captured_at", "kind", "etag", "last_modified"), "captures")
-    ends = thin.agg(F.min("captured_at").cast("double"), F.max("captured_at").cast("double")).first()
-    low, width = ends[0] or 0.0, max(1e-6, ((ends[1] or 0.0) - (ends[0] or 0.0)) / RANGES)
-    rows = thin.withColumn("part", F.floor((F.col("captured_at").cast("double") - F.lit(low)) / F.lit(width)).cast("int"))
-    full = F.struct("captured_at", "record_id", "etag", "last_modified")
-    usable = (F.col("kind") == "response") & F.col("captured_at").isNotNull()
-    rows = rows.withColumn("full", F.when(usable, full))
+    own = F.filter(header_entries("headers"), lambda e: e["name"].isin(*PERMITTED))
+    thin = captures.select("record_id", canonical_url("url").alias("url_key"), "captured_at", "kind", "etag", "last_modified", F.when(F.col("kind") == "revisit", own).alias("own"))
+    placed = F.col("url_key").isNotNull() & F.col("captured_at").isNotNull()
+    thin = materialize(thin.filter("kind in ('response', 'revisit')").withColumn("micros", F.when(placed, F.unix_micros("captured_at"))), "captures")
+    lost = thin.filter("kind = 'revisit' and micros is null").withColumn("hit", F.lit(None).cast("struct<captured_at:timestamp,record_id:long,etag:string,last_modified:string>"))
+    rows = thin.filter("micros is not null").withColumn("part", range_of(F.col("micros"), range_cuts(thin, "micros", RANGES)))
+    rows = rows.withColumn("full", F.when(F.col("kind") == "response", F.struct("captured_at", F.col("record_id").cast("long").alias("record_id"), "etag", "last_modified")))
     lasts = rows.filter("full is not null").groupBy("url_key", "part").agg(F.max("full").alias("tail"))
     revisits = rows.filter("kind = 'revisit'")
     marks = revisits.select("url_key", "part").distinct().join(lasts, ["url_key", "part"], "full_outer")
     before = Window.partitionBy("url_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carried = marks.withColumn("carried", F.last("tail", ignorenulls=True).over(before)).select("url_key", "part", "carried")
-    # Times that are equal are peers of a range frame; only those below count.
-    inside = Window.partitionBy("url_key", "part").orderBy("captured_at", F.when(F.col("kind") == "revisit", 0).otherwise(1), "record_id").rowsBetween(Window.unboundedPreceding, -1)
-    near = rows.withColumn("inner", F.last("full", ignorenulls=True).over(inside)).filter("kind = 'revisit'")
+    # Of equal times the revisits come first; the greatest response so far is the latest earlier one.
+    inside = Window.partitionBy("url_key", "part").orderBy("captured_at", F.when(F.col("kind") == "revisit", 0).otherwise(1)).rowsBetween(Window.unboundedPreceding, -1)
+    near = rows.withColumn("inner", F.max("full").over(inside)).filter("kind = 'revisit'")
     found = near.join(carried, ["url_key", "part"], "left").withColumn("hit", F.coalesce("inner", "carried"))
+    columns = ["record_id", "url_key", "captured_at", "etag", "last_modified", "own", "hit"]
+    found = found.select(*columns).unionByName(lost.select(*columns))
     same = F.when(F.col("etag").isNotNull() & F.col("hit.etag").isNotNull(), F.regexp_replace("etag", "^W/", "") == F.regexp_replace("hit.etag", "^W/", "")).when(
         F.col("last_modified").isNotNull() & F.col("hit.last_modified").isNotNull(), F.col("last_modified") == F.col("hit.last_modified")
     ).otherwise(F.lit(True))
     status = F.when(F.col("hit").isNull(), "no earlier response").when(same, "resolved").otherwise("validator mismatch")
-    found = found.select("record_id", "url_key", "captured_at", status.alias("status"), F.when(status == "resolved", F.col("hit.record_id")).alias("response_id"))
-    stored = captures.filter("kind = 'response'").groupBy(F.col("record_id").alias("response_id")).agg(F.first("headers").alias("stored"))
-    own = captures.filter("kind = 'revisit'").groupBy("record_id").agg(F.first("headers").alias("own"))
-    merged = found.join(stored, "response_id", "left").join(own, "record_id", "left")
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    allowed = F.map_filter(F.coalesce("own", empty), lambda k, v: k.isin(*PERMITTED) & v.isNotNull())
-    kept = F.map_filter(F.coalesce("stored", empty), lambda k, v: ~F.map_contains_key(allowed, k))
-    return merged.select("record_id", "url_key", "captured_at", "status", "response_id", F.when(F.col("status") == "resolved", F.map_concat(kept, allowed)).alias("headers"))
+    found = found.withColumn("status", status).withColumn("answer", F.when(F.col("status") == "resolved", F.struct("url_key", "hit")))
+    # A response's time, URL, id and validators name it; of responses that agree in all, the greatest headers are taken.
+    key = F.struct(canonical_url("url").alias("url_key"), F.struct("captured_at", F.col("record_id").cast("long").alias("record_id"), "etag", "last_modified").alias("hit"))
+    stored = captures.filter("kind = 'response'").groupBy(key.alias("answer")).agg(F.max(header_entries("headers")).alias("stored"))
+    merged = found.join(stored, "answer", "left")
+    names = F.transform("own", lambda e: e["name"])
+    headers = F.concat(F.filter("stored", lambda e: ~F.array_contains(names, e["name"])), F.col("own"))
+    return merged.select("record_id", "url_key", "captured_at", "status", F.col("answer.hit.record_id").alias("response_id"), F.when(F.col("status") == "resolved", F.map_from_entries(headers)).alias("headers"))
 
 
 def page_captures(pages: DataFrame) -> DataFrame:
@@ -98,12 +112,12 @@ def revisit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: DuckDB SQL for revisit_report over `pages`.
 REPORT_SQL = r"""
 WITH cut AS (
-  SELECT page_id, html, regexp_replace(regexp_replace(lower(trim(url)), '#.*$', ''), '^[a-z][a-z0-9+.-]*://', '') AS bare FROM pages),
+  SELECT page_id, html, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://', '') AS bare FROM pages),
 parts AS (
   SELECT page_id, html,
-    regexp_replace(regexp_replace(regexp_extract(bare, '^([^/?]*)', 1), '^.*@|:(80|443)$', '', 'g'), '^www\.', '') AS host,
+    regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^.*@|:(80|443)$', '', 'g'), '^www\.', '') AS host,
     regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
-    list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]*|ref)(=|$)'))) AS q
+    list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]*|ref)(=|$)', 'i'))) AS q
   FROM cut),
 keyed AS (
   SELECT page_id, host || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS url_key,
