@@ -1,10 +1,13 @@
 """Removal of repeated runs of lines by winnowing, in DataFrame operations only.
 
-Lines that hold only separators are passed over. Every window of `run` consecutive lines has a fingerprint: its least
-line hash. Equal windows have equal fingerprints, so only windows whose fingerprint stands at several places can
-repeat. Those are extended to whole windows and compared by content; a window whose content has an earlier place is a
-later copy, and chains of such windows are the repeated runs. A fingerprint that very many documents share is counted
-and joined, never expanded into pairs.
+Lines that hold only separators are passed over. Each window of `run` consecutive lines has a minimum, the first of its
+least line hashes; the lines that are the minimum of some window are a document's fingerprints, and only they become
+rows. Equal windows have equal minima at the same place in them, so every run of `run` lines that stands at two places
+is guaranteed to have an equal fingerprint at both. Fingerprints are joined with those that stand at several places,
+and each that does is extended both ways over the neighbouring lines that its row carries: to the windows whose minimum
+it is. A window whose lines stand at an earlier place is a later copy, and chains of such windows are the repeated
+runs. Matches are made with a content's first place and not with each other, so a line that very many documents share
+is never expanded into pairs.
 """
 
 from __future__ import annotations
@@ -34,34 +37,51 @@ def _longer(line: Column, n: int) -> Column:
     return line.rlike(rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{n}}}[^\x20\x09-\x0D]")
 
 
-def windows(docs: DataFrame, run: int, long_words: int | None = None) -> DataFrame:
-    """(_id, _sub, k, n, mark, at, content): each window's first line and number of lines, its fingerprint, the place of that, and its content hash.
+def fingerprints(docs: DataFrame, run: int, long_words: int | None = None) -> DataFrame:
+    """(_id, _sub, at, mark, from, around, wins): the winnowed lines, with what they can be extended over.
 
-    Windows are `run` lines, and each line of more than long_words words, if given.
+    at, mark: a line's number among those with words, and its hash; around: the hashes of the lines from number `from`
+    on that its windows reach to; wins: first line and length of the windows whose minimum it is. Windows are `run`
+    lines, and each line of more than long_words words, if given.
     """
     lines = docs.select("_id", "_sub", _worded(_lines()).alias("x"))
     hashes = lines.select("_id", "_sub", F.transform("x", lambda s: F.xxhash64(s["x"])).alias("h"), *([] if long_words is None else [F.transform("x", lambda s: _longer(s["x"], long_words)).alias("long")]))
-    places = F.sequence(F.lit(1), F.size("h"))
+    hashes = hashes.filter(F.size("h") >= (run if long_words is None else 1))
+    starts = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda k: k <= F.size("h") - run)
 
-    def cut(starts: Column, n: int) -> Column:
-        return F.transform(starts, lambda k: F.struct((k - 1).alias("k"), F.slice("h", k, n).alias("w")))
+    def least(k: Column) -> Column:
+        w = F.slice("h", k + 1, run)
+        return (k + F.array_position(w, F.array_min(w)) - 1).cast("int")
 
-    each = cut(F.filter(places, lambda k: k <= F.size("h") - (run - 1)), run)
+    owned = hashes.select("*", F.transform(starts, lambda k: F.struct(least(k).alias("at"), k.cast("int").alias("k"), F.lit(run).alias("n"))).alias("o"))
     if long_words is not None and run > 1:
-        each = F.concat(each, cut(F.filter(places, lambda k: F.get(F.col("long"), k - 1)), 1))
-    hashes = hashes.filter(F.size("h") >= (run if long_words is None else 1)).select("_id", "_sub", F.explode(each).alias("s"))
-    least = F.array_min("s.w")
-    return hashes.select("_id", "_sub", F.col("s.k").alias("k"), F.size("s.w").alias("n"), least.alias("mark"), (F.col("s.k") + F.array_position("s.w", least) - 1).cast("int").alias("at"), F.xxhash64("s.w").alias("content"))
+        alone = F.transform(F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda i: F.get(F.col("long"), i)), lambda i: F.struct(i.cast("int").alias("at"), i.cast("int").alias("k"), F.lit(1).alias("n")))
+        owned = owned.withColumn("o", F.array_sort(F.concat("o", alone)))
+    # Windows are in the order of their minima, so a fingerprint's windows are neighbours: at most `run` and one more.
+    first = F.filter(F.transform("o", lambda w, i: F.struct(w["at"].alias("at"), i.alias("i"))), lambda p: (p["i"] == 0) | (F.get(F.col("o"), p["i"] - 1)["at"] != p["at"]))
+
+    def print_of(p: Column) -> Column:
+        low = F.greatest(p["at"] - (run - 1), F.lit(0))
+        wins = F.filter(F.slice("o", p["i"] + 1, run + 1), lambda w: w["at"] == p["at"])
+        return F.struct(
+            p["at"].alias("at"), F.get(F.col("h"), p["at"]).alias("mark"), low.alias("from"), F.slice("h", low + 1, p["at"] - low + run).alias("around"),
+            F.transform(wins, lambda w: F.struct(w["k"].alias("k"), w["n"].alias("n"))).alias("wins"),
+        )
+
+    owned = owned.select("_id", "_sub", "h", "o", first.alias("first"))
+    return owned.select("_id", "_sub", F.explode(F.transform("first", print_of)).alias("p")).select("_id", "_sub", "p.*")
 
 
 def repeated_runs(docs: DataFrame, run: int = RUN_LINES, long_words: int | None = None) -> DataFrame:
     """(_id, _sub, first, last): maximal runs of lines that later windows cover."""
-    rows = materialize(windows(docs, run, long_words), "windows")
-    marks = rows.groupBy("mark").agg(F.min(F.struct("_id", "_sub", "at")).alias("lo"), F.max(F.struct("_id", "_sub", "at")).alias("hi")).filter("lo <> hi").select("mark")
-    likely = rows.join(marks, "mark").select("_id", "_sub", "k", "n", "content")
+    prints = materialize(fingerprints(docs, run, long_words), "fingerprints")
+    marks = prints.groupBy("mark").agg(F.min(F.struct("_id", "_sub", "at")).alias("lo"), F.max(F.struct("_id", "_sub", "at")).alias("hi")).filter("lo <> hi").select("mark")
+    likely = prints.join(marks, "mark").select("_id", "_sub", "from", "around", F.explode("wins").alias("w"))
+    content = F.xxhash64(F.slice("around", F.col("w.k") - F.col("from") + 1, F.col("w.n")))
+    reached = materialize(likely.select("_id", "_sub", F.col("w.k").alias("k"), F.col("w.n").alias("n"), content.alias("content")), "windows")
     place = F.struct("_id", "_sub", "k")
-    firsts = rows.groupBy("content").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("content", "first")
-    later = likely.join(firsts, "content").filter(place > F.col("first")).select("_id", "_sub", "k", (F.col("k") + F.col("n") - 1).alias("end"))
+    firsts = reached.groupBy("content").agg(F.min(place).alias("first"), F.count("*").alias("places")).filter("places > 1").select("content", "first")
+    later = reached.join(firsts, "content").filter(place > F.col("first")).select("_id", "_sub", "k", (F.col("k") + F.col("n") - 1).alias("end"))
     by_doc = Window.partitionBy("_id", "_sub").orderBy("k", "end")
     fresh = F.when(F.col("k") > F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1)) + 1, 1).otherwise(0)
     chained = later.withColumn("_new", fresh).withColumn("_run", F.sum("_new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))

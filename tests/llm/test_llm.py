@@ -1,14 +1,17 @@
 """The training-data operators against brute force, on small tables with nulls, empty texts, ties and repeated rows."""
 
+import bisect
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cogwright.llm import chroma, hyperminhash, licenses, linededup, mixing, packing, quality, revisits, simhash, suffixdedup
-from cogwright.llm.common import materialize
+from cogwright.llm.common import materialize, range_cuts, range_of
 from cogwright.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _key string, sub string, n int"
@@ -245,7 +248,7 @@ def test_near_copies_within(spark):
 
 
 def test_mixing(spark, docs, empty):
-    thin = materialize(mixing.keyed(docs).select("_key", "_id", "_size"), "thin")
+    thin = materialize(mixing.keyed(docs).select("_key", "_id", "_size", "_tie"), "thin")
     out = mixing.mix_report(thin).toPandas()
     assert len(out) == len(rows()) and (out["taken"] <= 3 * out["size"]).all()
     per = out.groupby("source_size")[["target"]].first()
@@ -255,7 +258,7 @@ def test_mixing(spark, docs, empty):
     assert sorted(map(repr, mixed.collect())) == sorted(map(repr, mixing.mix_documents(docs).collect()))
     assert mixing.mix_documents(empty).count() == 0
     sizes = [("s" + k, i, s) for k, n, s in (("a", 100, 10), ("b", 1000, 10), ("c", 500, 21)) for i in range(n)]
-    many = materialize(spark.createDataFrame(sizes, "_key string, _id long, _size long"), "sizes")
+    many = materialize(spark.createDataFrame(sizes, "_key string, _id long, _size long").withColumn("_tie", F.lit(0)), "sizes")
     report = mixing.mix_report(many).toPandas()
     targets = {1000.0: 3000.0}  # the first source stops at three times its size
     for size, group in report.groupby("source_size"):
@@ -265,6 +268,16 @@ def test_mixing(spark, docs, empty):
     assert abs(report.groupby("source_size")["target"].first().sum() - 21500) < 1e-6
 
 
+def test_ranges(spark):
+    ids = [*range(5000), 2**62, None, -(2**63)]
+    table = spark.createDataFrame([(i,) for i in ids], "i long")
+    cuts = range_cuts(table, "i", 50)
+    parts = {r["i"]: r["p"] for r in table.filter("i is not null").select("i", range_of(F.col("i"), cuts).alias("p")).collect()}
+    assert parts == {i: bisect.bisect_right(cuts, i) for i in ids if i is not None}
+    assert max(Counter(parts.values()).values()) < 3 * 5000 / 50 and len(set(parts.values())) == 50
+    assert range_cuts(table.filter("i is null"), "i", 50) == [] and range_cuts(table.limit(0), "i", 50) == []
+
+
 def test_lines(docs, unique, empty):
     out = {r.doc_id: r for r in linededup.line_report(unique).collect()}
     later = next(r for r in rows() if r[1] == "x\na\nb\nz\n\n")
@@ -409,6 +422,29 @@ def test_revisits(spark):
     assert out[3].headers == {"content-type": "v1", "etag": "e1", "expires": "v3"} and "set-cookie" not in out[4].headers
 
 
+def test_revisit_rules(spark):
+    url = revisits.canonical_url
+    got = spark.sql("select * from values ('HTTP://u@WWW.A.b:80/Page/?B=2&a=1&UTM_x=3#f'), ('http://a.b/page?a=1&B=2'), (null) t(u)").select(url("u").alias("k")).collect()
+    assert [r.k for r in got] == ["a.b/Page?B=2&a=1", "a.b/page?B=2&a=1", None]
+    t = "timestamp '2024-01-01 00:00:00' + make_interval(0,0,0,0,0,m)"
+    captures = spark.sql(f"""select record_id, url, {t} captured_at, kind, etag, cast(null as string) last_modified, h headers, 'x' part, 1 micros, 'y' answer, 2 hit from values
+      (1L, 'http://a.b/Page', 0, 'response', 'e1', map('Content-Type', 'upper', 'X', null)), (2L, 'http://a.b/page', 1, 'response', 'e1', map('Content-Type', 'lower', 'Cache-Control', 'a', 'cache-control', 'b')),
+      (3L, 'http://a.b/Page', 5, 'revisit', 'e1', map('Cache-Control', 'max-age=9', 'Set-Cookie', 'q')), (3L, 'http://a.b/page', 5, 'revisit', 'e1', null),
+      (null, 'http://a.b/page', 6, 'revisit', null, map('EXPIRES', 'z')), (null, 'http://c.d/', 1, 'response', 'n', map('a', 'b')), (9L, 'http://c.d', 2, 'revisit', 'n', map('date', 'd')),
+      (10L, 'http://e.f', 3, 'response', 'x', map('a', '1')), (10L, 'http://e.f', 3, 'response', 'y', map('a', '2')), (11L, 'http://e.f', 4, 'revisit', 'y', map('vary', 'v')), (12L, 'http://e.f', null, 'revisit', 'y', null)
+      v(record_id, url, m, kind, etag, h)""")
+    out = sorted(((r.record_id or 0), r.url_key, r.status, r.response_id, r.headers) for r in revisits.resolve_revisits(captures).collect())
+    assert out == [
+        (0, "a.b/page", "resolved", 2, {"content-type": "lower", "cache-control": "b", "expires": "z"}),
+        (3, "a.b/Page", "resolved", 1, {"content-type": "upper", "cache-control": "max-age=9"}),
+        (3, "a.b/page", "resolved", 2, {"content-type": "lower", "cache-control": "b"}),
+        (9, "c.d", "resolved", None, {"a": "b", "date": "d"}),
+        (11, "e.f", "resolved", 10, {"a": "2", "vary": "v"}),
+        (12, "e.f", "no earlier response", None, None),
+    ]
+    assert revisits.resolve_revisits(captures.limit(0)).count() == 0
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
