@@ -3,7 +3,8 @@
 Two logistic regressions (low quality, toxic) read hashed words and a few shape measures of a whole text. Their
 rejection probabilities, or labels where there are any, are summed by host and by path. Host rates shrink towards the
 global rate and path rates towards their host's, each by a beta prior whose strength is estimated from how much the
-rates vary. A document's odds are then moved by how its path's odds differ from the global odds.
+rates vary. A document's odds, its label's or else its classifiers', are then moved by how its path's odds differ from
+the global odds.
 """
 
 from __future__ import annotations
@@ -18,11 +19,18 @@ from pyspark.sql import functions as F
 
 from .common import SpanHasher, batch_buffer, key_or_null, key_or_sentinel, materialize, slices, text_or_empty
 
-FEATURE_BITS = 18
+#: Bits of a hashed feature; two words seldom have the same.
+FEATURE_BITS = 48
 #: Labelled documents that the classifiers are fitted on, at most: those with the least hashes of their ids.
 TRAIN_ROWS = 6000
-#: Words of a training document that are used, at most; scoring reads whole texts.
-ROUNDS = 120
+#: Newton steps, at most.
+ROUNDS = 40
+#: Hashed features of each classifier: standard errors that they must tell by, how many there are at most, and the penalty on weights.
+CERTAIN = 4.0
+WORDS = 1000
+RIDGE = 0.1
+#: How probable a label is to be right: it takes the place of the classifiers' odds for its document.
+LABEL_TRUST = 0.99
 PREFIX = 5
 SHAPES = 8
 HEADS = ("low_quality", "toxic")
@@ -46,7 +54,7 @@ def features(texts: list) -> tuple[list[np.ndarray], np.ndarray]:
     first = np.searchsorted(starts, offsets)
     hasher = SpanHasher(lower)
     words = hasher.spans(starts, ends)
-    keep = np.uint64(2**FEATURE_BITS - 1)
+    drop = np.uint64(64 - FEATURE_BITS)
     prefixes = hasher.spans(starts, np.minimum(ends, starts + PREFIX)) ^ np.uint64(0x5851F42D4C957F2D)
     long_enough = ends - starts > PREFIX
     sums = {}
@@ -59,11 +67,11 @@ def features(texts: list) -> tuple[list[np.ndarray], np.ndarray]:
         lo, hi = offsets[i], offsets[i + 1] - 1
         w = words[a:b]
         if not len(w):
-            ids.append(np.zeros(0, dtype=np.int32))
+            ids.append(np.zeros(0, dtype=np.int64))
             continue
         distinct = np.unique(w)
         more = prefixes[a:b][long_enough[a:b]]
-        ids.append(np.unique(np.concatenate([distinct & keep, more & keep])).astype(np.int32))
+        ids.append(np.unique(np.concatenate([distinct, more]) >> drop).astype(np.int64))
         n, letters = len(w), max(1, sums["letter"][hi] - sums["letter"][lo])
         odd = (hi - lo) - letters - (sums["space"][hi] - sums["space"][lo])
         again = float((w[1:] == w[:-1]).mean()) if n > 1 else 0.0
@@ -73,69 +81,116 @@ def features(texts: list) -> tuple[list[np.ndarray], np.ndarray]:
 
 @dataclass
 class Model:
-    """Weights of both heads over hashed features and standardised shapes."""
+    """Weights of both heads over the hashed features that tell (in order), and over standardised shapes."""
 
-    hashed: np.ndarray  # (2, 2**FEATURE_BITS)
+    used: np.ndarray
+    hashed: np.ndarray  # (2, features)
     shaped: np.ndarray  # (2, SHAPES)
     mean: np.ndarray
     scale: np.ndarray
 
     def logits(self, ids: list[np.ndarray], shapes: np.ndarray) -> np.ndarray:
-        """(texts, 2); zero where a text has no words."""
+        """(texts, 2)"""
         z = ((shapes - self.mean) / self.scale) @ self.shaped.T
-        for i, x in enumerate(ids):
-            z[i] = z[i] + self.hashed[:, x].sum(axis=1) if len(x) else 0.0
+        row, at = _places(ids, self.used)
+        for h in range(2):
+            z[:, h] += np.bincount(row, weights=self.hashed[h, at], minlength=len(ids))
         return z
 
 
+def _places(ids: list[np.ndarray], used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which texts have which of the features in `used`, as pairs of text and place."""
+    flat = np.concatenate([*ids, np.zeros(0, dtype=np.int64)])
+    row = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+    if not len(used):
+        return row[:0], row[:0]
+    at = np.minimum(np.searchsorted(used, flat), len(used) - 1)
+    hit = used[at] == flat
+    return row[hit], at[hit]
+
+
+def _telling(ids: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """The hashed features that texts to be rejected have much more often than others: at least CERTAIN standard errors, the strongest WORDS of them."""
+    n, bad = len(y), int(y.sum())
+    if not 0 < bad < n:
+        return np.zeros(0, dtype=np.int64)
+    words, at = np.unique(np.concatenate(ids), return_inverse=True)
+    row = np.repeat(np.arange(n), [len(x) for x in ids])
+    with_feature, hits = np.bincount(at), np.bincount(at, weights=y[row])
+    share = (with_feature + 1) / (n + 2)
+    z = (hits / bad - (with_feature - hits) / (n - bad)) / np.sqrt(share * (1 - share) * (1 / bad + 1 / (n - bad)))
+    z[with_feature < 3] = 0
+    best = np.argsort(-z, kind="stable")[:WORDS]
+    return words[np.sort(best[z[best] >= CERTAIN])]
+
+
 def fit(ids: list[np.ndarray], shapes: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Both regressions by gradient descent with adaptive steps; labels: (texts, 2) of 0 or 1.
+    """Both regressions by Newton's method with a ridge penalty; labels: (texts, 2) of 0 or 1.
 
-    Hashed features seen in fewer than five texts are left out. A weight is pulled towards zero, so common words,
-    which tell nothing, keep none.
+    Of the hashed features only those are used that tell by themselves: a regression on all of them would learn its
+    few thousand texts by heart.
     """
-    flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
-    lengths = np.array([len(x) for x in ids])
-    row = np.repeat(np.arange(len(ids)), lengths)
-    often = np.bincount(flat, minlength=2**FEATURE_BITS) >= 5
-    row, flat = row[often[flat]], flat[often[flat]]
     mean, scale = shapes.mean(axis=0), shapes.std(axis=0) + 1e-6
     mean[0], scale[0] = 0.0, 1.0
-    x = (shapes - mean) / scale
-    model = Model(np.zeros((2, 2**FEATURE_BITS)), np.zeros((2, SHAPES)), mean, scale)
-    n = len(ids)
+    telling = [_telling(ids, labels[:, h]) for h in range(2)]
+    model = Model(np.union1d(*telling), np.zeros((2, 0)), np.zeros((2, SHAPES)), mean, scale)
+    model.hashed = np.zeros((2, len(model.used)))
     for h in range(2):
-        y = labels[:, h]
-        w, v = model.hashed[h], model.shaped[h]
-        gw, gv = np.full(len(w), 1e-6), np.full(SHAPES, 1e-6)
+        y = labels[:, h].astype(np.float64)
+        x = np.zeros((len(ids), SHAPES + len(telling[h])))
+        x[:, :SHAPES] = (shapes - mean) / scale
+        row, at = _places(ids, telling[h])
+        x[row, SHAPES + at] = 1.0
+        ridge = np.full(x.shape[1], RIDGE)
+        ridge[0] = 1e-3
+        w = np.zeros(x.shape[1])
+
+        def loss(w: np.ndarray) -> float:
+            z = x @ w  # noqa: B023
+            return float(np.logaddexp(0, z).sum() - y @ z + (ridge * w * w).sum() / 2)  # noqa: B023
+
+        now = loss(w)
         for _ in range(rounds):
-            z = np.clip(x @ v + np.bincount(row, weights=w[flat], minlength=n), -30, 30)
-            error = 1 / (1 + np.exp(-z)) - y
-            g = np.bincount(flat, weights=error[row], minlength=len(w)) / n + 3e-5 * w
-            gw += g * g
-            w -= 0.15 * g / np.sqrt(gw)
-            g = x.T @ error / n + 1e-5 * v
-            gv += g * g
-            v -= 0.3 * g / np.sqrt(gv)
-    model.hashed = model.hashed.astype(np.float32)
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * w)
+            size = 1.0
+            while size > 1e-4 and loss(w - size * step) > now:
+                size /= 2
+            w = w - size * step
+            before, now = now, loss(w)
+            if before - now < 1e-6 * (1 + abs(now)):
+                break
+        model.shaped[h] = w[:SHAPES]
+        model.hashed[h, np.searchsorted(model.used, telling[h])] = w[SHAPES:]
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
-    """A model from a bounded sample of labelled documents; None if there are none."""
-    chosen = labels.select(key_or_sentinel("doc_id").alias("_id"), "quality", "toxic").filter("quality is not null and toxic is not null")
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "quality", "toxic").limit(train_rows)
-    rows = docs.select(key_or_sentinel("doc_id").alias("_id"), text_or_empty().alias("text")).join(F.broadcast(chosen), "_id")
+    """A model from a bounded sample of labelled documents; None if there are none.
+
+    At most train_rows labels are used, each with one text: of several texts with a label's doc_id the least.
+    """
+    chosen = labels.filter("doc_id is not null and quality is not null and toxic is not null").select(F.col("doc_id").alias("_id"), "quality", "toxic")
+    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "quality", "toxic").limit(train_rows).withColumn("_label", F.monotonically_increasing_id())
+    rows = docs.select(F.col("doc_id").alias("_id"), text_or_empty().alias("text")).join(F.broadcast(chosen), "_id")
+    rows = rows.groupBy("_label").agg(F.min("text").alias("text"), F.first("quality").alias("quality"), F.first("toxic").alias("toxic"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids, shapes = features(pdf["text"].tolist())
             yield pd.DataFrame({"bad": (pdf["quality"] == 0).astype("int32"), "toxic": (pdf["toxic"] == 1).astype("int32"), "ids": ids, "shapes": list(shapes)})
 
-    got = rows.mapInPandas(run, "bad int, toxic int, ids array<int>, shapes array<double>").toPandas()
+    got = rows.mapInPandas(run, "bad int, toxic int, ids array<long>, shapes array<double>").toPandas()
     if not len(got):
         return None
-    return fit([np.asarray(x, dtype=np.int32) for x in got["ids"]], np.array(got["shapes"].tolist()), got[["bad", "toxic"]].to_numpy())
+    return fit([np.asarray(x, dtype=np.int64) for x in got["ids"]], np.array(got["shapes"].tolist()), got[["bad", "toxic"]].to_numpy())
+
+
+def url_site(url: str | Column) -> tuple[Column, Column]:
+    """Host and path level of a URL, for judge: the lower-case host, and the host with the first part of the path."""
+    c = F.col(url) if isinstance(url, str) else url
+    host = F.lower(F.regexp_extract(c, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    return host, F.concat(host, F.regexp_extract(c, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*(/[^/?#]*)", 1))
 
 
 def score(docs: DataFrame, model: Model | None, keys: list[str]) -> DataFrame:
@@ -195,30 +250,34 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column | None = None, path:
 
     docs: doc_id, text and the columns that host and path are made of (here source and lang); labels: doc_id, quality,
     toxic, of which several rows for a document count as the mean. A document without words has no evidence of its own
-    and gets its path's rate (doc_score is null). A null host or path is a site of its own. Without labels everything
-    is kept. A null doc_id has no label; rows that repeat a doc_id are judged each by its text. Empty tables give no
-    rows. docs must read the same each time.
+    and gets its path's rate (doc_score is null). A null host or path is a site of its own, other than an empty one.
+    Without labels everything is kept. A null doc_id has no label, and a label with a null doc_id belongs to nothing;
+    rows that repeat a doc_id are judged each by its text. Empty tables give no rows. docs must read the same each
+    time; for rows with a URL, see url_site.
     """
     keys = keys or ["doc_id"]
-    host = F.coalesce(F.col("source"), F.lit("")) if host is None else host
-    path = F.concat(F.coalesce(F.col("source"), F.lit("")), F.lit("/"), F.coalesce(F.col("lang"), F.lit(""))) if path is None else path
+    host = F.col("source") if host is None else host
+    # A null part is told from an empty one by the sign before it.
+    path = F.concat(*(F.coalesce(F.concat(F.lit(sign), F.col(c)), F.lit("?")) for sign, c in (("", "source"), ("/", "lang")))) if path is None else path
     model = train(docs, labels)
-    named = docs.select(*keys, host.alias("host"), path.alias("path"), "text")
+    named = docs.select(*keys, *(F.coalesce(F.concat(F.lit("="), c), F.lit("")).alias(name) for name, c in (("host", host), ("path", path))), "text")
     rows = named.withColumn("doc_id", key_or_sentinel("doc_id"))
-    scored = materialize(score(rows, model, [*keys, "host", "path"]), "scores")
-    given = labels.groupBy("doc_id").agg(F.avg(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1.0).otherwise(0.0)).alias("label"))
-    evidence = scored.join(given, "doc_id", "left").select("host", "path", F.coalesce("label", 1 / (1 + F.exp(-F.col("logit")))).alias("p"))
-    sites, rate = site_rates(evidence)
+    scored = score(rows, model, [*keys, "host", "path"])
+    given = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.avg(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1.0).otherwise(0.0)).alias("label"))
+    scored = materialize(scored.join(given, "doc_id", "left"), "scores")
+    sites, rate = site_rates(scored.select("host", "path", F.coalesce("label", 1 / (1 + F.exp(-F.col("logit")))).alias("p")))
     odds = F.log(F.col("path_rate") / (1 - F.col("path_rate"))) - F.lit(float(np.log(rate / (1 - rate))))
-    base = F.coalesce(F.col("logit"), F.lit(float(np.log(rate / (1 - rate)))))
+    told = F.when(F.col("label").isNotNull(), F.least(F.greatest(F.col("label"), F.lit(1 - LABEL_TRUST)), F.lit(LABEL_TRUST)))
+    base = F.coalesce(F.log(told / (1 - told)), F.col("logit"), F.lit(float(np.log(rate / (1 - rate)))))
     p = 1 / (1 + F.exp(-(base + odds)))
     out = scored.join(sites, ["host", "path"]).withColumn("reject_probability", p if model else F.lit(0.0))
-    return out.withColumn("doc_id", key_or_null("doc_id")).select(*keys, "host", "path", F.col("logit").alias("doc_score"), "host_rate", "path_rate", "reject_probability", (F.col("reject_probability") < threshold).alias("kept"))
+    shown = [F.when(F.col(c) != "", F.expr(f"substring({c}, 2)")).alias(c) for c in ("host", "path")]
+    return out.withColumn("doc_id", key_or_null("doc_id")).select(*keys, *shown, F.col("logit").alias("doc_score"), "host_rate", "path_rate", "reject_probability", (F.col("reject_probability") < threshold).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs (doc_id, text, source, lang, ...) that are not rejected, with their columns."""
-    mark = F.xxhash64(text_or_empty(), F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+    mark = F.xxhash64(text_or_empty(), *(F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("source", "lang")))
     rows = docs.select(F.struct("*").alias("_row"), key_or_sentinel("doc_id").alias("_id"), mark.alias("_mark"))
     thin = docs.select("doc_id", "text", "source", "lang", mark.alias("_mark"))
     rejected = judge(thin, labels, keys=["doc_id", "_mark"]).filter("not kept").select(key_or_sentinel("doc_id").alias("_id"), "_mark").distinct()
