@@ -169,10 +169,14 @@ class Shapes:
 def sample_lines(rows: DataFrame, n: int) -> list[str]:
     """n whole lines of rows (doc_id, text) at most, drawn from all their lines by hash.
 
-    Ids and hashes are ordered by the executors; texts are read again for the chosen lines only.
+    Ids and hashes are ordered by the executors; texts are read again for the chosen lines only. Before they are
+    ordered, all lines go but the share of hashes below 16 n over the number of rows: as many lines as rows would
+    leave 16 n, so few tasks have more than a few to order. (Far fewer lines than rows can leave fewer than n.)
     """
     split = F.split("text", "\n", -1)
-    lines = rows.select("doc_id", F.xxhash64("text").alias("sub"), F.posexplode(F.transform(split, lambda x, i: F.when(x.rlike("[A-Za-z\\x80-\\x{10FFFF}]"), F.xxhash64("doc_id", x, i)))).alias("i", "h")).filter("h is not null")
+    share = min(1.0, 16.0 * n / max(1, rows.count()))
+    top = F.lit(int(-(2**63) + share * 2**64) if share < 1 else 2**63 - 1)
+    lines = rows.select("doc_id", F.xxhash64("text").alias("sub"), F.posexplode(F.transform(split, lambda x, i: F.when(x.rlike("[A-Za-z\\x80-\\x{10FFFF}]"), F.xxhash64("doc_id", x, i)))).alias("i", "h")).filter(F.col("h") <= top)
     drawn = materialize(lines.orderBy("h", "doc_id", "sub", "i").limit(n), "drawn").groupBy("doc_id", "sub").agg(F.collect_set("i").alias("at"))
     found = rows.withColumn("sub", F.xxhash64("text")).join(F.broadcast(drawn), ["doc_id", "sub"])
     return sorted({r[0] for r in found.select(F.explode(F.transform("at", lambda i: F.get(split, i)))).collect()})
