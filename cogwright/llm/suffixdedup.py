@@ -26,8 +26,6 @@ GRAM = 16
 SHARD_BYTES = 4_000_000
 #: Bytes of text that are handled at once; positions inside need 24 bits.
 BUFFER = 2_000_000
-#: Repeated anchors that are sent to all executors, at most (1 MB); more are joined by a shuffle.
-BROADCAST_ANCHORS = 50_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
@@ -289,7 +287,8 @@ def merged_repeats(variants: DataFrame, min_bytes: int, shard_bytes: int) -> Dat
     """Later strings of anchors that have more content than one shard may hold.
 
     Their segments are dealt over shards by content. Each shard sorts its distinct strings by its suffix array; the
-    sorted runs are cut by binary search at splitters (a bounded sample of strings), and each range is merged.
+    sorted runs are cut by binary search at splitters (a bounded sample of strings), and each range is merged. A shard
+    sends the first place of each string alone, so one that all shards have meets as many rows as there are shards.
     """
     rows = max(1, shard_bytes // (4 * min_bytes))
     total = variants.agg(F.sum("size")).first()[0] or 0
@@ -306,23 +305,26 @@ def merged_repeats(variants: DataFrame, min_bytes: int, shard_bytes: int) -> Dat
         segment, offset, group = _grams(texts, sizes, min_bytes)
         later = _later(segment, offset, group, _doc_rank(pdf), pdf["start"].to_numpy())
         ids, subs, starts = (pdf[c].to_numpy() for c in ("doc_id", "sub", "start"))
+        seg, first, n = _runs(segment[later], offset[later])
+        known = pd.DataFrame({"range": -1, "gram": None, "doc_id": ids[seg], "sub": subs[seg], "start": starts[seg] + first, "size": n})
+        segment, offset = segment[~later], offset[~later]
         gram = [texts[s][o : o + min_bytes] for s, o in zip(segment, offset, strict=True)]
         # Splitters lie where they would be inserted into this shard's sorted run.
         run = np.array(gram, dtype=f"S{min_bytes}")
         where = np.searchsorted(run, cuts, side="left")
         part = np.zeros(len(run), dtype=np.int32)
         np.add.at(part, where[where < len(run)], 1)
-        return pd.DataFrame({"range": np.cumsum(part), "gram": gram, "later": later, "doc_id": ids[segment], "sub": subs[segment], "start": starts[segment] + offset})
+        firsts = pd.DataFrame({"range": np.cumsum(part), "gram": gram, "doc_id": ids[segment], "sub": subs[segment], "start": starts[segment] + offset, "size": 1})
+        return pd.concat([known, firsts], ignore_index=True)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["gram", "doc_id", "sub", "start"], kind="stable")
-        later = pdf["gram"].duplicated().to_numpy() | pdf["later"].to_numpy()
-        out = pdf.loc[later, ["doc_id", "sub", "start"]]
-        return out.assign(size=1)
+        return pdf.loc[pdf["gram"].duplicated().to_numpy(), ["doc_id", "sub", "start", "size"]]
 
     sharded = variants.withColumn("shard", F.pmod(F.xxhash64("doc_id", "sub", "start"), F.lit(max(1, int(variants.agg(F.sum(F.length("bytes"))).first()[0] or 0) // shard_bytes + 1))))
-    runs = sharded.groupBy("shard").applyInPandas(cut, "range int, gram binary, later boolean, doc_id long, sub long, start long")
-    return runs.groupBy("range").applyInPandas(merge, _REPEATS)
+    runs = materialize(sharded.groupBy("shard").applyInPandas(cut, f"range int, gram binary, {_REPEATS}"), "runs")
+    merged = runs.filter("range >= 0").groupBy("range").applyInPandas(merge, _REPEATS)
+    return merged.union(runs.filter("range < 0").select("doc_id", "sub", "start", "size"))
 
 
 def segment_texts(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
@@ -335,14 +337,13 @@ def segment_texts(docs: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFra
 def repeated_strings(docs: DataFrame, min_bytes: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, sub, start, size): starts, in runs of `size`, of strings of min_bytes bytes that start earlier too."""
     repeated = materialize(repeated_anchors(docs, min_bytes), "repeated")
-    few = repeated.count() <= BROADCAST_ANCHORS
-    rows = materialize(segment_rows(docs, min_bytes).join(F.broadcast(repeated) if few else repeated, "anchor", "left_semi"), "segments")
+    rows = materialize(segment_rows(docs, min_bytes).join(repeated.hint("merge"), "anchor", "left_semi"), "segments")
     place = F.struct("doc_id", "sub", "start")
-    # A content hash takes in the anchor's bytes and the length.
-    contents = rows.groupBy("content").agg(F.first("anchor").alias("anchor"), F.first("size").alias("size"), F.min(place).alias("first"), F.count("*").alias("n"))
-    contents = materialize(contents, "contents")
-    copied = contents.filter("n > 1").select("content", "first")
-    copies = rows.join(copied, "content").filter(place != F.col("first")).select("doc_id", "sub", "start", F.col("size").cast("long").alias("size"))
+    # Contents are told apart by two hashes of 64 bits, of a part and of the whole, and by their length.
+    same = ["anchor", "content", "size"]
+    contents = materialize(rows.groupBy(*same).agg(F.min(place).alias("first"), F.count("*").alias("n")), "contents")
+    copied = contents.filter("n > 1").select(*same, "first")
+    copies = rows.join(copied, same).filter(place != F.col("first")).select("doc_id", "sub", "start", F.col("size").cast("long").alias("size"))
 
     weight = F.sum(F.col("size") + F.lit(min_bytes - 1))
     anchors = contents.groupBy("anchor").agg(F.count("*").alias("kinds"), weight.alias("bytes")).filter("kinds > 1")
