@@ -19,7 +19,7 @@ from .common import key_or_sentinel, materialize, text_or_empty
 
 #: Lines that a repeated run has at least.
 RUN_LINES = 2
-#: A line of more words than this is a window of its own in remove_lines.
+#: A line of more words than this is a window of its own.
 LONG_WORDS = 50
 
 
@@ -119,9 +119,9 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN_LINES, long_words: int |
     )
 
 
-def line_report(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
-    """doc_id, n_lines, n_removed, n_runs, kept_sha256 of every document, for windows of `run` lines as in REPORT_SQL."""
-    out = drop_repeated_lines(docs.select("doc_id", "text"), run)
+def line_report(docs: DataFrame, run: int = RUN_LINES, long_words: int | None = LONG_WORDS) -> DataFrame:
+    """doc_id, n_lines, n_removed, n_runs, kept_sha256 of every document."""
+    out = drop_repeated_lines(docs.select("doc_id", "text"), run, long_words)
     return out.select("_row.doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.col("_n_runs").alias("n_runs"), F.sha2("_kept", 256).alias("kept_sha256"))
 
 
@@ -138,7 +138,7 @@ def remove_lines(docs: DataFrame, run: int = RUN_LINES, long_words: int | None =
     return out.select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
-#: DuckDB SQL for line_report over `documents`, for runs of two lines and unique ids.
+#: DuckDB SQL for line_report over `documents`, for runs of two lines, lines of over 50 words, and unique ids.
 REPORT_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -151,7 +151,11 @@ wins AS (
 later AS (
   SELECT doc_id, k FROM (
     SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, k) AS n FROM wins WHERE b IS NOT NULL) WHERE n > 1),
-gone AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, k FROM later UNION ALL SELECT doc_id, k + 1 FROM later)),
+long AS (
+  SELECT doc_id, k FROM (
+    SELECT doc_id, k, row_number() OVER (PARTITION BY a ORDER BY doc_id, k) AS n FROM wins
+    WHERE len(regexp_extract_all(a, '[^\\x20\\x09-\\x0D]+')) > 50) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, k FROM later UNION ALL SELECT doc_id, k + 1 FROM later UNION ALL SELECT doc_id, k FROM long)),
 flagged AS (
   SELECT w.doc_id, w.k, w.i, g.k IS NOT NULL AS g FROM worded w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.k = g.k),
 counted AS (
