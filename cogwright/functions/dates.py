@@ -7,10 +7,14 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import clean_text
+
 FIRST_YEAR, LAST_YEAR = 1886, 2100
-_YM = r"(\d{4})-(\d{2})"
+_YM = r"(\d{4})-(\d{2})(?:-\d{2})?"
 _MY = r"(\d{2})\.(\d{4})"
-_DASH = r"\s*[-~–～]\s*"
+_TILDE = r"\s*(?:～|~|—|–|\s-\s)\s*"
+_OPEN = r"\s*(?:～|~|—|–|\s-)$"
+_DASH = r"\s*-\s*"
 
 
 def _c(c: str | Column) -> Column:
@@ -20,40 +24,41 @@ def _c(c: str | Column) -> Column:
 def parse_range(c: str | Column) -> Column:
     """struct(start, end, precision, confidence, parser) of a production range.
 
-    Months are YYYY-MM, years YYYY; an open end is null. What fits no form, lies outside 1886-2100, has no such month or
-    runs backwards is unknown with confidence 0.
+    Bounds are months YYYY-MM; a year starts in January and ends in December, and an open end is null. Forms with a
+    tilde or with a hyphen between spaces hold months YYYY-MM (parser generic); those of the catalog site are MM.YYYY
+    and YYYY (parser site). What fits no form, lies outside 1886-2100, has no such month or runs backwards is unknown,
+    with confidence 0.
     """
-    s = F.trim(_c(c))
-    # (name, pattern, precision, start groups, end groups); groups are (year, month), in the order they are tried.
+    s = F.coalesce(clean_text(c), F.lit(""))
+    # (pattern, precision, parser, start, end): a bound is (year group, month group or fixed month), or None if open.
     forms = [
-        ("month_range", f"^{_YM}{_DASH}{_YM}$", "month", (1, 2), (3, 4)),
-        ("month_open", f"^{_YM}{_DASH}$", "month", (1, 2), None),
-        ("month", f"^{_YM}$", "month", (1, 2), (1, 2)),
-        ("dotted_range", f"^{_MY}{_DASH}{_MY}$", "month", (2, 1), (4, 3)),
-        ("dotted_open", f"^{_MY}{_DASH}$", "month", (2, 1), None),
-        ("dotted_until", f"^{_DASH}{_MY}$", "month", None, (2, 1)),
-        ("year_range", rf"^(\d{{4}}){_DASH}(\d{{4}})$", "year", (1, 0), (2, 0)),
-        ("year_open", rf"^(\d{{4}}){_DASH}$", "year", (1, 0), None),
-        ("year_until", rf"^{_DASH}(\d{{4}})$", "year", None, (1, 0)),
-        ("year", r"^(\d{4})$", "year", (1, 0), (1, 0)),
+        (f"^{_YM}{_TILDE}{_YM}$", "month", "generic", (1, 2), (3, 4)),
+        (f"^{_YM}{_OPEN}", "month", "generic", (1, 2), None),
+        (r"^(\d{4})-(\d{2})$", "month", "generic", (1, 2), (1, 2)),
+        (f"^{_MY}{_DASH}{_MY}$", "month", "site", (2, 1), (4, 3)),
+        (f"^{_MY}{_DASH}$", "month", "site", (2, 1), None),
+        (f"^{_DASH}{_MY}$", "month", "site", None, (2, 1)),
+        (rf"^(\d{{4}}){_DASH}(\d{{4}})$", "year", "site", (1, "01"), (2, "12")),
+        (rf"^(\d{{4}}){_DASH}$", "year", "site", (1, "01"), None),
+        (rf"^{_DASH}(\d{{4}})$", "year", "site", None, (1, "12")),
+        (r"^(\d{4})$", "year", "site", (1, "01"), (1, "12")),
     ]
 
-    def bound(pattern: str, groups: tuple[int, int] | None) -> Column:
-        if groups is None:
+    def bound(pattern: str, at: tuple | None) -> Column:
+        if at is None:
             return F.lit(None).cast("string")
-        year = F.regexp_extract(s, pattern, groups[0])
-        return F.concat_ws("-", year, F.regexp_extract(s, pattern, groups[1])) if groups[1] else year
+        month = F.lit(at[1]) if isinstance(at[1], str) else F.regexp_extract(s, pattern, at[1])
+        return F.concat(F.regexp_extract(s, pattern, at[0]), F.lit("-"), month)
 
     def sound(v: Column) -> Column:
-        year, month = F.substring(v, 1, 4).try_cast("int"), F.substring(v, 6, 2)
-        return v.isNull() | (year.between(FIRST_YEAR, LAST_YEAR) & ((month == "") | month.try_cast("int").between(1, 12)))
+        return v.isNull() | (F.substring(v, 1, 4).try_cast("int").between(FIRST_YEAR, LAST_YEAR) & F.substring(v, 6, 2).try_cast("int").between(1, 12))
 
     known = F.lit(None).cast("struct<start:string,end:string,precision:string,confidence:double,parser:string>")
-    unknown = F.struct(F.lit(None).cast("string").alias("start"), F.lit(None).cast("string").alias("end"), F.lit("unknown").alias("precision"), F.lit(0.0).alias("confidence"), F.lit("unknown").alias("parser"))
-    for name, pattern, precision, a, b in reversed(forms):
+    unknown = F.struct(F.lit(None).cast("string").alias("start"), F.lit(None).cast("string").alias("end"), F.lit("unknown").alias("precision"), F.lit(0.0).alias("confidence"), F.lit("generic").alias("parser"))
+    for pattern, exact, parser, a, b in reversed(forms):
         start, end = bound(pattern, a), bound(pattern, b)
         good = sound(start) & sound(end) & (start.isNull() | end.isNull() | (start <= end))
-        hit = F.struct(start.alias("start"), end.alias("end"), F.lit(precision).alias("precision"), F.lit(1.0).alias("confidence"), F.lit(name).alias("parser"))
+        hit = F.struct(start.alias("start"), end.alias("end"), F.lit(exact).alias("precision"), F.lit(1.0).alias("confidence"), F.lit(parser).alias("parser"))
         known = F.when(s.rlike(pattern), F.when(good, hit).otherwise(unknown)).otherwise(known)
     return F.coalesce(known, unknown)
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,55 +78,134 @@ def content_fingerprint(columns: Sequence[str]) -> Column:
     return F.sha2(F.to_json(F.array(*(F.col(c).cast("string") for c in columns))), 256)
 
 
-def undecodable_kind(error_code: str | Column, make: str | Column, model: str | Column) -> Column:
-    """Why a VIN was not decoded: unregistered (7), no_detail (8), invalid_vin (only 1, 11 or 400); null if it was."""
+def schema_fingerprint(fields: Sequence[str]) -> str:
+    """sha256 of a list of field names as compact JSON, in their order: drift shows as another digest."""
+    return hashlib.sha256(json.dumps(list(fields), ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()
+
+
+def undecodable_kind(error_code: str | Column, make: str | Column, model_year: str | Column) -> Column:
+    """Why a VIN has no usable decode; null if make and model year are there.
+
+    Code 7 goes before 8, and both before codes that are only 1, 11 or 400; whatever else lacks a make or a year has no
+    detail data.
+    """
     codes = error_codes(error_code)
-    nothing = is_blank(make) & is_blank(model)
     only_bad = (F.size(codes) > 0) & (F.size(F.array_except(codes, F.array(F.lit(1), F.lit(11), F.lit(400)))) == 0)
-    return F.when(~nothing, F.lit(None)).when(F.array_contains(codes, 7), "unregistered").when(F.array_contains(codes, 8), "no_detail").when(only_bad, "invalid_vin")
+    kind = F.when(F.array_contains(codes, 7), "nhtsa_unregistered").when(F.array_contains(codes, 8), "no_detail_data").when(only_bad, "invalid_vin").otherwise("no_detail_data")
+    return F.when(is_blank(make) | is_blank(model_year), kind)
+
+
+def undecodable_note(kind: Column, error_code: Column, suggested: Column) -> Column:
+    """A readable reason of at most 400 characters: the kind, the error code and the VIN that was suggested, if any."""
+    code, other = F.trim(F.coalesce(error_code, F.lit(""))), F.trim(F.coalesce(suggested, F.lit("")))
+    note = F.concat_ws(
+        "; ",
+        F.concat(F.lit("NHTSA reports no usable decode ("), kind, F.lit(")")),
+        F.when(code != "", F.concat(F.lit("ErrorCode='"), F.substring(code, 1, 120), F.lit("'"))),
+        F.when(other != "", F.concat(F.lit("SuggestedVIN='"), F.substring(other, 1, 32), F.lit("'"))),
+    )
+    return F.when(kind.isNotNull(), F.substring(note, 1, 400))
 
 
-def decode_status(error_code: str | Column, make: str | Column) -> Column:
-    codes = error_codes(error_code)
-    return F.when(is_blank(make), "failed").when(F.array_contains(codes, 0), "clean").otherwise("warnings")
+def decode_status(error_code: str | Column) -> Column:
+    return F.when(_c(error_code) == "0", "decoded").otherwise("decoded_with_warning")
+
 
+def decode_completeness(error_code: Column, model: Column, engine: Column, trim: Column) -> Column:
+    """How much a decode tells: no detail data (code 8), then what is missing, then whether the code is 0."""
+    listed = F.split(F.replace(F.substring_index(F.coalesce(error_code, F.lit("")), "-", 1), F.lit(" "), F.lit("")), ",")
+    return (
+        F.when(F.array_contains(listed, "8"), "partial_no_detail_data").when(is_blank(model), "partial_missing_model").when(is_blank(engine) | is_blank(trim), "partial_missing_powertrain_or_trim")
+        .when(error_code == "0", "decoded_complete").otherwise("decoded_complete_with_warning")
+    )
+
+
+def fitment_verdict(start: Column, end: Column, published: Column) -> Column:
+    """struct(is_verified, derivation, confidence) of a fitment with these bounds: an empty window is never verified."""
+    empty, known = F.coalesce(start > end, F.lit(False)), F.coalesce(published, F.lit(False))
+    return F.struct(
+        (~empty & known).alias("is_verified"),
+        F.when(empty, "invalid_date_intersection").when(known, "verified_current_catalog").otherwise("normalized_unpublished").alias("derivation"),
+        F.when(empty, F.lit(0.0)).when(known, F.lit(1.0)).otherwise(F.lit(0.5)).cast("decimal(4,3)").alias("confidence"),
+    )
 
-def decode_completeness(make: Column, model: Column, engine: Column, trim: Column) -> Column:
-    return F.when(is_blank(make) | is_blank(model), "incomplete").when(is_blank(engine) & is_blank(trim), "basic").when(is_blank(engine) | is_blank(trim), "partial").otherwise("full")
 
+#: Texts that tell a challenge page (fixed values).
+CHALLENGE_MARKERS = ("just a moment", "enable javascript and cookies to continue", "/cdn-cgi/challenge-platform/", "managed challenge", "cf-chl-")
+#: The same for the start of a page (fixed values).
+CHALLENGE_STARTS = ("Just a moment", "請稍候", "cf_chl")
 
-#: Texts that tell a challenge page, in the order they are looked for (fixed values).
-CHALLENGE_MARKERS = ("just a moment", "cf-challenge", "checking your browser", "captcha", "access denied")
+
+def header_value(headers: Column, name: str) -> Column:
+    """A header's value whatever the case of its name, in lower case; empty if there is none."""
+    same = F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]) == name)
+    return F.lower(F.coalesce(F.try_element_at(F.transform(same, lambda e: e["value"]), F.lit(-1)), F.lit("")))
 
 
 def detect_challenge(status: Column, headers: Column, body: Column) -> Column:
-    """struct(flag, reason): whether a response asks for proof of a human, by header, status or text."""
-    text = F.lower(F.substring(body, 1, 1_000_000))
-    reason = F.when(F.lower(F.coalesce(F.element_at(headers, "cf-mitigated"), F.lit(""))) == "challenge", "header")
-    for marker in CHALLENGE_MARKERS:
-        reason = reason.when(text.contains(marker), marker)
-    reason = reason.when(status.isin(403, 429, 503) & text.contains("cloudflare"), "status")
-    return F.struct(F.coalesce(reason.isNotNull(), F.lit(False)).alias("flag"), reason.alias("reason"))
+    """struct(flag, reason): whether a response asks for proof of a human, by header, by text or by a refusal."""
+    text = F.lower(F.substring(F.coalesce(body, F.lit("")), 1, 1_000_000))
+    guarded = F.contains(header_value(headers, "server"), F.lit("cloudflare"))
+    marked = reduce(lambda a, b: a | b, [text.contains(m) for m in CHALLENGE_MARKERS])
+    reason = (
+        F.when(header_value(headers, "cf-mitigated") == "challenge", "cloudflare_challenge").when(marked & guarded, "cloudflare_challenge").when(marked, "access_denied")
+        .when((status == 403) & (guarded | text.contains("access denied")), "access_denied")
+    )
+    return F.struct(reason.isNotNull().alias("flag"), reason.alias("reason"))
+
 
+def starts_as_challenge(html: Column) -> Column:
+    """The short form: markers within the first 8,000 characters."""
+    head = F.substring(F.coalesce(html, F.lit("")), 1, 8000)
+    return reduce(lambda a, b: a | b, [head.contains(m) for m in CHALLENGE_STARTS])
 
+
+#: What takes the place of a secret value; further distinct ones are numbered (__REDACTED_2__ and so on).
+REDACTED = "__REDACTED__"
 #: Patterns of secret material (fixed values).
-SECRET_PATTERNS = (r"(?i)\b(api[_-]?key|access[_-]?token|secret|password|passwd|authorization|session[_-]?id)\b\s*[=:]", r"AKIA[0-9A-Z]{16}", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.")
+SECRET_PATTERNS = (
+    r"""(?iU)\bssd\s*=\s*(?!__REDACTED(?:_(?:[2-9]|[1-9][0-9]+))?__(?:[&\s"'<>]|$))[^&#\s"'<>]+""",
+    r"(?iU)\b(?:cf_clearance|phpsessid|set-cookie|authorization)\b",
+    r"(?i)__cf_chl_[A-Za-z0-9_-]+",
+)
+
+
+def unquoted(c: Column) -> Column:
+    """One round of percent-decoding; what is no escape stays as it is, and so does a plus."""
+    escaped = F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.when(c.contains("%"), F.coalesce(F.try_url_decode(escaped), c)).otherwise(c)
 
 
 def has_secret(c: str | Column) -> Column:
     """Whether a text, or what up to three rounds of percent-decoding make of it, holds secret material."""
-    once = F.coalesce(F.try_url_decode(_c(c)), _c(c))
-    twice = F.coalesce(F.try_url_decode(once), once)
-    thrice = F.coalesce(F.try_url_decode(twice), twice)
-    pattern = "|".join(f"(?:{p})" for p in SECRET_PATTERNS)
-    return F.coalesce(F.exists(F.array(_c(c), once, twice, thrice), lambda x: x.rlike(pattern)), F.lit(False))
+    rounds = [_c(c)]
+    for _ in range(3):
+        rounds.append(unquoted(rounds[-1]))
+    found = F.exists(F.array(*rounds), lambda x: reduce(lambda a, b: a | b, [x.rlike(p) for p in SECRET_PATTERNS]))
+    return F.coalesce(found, F.lit(False))
+
+
+#: Last path parts that name a page's kind (fixed values).
+ROUTES = ("locate", "pick", "vehicle", "groups", "unit", "parts", "diagram")
+
+
+def _texts_in(html: Column, tag: str) -> Column:
+    inner = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), 1)
+    return F.lower(F.array_join(F.transform(inner, lambda x: F.regexp_replace(x, "<[^>]*>", " ")), " "))
 
 
-def classify_page(url: str | Column, html: str | Column) -> Column:
-    """A page's kind by its path, else by its headings."""
-    path = F.lower(F.regexp_extract(_c(url), r"^[A-Za-z]+://[^/?#]+([^?#]*)", 1))
-    heading = F.lower(F.regexp_extract(_c(html), r"(?is)<h1[^>]*>(.*?)</h1>", 1))
+def classify_page(url: str | Column, html: str | Column, search_path: str = "/en/search/all", root_path: str = "/en/catalog/genuine") -> Column:
+    """A page's kind: by its path, else by the words of its headings and column heads, else by its query."""
+    bare = F.regexp_replace(_c(url), "#.*$", "")
+    path = F.regexp_extract(bare, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?]*)?([^?]*)", 1)
+    route = F.regexp_extract(F.regexp_replace(path, "/+$", ""), "([^/]*)$", 1)
+    page = F.coalesce(_c(html), F.lit(""))
+    labels = F.concat_ws(" ", _texts_in(page, "h1"), _texts_in(page, "h2"), _texts_in(page, "th"))
+    has = labels.contains
     return (
-        F.when(path.rlike("^/?$"), "home").when(path.rlike("/(vehicle|vin)(/|$)"), "vehicle").when(path.rlike("/(unit|group)(/|$)"), "unit").when(path.rlike("/(catalog|category)(/|$)"), "category")
-        .when(heading.rlike("part number|parts list"), "parts").when(heading.rlike("diagram"), "diagram").when(heading != "", "content").otherwise("unknown")
+        F.when(path.endswith(".xml") | path.endswith(".xml.gz") | path.contains("sitemap"), "sitemap").when(path == "/robots.txt", "robots").when(path == search_path, "search")
+        .when(route.isin(*ROUTES), route).when(F.trim(page) == "", "unknown")
+        .when(has("part number") | (has("callout") & has("quantity")), "parts").when(has("diagram") & ~has("model"), "diagram")
+        .when(has("prod period") | has("sales code") | has("chassis") | has("engine"), "vehicle")
+        .when(bare.rlike(r"[?&]q=[^&]"), "search").when(F.regexp_replace(path, "/+$", "") == root_path, "genuine_root").otherwise("generic")
     )

@@ -10,9 +10,13 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Characters that count as white space in texts: those of Unicode, and the four separators of ASCII.
+WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
 def clean_text(c: str | Column) -> Column:
     """White space collapsed and trimmed; empty becomes null."""
-    return F.nullif(F.trim(F.regexp_replace(_c(c), r"\s+", " ")), F.lit(""))
+    return F.nullif(F.trim(F.regexp_replace(_c(c), WHITE, " ")), F.lit(""))
 
 
 def is_blank(c: str | Column) -> Column:
@@ -30,17 +34,17 @@ def alnum_key(c: str | Column) -> Column:
 
 
 def header_key(c: str | Column) -> Column:
-    return F.upper(F.regexp_replace(F.trim(_c(c)), "[^A-Za-z0-9]+", "_"))
+    """Runs of other characters than letters and figures as one underscore, none at the ends, in upper case."""
+    return F.upper(F.regexp_replace(F.regexp_replace(_c(c), "[^A-Za-z0-9]+", "_"), "^_+|_+$", ""))
 
 
-_ASSEMBLY = r"(?i)\b(SUB-ASSY|ASSEMBLY|ASSY)\b"
+_ASSEMBLY = r"(?iU)\b(?:ASSY|ASSEMBLY|SUB-ASSY)\b"
 
 
 def assembly_flag(c: str | Column) -> Column:
-    """struct(flag, reason): whether a name says that the part is an assembly, and by which word."""
-    hit = _c(c).rlike(_ASSEMBLY)
-    word = F.upper(F.regexp_extract(_c(c), _ASSEMBLY, 1))
-    return F.struct(F.coalesce(hit, F.lit(False)).alias("flag"), F.when(hit, word).alias("reason"))
+    """struct(flag, reason): whether a name says that the part is an assembly; the reason is a fixed word."""
+    hit = F.coalesce(_c(c).rlike(_ASSEMBLY), F.lit(False))
+    return F.struct(hit.alias("flag"), F.when(hit, F.lit("name_keyword")).alias("reason"))
 
 
 def is_vin(c: str | Column) -> Column:

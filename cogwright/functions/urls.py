@@ -17,11 +17,11 @@ def _c(c: str | Column) -> Column:
 def _parts(c: Column) -> tuple[Column, Column, Column]:
     """Scheme with //, authority, and the rest without fragment."""
     bare = F.regexp_replace(F.trim(c), "#.*$", "")
-    return F.lower(F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)), F.lower(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1)), F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*(.*)$", 1)
+    return F.lower(F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)), F.lower(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)", 1)), F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*(.*)$", 1)
 
 
 def normalize_url(c: str | Column) -> Column:
-    """Scheme and host in lower case, no default port, no fragment, and / for an empty path; null if not absolute."""
+    """Scheme and host in lower case, no user, no default port, no fragment, and / for an empty path; null if not absolute."""
     scheme, host, rest = _parts(_c(c))
     host = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
     rest = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog, curate, records, serve  # noqa: F401  (each registers its queries)
+from . import catalog, curate, records, rules, serve  # noqa: F401  (each registers its queries)
 from .base import QUERIES, SQL, Query
 
 

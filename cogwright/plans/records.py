@@ -41,18 +41,6 @@ def p18(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.regexp_replace(F.regexp_replace("html", r"(?is)<script\b.*?</script>", ""), r"(?s)<!--.*?-->", "").alias("html"))
 
 
-@query("c6_secrets", r"SELECT doc_id, regexp_matches(text, '(?i)\b(api[_-]?key|access[_-]?token|secret|password|passwd|authorization|session[_-]?id)\b\s*[=:]|AKIA[0-9A-Z]{16}|-----BEGIN [A-Z ]*PRIVATE KEY-----|\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.') AS secret FROM documents")
-def c6(spark: SparkSession, d: str) -> DataFrame:
-    """Texts that hold secret material."""
-    return table(spark, d, "documents").select("doc_id", records.has_secret("text").alias("secret"))
-
-
-@query("f1_clean_text", r"SELECT doc_id, sha256(coalesce(nullif(trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')), ''), '')) AS digest FROM documents")
-def f1(spark: SparkSession, d: str) -> DataFrame:
-    """Cleaned texts, as digests (F1)."""
-    return table(spark, d, "documents").select("doc_id", F.sha2(F.coalesce(text.clean_text("text"), F.lit("")), 256).alias("digest"))
-
-
 @query("h1_record_digest", """SELECT p_partkey, sha256('{"p_brand":"' || p_brand || '","p_partkey":"' || p_partkey || '","p_type":"' || p_type || '"}') AS digest, p_brand || chr(31) || p_type AS natural_key FROM part""")
 def h1(spark: SparkSession, d: str) -> DataFrame:
     """Canonical record digests and natural keys (H1, H2)."""
@@ -72,12 +60,6 @@ def k1(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", text.csv_safe(F.concat(mark, F.col("p_name"))).alias("cell"))
 
 
-@query("c2_page_kinds", r"SELECT page_id, CASE WHEN regexp_matches(p, '^/?$') THEN 'home' WHEN regexp_matches(p, '/(vehicle|vin)(/|$)') THEN 'vehicle' WHEN regexp_matches(p, '/(unit|group)(/|$)') THEN 'unit' WHEN regexp_matches(p, '/(catalog|category)(/|$)') THEN 'category' WHEN h <> '' THEN 'content' ELSE 'unknown' END AS kind FROM (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z]+://[^/?#]+([^?#]*)', 1)) AS p, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS h FROM pages)")
-def c2(spark: SparkSession, d: str) -> DataFrame:
-    """Kinds of pages."""
-    return table(spark, d, "pages").select("page_id", records.classify_page("url", "html").alias("kind"))
-
-
 @query("t4_page_counters", "SELECT lang, source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1, 2")
 def t4(spark: SparkSession, d: str) -> DataFrame:
     """Counters by status: the batch form of the running counters."""

@@ -160,12 +160,6 @@ def e21(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").agg(F.round(F.count_if(F.col("o_orderstatus") != "F") / (done / F.lit(7.0)), 6).alias("days_left"))
 
 
-@query("p8_page_structure")
-def p8(spark: SparkSession, d: str) -> DataFrame:
-    """Pages parsed to nested rows: title, heading, metadata, tables (P8, P11; literal pages test the table forms)."""
-    return parse_pages(table(spark, d, "pages")).select("page_id", "title", "heading", F.size("tables").alias("n_tables"))
-
-
 @query("p10_taxonomy", "WITH t AS (SELECT p_partkey, string_split(p_type, ' ') AS w FROM part) SELECT p_partkey AS page_id, i - 1 AS depth, w[i] AS name, array_to_string(w[1:i], ' > ') AS path, CASE WHEN i > 1 THEN array_to_string(w[1:i - 1], ' > ') END AS parent_path FROM (SELECT p_partkey, w, unnest(generate_series(1, len(w))) AS i FROM t)")
 def p10(spark: SparkSession, d: str) -> DataFrame:
     """One node for each depth of a path (P10)."""
@@ -173,21 +167,6 @@ def p10(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("depth", F.col("depth").cast("long"))
 
 
-@query("p17_vehicle_names")
-def p17(spark: SparkSession, d: str) -> DataFrame:
-    """Vehicle names taken apart by token rules."""
-    name = F.concat_ws(" ", "p_brand", "p_name", (F.col("p_size") * 100).cast("string"), F.when(F.col("p_size") % 2 == 0, "5D").otherwise("CVT"))
-    return table(spark, d, "part").select("p_partkey", parse_vehicle_name(name).alias("v")).select("p_partkey", "v.*")
-
-
-@query("d1_ranges", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS start, CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m') ELSE '2009-05' END AS \"end\" FROM orders")
-def d1(spark: SparkSession, d: str) -> DataFrame:
-    """Production ranges in three of their forms (D1; a test has all)."""
-    ym, my = F.date_format("o_orderdate", "yyyy-MM"), F.date_format("o_orderdate", "MM.yyyy")
-    raw = F.when(F.col("o_orderkey") % 3 == 0, F.concat(my, F.lit(" -"))).when(F.col("o_orderkey") % 3 == 1, ym).otherwise(F.concat(ym, F.lit(" ~ 2009-05")))
-    return table(spark, d, "orders").select("o_orderkey", dates.parse_range(raw).alias("r")).select("o_orderkey", "r.start", "r.end")
-
-
 @query("m10_provenance", "SELECT DISTINCT lang, source FROM documents WHERE (lang, source) NOT IN (SELECT (lang, source) FROM documents WHERE doc_id % 50 = 0)")
 def m10(spark: SparkSession, d: str) -> DataFrame:
     """Edges that the table does not have yet, null-safe."""

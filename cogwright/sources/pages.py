@@ -231,28 +231,63 @@ def register_rows(parsed: DataFrame, header: Sequence[str], excluded: Sequence[s
 
 
 #: Words of vehicle names (fixed values).
-TRANSMISSIONS = {"自排": "automatic", "手排": "manual", "CVT": "cvt", "AT": "automatic", "MT": "manual"}
-TWO_WORD_BRANDS = ("LAND ROVER", "ALFA ROMEO", "ASTON MARTIN")
+BRANDS = (
+    "AUDI", "BENTLEY", "BMW", "BUICK", "CADILLAC", "CHERY", "CHEVROLET", "CHRYSLER", "CITROEN", "CMC", "DACIA", "DAIHATSU", "DATSUN", "DS", "FERRARI", "FIAT", "FORD", "GENESIS", "GMC", "HONDA", "HYUNDAI", "INFINITI",
+    "ISUZU", "JAGUAR", "JEEP", "KIA", "LAMBORGHINI", "LANCIA", "LEXUS", "LINCOLN", "LUXGEN", "MASERATI", "MAZDA", "MCLAREN", "MERCEDES-BENZ", "MG", "MINI", "MITSUBISHI", "NISSAN", "OPEL", "PEUGEOT", "PORSCHE",
+    "RENAULT", "ROLLS-ROYCE", "SAAB", "SEAT", "SKODA", "SMART", "SSANGYONG", "SUBARU", "SUZUKI", "TESLA", "TOYOTA", "VOLKSWAGEN", "VOLVO",
+)
+TWO_WORD_BRANDS = ("LAND ROVER", "ALFA ROMEO", "ASTON MARTIN", "MERCEDES BENZ")
+BRAND_ALIASES = {"BENZ": "MERCEDES-BENZ", "MERCEDES": "MERCEDES-BENZ", "MERCEDES BENZ": "MERCEDES-BENZ"}
+#: Patterns and what they say, in the order they are tried (fixed values).
+TRANSMISSIONS = (
+    ("自動手排", "AMT"), (r"(?iU)\bCVT\b", "CVT"), (r"(?iU)\bDCT\b", "DCT"), (r"(?iU)\bAMT\b", "AMT"), (r"(?i)(?<![A-Za-z])AT(?![A-Za-z])", "AT"), (r"(?i)(?<![A-Za-z])MT(?![A-Za-z])", "MT"),
+    ("自排", "AT"), ("手排", "MT"), ("無段變速|無段", "CVT"),
+)
+STYLES = (("TURBO|渦輪", "Turbo"), ("HYBRID|油電", "Hybrid"), (r"(?U)\bEV\b|純電", "EV"))
+BODIES = (
+    ("SUV|休旅", "SUV"), (r"(?U)\bMPV\b", "MPV"), (r"(?U)\bVAN\b|廂型|箱型", "VAN"), ("WAGON|旅行車", "WAGON"), ("COUPE|轎跑", "COUPE"), ("PICKUP|皮卡", "PICKUP"), ("TRUCK|貨車", "TRUCK"), (r"(?U)\bBUS\b|客車|巴士", "BUS"),
+)
+LEAST_CC, MOST_CC = 600, 7000
+
+
+def _first_label(c: Column, patterns: Sequence[tuple[str, str]]) -> Column:
+    """The label of the first pattern that a text has; null if it has none."""
+    return F.coalesce(*(F.when(c.rlike(p), F.lit(label)) for p, label in patterns))
 
 
 def parse_vehicle_name(name: Column) -> Column:
-    """struct(brand, model, displacement_cc, doors, transmission): brand first, then model words up to the first figure.
+    """struct(brand, model_raw, displacement_cc, body_rule, transmission, doors, style) of a vehicle's name.
 
-    The first displacement (three or four digits), the last door count (nD) and the last transmission word count.
+    The brand is the first word, or a known pair, under its usual name. Of the other words, nD is doors (the last
+    counts), four figures with CC are a displacement, as is the first bare number of 600 to 7000 if none came before
+    it (the first displacement counts); then come styles (all), transmissions (the first), and the rest is the model.
+    The body is looked for in the whole text.
     """
-    clean = F.upper(F.coalesce(clean_text(name), F.lit("")))
-    brand = F.regexp_extract(clean, "^(" + "|".join(TWO_WORD_BRANDS) + r"|\S+)", 1)
-    rest = F.trim(F.substring(clean, F.char_length(brand) + 1, F.char_length(clean)))
-    tokens = F.filter(F.split(rest, " "), lambda t: t != "")
-    stop = lambda t: t.rlike(r"^\d{3,4}$|^\d+D$") | t.isin(*TRANSMISSIONS)
-    marks = F.transform(tokens, lambda t, i: F.when(stop(t), i))
-    end = F.coalesce(F.array_min(F.filter(marks, lambda i: i.isNotNull())), F.size(tokens))
-    doors = F.try_element_at(F.filter(tokens, lambda t: t.rlike(r"^\dD$")), F.lit(-1))
-    box = F.filter(tokens, lambda t: t.isin(*TRANSMISSIONS))
-    known = F.create_map(*(F.lit(x) for kv in TRANSMISSIONS.items() for x in kv))
-    cc = F.get(F.filter(tokens, lambda t: t.rlike(r"^\d{3,4}$")), F.lit(0))
+    text = F.coalesce(clean_text(name), F.lit(""))
+    words = F.filter(F.split(text, " "), lambda t: t != "")
+    pair = F.upper(F.concat_ws(" ", F.get(words, F.lit(0)), F.get(words, F.lit(1))))
+    first = F.get(words, F.lit(0))
+    two = pair.isin(*TWO_WORD_BRANDS) & (F.size(words) > 1)
+    usual = F.create_map(*(F.lit(x) for kv in BRAND_ALIASES.items() for x in kv))
+    known = F.upper(first).isin(*BRANDS, *BRAND_ALIASES)
+    named = F.when(two, pair).when(known, F.upper(first)).otherwise(F.coalesce(first, F.lit("")))
+    brand = F.when(two | known, F.coalesce(F.try_element_at(usual, named), named)).otherwise(named)
+    rest = F.slice(words, F.when(two, 3).otherwise(2), F.size(words) + 1)
+
+    with_unit = lambda t: t.rlike(r"(?i)^[1-9]\d{3}(?:C\.?C\.?|㏄)$")
+    bare = lambda t: F.coalesce(t.rlike(r"^[1-9]\d{2,3}$") & F.when(t.rlike(r"^\d{3,4}$"), t).try_cast("int").between(LEAST_CC, MOST_CC), F.lit(False))
+    cc_at = F.array_min(F.filter(F.transform(rest, lambda t, i: F.when(with_unit(t) | bare(t), i)), lambda i: i.isNotNull()))
+    kinds = F.transform(
+        rest,
+        lambda t, i: F.struct(
+            t.alias("t"),
+            F.when(t.rlike("(?i)^[2-7][-~]?D$"), "door").when(with_unit(t) | F.coalesce(i == cc_at, F.lit(False)), "cc").when(_first_label(F.upper(t), STYLES).isNotNull(), "style")
+            .when(_first_label(t, TRANSMISSIONS).isNotNull(), "box").otherwise("model").alias("kind"),
+        ),
+    )
+    of = lambda kind: F.transform(F.filter(kinds, lambda k: k["kind"] == kind), lambda k: k["t"])
+    styles = F.transform(of("style"), lambda t: _first_label(F.upper(t), STYLES))
     return F.struct(
-        F.nullif(brand, F.lit("")).alias("brand"), F.nullif(F.array_join(F.slice(tokens, F.lit(1), end), " "), F.lit("")).alias("model"), cc.try_cast("int").alias("displacement_cc"),
-        F.when(F.size(F.filter(tokens, lambda t: t.rlike(r"^\dD$"))) > 0, F.substring(doors, 1, 1).try_cast("int")).alias("doors"),
-        F.when(F.size(box) > 0, F.try_element_at(known, F.try_element_at(box, F.lit(-1)))).alias("transmission"),
+        brand.alias("brand"), F.array_join(of("model"), " ").alias("model_raw"), F.regexp_extract(F.get(rest, cc_at), r"^(\d+)", 1).try_cast("int").alias("displacement_cc"), _first_label(F.upper(text), BODIES).alias("body_rule"),
+        _first_label(F.get(of("box"), F.lit(0)), TRANSMISSIONS).alias("transmission"), F.substring(F.try_element_at(of("door"), F.lit(-1)), 1, 1).try_cast("int").alias("doors"), F.nullif(F.array_join(styles, " "), F.lit("")).alias("style"),
     )
