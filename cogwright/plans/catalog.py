@@ -188,10 +188,10 @@ def a5(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("e7_part_fitments", f"WITH {FLAT_SQL} SELECT part_number, vehicle_id, min(month) AS first_month, max(month) AS last_month FROM flat WHERE part_id < 20 GROUP BY 1, 2")
+@query("e7_part_fitments", f"WITH {FLAT_SQL} SELECT part_number, vehicle_id, min(month) AS first_month, max(month) AS last_month FROM flat GROUP BY 1, 2")
 def e7(spark: SparkSession, d: str) -> DataFrame:
     """What a part fits."""
-    return flat_catalog(spark, d).filter("part_id < 20").groupBy("part_number", "vehicle_id").agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"))
+    return flat_catalog(spark, d).groupBy("part_number", "vehicle_id").agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"))
 
 
 @query("a16_readiness", "SELECT CASE WHEN (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') > 0 THEN 'open orders' ELSE '' END || ';' || CASE WHEN (SELECT count(*) FROM orders WHERE o_totalprice < 0) > 0 THEN 'negative price' ELSE '' END AS reasons, (SELECT count(*) FROM orders WHERE o_orderstatus = 'O') = 0 AS ready")

@@ -23,10 +23,10 @@ def f11(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", urls.query_param("url", "ref").alias("ref"), urls.query_param("url", "page").alias("page"))
 
 
-@query("f9_redact_url", r"SELECT page_id, regexp_replace(regexp_replace(url, '([?&]ref=)[^&#]*', '\1[REDACTED]', 'g'), '([?&]page=)[^&#]*', '\1[REDACTED]', 'g') AS url FROM pages WHERE NOT contains(url, '#')")
+@query("f9_redact_url", r"SELECT page_id, regexp_replace(regexp_replace(url, '([?&]ref=)[^&#]*', '\1[REDACTED]', 'g'), '([?&]page=)[^&#]*', '\1[REDACTED]', 'g') AS url FROM pages")
 def f9(spark: SparkSession, d: str) -> DataFrame:
     """URLs with sensitive query values replaced."""
-    return table(spark, d, "pages").filter("not contains(url, '#')").select("page_id", urls.redact_url("url", ["ref", "page"]).alias("url"))
+    return table(spark, d, "pages").select("page_id", urls.redact_url("url", ["ref", "page"]).alias("url"))
 
 
 @query("p14_links", r"""WITH l AS (SELECT page_id, list_distinct(regexp_extract_all(html, '(?i)\s(?:href|data-href|data-url|action)\s*=\s*["'']([^"'']*)["'']', 1)) AS x FROM pages) SELECT page_id, unnest(x) AS link FROM l""")

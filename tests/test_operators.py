@@ -97,9 +97,9 @@ def test_pages(spark):
     assert {(r.depth, r.path, r.parent_path) for r in pages.taxonomy(parsed).collect()} == {(0, "A", None), (1, "A > B", "A")}
     assert parsed.filter("page_id = 1").select(pages.adapt_vehicle(F.col("metadata"), {"engine": ["Motor", "Engine"]}).alias("v")).first()["v"]["engine"] == "2ZR"
     names = spark.createDataFrame([("TOYOTA COROLLA ALTIS 1800 4D 自排",), ("HONDA FIT 1500 5D CVT",), (None,)], "n string").select(pages.parse_vehicle_name(F.col("n")).alias("v")).collect()
-    assert tuple(names[0]["v"]) == ("TOYOTA", "COROLLA ALTIS", 1800, 4, "automatic")
-    assert tuple(names[1]["v"]) == ("HONDA", "FIT", 1500, 5, "cvt")
-    assert names[2]["v"]["brand"] is None
+    assert tuple(names[0]["v"]) == ("TOYOTA", "COROLLA ALTIS", 1800, None, "AT", 4, None)
+    assert tuple(names[1]["v"]) == ("HONDA", "FIT", 1500, None, "CVT", 5, None)
+    assert names[2]["v"]["brand"] == ""
 
 
 def test_dataset_layouts(spark, tmp_path):
