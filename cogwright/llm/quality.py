@@ -25,7 +25,8 @@ FEATURE_BITS = 48
 TRAIN_ROWS = 6000
 #: Newton steps, at most.
 ROUNDS = 40
-#: Hashed features of each classifier: standard errors that they must tell by, how many there are at most, and the penalty on weights.
+#: Hashed features of each classifier: texts that have one at least, standard errors that it must tell by, how many there are at most, and the penalty on weights.
+LEAST_TEXTS = 3
 CERTAIN = 4.0
 WORDS = 1000
 RIDGE = 0.1
@@ -109,37 +110,45 @@ def _places(ids: list[np.ndarray], used: np.ndarray) -> tuple[np.ndarray, np.nda
     return row[hit], at[hit]
 
 
-def _telling(ids: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """The hashed features that texts to be rejected have much more often than others: at least CERTAIN standard errors, the strongest WORDS of them."""
-    n, bad = len(y), int(y.sum())
+def _telling(words: np.ndarray, texts: np.ndarray, hits: np.ndarray, n: int, bad: int) -> np.ndarray:
+    """The hashed features that texts to be rejected have much more often than others, in order.
+
+    words: the features, with the number of texts that have each and how many of those are to be rejected, of n texts
+    of which `bad` are. At least CERTAIN standard errors, and the strongest WORDS of them.
+    """
     if not 0 < bad < n:
         return np.zeros(0, dtype=np.int64)
-    words, at = np.unique(np.concatenate(ids), return_inverse=True)
-    row = np.repeat(np.arange(n), [len(x) for x in ids])
-    with_feature, hits = np.bincount(at), np.bincount(at, weights=y[row])
-    share = (with_feature + 1) / (n + 2)
-    z = (hits / bad - (with_feature - hits) / (n - bad)) / np.sqrt(share * (1 - share) * (1 / bad + 1 / (n - bad)))
-    z[with_feature < 3] = 0
-    best = np.argsort(-z, kind="stable")[:WORDS]
-    return words[np.sort(best[z[best] >= CERTAIN])]
+    share = (texts + 1) / (n + 2)
+    z = (hits / bad - (texts - hits) / (n - bad)) / np.sqrt(share * (1 - share) * (1 / bad + 1 / (n - bad)))
+    z[texts < LEAST_TEXTS] = 0
+    best = np.lexsort((words, -z))[:WORDS]
+    return np.sort(words[best[z[best] >= CERTAIN]])
+
+
+def telling(ids: list[np.ndarray], labels: np.ndarray) -> list[np.ndarray]:
+    """For both heads, the features of these texts that tell."""
+    words, at = np.unique(np.concatenate([*ids, np.zeros(0, dtype=np.int64)]), return_inverse=True)
+    row = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+    texts = np.bincount(at, minlength=len(words))
+    return [_telling(words, texts, np.bincount(at, weights=y[row], minlength=len(words)), len(y), int(y.sum())) for y in labels.T]
 
 
-def fit(ids: list[np.ndarray], shapes: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS) -> Model:
+def fit(ids: list[np.ndarray], shapes: np.ndarray, labels: np.ndarray, words: list[np.ndarray] | None = None, rounds: int = ROUNDS) -> Model:
     """Both regressions by Newton's method with a ridge penalty; labels: (texts, 2) of 0 or 1.
 
-    Of the hashed features only those are used that tell by themselves: a regression on all of them would learn its
-    few thousand texts by heart.
+    Of the hashed features only those are used that tell by themselves (words, if given): a regression on all of them
+    would learn its few thousand texts by heart.
     """
+    words = telling(ids, labels) if words is None else words
     mean, scale = shapes.mean(axis=0), shapes.std(axis=0) + 1e-6
     mean[0], scale[0] = 0.0, 1.0
-    telling = [_telling(ids, labels[:, h]) for h in range(2)]
-    model = Model(np.union1d(*telling), np.zeros((2, 0)), np.zeros((2, SHAPES)), mean, scale)
+    model = Model(np.union1d(*words), np.zeros((2, 0)), np.zeros((2, SHAPES)), mean, scale)
     model.hashed = np.zeros((2, len(model.used)))
     for h in range(2):
         y = labels[:, h].astype(np.float64)
-        x = np.zeros((len(ids), SHAPES + len(telling[h])))
+        x = np.zeros((len(ids), SHAPES + len(words[h])))
         x[:, :SHAPES] = (shapes - mean) / scale
-        row, at = _places(ids, telling[h])
+        row, at = _places(ids, words[h])
         x[row, SHAPES + at] = 1.0
         ridge = np.full(x.shape[1], RIDGE)
         ridge[0] = 1e-3
@@ -161,7 +170,7 @@ def fit(ids: list[np.ndarray], shapes: np.ndarray, labels: np.ndarray, rounds: i
             if before - now < 1e-6 * (1 + abs(now)):
                 break
         model.shaped[h] = w[:SHAPES]
-        model.hashed[h, np.searchsorted(model.used, telling[h])] = w[SHAPES:]
+        model.hashed[h, np.searchsorted(model.used, words[h])] = w[SHAPES:]
     return model
 
 
@@ -180,10 +189,22 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> M
             ids, shapes = features(pdf["text"].tolist())
             yield pd.DataFrame({"bad": (pdf["quality"] == 0).astype("int32"), "toxic": (pdf["toxic"] == 1).astype("int32"), "ids": ids, "shapes": list(shapes)})
 
-    got = rows.mapInPandas(run, "bad int, toxic int, ids array<long>, shapes array<double>").toPandas()
-    if not len(got):
+    texts = materialize(rows.mapInPandas(run, "bad int, toxic int, ids array<long>, shapes array<double>"), "training")
+    total = texts.agg(F.count("*").alias("n"), F.sum("bad").alias("bad"), F.sum("toxic").alias("toxic")).first()
+    if not total["n"]:
         return None
-    return fit([np.asarray(x, dtype=np.int64) for x in got["ids"]], np.array(got["shapes"].tolist()), got[["bad", "toxic"]].to_numpy())
+    # Features are counted by the executors; the driver gets counts of at most train_rows texts, and what tells of each text.
+    found = texts.select("bad", "toxic", F.explode("ids").alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"), F.sum("toxic").alias("toxic"))
+    found = found.filter(F.col("n") >= LEAST_TEXTS).toPandas()
+    words = [_telling(found["word"].to_numpy(), found["n"].to_numpy(), found[h].to_numpy(), total["n"], total[h]) for h in ("bad", "toxic")]
+    used = np.union1d(*words)
+
+    def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(ids=[x[np.isin(x, used)] for x in pdf["ids"]])
+
+    got = texts.mapInPandas(short, texts.schema).toPandas()
+    return fit([np.asarray(x, dtype=np.int64) for x in got["ids"]], np.array(got["shapes"].tolist()), got[["bad", "toxic"]].to_numpy(), words)
 
 
 def url_site(url: str | Column) -> tuple[Column, Column]:
