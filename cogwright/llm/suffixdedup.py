@@ -149,6 +149,20 @@ def segment_rows(docs: DataFrame, min_bytes: int) -> DataFrame:
     return docs.mapInPandas(run, "anchor long, content long, size int, doc_id long, sub long, start long")
 
 
+#: Symbols of nine bits that fit a word.
+PACK = 7
+
+
+def _packed(symbols: np.ndarray) -> np.ndarray:
+    """The PACK symbols from each place on as one number, zeros after the end."""
+    n = len(symbols)
+    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(PACK, dtype=np.uint64)])
+    out = np.zeros(n, dtype=np.uint64)
+    for k in range(PACK):
+        out = (out << np.uint64(9)) | padded[k : k + n]
+    return out
+
+
 def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in order, and their ranks, by Larsson-Sadakane refinement.
 
@@ -157,37 +171,31 @@ def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(symbols)
     if n == 0:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    width = 4
-    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(width, dtype=np.uint64)])
-    first = np.zeros(n, dtype=np.uint64)
-    for k in range(width):
-        first = (first << np.uint64(9)) | padded[k : k + n]
-    order = np.argsort(first, kind="stable")
+    width = PACK
+    first = _packed(symbols)
+    order = np.argsort(first)
     sorted_keys = first[order]
     new = np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))
     heads = np.flatnonzero(new)
     rank = np.empty(n, dtype=np.int64)
     rank[order] = np.repeat(heads, np.diff(np.append(heads, n)))  # a group's rank is its first place
+    # Places of groups that are not settled, and where each of those groups begins among them.
+    alone = new & np.append(new[1:], True)
+    places = np.flatnonzero(~alone)
     h = width
-    while True:
-        sizes = np.diff(np.append(heads, n))
-        open_groups = sizes > 1
-        if not open_groups.any():
-            break
-        places = np.flatnonzero(np.repeat(open_groups, sizes))
+    while len(places):
         members = order[places]
         ahead = members + h
         second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
         key = (rank[members].astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         members, key = members[by], key[by]
         order[places] = members
-        split = np.concatenate(([True], key[1:] != key[:-1]))
-        new = np.ones(n, dtype=bool)
-        new[places] = split
-        heads = np.flatnonzero(new)
-        group = np.repeat(heads, np.diff(np.append(heads, n)))
-        rank[order] = group
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        # Groups stay apart: places of a group are neighbours, and its rank is part of the key.
+        rank[members] = np.repeat(places[new], np.diff(np.append(np.flatnonzero(new), len(places))))
+        alone = new & np.append(new[1:], True)
+        places = places[~alone]
         h *= 2
     return order, rank
 
@@ -196,13 +204,14 @@ def kasai(symbols: np.ndarray, order: np.ndarray, lane_starts: np.ndarray, cap:
     """Common prefixes, up to `cap`, of each suffix in the order with the one before it, by Kasai's method.
 
     Kasai's walk follows the text, and a prefix is at most one shorter than the one found a position earlier. Here it
-    walks the lanes of the text (the segments) side by side.
+    walks the lanes of the text (the segments) side by side, and a prefix grows by whole words first.
     """
     n = len(symbols)
     place = np.empty(n, dtype=np.int64)
     place[order] = np.arange(n)
     lcp = np.zeros(n, dtype=np.int32)
     padded = np.concatenate([symbols, np.zeros(cap + 1, dtype=symbols.dtype)])
+    words = _packed(symbols)
     ends = np.append(lane_starts[1:], n)
     at, have = lane_starts.copy(), np.zeros(len(lane_starts), dtype=np.int64)
     live = np.arange(len(lane_starts))
@@ -213,6 +222,12 @@ def kasai(symbols: np.ndarray, order: np.ndarray, lane_starts: np.ndarray, cap:
         other = order[np.maximum(p - 1, 0)]
         growing = np.flatnonzero(p > 0)
         k[p == 0] = 0
+        leaping = growing
+        while len(leaping):
+            far = k[leaping] + PACK
+            leaping = leaping[(far <= cap) & (np.maximum(pos[leaping], other[leaping]) + far <= n)]
+            leaping = leaping[words[pos[leaping] + k[leaping]] == words[other[leaping] + k[leaping]]]
+            k[leaping] += PACK
         while len(growing):
             same = (k[growing] < cap) & (padded[pos[growing] + k[growing]] == padded[other[growing] + k[growing]]) & (np.maximum(pos[growing], other[growing]) + k[growing] < n)
             growing = growing[same]
@@ -232,10 +247,12 @@ def _grams(texts: list[bytes], sizes: np.ndarray, min_bytes: int) -> tuple[np.nd
     # A zero symbol ends each segment; bytes count from one.
     lanes = starts + np.arange(len(texts))
     symbols = np.zeros(len(raw) + len(texts), dtype=np.int16)
-    symbols[np.arange(len(raw)) + np.repeat(np.arange(len(texts)), lengths)] = raw.astype(np.int16) + 1
+    inside = np.ones(len(symbols), dtype=bool)
+    inside[lanes + lengths] = False
+    symbols[inside] = raw.astype(np.int16) + 1
     order, _ = suffix_array(symbols)
     lcp = kasai(symbols, order, lanes, min_bytes)
-    segment = np.searchsorted(lanes, order, side="right") - 1
+    segment = np.repeat(np.arange(len(texts)), lengths + 1)[order]
     offset = order - lanes[segment]
     whole = offset < sizes[segment]
     # Equal strings are neighbours; what stands between whole strings can't part them, so the least prefix counts.
