@@ -20,6 +20,8 @@ def check(df: DataFrame, rules: Mapping[str, Column], key: str | Column) -> Data
     for name, bad in rules.items():
         broken = F.coalesce(bad, F.lit(False))
         aggs += [F.count_if(broken).alias(f"{name}__n"), F.min(F.when(broken, k)).alias(f"{name}__k")]
+    if not rules:
+        return df.sparkSession.createDataFrame([], "rule string, n_bad long, sample_key string")
     one = df.agg(*aggs)
     rows = F.array(*(F.struct(F.lit(n).alias("rule"), F.coalesce(F.col(f"{n}__n"), F.lit(0)).alias("n_bad"), F.col(f"{n}__k").alias("sample_key")) for n in rules))
     return one.select(F.explode(rows).alias("r")).select("r.*")

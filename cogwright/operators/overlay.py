@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import json_text
+from ..functions.text import part_key
 
 
 def effective(source: DataFrame, heads: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
@@ -26,3 +27,12 @@ def listing(source: DataFrame, heads: DataFrame, manual: DataFrame, key: str, fi
     rows = effective(source, heads, key, fields)
     kinds = rows.withColumn("kind", F.when(F.col("overridden"), "overridden").otherwise("source")).drop("overridden")
     return kinds.unionByName(manual.select(*source.columns).withColumn("kind", F.lit("manual")))
+
+
+def search_effective(source: DataFrame, heads: DataFrame, key: str, number: str, wanted: str) -> DataFrame:
+    """Source rows whose effective number is the wanted one: the active head's where it has one, else the row's own.
+
+    heads: key, override (a normalised number or null), status. `wanted` is normalised here.
+    """
+    h = heads.filter("status = 'active'").select(key, F.col("override").alias("_override"))
+    return source.join(h, key, "left").filter(F.coalesce("_override", number) == part_key(F.lit(wanted))).drop("_override")

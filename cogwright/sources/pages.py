@@ -7,16 +7,18 @@ taken from those by native expressions. Write the parsed pages once when several
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import parse_range
 from ..functions.text import clean_text, is_blank, part_key
 from ..functions.urls import query_param
 
-PARSED = "page_id long, title string, heading string, breadcrumb array<string>, metadata map<string,string>, anchors array<struct<href:string,text:string,data:map<string,string>>>, tables array<struct<header:array<string>,rows:array<struct<cells:array<string>,links:array<string>>>>>"
+PARSED = "page_id long, title string, heading string, breadcrumb array<string>, metadata map<string,string>, anchors array<struct<href:string,text:string,data:map<string,string>>>, tables array<struct<header:array<string>,classes:array<string>,rows:array<struct<cells:array<string>,links:array<string>>>>>"
 
 
 class _Page(HTMLParser):
@@ -51,11 +53,11 @@ class _Page(HTMLParser):
         if tag == "table":
             self._depth += 1
             if self._depth == 1:
-                self.tables.append({"header": None, "rows": []})
+                self.tables.append({"header": None, "classes": [], "rows": []})
         elif self._depth == 1 and tag == "tr":
             self._row, self._th = [], 0
         elif self._depth == 1 and tag in ("td", "th") and self._row is not None:
-            self._row.append(["", ""])
+            self._row.append(["", "", a.get("class") or ""])
             self._th += tag == "th"
         elif self._depth == 1 and tag == "a" and self._row:
             self._row[-1][1] = self._row[-1][1] or (a.get("href") or "")
@@ -77,7 +79,7 @@ class _Page(HTMLParser):
             cells = [" ".join(x[0].split()) for x in self._row]
             table = self.tables[-1]
             if table["header"] is None and self._th and self._th == len(cells):
-                table["header"] = cells
+                table["header"], table["classes"] = cells, [x[2] for x in self._row]
             elif any(cells):
                 table["rows"].append({"cells": cells, "links": [x[1] for x in self._row]})
                 if len(cells) == 2:
@@ -113,7 +115,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                 p = _Page()
                 p.feed(html or "")
                 p.close()
-                tables = [{"header": t["header"] or [], "rows": t["rows"]} for t in p.tables]
+                tables = [{"header": t["header"] or [], "classes": t["classes"], "rows": t["rows"]} for t in p.tables]
                 out.append((page_id, p.title, p.heading, p.crumbs, p.meta, p.anchors, tables))
             yield pd.DataFrame(out, columns=["page_id", "title", "heading", "breadcrumb", "metadata", "anchors", "tables"])
 
@@ -132,6 +134,73 @@ def table_rows(parsed: DataFrame, aliases: Mapping[str, Sequence[str]], needed:
     return rows.select("page_id", "table_no", "row_no", *(cell(r, "cells").alias(r) for r in aliases), *(cell(r, "links").alias(f"{r}_link") for r in aliases))
 
 
+#: Which column of a vehicle table is which: role, parts of the head's class as it stands, parts of the class in lower
+#: case, texts as they stand, texts in lower case; the first role that fits counts (fixed values).
+VEHICLE_ROLES = (
+    ("name", ("n_name",), (), ("Name",), ()),
+    ("description", ("__description",), (), ("Description",), ()),
+    ("grade", ("__grade",), (), (), ()),
+    ("market", ("__market",), (), (), ()),
+    ("year_from", ("__modelyearfrom",), (), (), ()),
+    ("year_to", ("__modelyearto",), (), (), ()),
+    ("model_code", ("__model",), (), ("Model",), ()),
+    ("engine", (), ("__engine",), (), ("engine",)),
+    ("prod_period", ("__prodPeriod",), ("prod",), (), ()),
+    ("options", ("__options",), (), ("Options",), ()),
+    ("transmission", (), ("__transmission", "__gearbox"), (), ("transmission", "gearbox")),
+    ("body_style", (), ("__bodystyle",), (), ("body style",)),
+)
+#: The fields that tell vehicles apart; tokens and links are none of them.
+VEHICLE_SPEC = ("model_code", "name", "description", "options", "prod_period", "grade", "market", "engine", "transmission", "body_style")
+
+
+def vehicle_role(css: Column, head: Column) -> Column:
+    """The role of a column by its head's class and text; null if it has none."""
+    text, lower = F.trim(head), F.lower(css)
+    chain = None
+    for role, raw, low, texts, lows in VEHICLE_ROLES:
+        fits = [css.contains(x) for x in raw] + [lower.contains(x) for x in low] + [text == x for x in texts] + [F.lower(text) == x for x in lows]
+        hit = reduce(lambda a, b: a | b, fits)
+        chain = F.when(hit, role) if chain is None else chain.when(hit, role)
+    return chain
+
+
+def extract_vehicles(parsed: DataFrame, brands: DataFrame, path: str = "/en/catalog/genuine/vehicle") -> tuple[DataFrame, DataFrame]:
+    """(vehicles, malformed): rows of vehicle tables with a link to a vehicle of the page's brand, each specification once.
+
+    brands: (page_id, brand), the code in the links' c; links without one count as the page's own. A table counts if one
+    of its columns is a name. A period that is missing is made of the years. malformed: (page_id, n) counts links that
+    two rows give different specifications, and vehicle links of the page that no row has.
+    """
+    own = parsed.join(brands, "page_id")
+    mine = lambda link, brand: F.regexp_extract(link, r"^(?:https?://[^/?#]+)?([^?#]*)", 1).eqNullSafe(F.lit(path)) & (F.coalesce(query_param(link, "c"), F.lit("")).isin("") | (query_param(link, "c") == brand))
+    identity = lambda link: F.struct(*(query_param(link, k).alias(k) for k in ("c", "ssd", "vid")))
+    tables = own.select("page_id", "brand", F.posexplode("tables").alias("table_no", "t")).withColumn("roles", F.transform(F.arrays_zip("t.header", "t.classes"), lambda x: vehicle_role(x["classes"], x["header"])))
+    rows = tables.filter(F.array_contains("roles", "name")).select("page_id", "brand", "table_no", "roles", F.posexplode("t.rows").alias("row_no", "r")).filter(F.size("r.cells") > 1)
+    rows = rows.withColumn("links", F.filter("r.links", lambda x: (x != "") & mine(x, F.col("brand")))).filter(F.size("links") > 0)
+    at = lambda role: F.array_max(F.transform("roles", lambda x, i: F.when((x == role) & (i < F.size("r.cells")), i)))
+    cell = {role: F.coalesce(F.get(F.col("r.cells"), at(role)), F.lit("")) for role, *_ in VEHICLE_ROLES}
+    rows = rows.select("page_id", "table_no", "row_no", "links", *(c.alias(k) for k, c in cell.items()))
+    period = F.when(F.col("prod_period") != "", F.col("prod_period")).when((F.col("year_from") != "") & (F.col("year_to") != ""), F.concat_ws(" - ", "year_from", "year_to"))
+    rows = rows.withColumn("prod_period", F.coalesce(period.when(F.col("year_from") != "", F.concat("year_from", F.lit(" -"))).when(F.col("year_to") != "", F.concat(F.lit("- "), "year_to")), F.lit("")))
+    rows = rows.filter(F.concat(*VEHICLE_SPEC) != "").withColumn("spec", F.struct(*VEHICLE_SPEC)).withColumn("place", F.struct("table_no", "row_no"))
+    first = Window.partitionBy("page_id", "spec").orderBy("place")
+    kept = rows.withColumn("_n", F.row_number().over(first)).filter("_n = 1").withColumns({"range": parse_range("prod_period"), "url": F.get("links", F.lit(0))})
+    vehicles = kept.select("page_id", *VEHICLE_SPEC, F.col("range.start").alias("production_from"), F.col("range.end").alias("production_to"), query_param("url", "ssd").alias("ssd"), query_param("url", "vid").alias("vid"), "url")
+    named = rows.select("page_id", "spec", "place", F.explode(F.array_distinct(F.transform("links", identity))).alias("candidate"))
+    by_candidate = Window.partitionBy("page_id", "candidate").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    conflicts = named.withColumn("_first", F.first("spec").over(by_candidate)).filter("spec <> _first").select("page_id")
+    linked = own.select("page_id", "brand", F.explode("anchors.href").alias("link")).filter(mine(F.col("link"), F.col("brand"))).select("page_id", identity(F.col("link")).alias("candidate")).distinct()
+    lost = linked.join(named.select("page_id", "candidate").distinct(), ["page_id", "candidate"], "left_anti").select("page_id")
+    return vehicles, conflicts.unionByName(lost).groupBy("page_id").agg(F.count("*").alias("n"))
+
+
+def empty_parts_table(parsed: DataFrame) -> DataFrame:
+    """(page_id, empty): whether the first table headed Number, Name and more has no row; a page without one is not empty."""
+    shells = F.filter("tables", lambda t: (F.size(t["header"]) >= 3) & (F.get(t["header"], 0) == "Number") & (F.get(t["header"], 1) == "Name"))
+    return parsed.select("page_id", F.coalesce(F.size(F.get(shells, F.lit(0))["rows"]) == 0, F.lit(False)).alias("empty"))
+
+
 PART_ALIASES = {"number": ("number", "part number", "oem"), "name": ("name", "description"), "code": ("code", "ref"), "quantity": ("quantity", "qty"), "range": ("unified", "range", "production"), "note": ("note", "filter note")}
 
 

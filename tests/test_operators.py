@@ -146,3 +146,69 @@ def test_export(spark, tmp_path):
     assert "'=A1" in {r.part_number for r in spark.read.option("header", True).csv(str(tmp_path / "csv")).collect()}
     export.write_jsonl(out, str(tmp_path / "json"))
     assert spark.read.json(str(tmp_path / "json")).count() == 2
+
+
+def test_vehicle_tables(spark):
+    v = "/en/catalog/genuine/vehicle"
+    html = f"""<a href="{v}?c=TOY&ssd=z&vid=9">lost</a><a href="{v}?c=HON&ssd=q">foreign</a><table><tr><th>Brand</th><th>Code</th></tr><tr><td><a href="{v}?c=TOY&ssd=a&vid=1">x</a></td><td>y</td></tr></table>
+      <table><tr><th class="x n_name">N</th><th class="__model">M</th><th class="v__modelyearfrom">F</th><th>Gearbox</th><th class="__ENGINE">E</th></tr>
+      <tr><td><a href="https://h.x{v}?c=TOY&ssd=a&vid=1">Corolla</a></td><td>E12</td><td>2001</td><td>MT</td><td>2ZR</td></tr>
+      <tr><td><a href="{v}?ssd=b&vid=2">Corolla</a></td><td>E12</td><td>2001</td><td>MT</td><td>2ZR</td></tr>
+      <tr><td><a href="{v}?c=TOY&ssd=a&vid=1">Corolla</a></td><td>E13</td><td></td><td>AT</td><td></td></tr>
+      <tr><td><a href="{v}?c=HON&ssd=q">Fit</a></td><td>G</td><td></td><td></td><td></td></tr><tr><td>no link</td><td>G</td></tr></table>"""
+    shell = "<table><tr><th>Number</th><th>Name</th><th>Code</th></tr></table>"
+    full = "<table><tr><th>Number</th><th>Name</th><th>Code</th></tr><tr><td>1</td><td>a</td><td>b</td></tr></table>"
+    parsed = pages.parse_pages(spark.createDataFrame([(1, html), (2, shell), (3, full + shell), (4, None)], "page_id long, html string")).cache()
+    vehicles, malformed = pages.extract_vehicles(parsed, spark.createDataFrame([(1, "TOY")], "page_id long, brand string"))
+    assert sorted((r.name, r.model_code, r.prod_period, r.production_from, r.production_to, r.transmission, r.engine, r.vid) for r in vehicles.collect()) == [
+        ("Corolla", "E12", "2001 -", "2001-01", None, "MT", "2ZR", "1"), ("Corolla", "E13", "", None, None, "AT", "", "1"),
+    ]
+    assert [tuple(r) for r in malformed.collect()] == [(1, 2)]
+    assert {r.page_id: r.empty for r in pages.empty_parts_table(parsed).collect()} == {1: False, 2: True, 3: False, 4: False}
+
+
+def test_current_catalog_fails_closed(spark, sf_dir):
+    from cogwright.operators import evidence
+    from cogwright.plans import evidence as fixtures
+
+    t = {k: v.cache() for k, v in fixtures._tables(spark, sf_dir).items()}
+    bodies = t["artifacts"].select("body_sha256", F.lit(100).alias("original_bytes"), F.lit(40).alias("stored_bytes")).cache()
+    target = t["parts"].count()
+    run = fixtures._run(spark, target, evidence.evidence_totals(t["artifacts"], fixtures._run(spark, target), t["jobs"], bodies)).cache()
+    scope = spark.sql("SELECT 'B' AS scope_brand, 'M' AS scope_model, 2000 AS scope_vehicle_year_floor")
+    inputs = {"bounded": t["parts"], "full": t["parts"].limit(0), "runs": run, "jobs": t["jobs"], "scope": scope, "artifacts": t["artifacts"], "bodies": bodies, "records": t["records"], "receipts": t["receipts"], "target": target}
+    shown = lambda **change: {r.dataset_scope: r.n for r in evidence.current_catalog(**(inputs | change)).groupBy("dataset_scope").agg(F.count("*").alias("n")).collect()}
+    assert shown() == {"bounded": target}
+    one = t["artifacts"].filter("accepted_record_count > 0").orderBy("artifact_id").first().artifact_id
+    assert shown(scope=scope.withColumn("scope_brand", F.lit("b"))) == {}
+    assert shown(runs=run.withColumn("error_msg", F.lit("x"))) == {}
+    assert shown(jobs=t["jobs"].withColumn("exit_code", F.lit(1))) == {}
+    assert shown(receipts=t["receipts"].filter(F.col("group_id") != one)) == {}
+    assert shown(artifacts=t["artifacts"].filter("page_type <> 'page1'")) == {}
+    assert shown(bounded=t["parts"].withColumn("evidence_record_sha256", F.when(F.col("group_id") == one, "x").otherwise(F.col("evidence_record_sha256")))) == {}
+    full_run = run.withColumns({"run_id": F.lit(2).cast("long"), "run_job_id": F.lit(3), "dataset_kind": F.lit("full"), "status": F.lit("success"), "target_parts": F.lit(None).cast("int")})
+    jobs = t["jobs"].unionByName(t["jobs"].filter("job_id = 1").withColumn("job_id", F.lit(3)))
+    full = t["parts"].filter(F.col("group_id") == one).withColumn("run_id", F.lit(2).cast("long"))
+    assert shown(full=full, runs=run.unionByName(full_run), jobs=jobs) == {"full": full.count()}
+    assert shown(full=full.unionByName(t["parts"].limit(1)), runs=run.unionByName(full_run), jobs=jobs) == {"bounded": target}
+
+
+def test_publish_again(spark, tmp_path):
+    root, df = str(tmp_path / "s"), spark.range(10).withColumn("run_id", F.lit(1).cast("long")).withColumns({"brand": F.lit(" Toyota"), "model": F.lit("x"), "production_to": F.lit("2010-05")})
+    schema = df.schema.simpleString()[7:-1].replace(":", " ")
+    with pytest.raises(gates.GateError):
+        publish.publish(df, root, 1, {}, "id", expected_rows=11)
+    assert publish.current(spark, root, schema).count() == 0
+    assert publish.publish(df, root, 1, {}, "id", expected_rows=10) == 10 == publish.publish(df, root, 1, {}, "id")
+    with pytest.raises(gates.GateError):
+        publish.publish(df.limit(3), root, 1, {}, "id")
+    with pytest.raises(gates.GateError):
+        publish.publish_full(df, root, 2, {}, "id", 10, True)
+    second = df.withColumn("run_id", F.lit(2).cast("long"))
+    assert publish.publish_full(second, root, 2, {}, "id", 10, False) == 10 and publish.current_run(spark, root) == 2
+    scope = ("TOYOTA ", "X", 2010)
+    for bad in ((scope, ("TOYOTA", "X", 2010), 10), (("TOYOTA ", "X", 2011), ("TOYOTA ", "X", 2011), 10), (scope, scope, 9)):
+        with pytest.raises(gates.GateError):
+            publish.publish_bounded(second, root, 3, {}, "id", bad[2], bad[0], bad[1])
+    assert publish.publish_bounded(second, root, 3, {}, "id", 10, scope, scope) == 10
+    assert publish.current(spark, root, schema, 1).count() == 10
