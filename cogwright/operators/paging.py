@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,3 +40,17 @@ def search(df: DataFrame, query: str, prefix: Sequence[str] = (), contains: Sequ
     for c in contains:
         found = found | F.coalesce(F.col(c).contains(query), F.lit(False))
     return df.filter(found)
+
+
+def running_sum(df: DataFrame, order: str, value: str, name: str, ranges: int = 64) -> DataFrame:
+    """df with the sum of `value` up to and with each row, in the order of a unique column.
+
+    Rows go by ranges of about equal size (approximate quantiles of the order); the ranges before are one sum each.
+    """
+    cuts = df.agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)])).first()[0] or []
+    part = F.size(F.filter(F.array(*(F.lit(c) for c in sorted(set(cuts)))), lambda c: c <= F.col(order))) if cuts else F.lit(0)
+    rows = df.withColumn("_part", part)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # at most `ranges` rows
+    sums = rows.groupBy("_part").agg(F.sum(value).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.join(F.broadcast(sums), "_part").withColumn(name, F.col("_before") + F.sum(value).over(inside)).drop("_part", "_before")

@@ -104,8 +104,7 @@ def w4(spark: SparkSession, d: str) -> DataFrame:
 def w6(spark: SparkSession, d: str) -> DataFrame:
     """Quota of the first 20,000 parts in group order: running sums of group counts, not a rank of every row."""
     n = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("g")).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("g").rowsBetween(Window.unboundedPreceding, 0))
-    c = n.withColumn("upto", upto)
+    c = paging.running_sum(n, "g", "n", "upto")
     room = F.lit(20000) - (F.col("upto") - F.col("n"))
     return c.select("g", "n", F.when(F.col("upto") <= 20000, F.col("n")).otherwise(F.greatest(F.lit(0), room)).alias("accepted"), F.when(F.col("upto") <= 20000, "done").when(room > 0, "partial").otherwise("pending").alias("status"))
 

@@ -60,7 +60,7 @@ def k1(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", text.csv_safe(F.concat(mark, F.col("p_name"))).alias("cell"))
 
 
-@query("t4_page_counters", "SELECT lang, source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1, 2")
-def t4(spark: SparkSession, d: str) -> DataFrame:
-    """Counters by status: the batch form of the running counters."""
+@query("a9_counters", "SELECT lang, source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1, 2")
+def a9_counters(spark: SparkSession, d: str) -> DataFrame:
+    """Counters by two keys in one aggregation."""
     return table(spark, d, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))

@@ -20,7 +20,7 @@ def n3(spark: SparkSession, d: str) -> DataFrame:
     """Records of each dataset's current artifact: a pointer of one row a dataset, then equi joins."""
     lines = table(spark, d, "lineitem")
     ptr = lines.groupBy(F.col("l_returnflag").alias("dataset")).agg(F.max("l_orderkey").alias("artifact"))
-    j = lines.join(F.broadcast(ptr), (F.col("l_returnflag") == F.col("dataset")) & (F.col("l_orderkey") == F.col("artifact")))
+    j = lines.join(ptr, (F.col("l_returnflag") == F.col("dataset")) & (F.col("l_orderkey") == F.col("artifact")))
     return j.join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select("dataset", "l_linenumber", "l_partkey", "p_name")
 
 
@@ -177,7 +177,10 @@ def m10(spark: SparkSession, d: str) -> DataFrame:
 @query("t1_discovered", r"SELECT DISTINCT s || '://' || h || CASE WHEN starts_with(r, '/') THEN r ELSE '/' || r END AS url FROM (SELECT lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) AS s, lower(regexp_extract(u, '^[A-Za-z]+://([^/?]*)', 1)) AS h, regexp_extract(u, '^[A-Za-z]+://[^/?]*(.*)$', 1) AS r FROM (SELECT regexp_replace(url, '#.*$', '') AS u FROM pages))")
 def t1(spark: SparkSession, d: str) -> DataFrame:
     """Each URL once, as a stream over the pages with a checkpoint."""
-    root = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-scratch-')}/discovered-{uuid.uuid4().hex}"
-    rows = spark.readStream.schema("page_id long, url string, html string").parquet(f"{d}/pages*").select(F.lit(1).alias("run_id"), urls.normalize_url("url").alias("url"))
-    jobs.write_new(rows.dropDuplicates(["run_id", "url"]), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    root = f"{shared or tempfile.mkdtemp(prefix='spark-scratch-')}/discovered-{uuid.uuid4().hex}"
+    rows = spark.readStream.schema("page_id long, url string, html string").parquet(f"{d}/pages*").select(F.lit(1).alias("run_id"), urls.normalize_url("url").alias("url"), F.current_timestamp().alias("seen_at"))
+    jobs.write_new(jobs.first_seen(rows), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema("run_id int, url string").parquet(f"{root}/out").select("url")

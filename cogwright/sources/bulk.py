@@ -7,6 +7,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -58,6 +59,29 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.join(parts, ["file", "_part"]).select("file", (F.col("_row") - F.col("_first") + F.col("_before") + 1).alias("line"), cp1252_from_latin1("value").alias("value"))
 
 
+#: Lines of a file that are looked at together when quoted line breaks are joined.
+BLOCK_LINES = 100_000
+
+
+def quoted_records(lines: DataFrame, quote: str) -> DataFrame:
+    """(file, line, value) with lines joined that a quoted line break parts; line is a record's first.
+
+    A record starts where the quotes before it are even in number. They are counted by blocks of lines and summed over
+    the blocks before, so a file is dealt over many tasks.
+    """
+    rows = lines.withColumns({"_block": F.floor(F.col("line") / BLOCK_LINES), "_q": F.char_length("value") - F.char_length(F.replace("value", F.lit(quote), F.lit("")))})
+    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("file", "_block").agg(F.sum("_q").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    inside = Window.partitionBy("file", "_block").orderBy("line")
+    rows = rows.join(blocks, ["file", "_block"])
+    odd = (F.col("_before") + F.coalesce(F.sum("_q").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2
+    rows = rows.withColumn("_start", F.when(odd == 0, F.col("line")))
+    lasts = rows.groupBy("file", "_block").agg(F.max("_start").alias("_last")).withColumn("_carried", F.max("_last").over(earlier)).drop("_last")
+    rows = rows.join(lasts, ["file", "_block"]).withColumn("_first", F.coalesce(F.max("_start").over(inside), "_carried"))
+    joined = rows.groupBy("file", F.col("_first").alias("line")).agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("_lines"))
+    return joined.select("file", "line", F.array_join(F.transform("_lines", lambda x: x["value"]), "\n").alias("value"))
+
+
 def split_rows(lines: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
     """(records, rejects) of (file, line, value): a wrong number of fields or an empty identity is a reject.
 
@@ -65,7 +89,7 @@ def split_rows(lines: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFram
     """
     rows = lines.filter(F.col("value").rlike(r"\S"))
     if spec.quote:
-        parsed = F.from_csv("value", ", ".join(f"`{n}` string" for n in [*spec.fields, "_extra"]), {"sep": spec.delimiter, "quote": spec.quote})
+        parsed = F.from_csv("value", ", ".join(f"`{n}` string" for n in [*spec.fields, "_extra"]), {"sep": spec.delimiter, "quote": spec.quote, "escape": spec.quote, "multiLine": "true"})
         n = F.size(F.split("value", re.escape(spec.delimiter) + r"(?=(?:[^" + spec.quote + "]*" + spec.quote + "[^" + spec.quote + "]*" + spec.quote + ")*[^" + spec.quote + "]*$)", -1))
         rows = rows.withColumn("_p", parsed).withColumn("_n", n).select("file", "line", "value", "_n", *(F.col(f"_p.{c}").alias(c) for c in spec.fields))
     else:
@@ -94,14 +118,26 @@ def normalised(records: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def read_dataset(spark: SparkSession, path: str, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
-    """(records, rejects) of the files below a path. A header line is checked against the spec and left out."""
+    """(records, rejects) of the files below a path.
+
+    Each file's header line, if the dataset has them, is checked against the required fields and names that file's
+    fields; files with other columns than the rest have nulls in those they lack. Quoted fields may hold line breaks.
+    """
     lines = numbered_lines(spark, path)
-    if spec.header:
-        first = lines.filter("line = 1").limit(1).collect()
-        if first and not spec.fields:
-            spec = replace(spec, fields=tuple(header_names(first[0]["value"].lstrip("\ufeffï»¿"), spec.delimiter, spec.required)))
-        lines = lines.filter("line > 1")
-    return split_rows(lines, spec)
+    if spec.quote:
+        lines = quoted_records(lines, spec.quote)
+    if not spec.header:
+        return split_rows(lines, spec)
+    # One row a file; few layouts, however many files.
+    heads = {r["file"]: tuple(header_names(r["value"].lstrip("\ufeffï»¿"), spec.delimiter, spec.required)) for r in lines.filter("line = 1").select("file", "value").collect()}
+    layouts = sorted(set(heads.values()))
+    if not layouts:
+        return split_rows(lines, spec)
+    of_file = spark.createDataFrame([(f, layouts.index(h)) for f, h in heads.items()], "file string, _layout int")
+    body = lines.filter("line > 1").join(of_file, "file")
+    split = [split_rows(body.filter(F.col("_layout") == i), replace(spec, fields=h)) for i, h in enumerate(layouts)]
+    union = lambda parts: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return union([r for r, _ in split]), union([x for _, x in split])
 
 
 def archive_members(spark: SparkSession, path: str, expected: str) -> DataFrame:

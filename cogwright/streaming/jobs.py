@@ -16,11 +16,15 @@ def _read(spark: SparkSession, in_dir: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(in_dir)
 
 
+def first_seen(rows: DataFrame) -> DataFrame:
+    """The first of a run's rows (run_id, url, seen_at, ...) for each URL within a day."""
+    return rows.withWatermark("seen_at", "1 day").dropDuplicatesWithinWatermark(["run_id", "url"])
+
+
 def stream_discovered(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str) -> StreamingQuery:
     """(run_id, url, parent, seen_at): each normalised URL once a run; the state is bounded by a day's watermark."""
     rows = _read(spark, in_dir, "run_id long, url string, parent string, seen_at timestamp").withColumn("url", normalize_url("url")).filter("url is not null")
-    first = rows.withWatermark("seen_at", "1 day").dropDuplicatesWithinWatermark(["run_id", "url"])
-    return first.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return first_seen(rows).writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def write_new(rows: DataFrame, out_dir: str, checkpoint: str) -> StreamingQuery:
@@ -56,10 +60,19 @@ def latest(spark: SparkSession, out_dir: str, keys: Sequence[str], order: Sequen
     return last_per_key(spark.read.parquet(out_dir), keys, ["epoch", *order])
 
 
-def stream_counters(spark: SparkSession, in_dir: str, name: str, checkpoint: str) -> StreamingQuery:
-    """Running page counters by run and status."""
+def stream_counters(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str) -> StreamingQuery:
+    """Running page counters by run and status: counters that changed go to a folder of their batch; counters() reads them."""
     counts = _read(spark, in_dir, "run_id long, status string").groupBy("run_id", "status").count()
-    return counts.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch}")
+
+    return counts.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def counters(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(run_id, status, count): the last value of each counter."""
+    return spark.read.parquet(out_dir).groupBy("run_id", "status").agg(F.max_by("count", "epoch").alias("count"))
 
 
 def stream_late_captures(spark: SparkSession, in_dir: str, jobs: DataFrame, out_dir: str, checkpoint: str) -> StreamingQuery:

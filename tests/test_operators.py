@@ -212,3 +212,25 @@ def test_publish_again(spark, tmp_path):
             publish.publish_bounded(second, root, 3, {}, "id", bad[2], bad[0], bad[1])
     assert publish.publish_bounded(second, root, 3, {}, "id", 10, scope, scope) == 10
     assert publish.current(spark, root, schema, 1).count() == 10
+
+
+def test_quoted_files(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.csv").write_text('Make,Model,Note\nT,"a, b","two\n\nlines ""x"""\nU,c,\nV,d\n')
+    (tmp_path / "d" / "b.csv").write_text('\ufeffModel,Make\nm,W\n')
+    spec = bulk.DatasetSpec("t", (), ("MAKE", "MODEL"), delimiter=",", header=True, quote='"', required=("MAKE", "MODEL"))
+    for block in (100_000, 2):
+        bulk.BLOCK_LINES = block
+        records, rejects = bulk.read_dataset(spark, str(tmp_path / "d"), spec)
+        assert sorted((r.MAKE, r.MODEL, r.NOTE, r.line) for r in records.collect()) == [("T", "a, b", 'two\n\nlines "x"', 2), ("U", "c", None, 5), ("W", "m", None, 2)]
+        assert [(r.line, r.error_type) for r in rejects.collect()] == [(6, "field_count")]
+    bulk.BLOCK_LINES = 100_000
+    (tmp_path / "d" / "c.csv").write_text("Make\nx\n")
+    with pytest.raises(ValueError):
+        bulk.read_dataset(spark, str(tmp_path / "d"), spec)
+
+
+def test_running_sum(spark):
+    df = spark.range(1000).selectExpr("id * id as k", "id as v")
+    got = {r.k: r.s for r in paging.running_sum(df, "k", "v", "s", 7).collect()}
+    assert got == {i * i: i * (i + 1) // 2 for i in range(1000)} and paging.running_sum(df.limit(0), "k", "v", "s").count() == 0

@@ -7,8 +7,10 @@ def test_insert_new_and_counters(spark, tmp_path):
     for _ in range(2):
         jobs.stream_insert_new(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), "run_id long, status string", ["run_id", "status"]).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
-    jobs.stream_counters(spark, str(tmp_path / "in"), "counted", str(tmp_path / "cp2")).awaitTermination()
-    assert spark.table("counted").count() == 3
+    jobs.stream_counters(spark, str(tmp_path / "in"), str(tmp_path / "counted"), str(tmp_path / "cp2")).awaitTermination()
+    rows.limit(1).write.mode("append").parquet(str(tmp_path / "in"))
+    jobs.stream_counters(spark, str(tmp_path / "in"), str(tmp_path / "counted"), str(tmp_path / "cp2")).awaitTermination()
+    assert sorted(r["count"] for r in jobs.counters(spark, str(tmp_path / "counted")).collect()) == [1, 1, 2]
 
 
 def test_discovered_and_late(spark, tmp_path):
