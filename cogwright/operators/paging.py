@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranges import range_cuts, range_of
+
 
 def page(df: DataFrame, order: Sequence[Column | str], number: int, size: int) -> tuple[DataFrame, DataFrame]:
     """(items, meta): a page's rows, the page number being kept within what there is, and one row (total, pages, page)."""
@@ -47,9 +49,7 @@ def running_sum(df: DataFrame, order: str, value: str, name: str, ranges: int =
 
     Rows go by ranges of about equal size (approximate quantiles of the order); the ranges before are one sum each.
     """
-    cuts = df.agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)])).first()[0] or []
-    part = F.size(F.filter(F.array(*(F.lit(c) for c in sorted(set(cuts)))), lambda c: c <= F.col(order))) if cuts else F.lit(0)
-    rows = df.withColumn("_part", part)
+    rows = df.withColumn("_part", range_of(F.col(order), range_cuts(df, order, ranges)))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # at most `ranges` rows
     sums = rows.groupBy("_part").agg(F.sum(value).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
