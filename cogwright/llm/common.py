@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ranges import range_cuts, range_of  # noqa: F401  (the operators have them from here)
+
 #: Bytes that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: The same separators as a regular expression for JVM functions.
@@ -49,24 +51,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def range_cuts(df: DataFrame, column: str, ranges: int) -> list[int]:
-    """At most ranges - 1 values of a long column that cut its rows, nulls apart, into ranges of about equal size.
-
-    They are approximate quantiles, so a few values far from all others move no other value into another range.
-    """
-    shares = [i / ranges for i in range(1, ranges)]
-    found = df.filter(F.col(column).isNotNull()).agg(F.percentile_approx(column, shares, F.lit(50 * ranges))).first()[0]
-    return sorted(set(found or []))
-
-
-def range_of(column: Column, cuts: list[int], low: int = 0) -> Column:
-    """How many of the cuts are not above the value, by halving."""
-    if not cuts:
-        return F.lit(low)
-    half = len(cuts) // 2
-    return F.when(column < F.lit(cuts[half]), range_of(column, cuts[:half], low)).otherwise(range_of(column, cuts[half + 1 :], low + half + 1))
-
-
 def text_or_empty(c: str | Column = "text") -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
