@@ -4,8 +4,8 @@ Each register keeps the leading-zero count and ten mantissa bits of a bucket's l
 permutation of its own, so that short texts fill all registers. Four registers make a 64-bit band. Texts with equal
 sets are one class from the start, so a group of copies costs one row in all that follows. Within a band's bucket a
 class is first held against the bucket's most central class only (the one whose bands most others share); pairs
-inside the bucket are looked at only where those links left it in several components, and only as a join condition,
-so no bucket is expanded into its pairs. A parity sketch (which elements' hashed places are hit an odd number of
+inside the bucket are looked at only where those links left it in several components, and only between its largest
+component and the rest, and within the rest, so no bucket is expanded into its pairs. A parity sketch (which elements' hashed places are hit an odd number of
 times) bounds the symmetric difference from below and keeps all but likely links from the confirmation on full sets.
 """
 
@@ -37,6 +37,8 @@ SKETCH_COLUMNS = [*BAND_COLUMNS, *PARITY_COLUMNS]
 BROADCAST_IDS = 200_000
 #: Rows of one bucket that are compared with each other in one task, at most.
 BLOCK = 20_000
+#: Groups of so many rows are compared side by side; larger ones row by row.
+FEW = 64
 
 
 @functools.cache
@@ -224,56 +226,118 @@ def _components(docs: DataFrame, classes: DataFrame, width: int, percent: int) -
     found = materialize(_confirmed(stars, sets, percent), "confirmed")
     component = connected_components(found)
 
-    # What the stars left in several components within one bucket.
-    labelled = members.join(component.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "band", "cls", F.coalesce("component", "cls").alias("component"))
-    apart = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
-    open_rows = materialize(labelled.join(apart, "bucket").join(slim, "cls"), "open")
-    pairs = materialize(_pairs_apart(open_rows, percent, need).distinct(), "pairs")
-    if pairs.isEmpty():
-        return component
-    more = materialize(_sets_of(docs, classes, pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), width), "sets")
-    # Each class's link to its component's least class stands for all links found before.
-    return connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(_confirmed(pairs, more, percent)))
-
-
-def _pairs_apart(rows: DataFrame, percent: int, need: int) -> DataFrame:
+    # What the stars left in several components within one bucket: first a class's most promising pair with each other
+    # component, which joins most of what belongs together, and then every pair of what is still apart.
+    for best in (True, False):
+        labelled = members.join(component.withColumnRenamed("node", "cls"), "cls", "left").select("bucket", "band", "cls", F.coalesce("component", "cls").alias("component"))
+        apart = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
+        open_rows = materialize(labelled.join(apart, "bucket").join(slim, "cls"), "open")
+        pairs = materialize(_pairs_apart(open_rows, percent, need, best).distinct(), "pairs")
+        if pairs.isEmpty():
+            return component
+        more = materialize(_sets_of(docs, classes, pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), width), "sets")
+        links = materialize(_confirmed(pairs, more, percent), "confirmed")
+        # Each class's link to its component's least class stands for all links found before.
+        component = connected_components(component.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
+    return component
+
+
+def _deal(rows: DataFrame) -> DataFrame:
+    """rows with (bucket, lo, hi, own), in copies: which two blocks of its bucket meet where, and which of them a row is of.
+
+    A bucket's largest component is not compared with itself, so its rows (own -1, lo below 0) meet blocks of the other
+    rows only; those (own 0 and up) meet each other, too. Blocks have BLOCK rows at most; as a rule the other rows are
+    one block, and nothing is copied but them.
+    """
+    sizes = rows.groupBy("bucket", "component").agg(F.count("*").alias("_n"))
+    sizes = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("_n", "component")).alias("_main"), F.max("_n").alias("_m"), (F.sum("_n") - F.max("_n")).alias("_r"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    placed = rows.join(sizes.select("bucket", "_main", blocks("_m").alias("_mains"), blocks("_r").alias("_rests")), "bucket")
+    of = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
+    main, rest = placed.filter("component = _main"), placed.filter("component <> _main")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    parts = [
+        main.withColumn("hi", upto("_rests")).withColumns({"lo": -1 - of("_mains"), "own": F.lit(-1)}),
+        rest.withColumn("lo", upto("_mains")).withColumns({"lo": -1 - F.col("lo"), "hi": of("_rests"), "own": F.lit(0)}),
+        rest.withColumn("_other", upto("_rests")).withColumn("own", of("_rests")).withColumns({"lo": F.least("own", "_other"), "hi": F.greatest("own", "_other")}),
+    ]
+    columns = ["bucket", "lo", "hi", "own", "band", "cls", "component", "n", "most", *SKETCH_COLUMNS]
+    return functools.reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+
+
+def _pairs_apart(rows: DataFrame, percent: int, need: int, best: bool) -> DataFrame:
     """(a, b): classes in one bucket, in different components, whose sketches allow a link.
 
-    A bucket of more than BLOCK rows is cut into blocks, and each two of its blocks are a group of their own; so a
-    task never holds more than two blocks. Pairs are compared in arrays and leave the task only if they may be links.
+    best: of a large group only each class's pair with the most registers in common with each other component. Pairs
+    are compared in arrays and leave the task only if they may be links; a task holds two blocks of a bucket at most.
     """
-    blocks = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "band", "cls", "component", "n", "most", *SKETCH_COLUMNS)
-    sorted_rows = dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        bucket, lo, hi, own, band, cls, component, n, most = (pdf[c].to_numpy() for c in ("bucket", "lo", "hi", "own", "band", "cls", "component", "n", "most"))
-        parity = pdf[PARITY_COLUMNS].to_numpy().view(np.uint64)
-        bands = np.ascontiguousarray(pdf[BAND_COLUMNS].to_numpy())
-        registers = bands.view(np.uint16)
-        i = np.arange(len(pdf) - 1)
-        found = []
-        step = 1
+    sorted_rows = _deal(rows).repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+
+    def near(g: dict, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the pairs of rows i, j may be links."""
+        ok = (g["component"][i] != g["component"][j]) & ((g["lo"][i] == g["hi"][i]) | (g["own"][i] != g["own"][j]))
+        ok &= 100 * np.minimum(g["n"][i], g["n"][j]) >= percent * np.maximum(g["n"][i], g["n"][j])
+        x, y = i[ok], j[ok]
+        if len(x):
+            ok = np.bitwise_count(g["parity"][x] ^ g["parity"][y]).sum(axis=1, dtype=np.int64) <= np.maximum(g["most"][x], g["most"][y])
+            x, y = x[ok], y[ok]
+        if len(x):
+            ok = (g["registers"][x] == g["registers"][y]).sum(axis=1) >= need
+            x, y = x[ok], y[ok]
+        return x, y
+
+    def fresh(g: dict, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that no earlier band has, which would give them again."""
+        new = (g["bands"][x] == g["bands"][y]).argmax(axis=1) == g["band"][x]
+        return x[new], y[new]
+
+    def small_groups(g: dict, group: np.ndarray) -> list[np.ndarray]:
+        """Rows of many groups side by side: each with the one `step` places on."""
+        found, step, i = [], 1, np.arange(len(group) - 1)
         while len(i):
-            j = i + step
-            together = (bucket[i] == bucket[j]) & (lo[i] == lo[j]) & (hi[i] == hi[j])
-            i, j = i[together], j[together]
-            ok = (component[i] != component[j]) & ((lo[i] == hi[i]) | (own[i] != own[j]))
-            ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-            x, y = i[ok], j[ok]
+            i = i[group[i] == group[i + step]]
+            x, y = near(g, i, i + step)
             if len(x):
-                near = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64) <= np.maximum(most[x], most[y])
-                x, y = x[near], y[near]
-            if len(x):
-                near = (registers[x] == registers[y]).sum(axis=1) >= need
-                x, y = x[near], y[near]
-            if len(x):  # an earlier band that agrees has this pair already
-                new = (bands[x] == bands[y]).argmax(axis=1) == band[x]
-                found.append(np.stack([cls[x][new], cls[y][new]], axis=1))
+                x, y = fresh(g, x, y)
+                found.append(np.stack([g["cls"][x], g["cls"][y]], axis=1))
             step += 1
-            i = i[i + step < len(pdf)]
+            i = i[i + step < len(group)]
+        return found
+
+    def large_group(g: dict, at: np.ndarray) -> list[np.ndarray]:
+        """Rows of one group: those outside its largest component, each with all rows before it."""
+        _, inverse, counts = np.unique(g["component"][at], return_inverse=True, return_counts=True)
+        at = at[np.lexsort((inverse, -counts[inverse], g["own"][at] >= 0))]
+        across = g["lo"][at[0]] < 0
+        first = int((g["own"][at] < 0).sum()) if across else int(counts.max())
+        found = []
+        for k in range(first, len(at)):
+            x, y = near(g, np.full(first if across else k, at[k]), at[: first if across else k])
+            if not len(x):
+                continue
+            if best:
+                agree = (g["registers"][x] == g["registers"][y]).sum(axis=1)
+                by = np.lexsort((y, -agree))
+                x, y = x[by], y[by]
+                keep = np.unique(g["component"][y], return_index=True)[1]
+                x, y = x[keep], y[keep]
+            else:
+                x, y = fresh(g, x, y)
+            found.append(np.stack([g["cls"][x], g["cls"][y]], axis=1))
+        return found
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        g = {c: pdf[c].to_numpy() for c in ("bucket", "lo", "hi", "own", "band", "cls", "component", "n", "most")}
+        g["parity"], g["bands"] = pdf[PARITY_COLUMNS].to_numpy().view(np.uint64), np.ascontiguousarray(pdf[BAND_COLUMNS].to_numpy())
+        g["registers"] = g["bands"].view(np.uint16)
+        key = np.stack([g["bucket"], g["lo"], g["hi"]], axis=1)
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1))) if len(key) else np.zeros(0, dtype=np.int64)
+        sizes = np.diff(np.append(starts, len(key)))
+        group = np.repeat(np.arange(len(starts)), sizes)
+        few = np.repeat(sizes <= FEW, sizes)
+        found = small_groups({c: v[few] for c, v in g.items()}, group[few])
+        for start, size in zip(starts[sizes > FEW], sizes[sizes > FEW], strict=True):
+            found += large_group(g, np.arange(start, start + size))
         out = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
         return pd.DataFrame({"a": out.min(axis=1) if len(out) else out[:, 0], "b": out.max(axis=1) if len(out) else out[:, 1]})
 

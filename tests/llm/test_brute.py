@@ -223,7 +223,9 @@ def test_near_rows_of_tables(spark, documents):
         assert got == components(rows, width, percent)
 
 
-def test_near_groups_close_to_the_threshold(spark):
+@pytest.mark.parametrize("block", [20_000, 30])
+def test_near_groups_close_to_the_threshold(spark, monkeypatch, block):
+    monkeypatch.setattr(hyperminhash, "BLOCK", block)
     rng = random.Random(12)
     base = [f"b{i}" for i in range(100)]
     rows = []
