@@ -68,6 +68,15 @@ def identity_hash(columns: Sequence[str | Column]) -> Column:
     return F.sha2(length_prefixed(columns), 256)
 
 
+#: The fields that make a vehicle's identity, in order; tokens and links are no part of it (fixed values).
+VEHICLE_IDENTITY = ("model_id", "model_code", "name", "description", "options", "prod_period", "grade", "market", "engine", "transmission", "body_style")
+
+
+def vehicle_identity() -> Column:
+    """The identity hash of a row with the columns of VEHICLE_IDENTITY."""
+    return identity_hash(VEHICLE_IDENTITY)
+
+
 def entry_key(columns: Sequence[str | Column]) -> Column:
     """The key of a manual entry: fields trimmed and in upper case with their character counts."""
     return F.sha2(length_prefixed([F.upper(F.trim(_c(c).cast("string"))) for c in columns], by_chars=True), 256)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.records import vehicle_identity
 from ..functions.text import is_blank
 from .merge import last_per_key
 
@@ -27,6 +28,19 @@ def upsert_categories(old: DataFrame, new: DataFrame) -> DataFrame:
     return kept.unionByName(met.filter("id is null").select("id", "vehicle_id", "cid", "name"))
 
 
+def upsert_vehicles(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Vehicles after a batch, by the hash of what makes them (see vehicle_identity): tokens, links and months are the new ones, the rest stays.
+
+    Both have the columns of VEHICLE_IDENTITY and ssd, vid, url, production_from, production_to; old has an id, which is
+    null for new vehicles, and new a position, by which the last row of a vehicle counts. A token that a batch lacks stays.
+    """
+    batch = last_per_key(new.withColumn("identity_hash", vehicle_identity()), ["identity_hash"], ["position"]).drop("position").withColumn("id", F.lit(None).cast(old.schema["id"].dataType))
+    o, n = old.withColumn("identity_hash", vehicle_identity()).alias("o"), batch.withColumn("_new", F.lit(True)).alias("n")
+    j = o.join(n, "identity_hash", "full_outer")
+    pick = {c: F.coalesce(f"n.{c}", f"o.{c}") for c in ("ssd", "vid")} | {c: F.when(F.col("n._new"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")) for c in ("url", "production_from", "production_to")}
+    return j.select("identity_hash", F.col("o.id").alias("id"), *(pick.get(c, F.coalesce(f"o.{c}", f"n.{c}")).alias(c) for c in old.columns if c != "id"))
+
+
 def record_receipts(groups: DataFrame, receipts: DataFrame) -> DataFrame:
     """Groups with their last receipt; the high-water mark of verified rows rises with status done only.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, records, text
-from ..operators import overlay, vin
+from ..operators import curation, export, gates, overlay, rules, vin
 from .base import FLAT_SQL, flat_catalog, query, table
 from .curate import _MAPPINGS, _VEHICLES, _mappings, _vehicles
 
@@ -38,7 +38,7 @@ def e1_taxonomy(spark: SparkSession, d: str) -> DataFrame:
     return top.unionByName(g.select(text.tree_id(own, 1).alias("id"), "vehicle_id", text.tree_id("cid", 0).alias("parent_id"), F.lit(2).alias("depth"), F.col("code").alias("code_raw"), F.concat_ws(" / ", "c", "code").alias("path_raw")))
 
 
-@query("e1_part_numbers", "SELECT p_partkey AS id, p_brand || '-' || p_partkey AS number_raw, upper(regexp_replace(p_brand || '-' || p_partkey, '[\\s-]+', '', 'g')) AS number_normalized, p_name AS name_raw, regexp_matches(p_name, '(?i)\\b(ASSY|ASSEMBLY|SUB-ASSY)\\b') AS is_assembly FROM part")
+@query("e1_part_numbers", r"SELECT p_partkey AS id, p_brand || '-' || p_partkey AS number_raw, upper(regexp_replace(p_brand || '-' || p_partkey, '[\s-]+', '', 'g')) AS number_normalized, p_name AS name_raw, regexp_matches(p_name, '(?i)\b(ASSY|ASSEMBLY|SUB-ASSY)\b') AS is_assembly FROM part")
 def e1_part_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Part numbers as written and as compared."""
     raw = F.concat_ws("-", "p_brand", F.col("p_partkey").cast("string"))
@@ -76,7 +76,7 @@ def n11(spark: SparkSession, d: str) -> DataFrame:
     return o.filter("o_orderstatus = 'F'").join(o.filter("o_orderstatus = 'O'").select(*key).distinct(), key, "left_anti").groupBy("dataset").agg(F.countDistinct("source").alias("never_decoded"))
 
 
-@query("n20_part_search", "SELECT p_partkey FROM part WHERE CASE WHEN p_partkey % 4 = 0 AND p_partkey % 8 = 0 THEN 'BRAND#11' WHEN p_partkey % 4 = 0 THEN NULL ELSE upper(regexp_replace(p_brand, '[\\s-]+', '', 'g')) END = 'BRAND#11' OR (p_partkey % 8 = 4 AND upper(regexp_replace(p_brand, '[\\s-]+', '', 'g')) = 'BRAND#11')")
+@query("n20_part_search", r"SELECT p_partkey FROM part WHERE CASE WHEN p_partkey % 4 = 0 AND p_partkey % 8 = 0 THEN 'BRAND#11' WHEN p_partkey % 4 = 0 THEN NULL ELSE upper(regexp_replace(p_brand, '[\s-]+', '', 'g')) END = 'BRAND#11' OR (p_partkey % 8 = 4 AND upper(regexp_replace(p_brand, '[\s-]+', '', 'g')) = 'BRAND#11')")
 def n20(spark: SparkSession, d: str) -> DataFrame:
     """Parts found by number: the override's where there is one, else the source's."""
     part = table(spark, d, "part").select("p_partkey", text.part_key("p_brand").alias("number"))
@@ -138,3 +138,80 @@ def e12(spark: SparkSession, d: str) -> DataFrame:
         one = one.crossJoin(F.broadcast(f))  # one row each
     reasons = F.filter(F.array(*(F.when(F.col(c) > 0, F.lit(c)) for c in ("blank_texts", "open_runs", "orphans"))), lambda x: x.isNotNull())
     return one.withColumn("blocking", F.array_join(reasons, ","))
+
+
+_LINES = "SELECT l_orderkey * 10 + l_linenumber AS id, min(l_partkey) AS p, min(l_suppkey) AS v, min(l_returnflag) AS r, min(l_quantity) AS q FROM {lineitem} GROUP BY l_orderkey, l_linenumber"
+
+
+@query(
+    "e19_archive_export",
+    f"""WITH l AS ({_LINES.replace('{lineitem}', 'lineitem')}), t AS (SELECT p_partkey, p_name, p_brand, string_split(p_type, ' ') AS w, array_to_string(string_split(p_type, ' '), ' > ') AS path FROM part)
+SELECT n_name AS "Brand", s_name AS "Name", 'm' || s_nationkey AS "Model", NULL AS "Prod period", '1995-01' AS "Production from", NULL AS "Production to", p_name AS "產品英文名稱", p_brand AS "Number", CASE WHEN p_partkey % 2 = 0 THEN w[1] END AS "零件大分類", CASE WHEN p_partkey % 2 = 0 THEN w[2] END AS "零件中分類", CASE WHEN p_partkey % 2 = 0 THEN w[3] END AS "零件小分類", CASE WHEN p_partkey % 2 = 0 THEN path END AS "Category path",
+'r' AS "Range", NULL AS "Part range from", NULL AS "Part range to", 'dr' AS "Diagram range", 'c' AS "Condition", 'd' AS "Description", 'o' AS "Options", p_brand AS "Diagram code", p_name AS "Diagram name", 'co' AS "Callout", CAST(q AS INT) AS "Quantity", NULL AS "Note", 'http://x/' || l.id AS "Source URL",
+CASE WHEN l.id % 3 = 0 THEN 'historical_archive' ELSE 'live_http' END AS "Source mode", CASE WHEN l.id % 3 = 0 THEN 'arc' END AS "Archive source", CASE WHEN l.id % 3 = 0 THEN '2020' END AS "Captured at", NULL AS "Archive truncation", l.id AS "Response ID", md5(CAST(l.id AS VARCHAR)) AS "Response SHA-256", 1.0::DOUBLE AS "Confidence", 'explicit' AS "Derivation", true AS "Verified fitment"
+FROM l JOIN t ON l.p = t.p_partkey JOIN supplier ON l.v = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE r = 'R'""",
+)
+def e19(spark: SparkSession, d: str) -> DataFrame:
+    """The archive export with its 34 columns."""
+    none = F.lit(None).cast("string")
+    line = spark.sql(_LINES, lineitem=table(spark, d, "lineitem"))
+    part = table(spark, d, "part")
+    fitments = line.select("id", F.col("id").alias("occurrence_id"), F.col("p").alias("number_id"), F.col("v").alias("vehicle_id"), F.col("p").alias("diagram_id"), F.concat(F.lit("http://x/"), F.col("id")).alias("source_url"), F.lit(1.0).alias("confidence"), F.lit("explicit").alias("derivation"), (F.col("r") == "R").alias("is_verified"))
+    occurrences = line.select("id", F.lit("r").alias("part_range_raw"), none.alias("part_from"), none.alias("part_to"), F.lit("c").alias("part_condition_raw"), F.lit("co").alias("callout_raw"), F.col("q").cast("int").alias("quantity_raw"), none.alias("note_raw"))
+    numbers = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name_en_raw"), F.col("p_brand").alias("number_raw"))
+    vehicles = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("id"), F.col("n_name").alias("brand"), F.col("s_name").alias("name_raw"), F.concat(F.lit("m"), F.col("s_nationkey")).alias("model_raw"), none.alias("prod_period_raw"), F.lit("1995-01").alias("production_from"), none.alias("production_to"), F.lit("d").alias("description_raw"), F.lit("o").alias("options_raw"),
+    )
+    diagrams = part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey")).alias("taxonomy_id"), F.lit("dr").alias("diagram_range_raw"), F.col("p_brand").alias("diagram_code_raw"), F.col("p_name").alias("diagram_name_raw"))
+    taxonomy = part.select(F.col("p_partkey").alias("id"), F.array_join(F.split("p_type", " "), " > ").alias("path_raw"))
+    sources = line.select(F.col("id").alias("record_id"), F.col("id").alias("response_id"))
+    responses = line.select("id", F.md5(F.col("id").cast("string")).alias("body_sha256"))
+    archives = line.filter("id % 3 = 0").select(F.col("id").alias("response_id"), F.lit("arc").alias("archive_source"), F.lit("2020").alias("captured_at"), none.alias("truncation_reason"))
+    return export.archive_export(fitments, occurrences, numbers, vehicles, diagrams, taxonomy, sources, responses, archives)
+
+
+@query(
+    "m3_vehicles",
+    """WITH b AS (SELECT p_size % 10 AS model_id, p_type AS name, CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_brand END AS engine, p_partkey FROM part), o AS (SELECT model_id, name, engine, min(p_partkey) AS id, 'old' AS ssd, 'u' AS url FROM b WHERE p_partkey % 3 = 0 GROUP BY 1, 2, 3),
+n AS (SELECT model_id, name, engine, arg_max(CASE WHEN p_partkey % 2 = 0 THEN 's' || p_partkey ELSE '' END, p_partkey) AS ssd, 'n' || max(p_partkey) AS url FROM b WHERE p_partkey % 3 <> 0 GROUP BY 1, 2, 3)
+SELECT o.id, coalesce(o.model_id, n.model_id) AS model_id, coalesce(o.name, n.name) AS name, coalesce(o.engine, n.engine) AS engine, coalesce(nullif(n.ssd, ''), o.ssd) AS ssd, CASE WHEN n.name IS NOT NULL THEN n.url ELSE o.url END AS url FROM o FULL JOIN n ON o.model_id = n.model_id AND o.name = n.name AND coalesce(o.engine, '') = coalesce(n.engine, '')""",
+)
+def m3(spark: SparkSession, d: str) -> DataFrame:
+    """Vehicles upserted by the hash of what makes them (M3, H3)."""
+    none = F.lit(None).cast("string")
+    rest = {c: none for c in (*(c for c in records.VEHICLE_IDENTITY if c not in ("model_id", "name", "engine")), "vid", "production_from", "production_to")}
+    part = table(spark, d, "part").select("p_partkey", (F.col("p_size") % 10).alias("model_id"), F.col("p_type").alias("name"), F.when(F.col("p_size") % 4 != 0, F.col("p_brand")).alias("engine"))
+    old = part.filter("p_partkey % 3 = 0").groupBy("model_id", "name", "engine").agg(F.min("p_partkey").alias("id")).withColumns(rest | {"ssd": F.lit("old"), "url": F.lit("u")})
+    new = part.filter("p_partkey % 3 <> 0").withColumns(rest | {"ssd": F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("s"), F.col("p_partkey"))), "url": F.concat(F.lit("n"), F.col("p_partkey")), "position": F.col("p_partkey")}).drop("p_partkey")
+    return curation.upsert_vehicles(old, new).select("id", "model_id", "name", "engine", "ssd", "url")
+
+
+_SNAPSHOT = r"""SELECT p_partkey AS part_id, CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_size END AS group_id, 1 AS category_id, p_size AS vehicle_id, 1 AS model_id, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE 1 END AS brand_id, CASE WHEN p_partkey % 19 = 0 THEN ' - ' ELSE p_brand END AS part_number,
+CASE WHEN p_partkey % 7 = 0 THEN ' ' ELSE p_name END AS part_name, 'c' AS code, 'b' AS brand, 'm' AS model, 'v' AS vehicle_name, 'vc' AS vehicle_code, 'vid' AS vehicle_vid, 'cid' AS category_cid, 'cn' AS category_name, 'gn' AS group_name, 'gc' AS group_code, CAST(p_size AS STRING) AS group_uid,
+'https://a.b/u?uid=' || CAST(p_size + CASE WHEN p_partkey % 11 = 0 THEN 1 ELSE 0 END AS STRING) AS source_url, CASE WHEN p_size < 10 THEN NULL WHEN p_size < 20 THEN '2005-01' ELSE '2010-01' END AS production_from, CASE WHEN p_size > 5 THEN '2012-01' END AS production_to,
+CASE WHEN p_size > 5 THEN '2011-01' END AS part_from, CASE WHEN p_size > 45 THEN '2009-01' END AS part_to, CAST(9 AS BIGINT) AS seen_run_id FROM {part}"""
+
+
+@query(
+    "q3_snapshot_release",
+    rf"""WITH s AS ({_SNAPSHOT.replace('{part}', 'part')}) SELECT part_id, CASE WHEN group_id IS NULL OR brand_id IS NULL OR trim(part_number) = '' OR regexp_replace(part_number, '[\s-]+', '', 'g') = '' OR trim(part_name) = '' OR NOT ends_with(source_url, 'uid=' || group_uid) OR (production_from IS NULL AND production_to IS NULL AND part_from IS NULL AND part_to IS NULL)
+OR coalesce(part_to < production_from, false) OR coalesce(production_to < part_from, false) THEN NULL ELSE seen_run_id END AS seen_run_id FROM s""",
+)
+def q3_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that break a rule of the snapshot leave the run."""
+    rows = spark.sql(_SNAPSHOT, part=table(spark, d, "part"))
+    return rules.released(rows, rules.snapshot_rules(r"https://a\.b/u\?uid=\d+"), "seen_run_id").select("part_id", "seen_run_id")
+
+
+@query(
+    "a15_completion",
+    "WITH q AS (SELECT CASE WHEN o_orderstatus = 'O' THEN 'pending' WHEN o_orderstatus = 'P' THEN 'done' ELSE 'failed' END AS s FROM orders) SELECT (SELECT count(*) FROM q WHERE s = 'pending') = 0 AS queue_exhausted, (SELECT count(*) FROM q WHERE s = 'failed') = 0 AS no_failed_pages, (SELECT count(*) FROM pages WHERE contains(lower(html), 'just a moment')) = 0 AS no_challenges, true AS no_robots_skips, true AS no_parse_failures, (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) = 0 AS provenance_complete, (SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)) = 0 AS foreign_keys_valid, false AS strict_complete",
+)
+def a15(spark: SparkSession, d: str) -> DataFrame:
+    """The seven checks of a run that claims to be complete."""
+    orders, line = table(spark, d, "orders"), table(spark, d, "lineitem")
+    queue = orders.select(F.when(F.col("o_orderstatus") == "O", "pending").when(F.col("o_orderstatus") == "P", "done").otherwise("failed").alias("status"))
+    responses = table(spark, d, "pages").select(F.contains(F.lower("html"), F.lit("just a moment")).alias("challenged"))
+    named = lambda df, c: df.select(F.lit("order").alias("record_type"), F.col(c).alias("record_id"))
+    broken = gates.orphans(line.select("l_partkey"), table(spark, d, "part").select("p_partkey"), {"l_partkey": "p_partkey"})
+    return rules.completion_checks(queue, responses, named(orders, "o_orderkey"), named(line, "l_orderkey"), broken)
