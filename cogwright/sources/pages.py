@@ -201,6 +201,50 @@ def empty_parts_table(parsed: DataFrame) -> DataFrame:
     return parsed.select("page_id", F.coalesce(F.size(F.get(shells, F.lit(0))["rows"]) == 0, F.lit(False)).alias("empty"))
 
 
+#: Column heads of a unit page's parts, without other characters than letters and figures, and what they hold (fixed values).
+UNIT_HEADS = {
+    "number": "part_number", "part number": "part_number", "name": "name", "part name": "name", "code": "code", "quantity": "quantity", "qty": "quantity", "qty required": "quantity",
+    "range": "range", "part range": "range", "prod period": "range", "production period": "range",
+}
+#: Heads whose cells are merged into the note (fixed values).
+NOTE_HEADS = ("note", "unified", "filter note", "specification")
+#: The columns of a table without heads, in order.
+PLAIN_COLUMNS = ("part_number", "name", "code", "note", "quantity", "range")
+
+
+def extract_unit_parts(parsed: DataFrame, search_path: str = "/en/search/all") -> tuple[DataFrame, DataFrame]:
+    """(parts, rejects) of unit pages: rows whose first cell links to a search are candidates.
+
+    A candidate is malformed if its table's heads lack number, name or code, if it has more or fewer cells than heads (or
+    not six where there are none), or if the search is for another number than the one shown. A row without a name is
+    nameless, and malformed if it has no code or any cell that is no number, code, quantity, range or note. Only a range
+    column gives a range; a lone Note is the note, and several note columns are merged under their heads. Of rows with
+    one (number, range) on a page the last counts.
+    """
+    tables = parsed.select("page_id", F.posexplode("tables").alias("table_no", "t"))
+    known = F.create_map(*(F.lit(x) for kv in UNIT_HEADS.items() for x in kv))
+    labels = F.transform("t.header", lambda h: F.trim(F.regexp_replace(F.lower(h), "[^a-z0-9]+", " ")))
+    tables = tables.withColumn("labels", labels).withColumn("roles", F.when(F.size("labels") > 0, F.transform("labels", lambda h: F.when(h.isin(*NOTE_HEADS), "note").otherwise(F.try_element_at(known, h)))).otherwise(F.array(*(F.lit(c) for c in PLAIN_COLUMNS))))
+    rows = tables.select("page_id", "table_no", "roles", F.col("t.header").alias("header"), "labels", F.posexplode("t.rows").alias("row_no", "r"))
+    link = F.get("r.links", F.lit(0))
+    rows = rows.filter(F.regexp_replace(F.regexp_extract(link, r"^(?:https?://[^/?#]+)?([^?#]*)", 1), "/+$", "") == search_path)
+    at = lambda role: F.array_max(F.transform("roles", lambda x, i: F.when(x == role, i)))
+    cell = {c: F.coalesce(F.get("r.cells", at(c)), F.lit("")) for c in ("part_number", "name", "code", "quantity", "range")}
+    notes = F.filter(F.transform("roles", lambda x, i: F.when(x == "note", i)), lambda i: i.isNotNull())
+    under = F.transform(F.filter(notes, lambda i: F.coalesce(F.get("r.cells", i), F.lit("")) != ""), lambda i: F.concat(F.get("header", i), F.lit(": "), F.get("r.cells", i)))
+    alone = (F.size(notes) == 1) & ((F.size("labels") == 0) | (F.get("labels", F.get(notes, F.lit(0))) == "note"))
+    note = F.when(alone, F.coalesce(F.get("r.cells", F.get(notes, F.lit(0))), F.lit(""))).otherwise(F.array_join(under, "; "))
+    wide = rows.select("page_id", "table_no", "row_no", F.size("r.cells").alias("n"), F.size("roles").alias("heads"), "roles", F.col("r.cells").alias("cells"), query_param(link, "q").alias("q"), *(c.alias(k) for k, c in cell.items()), note.alias("note"), F.transform(notes, lambda i: F.get("r.cells", i)).alias("note_cells"))
+    usable = F.array_contains("roles", "part_number") & F.array_contains("roles", "name") & F.array_contains("roles", "code")
+    strange = F.exists("cells", lambda c: (c != "") & ~F.array_contains(F.concat(F.array("part_number", "code", "quantity", "range"), "note_cells"), c))
+    bad = ~usable | (F.col("n") != F.col("heads")) | F.coalesce(F.col("q") != F.col("part_number"), F.lit(True)) | (F.col("q") == "") | ((F.col("name") == "") & ((F.col("code") == "") | strange))
+    wide = wide.withColumn("error", F.when(bad, "malformed").when(F.col("name") == "", "nameless"))
+    last = Window.partitionBy("page_id", "part_number", "range").orderBy(F.desc("table_no"), F.desc("row_no"))
+    good = wide.filter("error is null").withColumn("_n", F.row_number().over(last)).filter("_n = 1").withColumn("months", parse_range("range"))
+    fields = ["page_id", "part_number", "name", "code", "quantity", "range", "note"]
+    return good.select(*fields, F.col("months.start").alias("part_from"), F.col("months.end").alias("part_to")), wide.filter("error is not null").select("table_no", "row_no", *fields, "error")
+
+
 PART_ALIASES = {"number": ("number", "part number", "oem"), "name": ("name", "description"), "code": ("code", "ref"), "quantity": ("quantity", "qty"), "range": ("unified", "range", "production"), "note": ("note", "filter note")}
 
 

@@ -234,3 +234,24 @@ def test_running_sum(spark):
     df = spark.range(1000).selectExpr("id * id as k", "id as v")
     got = {r.k: r.s for r in paging.running_sum(df, "k", "v", "s", 7).collect()}
     assert got == {i * i: i * (i + 1) // 2 for i in range(1000)} and paging.running_sum(df.limit(0), "k", "v", "s").count() == 0
+
+
+def test_unit_parts(spark):
+    a = lambda q, shown=None: f'<td><a href="/en/search/all?q={q}">{shown or q}</a></td>'
+    row = lambda *cells: "<tr>" + "".join(c if c.startswith("<td") else f"<td>{c}</td>" for c in cells) + "</tr>"
+    head = lambda *names: "<tr>" + "".join(f"<th>{n}</th>" for n in names) + "</tr>"
+    six = "<table>" + head("Number", "Name", "Code", "Quantity", "Unified", "Note") + row(a("A1"), "bolt", "c", "2", "u 1", "n") + row(a("A1"), "bolt 2", "c", "2", "", "n") + row(a("A2"), "", "c", "1", "", "") + row(a("A3"), "", "c", "1", "", "") + "</table>"
+    seven = "<table>" + head("Part Number", "Part-Name", "Code", "QTY Required", "Filter Note", "Specification", "Prod. Period") + row(a("B1"), "nut", "k", "1", "", "2010 - 2012", "01.2010 - ") + row(a("B2", "B3"), "nut", "k", "1", "", "", "") + row(a("B4"), "x") + "</table>"
+    minimal = "<table>" + head("Number", "Name", "Code") + row(a("C1"), "", "C1") + row(a("C2"), "", "") + "</table>"
+    plain = "<table>" + row(a("D1"), "cap", "k", "only", "3", "2011") + row(a("D2"), "cap", "k") + row("no link", "x") + "</table>"
+    parsed = pages.parse_pages(spark.createDataFrame([(1, six), (2, seven), (3, minimal), (4, plain)], "page_id long, html string"))
+    parts, rejects = pages.extract_unit_parts(parsed)
+    got = sorted(tuple(r) for r in parts.select("page_id", "part_number", "name", "code", "quantity", "range", "note", "part_from", "part_to").collect())
+    assert got == [
+        (1, "A1", "bolt 2", "c", "2", "", "Note: n", None, None),
+        (2, "B1", "nut", "k", "1", "01.2010 -", "Specification: 2010 - 2012", "2010-01", None),
+        (4, "D1", "cap", "k", "3", "2011", "only", "2011-01", "2011-12"),
+    ]
+    assert sorted((r.page_id, r.part_number, r.error) for r in rejects.collect()) == [
+        (1, "A2", "nameless"), (1, "A3", "nameless"), (2, "B3", "malformed"), (2, "B4", "malformed"), (3, "C1", "nameless"), (3, "C2", "malformed"), (4, "D2", "malformed"),
+    ]
