@@ -194,6 +194,28 @@ def has_secret(c: str | Column) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
+#: Form fields that hold secrets (fixed values).
+SECRET_FIELDS = ("authorization", "cookie", "cf_clearance", "php_sessid", "phpsessid", "set-cookie", "ssd")
+
+
+def scrub(html: str | Column, token: str = "ssd") -> Column:
+    """struct(html, sha256, bytes, scrubbed_bytes): a page without scripts, comments, meta elements, secret inputs and event attributes.
+
+    Each distinct value of the token in links gets an alias of the page's own, in the order in which they come.
+    """
+    page = _c(html)
+    out = F.regexp_replace(F.regexp_replace(page, r"(?is)<script\b.*?</script\s*>", ""), r"(?s)<!--.*?-->", "")
+    out = F.regexp_replace(out, r"(?is)<meta\b[^>]*>", "")
+    out = F.regexp_replace(out, r"""(?is)<input\b[^>]*\bname\s*=\s*["']?(?:""" + "|".join(SECRET_FIELDS) + r""")["'\s>/][^>]*>?""", "")
+    out = F.regexp_replace(out, r"""(?is)\son[a-z]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)""", "")
+    values = F.array_distinct(F.regexp_extract_all(out, F.lit(rf"""(?i)\b{token}=([^&#\s"'<>]+)"""), 1))
+    named = F.transform(values, lambda v, i: F.struct(v.alias("value"), F.when(i == 0, REDACTED).otherwise(F.concat(F.lit(REDACTED[:-2] + "_"), (i + 1).cast("string"), F.lit("__"))).alias("alias")))
+    # Longer values first, so that none is replaced as the start of another.
+    ordered = F.transform(F.sort_array(F.transform(named, lambda x: F.struct(F.char_length(x["value"]).alias("n"), x.alias("x"))), asc=False), lambda y: y["x"])
+    clean = F.aggregate(ordered, out, lambda text, x: F.replace(text, F.concat(F.lit(f"{token}="), x["value"]), F.concat(F.lit(f"{token}="), x["alias"])))
+    return F.struct(clean.alias("html"), F.sha2(clean, 256).alias("sha256"), F.octet_length(page).alias("bytes"), F.octet_length(clean).alias("scrubbed_bytes"))
+
+
 #: Last path parts that name a page's kind (fixed values).
 ROUTES = ("locate", "pick", "vehicle", "groups", "unit", "parts", "diagram")
 

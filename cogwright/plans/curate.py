@@ -134,7 +134,7 @@ def n6(spark: SparkSession, d: str) -> DataFrame:
     return vin.fitments(_mappings(spark, d), decodes, vehicles, parts).groupBy("vin", "vehicle_id", "part_id", "policy").agg(F.count("*").alias("n"))
 
 
-@query("n7_mapping_status", f"WITH {_VEHICLES}, {_MAPPINGS} SELECT m.vin, m.vehicle_id, CASE WHEN d.vin IS NULL THEN 'decode_missing' WHEN v.vehicle_id IS NULL THEN 'vehicle_unpublished' WHEN m.policy = 'strict' AND s.vin IS NULL THEN 'stale' ELSE 'confirmed' END AS status FROM map m LEFT JOIN dec d ON d.vin = m.vin LEFT JOIN veh v ON v.vehicle_id = m.vehicle_id LEFT JOIN (SELECT DISTINCT vin, vehicle_id FROM cand WHERE strict) s ON s.vin = m.vin AND s.vehicle_id = m.vehicle_id")
+@query("n7_mapping_status", f"WITH {_VEHICLES}, {_MAPPINGS} SELECT m.vin, m.vehicle_id, CASE WHEN d.vin IS NULL THEN 'decode_missing' WHEN v.vehicle_id IS NULL THEN 'vehicle_unpublished' WHEN m.policy = 'strict' AND s.vin IS NULL OR m.policy = 'name_override' AND d.engine = '' AND d.trim = '' OR m.policy = 'sparse_override' AND NOT (d.engine = '' AND d.trim = '') THEN 'stale' ELSE 'confirmed' END AS status FROM map m LEFT JOIN dec d ON d.vin = m.vin LEFT JOIN veh v ON v.vehicle_id = m.vehicle_id LEFT JOIN (SELECT DISTINCT vin, vehicle_id FROM cand WHERE strict) s ON s.vin = m.vin AND s.vehicle_id = m.vehicle_id")
 def n7(spark: SparkSession, d: str) -> DataFrame:
     """Whether mappings still hold."""
     decodes, vehicles = _vehicles(spark, d)

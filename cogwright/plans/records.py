@@ -41,6 +41,19 @@ def p18(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.regexp_replace(F.regexp_replace("html", r"(?is)<script\b.*?</script>", ""), r"(?s)<!--.*?-->", "").alias("html"))
 
 
+_TAIL = """<META name="x"><input type="hidden" name="ssd" value="q"><a ONclick="x('y')" href="/u?ssd=Abc&k=1">a</a><a href="/u?ssd=A">b</a><a href="/u?ssd=Abc">c</a>"""
+
+
+@query(
+    "p18_sanitize",
+    rf"""WITH p AS (SELECT page_id, html || '{_TAIL.replace("'", "''")}' AS h FROM pages), s AS (SELECT page_id, h, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '(?is)<script\b.*?</script\s*>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '(?is)<meta\b[^>]*>', '', 'g'), '<input type="hidden" name="ssd" value="q">', '', 'g'), '(?i)\sonclick="[^"]*"', '', 'g') AS c FROM p),
+r AS (SELECT page_id, h, replace(replace(replace(c, 'ssd=Abc', 'ssd=__REDACTED__'), 'ssd=A"', 'ssd=__REDACTED_2__"'), '', '') AS c FROM s) SELECT page_id, sha256(c) AS sha256, CAST(strlen(h) AS INT) AS bytes, CAST(strlen(c) AS INT) AS scrubbed_bytes FROM r""",
+)
+def p18_sanitize(spark: SparkSession, d: str) -> DataFrame:
+    """Pages without scripts, secrets and tokens, with digest and sizes."""
+    return table(spark, d, "pages").select("page_id", records.scrub(F.concat("html", F.lit(_TAIL))).alias("s")).select("page_id", "s.sha256", "s.bytes", "s.scrubbed_bytes")
+
+
 @query("h1_record_digest", """SELECT p_partkey, sha256('{"p_brand":"' || p_brand || '","p_partkey":"' || p_partkey || '","p_type":"' || p_type || '"}') AS digest, p_brand || chr(31) || p_type AS natural_key FROM part""")
 def h1(spark: SparkSession, d: str) -> DataFrame:
     """Canonical record digests and natural keys (H1, H2)."""
