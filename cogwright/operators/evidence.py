@@ -213,3 +213,27 @@ def resumable_run(runs: DataFrame, jobs: DataFrame, artifacts: DataFrame, brand:
     late = artifacts.groupBy("run_id").agg(F.max("fetched_at").alias("_last"))
     fit = open_runs.join(ended, "run_job_id").join(bad, "run_id", "left_anti").join(late, "run_id", "left").filter(F.col("_last").isNull() | (F.col("_last") <= F.col("_job_end") + F.expr(GRACE)))
     return fit.orderBy(F.desc("run_started_at"), F.desc("run_id")).limit(1).drop("_job_end", "_last")
+
+
+#: Response headers whose values are not stored (fixed values).
+SECRET_HEADERS = ("authorization", "cookie", "proxy-authorization", "set-cookie")
+
+
+def redact_headers(headers: Column) -> Column:
+    """Headers with sensitive values replaced, whatever the case of their names."""
+    return F.transform_values(headers, lambda k, v: F.when(F.lower(k).isin(*SECRET_HEADERS), F.lit("[REDACTED]")).otherwise(v))
+
+
+def record_captures(captures: DataFrame, stored: DataFrame, order: str) -> DataFrame:
+    """captures with `stores_body` (the first of its body, which is not stored yet) and headers without secrets.
+
+    captures: body_sha256, headers, and an order column; stored: body_sha256 of what is stored.
+    """
+    fresh = captures.select("body_sha256", order).join(stored.select("body_sha256"), "body_sha256", "left_anti").groupBy("body_sha256").agg(F.min(order).alias("_first"))
+    j = captures.join(fresh, "body_sha256", "left")
+    return j.select(*(c for c in captures.columns if c != "headers"), redact_headers(F.col("headers")).alias("headers"), F.coalesce(F.col("_first") == F.col(order), F.lit(False)).alias("stores_body"))
+
+
+def within_budget(bodies: DataFrame, max_bytes: int, max_rows: int) -> DataFrame:
+    """One row (n_rows, stored_bytes, ok): whether a run's bodies stay within its storage budget."""
+    return bodies.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum("stored_bytes"), F.lit(0)).alias("stored_bytes")).withColumn("ok", (F.col("n_rows") <= max_rows) & (F.col("stored_bytes") <= max_bytes))

@@ -36,3 +36,15 @@ def search_effective(source: DataFrame, heads: DataFrame, key: str, number: str,
     """
     h = heads.filter("status = 'active'").select(key, F.col("override").alias("_override"))
     return source.join(h, key, "left").filter(F.coalesce("_override", number) == part_key(F.lit(wanted))).drop("_override")
+
+
+def entity_counts(source: DataFrame, manual: DataFrame, heads: DataFrame) -> DataFrame:
+    """(entity, source, manual, overridden, retired): rows of each kind; heads: entity, status; the others: entity."""
+    marked = source.select("entity", F.lit("source").alias("_k")).unionByName(manual.select("entity", F.lit("manual").alias("_k"))).unionByName(heads.select("entity", F.when(F.col("status") == "retired", "retired").otherwise("overridden").alias("_k")))
+    return marked.groupBy("entity").agg(*(F.count_if(F.col("_k") == k).alias(k) for k in ("source", "manual", "overridden", "retired")))
+
+
+def history(heads: DataFrame, events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """heads with their events as a list in the order of revisions."""
+    listed = events.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("revision", "action", "request_id", "payload"))).alias("events"))
+    return heads.join(listed, list(keys), "left")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, records, text
-from ..operators import curation, export, gates, overlay, rules, vin
+from ..operators import curation, evidence, export, gates, overlay, rules, vin
 from .base import FLAT_SQL, flat_catalog, query, table
 from .curate import _MAPPINGS, _VEHICLES, _mappings, _vehicles
 
@@ -215,3 +215,48 @@ def a15(spark: SparkSession, d: str) -> DataFrame:
     named = lambda df, c: df.select(F.lit("order").alias("record_type"), F.col(c).alias("record_id"))
     broken = gates.orphans(line.select("l_partkey"), table(spark, d, "part").select("p_partkey"), {"l_partkey": "p_partkey"})
     return rules.completion_checks(queue, responses, named(orders, "o_orderkey"), named(line, "l_orderkey"), broken)
+
+
+@query("e2_categories", f"WITH {FLAT_SQL} SELECT vehicle_id, group_code AS category, min(month) AS first_month, max(month) AS last_month, count(DISTINCT part_id) AS part_numbers, min(vehicle) AS vehicle FROM flat GROUP BY 1, 2")
+def e2_categories(spark: SparkSession, d: str) -> DataFrame:
+    """The snapshot's categories."""
+    return flat_catalog(spark, d).groupBy("vehicle_id", F.col("group_code").alias("category")).agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"), F.countDistinct("part_id").alias("part_numbers"), F.min("vehicle").alias("vehicle"))
+
+
+@query("e2_part_numbers", f"WITH {FLAT_SQL} SELECT part_number, min(part_name) AS part_name, count(DISTINCT vehicle_id) AS vehicles, count(DISTINCT brand) AS brands, count(*) AS occurrences FROM flat GROUP BY 1")
+def e2_part_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """The snapshot's part numbers."""
+    return flat_catalog(spark, d).groupBy("part_number").agg(F.min("part_name").alias("part_name"), F.countDistinct("vehicle_id").alias("vehicles"), F.countDistinct("brand").alias("brands"), F.count("*").alias("occurrences"))
+
+
+@query("e2_occurrences", f"WITH {FLAT_SQL} SELECT order_id, line, part_number, vehicle_id, min(month) AS effective_from, max(month) AS effective_to, 'verified_current_catalog' AS derivation FROM flat GROUP BY 1, 2, 3, 4")
+def e2_occurrences(spark: SparkSession, d: str) -> DataFrame:
+    """The snapshot's occurrences with their windows and verdicts."""
+    rows = flat_catalog(spark, d).groupBy("order_id", "line", "part_number", "vehicle_id").agg(F.min("month").alias("effective_from"), F.max("month").alias("effective_to"))
+    return rows.withColumn("derivation", records.fitment_verdict(F.col("effective_from"), F.col("effective_to"), F.lit(True))["derivation"])
+
+
+@query(
+    "e13_entities",
+    "SELECT 'part' AS entity, (SELECT count(*) FROM part) AS source, (SELECT count(*) FROM customer WHERE c_acctbal < 0) AS manual, (SELECT count(*) FROM part WHERE p_size % 5 = 0) AS overridden, (SELECT count(*) FROM part WHERE p_size % 5 = 1) AS retired UNION ALL SELECT 'supplier', (SELECT count(*) FROM supplier), 0, (SELECT count(*) FROM supplier WHERE s_suppkey % 3 = 0), 0",
+)
+def e13_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Source, manual, overridden and retired rows of each kind of entity."""
+    part, supplier = table(spark, d, "part"), table(spark, d, "supplier")
+    heads = part.filter("p_size % 5 < 2").select(F.lit("part").alias("entity"), F.col("p_partkey").alias("key"), F.when(F.col("p_size") % 5 == 0, "active").otherwise("retired").alias("status"))
+    heads = heads.unionByName(supplier.filter("s_suppkey % 3 = 0").select(F.lit("supplier").alias("entity"), F.col("s_suppkey").alias("key"), F.lit("active").alias("status")))
+    source = part.select(F.lit("part").alias("entity")).unionByName(supplier.select(F.lit("supplier").alias("entity")))
+    return overlay.entity_counts(source, table(spark, d, "customer").filter("c_acctbal < 0").select(F.lit("part").alias("entity")), heads)
+
+
+@query(
+    "m17_captures",
+    "SELECT doc_id, sha256(text) AS body_sha256, doc_id = min(doc_id) OVER (PARTITION BY text) AND NOT EXISTS (SELECT 1 FROM documents o WHERE o.doc_id % 10 = 0 AND o.text = d.text) AS stores_body, CASE WHEN doc_id % 2 = 0 THEN '[REDACTED]' ELSE 'v' END AS cookie FROM documents d WHERE doc_id % 10 <> 0",
+)
+def m17(spark: SparkSession, d: str) -> DataFrame:
+    """Captures recorded against stored bodies: which bring a new body, and headers without secrets."""
+    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("body_sha256"))
+    name = F.when(F.col("doc_id") % 2 == 0, "Set-Cookie").otherwise("X-Other")
+    captures = docs.filter("doc_id % 10 <> 0").withColumn("headers", F.create_map(name, F.lit("v")))
+    made = evidence.record_captures(captures, docs.filter("doc_id % 10 = 0").select("body_sha256").distinct(), "doc_id")
+    return made.select("doc_id", "body_sha256", "stores_body", F.map_values("headers")[0].alias("cookie"))

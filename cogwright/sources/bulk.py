@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import model_year
 from ..functions.records import canonical_json, natural_key, record_digest
-from ..functions.text import cp1252_from_latin1
+from ..functions.text import cp1252_from_latin1, header_key
 
 
 @dataclass(frozen=True)
@@ -140,6 +140,14 @@ def read_dataset(spark: SparkSession, path: str, spec: DatasetSpec) -> tuple[Dat
     return union([r for r, _ in split]), union([x for _, x in split])
 
 
+def member_fields(members: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """members with `fields` and `schema_sha256`: the names in a headed member's first line, or the spec's own, and their digest."""
+    first = F.regexp_replace(F.regexp_extract(F.decode(F.substring("content", 1, 1_000_000), "ISO-8859-1"), r"^([^\r\n]*)", 1), "^(?:\ufeff|ï»¿)", "")
+    names = F.transform(F.split(first, re.escape(spec.delimiter)), lambda x: header_key(F.regexp_replace(x, spec.quote or "$^", ""))) if spec.header else F.array(*(F.lit(f) for f in spec.fields))
+    listed = F.when(F.col("content").isNotNull(), names)
+    return members.withColumn("fields", listed).withColumn("schema_sha256", F.sha2(F.to_json("fields"), 256))
+
+
 def archive_members(spark: SparkSession, path: str, expected: str) -> DataFrame:
     """(file, member, size, packed_size, crc_ok, error, content) of zip archives: each must have just the expected member."""
 

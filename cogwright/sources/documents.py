@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
+import zlib
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +56,37 @@ def sitemap_urls(texts: DataFrame) -> DataFrame:
     return texts.select("source", kind.alias("kind"), F.explode(urls).alias("url")).withColumn("url", F.trim("url")).filter("url <> ''")
 
 
+def read_sitemaps(spark: SparkSession, path: str) -> DataFrame:
+    """(source, kind, url) of sitemap files, gzipped or not; a file that can't be unpacked has no rows."""
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for source, content in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    raw = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+                except (OSError, EOFError, zlib.error):
+                    continue
+                out.append((source, raw.decode("utf-8", "replace")))
+            yield pd.DataFrame(out, columns=["source", "value"])
+
+    return sitemap_urls(spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "source string, value string"))
+
+
+def nested_sitemaps(found: DataFrame, texts: DataFrame, depth: int = 3) -> DataFrame:
+    """(url) of all pages that sitemaps lead to, indexes followed up to `depth` levels among the texts at hand.
+
+    found: rows of sitemap_urls to start from; texts: (source, value) of nested sitemaps by their URL.
+    """
+    pages = found.filter("kind = 'page'").select("url")
+    todo = found.filter("kind = 'sitemap'").select(F.col("url").alias("source")).distinct()
+    for _ in range(depth):
+        inner = sitemap_urls(texts.join(todo, "source", "left_semi"))
+        pages = pages.unionByName(inner.filter("kind = 'page'").select("url"))
+        todo = inner.filter("kind = 'sitemap'").select(F.col("url").alias("source")).distinct()
+    return pages.distinct()
+
+
 def stored_pages(responses: DataFrame, bodies: DataFrame, max_status: int = 400) -> DataFrame:
     """Responses with their bodies by content hash, without errors and challenges."""
     return responses.filter((F.col("status") < max_status) & ~F.coalesce(F.col("challenged"), F.lit(False))).join(bodies, "body_sha256")

@@ -255,3 +255,25 @@ def test_unit_parts(spark):
     assert sorted((r.page_id, r.part_number, r.error) for r in rejects.collect()) == [
         (1, "A2", "nameless"), (1, "A3", "nameless"), (2, "B3", "malformed"), (2, "B4", "malformed"), (3, "C1", "nameless"), (3, "C2", "malformed"), (4, "D2", "malformed"),
     ]
+
+
+def test_sitemap_files_and_members(spark, tmp_path):
+    import gzip
+    import zipfile
+
+    from cogwright.functions.records import schema_fingerprint
+
+    (tmp_path / "s").mkdir()
+    index = "<sitemapindex xmlns='x'><sitemap><loc>http://a.b/2.xml</loc></sitemap></sitemapindex>"
+    (tmp_path / "s" / "1.xml.gz").write_bytes(gzip.compress(index.encode()))
+    (tmp_path / "s" / "2.xml").write_text("<urlset><url><loc> http://a.b/p </loc></url></urlset>")
+    (tmp_path / "s" / "3.xml.gz").write_bytes(b"\x1f\x8bbroken")
+    found = documents.read_sitemaps(spark, str(tmp_path / "s"))
+    assert sorted((r.kind, r.url) for r in found.collect()) == [("page", "http://a.b/p"), ("sitemap", "http://a.b/2.xml")]
+    texts = spark.createDataFrame([("http://a.b/2.xml", index.replace("2.xml", "3.xml")), ("http://a.b/3.xml", "<urlset><url><loc>http://a.b/q</loc></url></urlset>")], "source string, value string")
+    assert sorted(r.url for r in documents.nested_sitemaps(found, texts).collect()) == ["http://a.b/p", "http://a.b/q"]
+    with zipfile.ZipFile(tmp_path / "m.zip", "w") as z:
+        z.writestr("m.csv", "Make,Model-Yr\nx,1\n")
+    spec = bulk.DatasetSpec("t", (), ("MAKE",), delimiter=",", header=True, quote='"')
+    row = bulk.member_fields(bulk.archive_members(spark, str(tmp_path / "m.zip"), "m.csv"), spec).first()
+    assert (row.fields, row.schema_sha256) == (["MAKE", "MODEL_YR"], schema_fingerprint(["MAKE", "MODEL_YR"]))
