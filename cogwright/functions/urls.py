@@ -34,13 +34,16 @@ def query_param(c: str | Column, key: str) -> Column:
     return F.when(_c(c).rlike(r"[?&]" + key + "="), F.try_url_decode(raw))
 
 
-def public_url(c: str | Column, hosts: Sequence[str], paths: str, keys: Sequence[str]) -> Column:
-    """struct(value, error): an https URL of an official host and an allowed path, with allowed query keys only, sorted."""
+def public_url(c: str | Column, hosts: Sequence[str] | str, paths: str, keys: Sequence[str]) -> Column:
+    """struct(value, error): an https URL of an official host and an allowed path, with allowed query keys only, sorted.
+
+    hosts: the official ones, or a pattern that they match.
+    """
     scheme, host, rest = _parts(_c(c))
     path, query = F.regexp_extract(rest, r"^([^?]*)", 1), F.regexp_extract(rest, r"\?(.*)$", 1)
     kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: F.substring_index(p, "=", 1).isin(*keys)))
     value = F.concat(F.lit("https://"), host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(F.lit("")))
-    error = F.when(F.coalesce(scheme, F.lit("")) != "https", "scheme").when(~host.isin(*hosts), "host").when(~path.rlike(paths), "path")
+    error = F.when(F.coalesce(scheme, F.lit("")) != "https", "scheme").when(~(host.rlike(hosts) if isinstance(hosts, str) else host.isin(*hosts)), "host").when(~path.rlike(paths), "path")
     return F.struct(F.when(error.isNull(), value).alias("value"), error.alias("error"))
 
 

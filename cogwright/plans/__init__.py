@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog, curate, evidence, records, rules, serve, views  # noqa: F401  (each registers its queries)
+from . import catalog, curate, evidence, functions, records, rules, serve, views  # noqa: F401  (each registers its queries)
 from .base import QUERIES, SQL, Query
 
 
