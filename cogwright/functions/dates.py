@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean_text
+from .text import clean_text, let
 
 FIRST_YEAR, LAST_YEAR = 1886, 2100
 _YM = r"(\d{4})-(\d{2})(?:-\d{2})?"
@@ -29,7 +29,10 @@ def parse_range(c: str | Column) -> Column:
     and YYYY (parser site). What fits no form, lies outside 1886-2100, has no such month or runs backwards is unknown,
     with confidence 0.
     """
-    s = F.coalesce(clean_text(c), F.lit(""))
+    return let(F.coalesce(clean_text(c), F.lit("")), _range_of)
+
+
+def _range_of(s: Column) -> Column:
     # (pattern, precision, parser, start, end): a bound is (year group, month group or fixed month), or None if open.
     forms = [
         (f"^{_YM}{_TILDE}{_YM}$", "month", "generic", (1, 2), (3, 4)),

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import error_codes, is_blank
+from .text import error_codes, is_blank, let
 
 
 def _c(c: str | Column) -> Column:
@@ -153,14 +153,17 @@ def header_value(headers: Column, name: str) -> Column:
 
 def detect_challenge(status: Column, headers: Column, body: Column) -> Column:
     """struct(flag, reason): whether a response asks for proof of a human, by header, by text or by a refusal."""
-    text = F.lower(F.substring(F.coalesce(body, F.lit("")), 1, 1_000_000))
     guarded = F.contains(header_value(headers, "server"), F.lit("cloudflare"))
-    marked = reduce(lambda a, b: a | b, [text.contains(m) for m in CHALLENGE_MARKERS])
-    reason = (
-        F.when(header_value(headers, "cf-mitigated") == "challenge", "cloudflare_challenge").when(marked & guarded, "cloudflare_challenge").when(marked, "access_denied")
-        .when((status == 403) & (guarded | text.contains("access denied")), "access_denied")
-    )
-    return F.struct(reason.isNotNull().alias("flag"), reason.alias("reason"))
+
+    def reason(text: Column) -> Column:
+        marked = reduce(lambda a, b: a | b, [text.contains(m) for m in CHALLENGE_MARKERS])
+        return (
+            F.when(header_value(headers, "cf-mitigated") == "challenge", "cloudflare_challenge").when(marked & guarded, "cloudflare_challenge").when(marked, "access_denied")
+            .when((status == 403) & (guarded | text.contains("access denied")), "access_denied")
+        )
+
+    found = let(F.lower(F.substring(F.coalesce(body, F.lit("")), 1, 1_000_000)), reason)
+    return let(found, lambda r: F.struct(r.isNotNull().alias("flag"), r.alias("reason")))
 
 
 def starts_as_challenge(html: Column) -> Column:
@@ -187,11 +190,12 @@ def unquoted(c: Column) -> Column:
 
 def has_secret(c: str | Column) -> Column:
     """Whether a text, or what up to three rounds of percent-decoding make of it, holds secret material."""
-    rounds = [_c(c)]
-    for _ in range(3):
-        rounds.append(unquoted(rounds[-1]))
-    found = F.exists(F.array(*rounds), lambda x: reduce(lambda a, b: a | b, [x.rlike(p) for p in SECRET_PATTERNS]))
-    return F.coalesce(found, F.lit(False))
+
+    def held(x: Column, rounds: int) -> Column:
+        own = reduce(lambda a, b: a | b, [x.rlike(p) for p in SECRET_PATTERNS])
+        return own if rounds == 0 else own | let(unquoted(x), lambda y: held(y, rounds - 1))
+
+    return F.coalesce(let(_c(c), lambda x: held(x, 3)), F.lit(False))
 
 
 #: Form fields that hold secrets (fixed values).
@@ -232,11 +236,19 @@ def classify_page(url: str | Column, html: str | Column, search_path: str = "/en
     route = F.regexp_extract(F.regexp_replace(path, "/+$", ""), "([^/]*)$", 1)
     page = F.coalesce(_c(html), F.lit(""))
     labels = F.concat_ws(" ", _texts_in(page, "h1"), _texts_in(page, "h2"), _texts_in(page, "th"))
-    has = labels.contains
-    return (
+
+    def by_labels(label: Column) -> Column:
+        has = label.contains
+        return (
+            F.when(has("part number") | (has("callout") & has("quantity")), "parts").when(has("diagram") & ~has("model"), "diagram")
+            .when(has("prod period") | has("sales code") | has("chassis") | has("engine"), "vehicle")
+        )
+
+    by_path = (
         F.when(path.endswith(".xml") | path.endswith(".xml.gz") | path.contains("sitemap"), "sitemap").when(path == "/robots.txt", "robots").when(path == search_path, "search")
         .when(route.isin(*ROUTES), route).when(F.trim(page) == "", "unknown")
-        .when(has("part number") | (has("callout") & has("quantity")), "parts").when(has("diagram") & ~has("model"), "diagram")
-        .when(has("prod period") | has("sales code") | has("chassis") | has("engine"), "vehicle")
-        .when(bare.rlike(r"[?&]q=[^&]"), "search").when(F.regexp_replace(path, "/+$", "") == root_path, "genuine_root").otherwise("generic")
     )
+    by_query = (
+        F.when(bare.rlike(r"[?&]q=[^&]"), "search").when(F.regexp_replace(path, "/+$", "") == root_path, "genuine_root").otherwise("generic")
+    )
+    return F.coalesce(by_path, let(labels, by_labels), by_query)

@@ -45,7 +45,7 @@ _RAW_VIN = "CASE p_partkey % 4 WHEN 0 THEN ' ' || lower(substr(md5(p_name), 1, 1
     "f_vins",
     f"""WITH v AS (SELECT p_partkey, p_type, p_size, p_brand, {_RAW_VIN} AS raw FROM part), n AS (SELECT *, CASE WHEN p_partkey % 4 IN (0, 3) THEN upper(trim(raw)) END AS vin FROM v)
 SELECT p_partkey, p_partkey % 4 = 3 AS is_vin, vin, 'vin:' || sha256(vin) AS source_key, CASE p_size WHEN 1 THEN 'ENGINE' WHEN 2 THEN 'BODY' ELSE 'CATEGORY ' || p_size END AS category, 'https://a.b/s?q=' || upper(replace(p_brand, ' ', '')) AS link, string_split(p_type, ' ')[1] AS main, string_split(p_type, ' ')[3] AS small,
-upper(regexp_replace(regexp_replace('  ' || p_brand || ' (' || p_type || ')', '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')) AS header, list_filter([p_size, 11], lambda x: p_partkey % 2 = 0) AS codes, starts_with(p_brand, 'Brand#1') AS matched FROM n""",
+upper(regexp_replace(regexp_replace('  ' || p_brand || ' (' || p_type || ')', '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')) AS header, CASE WHEN p_partkey % 2 <> 0 THEN [] WHEN p_size = 11 THEN [11] ELSE [p_size, 11] END AS codes, starts_with(p_brand, 'Brand#1') AS matched FROM n""",
 )
 def f_vins(spark: SparkSession, d: str) -> DataFrame:
     """VINs, keys, codes and names made of parts."""

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_range
-from ..functions.text import clean_text, is_blank, part_key
+from ..functions.text import clean_text, is_blank, let, part_key
 from ..functions.urls import query_param
 
 PARSED = "page_id long, title string, heading string, breadcrumb array<string>, metadata map<string,string>, anchors array<struct<href:string,text:string,data:map<string,string>>>, tables array<struct<header:array<string>,classes:array<string>,rows:array<struct<cells:array<string>,links:array<string>>>>>"
@@ -377,30 +377,42 @@ def parse_vehicle_name(name: Column) -> Column:
     The body is looked for in the whole text.
     """
     text = F.coalesce(clean_text(name), F.lit(""))
-    words = F.filter(F.split(text, " "), lambda t: t != "")
+    split = F.filter(F.split(text, " "), lambda t: t != "")
+    return let(F.struct(text.alias("text"), split.alias("words")), _vehicle_of)
+
+
+def _vehicle_of(name: Column) -> Column:
+    words = name["words"]
     pair = F.upper(F.concat_ws(" ", F.get(words, F.lit(0)), F.get(words, F.lit(1))))
     first = F.get(words, F.lit(0))
     two = pair.isin(*TWO_WORD_BRANDS) & (F.size(words) > 1)
     usual = F.create_map(*(F.lit(x) for kv in BRAND_ALIASES.items() for x in kv))
     known = F.upper(first).isin(*BRANDS, *BRAND_ALIASES)
     named = F.when(two, pair).when(known, F.upper(first)).otherwise(F.coalesce(first, F.lit("")))
-    brand = F.when(two | known, F.coalesce(F.try_element_at(usual, named), named)).otherwise(named)
-    rest = F.slice(words, F.when(two, 3).otherwise(2), F.size(words) + 1)
-
+    brand = let(F.struct(named.alias("b"), (two | known).alias("k")), lambda x: F.when(x["k"], F.coalesce(F.try_element_at(usual, x["b"]), x["b"])).otherwise(x["b"]))
     with_unit = lambda t: t.rlike(r"(?i)^[1-9]\d{3}(?:C\.?C\.?|㏄)$")
     bare = lambda t: F.coalesce(t.rlike(r"^[1-9]\d{2,3}$") & F.when(t.rlike(r"^\d{3,4}$"), t).try_cast("int").between(LEAST_CC, MOST_CC), F.lit(False))
-    cc_at = F.array_min(F.filter(F.transform(rest, lambda t, i: F.when(with_unit(t) | bare(t), i)), lambda i: i.isNotNull()))
-    kinds = F.transform(
-        rest,
-        lambda t, i: F.struct(
-            t.alias("t"),
-            F.when(t.rlike("(?i)^[2-7][-~]?D$"), "door").when(with_unit(t) | F.coalesce(i == cc_at, F.lit(False)), "cc").when(_first_label(F.upper(t), STYLES).isNotNull(), "style")
-            .when(_first_label(t, TRANSMISSIONS).isNotNull(), "box").otherwise("model").alias("kind"),
-        ),
-    )
-    of = lambda kind: F.transform(F.filter(kinds, lambda k: k["kind"] == kind), lambda k: k["t"])
-    styles = F.transform(of("style"), lambda t: _first_label(F.upper(t), STYLES))
-    return F.struct(
-        brand.alias("brand"), F.array_join(of("model"), " ").alias("model_raw"), F.regexp_extract(F.get(rest, cc_at), r"^(\d+)", 1).try_cast("int").alias("displacement_cc"), _first_label(F.upper(text), BODIES).alias("body_rule"),
-        _first_label(F.get(of("box"), F.lit(0)), TRANSMISSIONS).alias("transmission"), F.substring(F.try_element_at(of("door"), F.lit(-1)), 1, 1).try_cast("int").alias("doors"), F.nullif(F.array_join(styles, " "), F.lit("")).alias("style"),
-    )
+
+    def sorted_out(rest: Column) -> Column:
+        """(cc, kinds): the displacement's word, and each word with what it is."""
+        at = F.array_min(F.filter(F.transform(rest, lambda t, i: F.when(with_unit(t) | bare(t), i)), lambda i: i.isNotNull()))
+        kinds = lambda cc: F.transform(
+            rest,
+            lambda t, i: F.struct(
+                t.alias("t"),
+                F.when(t.rlike("(?i)^[2-7][-~]?D$"), "door").when(with_unit(t) | F.coalesce(i == cc, F.lit(False)), "cc").when(_first_label(F.upper(t), STYLES).isNotNull(), "style")
+                .when(_first_label(t, TRANSMISSIONS).isNotNull(), "box").otherwise("model").alias("kind"),
+            ),
+        )
+        return let(at, lambda cc: F.struct(F.get(rest, cc).alias("cc"), kinds(cc).alias("kinds")))
+
+    def fields(found: Column) -> Column:
+        of = lambda kind: F.transform(F.filter(found["kinds"], lambda k: k["kind"] == kind), lambda k: k["t"])
+        styles = F.transform(of("style"), lambda t: _first_label(F.upper(t), STYLES))
+        return F.struct(
+            brand.alias("brand"), F.array_join(of("model"), " ").alias("model_raw"), F.regexp_extract(found["cc"], r"^(\d+)", 1).try_cast("int").alias("displacement_cc"), let(F.upper(name["text"]), lambda t: _first_label(t, BODIES)).alias("body_rule"),
+            let(F.get(of("box"), F.lit(0)), lambda t: _first_label(t, TRANSMISSIONS)).alias("transmission"), F.substring(F.try_element_at(of("door"), F.lit(-1)), 1, 1).try_cast("int").alias("doors"), F.nullif(F.array_join(styles, " "), F.lit("")).alias("style"),
+        )
+
+    rest = F.slice(words, F.when(two, 3).otherwise(2), F.size(words) + 1)
+    return let(let(rest, sorted_out), fields)
