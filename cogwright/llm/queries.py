@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chroma, hyperminhash, licenses, linededup, mixing, packing, quality, revisits, simhash, suffixdedup
+from . import chroma, convtrie, divergence, hyperminhash, licenses, linededup, mixing, packing, quality, revisits, simhash, suffixdedup, tokenfiles
 from .common import materialize, read_table
 
 
@@ -62,6 +62,21 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ in their words."""
+    return divergence.divergence_report(read_table(spark, sf_dir, "documents"))
+
+
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document's ids stand in the token files, with their checksum, from the files."""
+    return tokenfiles.token_report(read_table(spark, sf_dir, "documents"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    return convtrie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
@@ -74,8 +89,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licenses": op8_licenses,
         "op9_chroma": op9_chroma,
         "op10_lines": op10_lines,
+        "op11_divergence": op11_divergence,
+        "op12_tokens": op12_tokens,
+        "op13_trie": op13_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_revisits": revisits.REPORT_SQL, "op7_mix": mixing.REPORT_SQL, "op10_lines": linededup.REPORT_SQL}
+    return {"op5_revisits": revisits.REPORT_SQL, "op7_mix": mixing.REPORT_SQL, "op10_lines": linededup.REPORT_SQL, "op11_divergence": divergence.REPORT_SQL, "op13_trie": convtrie.REPORT_SQL}
