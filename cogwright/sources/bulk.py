@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import model_year
 from ..functions.records import canonical_json, natural_key, record_digest
 from ..functions.text import cp1252_from_latin1, header_key
+from ..operators.scratch import written
+from .quoted import block_states, quoted_records
 
 
 @dataclass(frozen=True)
@@ -35,9 +37,9 @@ class DatasetSpec:
     roles: dict[str, str] = field(default_factory=dict)
 
 
-def header_names(line: str, delimiter: str, required: tuple[str, ...] = ()) -> list[str]:
-    """Normalised names of a header line; blank or repeated names and missing required ones are errors."""
-    names = [re.sub("[^A-Za-z0-9]+", "_", x.strip().strip('"')).strip("_").upper() for x in line.split(delimiter)]
+def header_names(fields: Sequence[str], required: tuple[str, ...] = ()) -> list[str]:
+    """Normalised names of a header's fields; blank or repeated names and missing required ones are errors."""
+    names = [re.sub("[^A-Za-z0-9]+", "_", x.lstrip("\ufeffï»¿").strip()).strip("_").upper() for x in fields]
     if any(not n for n in names) or len(set(names)) < len(names):
         raise ValueError(f"blank or repeated column names: {names}")
     if missing := set(required) - set(names):
@@ -59,53 +61,28 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.join(parts, ["file", "_part"]).select("file", (F.col("_row") - F.col("_first") + F.col("_before") + 1).alias("line"), cp1252_from_latin1("value").alias("value"))
 
 
-#: Lines of a file that are looked at together when quoted line breaks are joined.
-BLOCK_LINES = 100_000
-
-
-def quoted_records(lines: DataFrame, quote: str) -> DataFrame:
-    """(file, line, value) with lines joined that a quoted line break parts; line is a record's first.
-
-    A record starts where the quotes before it are even in number. They are counted by blocks of lines and summed over
-    the blocks before, so a file is dealt over many tasks.
-    """
-    rows = lines.withColumns({"_block": F.floor(F.col("line") / BLOCK_LINES), "_q": F.char_length("value") - F.char_length(F.replace("value", F.lit(quote), F.lit("")))})
-    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("file", "_block").agg(F.sum("_q").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    inside = Window.partitionBy("file", "_block").orderBy("line")
-    rows = rows.join(blocks, ["file", "_block"])
-    odd = (F.col("_before") + F.coalesce(F.sum("_q").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2
-    rows = rows.withColumn("_start", F.when(odd == 0, F.col("line")))
-    lasts = rows.groupBy("file", "_block").agg(F.max("_start").alias("_last")).withColumn("_carried", F.max("_last").over(earlier)).drop("_last")
-    rows = rows.join(lasts, ["file", "_block"]).withColumn("_first", F.coalesce(F.max("_start").over(inside), "_carried"))
-    joined = rows.groupBy("file", F.col("_first").alias("line")).agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("_lines"))
-    return joined.select("file", "line", F.array_join(F.transform("_lines", lambda x: x["value"]), "\n").alias("value"))
-
-
-def split_rows(lines: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
-    """(records, rejects) of (file, line, value): a wrong number of fields or an empty identity is a reject.
-
-    Blank lines are passed over. Records have the spec's fields, file, line, natural_key and its sha256.
-    """
-    rows = lines.filter(F.col("value").rlike(r"\S"))
-    if spec.quote:
-        parsed = F.from_csv("value", ", ".join(f"`{n}` string" for n in [*spec.fields, "_extra"]), {"sep": spec.delimiter, "quote": spec.quote, "escape": spec.quote, "multiLine": "true"})
-        n = F.size(F.split("value", re.escape(spec.delimiter) + r"(?=(?:[^" + spec.quote + "]*" + spec.quote + "[^" + spec.quote + "]*" + spec.quote + ")*[^" + spec.quote + "]*$)", -1))
-        rows = rows.withColumn("_p", parsed).withColumn("_n", n).select("file", "line", "value", "_n", *(F.col(f"_p.{c}").alias(c) for c in spec.fields))
-    else:
-        parts = F.split("value", re.escape(spec.delimiter), -1)
-        rows = rows.withColumn("_s", parts).select("file", "line", "value", F.size("_s").alias("_n"), *(F.get("_s", F.lit(i)).alias(c) for i, c in enumerate(spec.fields)))
+def _checked(rows: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of (file, line, value, _n, the spec's fields); _n is the number of fields, null where a record is too long to be split."""
     rows = rows.withColumn("natural_key", natural_key(list(spec.identity)))
     missing = F.lit(False)
     for c in spec.required:
         missing = missing | (F.coalesce(F.trim(F.col(c)), F.lit("")) == "")
-    error = F.when(F.col("_n") != len(spec.fields), "field_count").when(F.col("natural_key").isNull(), "empty_identity").when(missing, "missing_field")
+    error = F.when(F.col("_n").isNull(), "too_long").when(F.col("_n") != len(spec.fields), "field_count").when(F.col("natural_key").isNull(), "empty_identity").when(missing, "missing_field")
     rows = rows.withColumn("error_type", error)
     rejects = rows.filter("error_type is not null").select("file", "line", F.sha2("value", 256).alias("raw_sha256"), "error_type", F.col("value").alias("raw_text"))
     records = rows.filter("error_type is null").select(*spec.fields, "file", "line", "natural_key", F.sha2("natural_key", 256).alias("natural_key_sha256"))
     return records, rejects
 
 
+def split_rows(lines: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of (file, line, value) without quoting: a wrong number of fields or an empty identity is a reject.
+
+    Blank lines are passed over. Records have the spec's fields, file, line, natural_key and its sha256.
+    """
+    rows = lines.filter(F.col("value").rlike(r"\S")).withColumn("_s", F.split("value", re.escape(spec.delimiter), -1))
+    return _checked(rows.select("file", "line", "value", F.size("_s").alias("_n"), *(F.get("_s", F.lit(i)).alias(c) for i, c in enumerate(spec.fields))), spec)
+
+
 def normalised(records: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Records in the one shape of all datasets: keys, digest, the role columns, and the payload as JSON."""
     role = lambda r: F.nullif(F.trim(F.col(spec.roles[r])), F.lit("")) if r in spec.roles else F.lit(None).cast("string")
@@ -117,27 +94,43 @@ def normalised(records: DataFrame, spec: DatasetSpec) -> DataFrame:
     )
 
 
+#: Column layouts of a dataset's files that are looked at; files of one dataset have few.
+LAYOUTS = 1000
+
+
 def read_dataset(spark: SparkSession, path: str, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
     """(records, rejects) of the files below a path.
 
-    Each file's header line, if the dataset has them, is checked against the required fields and names that file's
-    fields; files with other columns than the rest have nulls in those they lack. Quoted fields may hold line breaks.
+    Quoted fields may hold line breaks and delimiters, and stray, doubled and unclosed quotes mean what they mean to
+    `csv.reader`; line is then a record's last line. A record of over quoted.RECORD_CHARS characters is a reject without its text.
+    If the dataset has header lines, each file's first record is checked against the required fields and names that
+    file's fields; files with other columns than the rest have nulls in those they lack.
     """
-    lines = numbered_lines(spark, path)
-    if spec.quote:
-        lines = quoted_records(lines, spec.quote)
-    if not spec.header:
-        return split_rows(lines, spec)
-    # One row a file; few layouts, however many files.
-    heads = {r["file"]: tuple(header_names(r["value"].lstrip("\ufeffï»¿"), spec.delimiter, spec.required)) for r in lines.filter("line = 1").select("file", "value").collect()}
-    layouts = sorted(set(heads.values()))
-    if not layouts:
-        return split_rows(lines, spec)
-    of_file = spark.createDataFrame([(f, layouts.index(h)) for f, h in heads.items()], "file string, _layout int")
-    body = lines.filter("line > 1").join(of_file, "file")
-    split = [split_rows(body.filter(F.col("_layout") == i), replace(spec, fields=h)) for i, h in enumerate(layouts)]
+    if not spec.quote:
+        return split_rows(numbered_lines(spark, path), spec)
+    states = block_states(spark, path, spec.delimiter, spec.quote)
+    layouts = [tuple(spec.fields)]
+    if spec.header:
+        heads = [r["head"] for r in states.filter("block = 0").select("head").distinct().limit(LAYOUTS + 1).collect()]
+        if len(heads) > LAYOUTS or None in heads:
+            raise ValueError("too many column layouts, or a first record that is too long")
+        named = [header_names(h, spec.required) for h in heads]
+        layouts = sorted(set(map(tuple, named)))
+        numbers = spark.createDataFrame([(h, layouts.index(tuple(n))) for h, n in zip(heads, named, strict=True)], "head array<string>, layout int")
+        states = states.join(F.broadcast(numbers), "head").drop("head")
+    else:
+        states = states.drop("head").withColumn("layout", F.lit(0))
+    found = quoted_records(spark, path, written(states, "block-states"), spec.delimiter, spec.quote)
+    if spec.header:
+        first = found.groupBy("file").agg(F.min("line").alias("line"))
+        found = found.join(first, ["file", "line"], "left_anti")
+    rows = found.select("file", "line", "layout", "fields", F.array_join("fields", spec.delimiter).alias("value"), F.when(F.col("fields").isNotNull(), F.size("fields")).alias("_n"))
+    split = []
+    for i, names in enumerate(layouts):
+        of_layout = rows.filter(F.col("layout") == i)
+        split.append(_checked(of_layout.select("file", "line", "value", "_n", *(F.get("fields", F.lit(k)).alias(c) for k, c in enumerate(names))), replace(spec, fields=names)))
     union = lambda parts: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return union([r for r, _ in split]), union([x for _, x in split])
+    return (union([r for r, _ in split]), union([x for _, x in split])) if split else split_rows(spark.createDataFrame([], "file string, line long, value string"), spec)
 
 
 def member_fields(members: DataFrame, spec: DatasetSpec) -> DataFrame:
