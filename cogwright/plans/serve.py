@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import dates, urls
 from ..operators import gates, merge, paging
+from ..operators.scratch import scratch_path
 from ..sources.pages import parse_pages, parse_vehicle_name, taxonomy
-from ..streaming import jobs
+from ..streaming import discovery
 from .base import query, table
 
 
@@ -174,13 +171,26 @@ def m10(spark: SparkSession, d: str) -> DataFrame:
     return merge.insert_new(docs.filter("doc_id % 50 = 0").select("lang", "source"), docs.select("lang", "source"), ["lang", "source"])
 
 
-@query("t1_discovered", r"SELECT DISTINCT s || '://' || h || CASE WHEN starts_with(r, '/') THEN r ELSE '/' || r END AS url FROM (SELECT lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) AS s, lower(regexp_extract(u, '^[A-Za-z]+://([^/?]*)', 1)) AS h, regexp_extract(u, '^[A-Za-z]+://[^/?]*(.*)$', 1) AS r FROM (SELECT regexp_replace(url, '#.*$', '') AS u FROM pages))")
+#: The URLs of `pages` as normalize_url() has them.
+PAGE_URLS_SQL = r"SELECT page_id, s || '://' || h || CASE WHEN starts_with(r, '/') THEN r ELSE '/' || r END AS url FROM (SELECT page_id, lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) AS s, lower(regexp_extract(u, '^[A-Za-z]+://([^/?]*)', 1)) AS h, regexp_extract(u, '^[A-Za-z]+://[^/?]*(.*)$', 1) AS r FROM (SELECT page_id, regexp_replace(url, '#.*$', '') AS u FROM pages))"
+
+
+def _discovered_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages as a stream of discoveries in three runs, each page found by a parent and one of two methods, through the state of each run."""
+    root = scratch_path(spark, "discovered")
+    rows = spark.readStream.schema("page_id long, url string, html string").parquet(f"{d}/pages*")
+    asked = rows.select((F.col("page_id") % 3).alias("run_id"), "url", F.concat(F.lit("parent"), (F.col("page_id") % 7).cast("string")).alias("parent"), F.when(F.col("page_id") % 2 == 0, "html").otherwise("sitemap").alias("method"), F.timestamp_seconds(F.lit(1_700_000_000) - F.col("page_id")).alias("seen_at"))
+    discovery.write_discovered(discovery.discovered(asked), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(discovery.FOUND).parquet(f"{root}/out")
+
+
+@query("t1_discovered", f"SELECT DISTINCT page_id % 3 AS run_id, url FROM ({PAGE_URLS_SQL})")
 def t1(spark: SparkSession, d: str) -> DataFrame:
-    """Each URL once, as a stream over the pages with a checkpoint."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    root = f"{shared or tempfile.mkdtemp(prefix='spark-scratch-')}/discovered-{uuid.uuid4().hex}"
-    rows = spark.readStream.schema("page_id long, url string, html string").parquet(f"{d}/pages*").select(F.lit(1).alias("run_id"), urls.normalize_url("url").alias("url"), F.current_timestamp().alias("seen_at"))
-    jobs.write_new(jobs.first_seen(rows), f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema("run_id int, url string").parquet(f"{root}/out").select("url")
+    """Each URL once a run, as a stream over the pages with a checkpoint."""
+    return _discovered_pages(spark, d).filter("kind = 'url'").select("run_id", "url")
+
+
+@query("t1_edges", f"SELECT DISTINCT page_id % 3 AS run_id, 'parent' || page_id % 7 AS parent, url, CASE WHEN page_id % 2 = 0 THEN 'html' ELSE 'sitemap' END AS method FROM ({PAGE_URLS_SQL})")
+def t1_edges(spark: SparkSession, d: str) -> DataFrame:
+    """What leads to each URL of a run, each edge once."""
+    return _discovered_pages(spark, d).filter("kind = 'edge'").select("run_id", "parent", "url", "method")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.urls import normalize_url
 from ..operators.merge import insert_new, last_per_key
 
 
@@ -16,22 +15,6 @@ def _read(spark: SparkSession, in_dir: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(in_dir)
 
 
-def first_seen(rows: DataFrame) -> DataFrame:
-    """The first of a run's rows (run_id, url, seen_at, ...) for each URL within a day."""
-    return rows.withWatermark("seen_at", "1 day").dropDuplicatesWithinWatermark(["run_id", "url"])
-
-
-def stream_discovered(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str) -> StreamingQuery:
-    """(run_id, url, parent, seen_at): each normalised URL once a run; the state is bounded by a day's watermark."""
-    rows = _read(spark, in_dir, "run_id long, url string, parent string, seen_at timestamp").withColumn("url", normalize_url("url")).filter("url is not null")
-    return first_seen(rows).writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def write_new(rows: DataFrame, out_dir: str, checkpoint: str) -> StreamingQuery:
-    """All that has arrived, appended as Parquet."""
-    return rows.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
 def stream_insert_new(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema: str, keys: Sequence[str]) -> StreamingQuery:
     """Rows whose key is not in the output yet (records of captures, versions of records); a batch that is run again adds nothing."""
 
