@@ -37,21 +37,41 @@ PERCENTILE = 90
 #: Ids after which a segment ends, and segments in a file: some 30 MB.
 SEGMENT_IDS = 1 << 18
 SEGMENTS_PER_FILE = 64
-#: Pieces of text whose ids a task remembers, and ids that are unpacked at a time.
-REMEMBERED = 400_000
+#: Pieces of text whose ids a task remembers, and blocks that are unpacked at a time.
+REMEMBERED = 1_000_000
 UNPACKED_BLOCKS = 1 << 12
 MAGIC = b"PFR1"
 _HEAD = struct.Struct("<4sQIQII")
 
-#: A single space between two characters that are no white space always begins a new word of the vocabulary's pattern.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_LATIN, _ASCII, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"\x00-&(-@\[-`{-\x7f", r"!-&(-@\[-`{-~"
+#: Pieces of a text at whose ends the byte-level pattern ends a word whatever follows: Latin letters with a space before
+#: them, or what stands between such words. Apostrophes begin contractions and other letters go on a word, so neither ends a
+#: piece; nor does white space of two characters or more, of which the pattern gives the last to what follows.
+_PIECE = re.compile(rf" ?[{_LATIN}]++(?=[{_ASCII}]|\Z)|(?s:.)+?(?=\Z|(?<=[{_ASCII}]) [{_LATIN}]|(?<=[{_MARKS}])[{_LATIN}]|(?<=\S\n)[{_LATIN}]|(?<=\S) (?=\S))")
+
+
+_WORD = re.compile(rf" ?[{_LATIN}]+")
+#: The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on in their order.
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+
+
+class _Places(dict):
+    """Numbers of pieces, in the order in which they are first asked for; `new` has those that came since."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        self[piece] = n = len(self)
+        return n
 
 
 class WordEncoder:
     """Ids of texts by the `tokenizers` library, which sees each distinct piece of text once.
 
-    Texts are cut at single spaces between other characters. The byte-level pattern always ends a word there, so pieces
-    can be encoded by themselves; a test holds the ids against those of whole texts.
+    The byte-level pattern ends a word at each end of a piece, so pieces can be encoded by themselves. A text with a special
+    token's name in it is encoded whole. A test holds the ids against those of whole texts.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -60,36 +80,43 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        self._named = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
-        self._place: dict[str, int] = {}
-        self._flat, self._starts, self._used = np.empty(1 << 16, dtype=np.uint32), np.zeros(1 << 16, dtype=np.int64), 0
-
-    def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self._tokenizer.encode_batch(new, add_special_tokens=False)]
-        ids = np.fromiter((i for x in found for i in x), dtype=np.uint32)
-        n = len(self._place)
+        self._place = _Places()
+        self._flat, self._starts, self._used, self._known = np.empty(1 << 16, dtype=np.uint32), np.zeros(1 << 16, dtype=np.int64), 0, 0
+
+    def _learn(self) -> None:
+        new, self._place.new = self._place.new, []
+        # A word of Latin letters is one word of the pattern, so it goes to the library's merges at once.
+        words = [p for p in new if _WORD.fullmatch(p)]
+        others = [p for p in new if not _WORD.fullmatch(p)]
+        found = {p: e.ids for p, e in zip(others, self._tokenizer.encode_batch(others, add_special_tokens=False), strict=True)}
+        merge = self._tokenizer.model.tokenize
+        found |= {p: [t.id for t in merge(p.encode().decode("latin-1").translate(_BYTE_LETTERS))] for p in words}
+        ids = np.fromiter((i for p in new for i in found[p]), dtype=np.uint32)
+        n = self._known
         while len(self._flat) < self._used + len(ids):
             self._flat = np.concatenate([self._flat, np.empty_like(self._flat)])
         while len(self._starts) < n + len(new) + 1:
             self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
         self._flat[self._used : self._used + len(ids)] = ids
-        self._starts[n + 1 : n + 1 + len(new)] = self._used + np.cumsum([len(x) for x in found])
-        self._used += len(ids)
-        self._place.update(zip(new, range(n, n + len(new)), strict=True))
+        self._starts[n + 1 : n + 1 + len(new)] = self._used + np.cumsum([len(found[p]) for p in new])
+        self._used, self._known = self._used + len(ids), n + len(new)
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, as unsigned 32-bit integers."""
         if not text:
             return np.zeros(0, dtype=np.uint32)
-        first, *rest = _CUT.split(text)
-        pieces = [first, *(" " + p for p in rest)]
-        if len(self._place) > REMEMBERED:
+        if any(name in text for name in self._named):
+            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        pieces = _PIECE.findall(text)
+        if self._known > REMEMBERED:
             self._forget()
-        if new := list({p for p in pieces if p not in self._place}):
-            self._learn(new)
         at = np.fromiter(map(self._place.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        if self._place.new:
+            self._learn()
         starts = self._starts[at]
         lengths = self._starts[at + 1] - starts
         before = np.cumsum(lengths) - lengths
