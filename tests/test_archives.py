@@ -57,7 +57,7 @@ def test_broken_members_and_places(spark, tmp_path):
     file = str(tmp_path / "d" / "a.gz")
     odd = spark.createDataFrame([(file, 0, len(good[0])), (file, 5, 10), (file, 10**9, 4), (file + "no", 0, 4), (file, 0, 20)], "filename string, offset long, length long")
     got = sorted((r.offset, r.length, r.url, r.error) for r in archives.read_captures(odd).collect())
-    assert [x[2:] for x in got] == [(None, "broken: EOFError"), (None, "no such range"), ("http://h/0", None), (None, "no record"), (None, "no such range")]
+    assert [x[2:] for x in got] == [(None, "no such range"), (None, "broken: EOFError"), ("http://h/0", None), (None, "not a record"), (None, "no such range")]
 
 
 def test_plain_archive(spark, tmp_path):
