@@ -1,35 +1,33 @@
 """How the sources of each language differ in their words: exact shares of terms, compared pair by pair.
 
-CountVectorizer builds the vectors, with a minimum of documents and the greatest vocabulary size there is. One fit serves
-all languages, as each term carries its language, so counts and the minimum hold within a language. Vectors stay sparse and are
-summed by language and source; pairs of sources are compared by blocks of the vocabulary, in which a term costs as many steps as
-there are sources that have it.
+A document's vector is a count of its terms, sparse and exact. Vectors are summed by language and source where they are made,
+then by term over all tasks, and a language's vocabulary is what enough of its documents have: the steps of a
+CountVectorizer with a minimum of documents and no limit of size, fitted for each language, but in one pass over all of
+them and with the vocabulary in a table instead of the driver. Pairs of sources are compared by blocks of the
+vocabulary, in which a term costs as many steps as there are sources that have it.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.errors import IllegalArgumentException
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch_root, text_or_empty
+from .common import materialize, text_or_empty
 
 MIN_DOCUMENTS = 3
-#: No limit: the greatest integer that CountVectorizer takes.
-VOCABULARY = 2**31 - 1
 UNIT = 1_000_000_000
 TOP_TERMS = 200
 #: Terms of one language that are compared in one group.
 BLOCK_TERMS = 1 << 12
-#: Bytes of text that a task turns into terms at a time.
-SLICE_BYTES = 8_000_000
+#: Bytes of a text that are turned into terms at a time, and terms of all groups that a task sums before it hands them on.
+SLICE_BYTES = 4_000_000
+HELD_TERMS = 400_000
 
 _LETTERS = np.full(256, 32, dtype=np.uint8)
 _LETTERS[65:91] = np.arange(97, 123)
@@ -38,65 +36,62 @@ _LETTERS[128:] = np.arange(128, 256)
 _TABLE = _LETTERS.tobytes()
 
 
-def _term_lists(texts: list[bytes], langs: list[bytes]) -> pa.Array:
-    """The terms of each text as "<language in hex>:<term>". A term is a run of letters A-Z, a-z or bytes beyond ASCII."""
-    tagged, counts = [], []
-    for text, lang in zip(texts, langs, strict=True):
-        # Only what separates terms is a space here, so joined words can be tagged by one replacement.
-        words = text.translate(_TABLE).split()
-        counts.append(len(words))
-        if words:
-            tag = lang.hex().encode() + b":"
-            tagged.append(tag + b" ".join(words).replace(b" ", b" " + tag))
-    data = np.frombuffer(b" ".join(tagged), dtype=np.uint8)
-    letters = data != 32
-    values = data[letters]
-    places = np.concatenate([[0], np.flatnonzero(~letters) - np.arange(len(data) - len(values)), [len(values)]]) if len(data) else np.zeros(1)
-    terms = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places.astype(np.int64).tobytes()), pa.py_buffer(values.tobytes())).cast(pa.string())
-    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), terms)
+def document_vector(text: bytes) -> Counter[bytes]:
+    """How often each term stands in a text: runs of the letters A-Z, in lower case, a-z and bytes beyond ASCII."""
+    letters, vector, start = text.translate(_TABLE), Counter(), 0
+    while start < len(letters):
+        end = letters.find(b" ", start + SLICE_BYTES)
+        vector.update(letters[start : end if end >= 0 else len(letters)].split())
+        start = end + 1 if end >= 0 else len(letters)
+    return vector
 
 
-def document_terms(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms) of each document, null columns as empty text."""
+def summed_vectors(docs: DataFrame) -> DataFrame:
+    """(lang, source, term, n, df) summed over the documents' vectors as far as tasks can: n occurrences in df documents.
+
+    Each group also has a row whose term is null, so that groups without terms are known.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["lang", "source", "term", "n", "df"]
+        sums: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
+
+        def frame() -> pa.RecordBatch:
+            sizes = [len(n) + 1 for n, _ in sums.values()]
+            keys = [pa.array(np.repeat(np.array([k[i] for k in sums], dtype=object), sizes), pa.binary()).cast(pa.string()) for i in (0, 1)]
+            terms = pa.array([t for n, _ in sums.values() for t in (*n, None)], pa.binary()).cast(pa.string())
+            counts = [pa.array([x for pair in sums.values() for x in (*pair[i].values(), 0)], pa.int64()) for i in (0, 1)]
+            return pa.RecordBatch.from_arrays([*keys, terms, *counts], names)
+
+        held = 0
         for batch in batches:
-            texts, langs = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("text", "lang"))
-            start, size = 0, 0
-            for i, text in enumerate([*texts, None]):
-                if text is None or (size and size + len(text) > SLICE_BYTES):
-                    if i > start:
-                        terms = _term_lists(texts[start:i], langs[start:i])
-                        yield pa.RecordBatch.from_arrays([batch.column("lang").slice(start, i - start), batch.column("source").slice(start, i - start), terms], ["lang", "source", "terms"])
-                    start, size = i, 0
-                size += len(text or b"")
+            columns = [batch.column(c).cast(pa.binary()).to_pylist() for c in ("lang", "source", "text")]
+            for lang, source, text in zip(*columns, strict=True):
+                vector = document_vector(text)
+                n, df = sums.setdefault((lang, source), (Counter(), Counter()))
+                held -= len(n)
+                n.update(vector)
+                df.update(vector.keys())  # in the order of n: a term is new to both at once
+                held += len(n)
+                if held > HELD_TERMS:
+                    yield frame()
+                    sums, held = {}, 0
+        if sums:
+            yield frame()
 
     thin = docs.select(*(text_or_empty(c).alias(c) for c in ("lang", "source", "text")))
-    return thin.mapInArrow(run, "lang string, source string, terms array<string>")
-
+    return thin.mapInArrow(run, "lang string, source string, term string, n long, df long")
 
-def fitted_counts(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(vocabulary, counts): (lang, term, id) of terms in enough documents, and (lang, source, id, n) summed over the documents' vectors."""
-    spark = terms.sparkSession
-    try:
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(MIN_DOCUMENTS), vocabSize=VOCABULARY).fit(terms)
-    except IllegalArgumentException as e:
-        if "vocabulary size" not in str(e):
-            raise
-        return spark.createDataFrame([], "lang string, term string, id int"), spark.createDataFrame([], "lang string, source string, id int, n long")
-    vocabulary = materialize(_vocabulary_table(spark, model), "vocabulary")
-    vectors = model.transform(terms).select("lang", "source", F.unwrap_udt("vector").alias("v"))
-    pairs = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("x"))
-    counts = pairs.groupBy("lang", "source", F.col("x.indices").alias("id")).agg(F.sum(F.col("x.values").cast("long")).alias("n"))
-    return vocabulary, materialize(counts, "group-counts")
 
+def kept_counts(sums: DataFrame) -> DataFrame:
+    """(lang, source, term, n, everywhere, first) of the terms that enough documents of their language have.
 
-def _vocabulary_table(spark: SparkSession, model: CountVectorizerModel) -> DataFrame:
-    """(lang, term, id) of a fitted model, read from where it is saved."""
-    path = f"{scratch_root(spark)}/count-model-{uuid.uuid4().hex}"
-    model.save(path)
-    tagged = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("id", "tagged"))
-    return tagged.select(F.unhex(F.substring_index("tagged", ":", 1)).cast("string").alias("lang"), F.substring_index("tagged", ":", -1).alias("term"), "id")
+    everywhere counts the term in the whole language; first is true for one of its rows. One shuffle by language and term.
+    """
+    dealt = sums.filter("term is not null").repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    of_term = Window.partitionBy("lang", "term")
+    rows = dealt.withColumns({"everywhere": F.sum("n").over(of_term), "documents": F.sum("df").over(of_term), "first": F.col("source") == F.min("source").over(of_term)})
+    return rows.filter(F.col("documents") >= MIN_DOCUMENTS).select("lang", "source", "term", "n", "everywhere", "first")
 
 
 def _share(n: Column, total: Column, size: Column) -> Column:
@@ -113,11 +108,11 @@ def _floor_ratio(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def _compare_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Sums over a block's terms for each pair of sources. Rows without an id give each source's share of a term it doesn't have."""
-    marks = pdf[pdf["id"] < 0].sort_values("source")
+    """Sums over a block's terms for each pair of sources. Rows without a term give each source's share of a term it doesn't have."""
+    marks = pdf[pdf["term"].isna()].sort_values("source")
     names, absent = marks["source"].to_numpy(), marks["p"].to_numpy()
-    rows = pdf[pdf["id"] >= 0]
-    ids, term = np.unique(rows["id"].to_numpy(), return_inverse=True)
+    rows = pdf[pdf["term"].notna()]
+    term, terms = pd.factorize(rows["term"])
     source, q = np.searchsorted(names, rows["source"].to_numpy()), rows["p"].to_numpy()
     order = np.argsort(source, kind="stable")
     term, source, q = term[order], source[order], q[order]
@@ -126,7 +121,7 @@ def _compare_block(pdf: pd.DataFrame) -> pd.DataFrame:
     out = []
     for g in range(len(names)):
         mine = slice(edges[g], edges[g + 1])
-        p = np.full(len(ids), absent[g])
+        p = np.full(len(terms), absent[g])
         p[term[mine]] = q[mine]
         # All terms as if the other source had none of them; then those it has, put right.
         kinds, times = np.unique(p, return_counts=True)
@@ -149,20 +144,21 @@ def divergence_report(docs: DataFrame, top_terms: int = TOP_TERMS) -> DataFrame:
     part `term` gives for terms with n > 0 and p > q against the language, up to rank `top_terms`. Values descend, equal ones ascend by
     item. Null text, lang or source is empty; repeated rows count each; ids are not looked at. An empty table gives no rows.
     """
-    terms = materialize(document_terms(docs), "terms")
-    vocabulary, counts = fitted_counts(terms)
-    sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("v"))
+    summed = materialize(summed_vectors(docs), "vectors")
+    counts = materialize(kept_counts(summed), "kept-counts")
+    sizes = counts.groupBy("lang").agg(F.count_if("first").alias("v"), F.sum("n").alias("all"))
     zero = F.lit(0).cast("long")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = terms.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").select("lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("v", zero).alias("v"))
-    groups = materialize(groups, "groups")
-    shares = counts.join(groups, ["lang", "source"]).select("lang", "source", "id", "n", _share(F.col("n"), F.col("total"), F.col("v")).alias("p"))
-
-    block = F.floor(F.col("id") / BLOCK_TERMS).cast("int")
-    known = shares.select("lang", block.alias("block"), "id", "source", "p")
-    # Every source takes part in every block of its language.
-    marks = groups.filter("v > 0").join(vocabulary.select("lang", block.alias("block")).distinct(), "lang").select("lang", "block", F.lit(-1).alias("id"), "source", _share(zero, F.col("total"), F.col("v")).alias("p"))
-    sums = known.unionByName(marks).groupBy("lang", "block").applyInPandas(_compare_block, "lang string, source string, item string, value long")
+    groups = summed.filter("term is null").select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
+    groups = materialize(groups.select("lang", "source", *(F.coalesce(c, zero).alias(c) for c in ("total", "v", "all"))), "groups")
+    share = _share(F.col("n"), F.col("total"), F.col("v"))
+    shares = counts.join(groups, ["lang", "source"]).select("lang", "source", "term", share.alias("p"), _share(F.col("everywhere"), F.col("all"), F.col("v")).alias("q"), "v")
+
+    # As many blocks as a language's vocabulary asks for; every source takes part in each of them.
+    blocks = F.ceil(F.col("v") / BLOCK_TERMS)
+    known = shares.select("lang", F.pmod(F.xxhash64("term"), blocks).alias("block"), "term", "source", "p")
+    absent = groups.filter("v > 0").select("lang", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.lit(None).cast("string").alias("term"), "source", _share(zero, F.col("total"), F.col("v")).alias("p"))
+    sums = known.unionByName(absent).groupBy("lang", "block").applyInPandas(_compare_block, "lang string, source string, item string, value long")
     sums = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     others = groups.select("lang", F.col("source").alias("item"))
     pairs = groups.select("lang", "source").join(others, "lang").filter("source <> item").join(sums, ["lang", "source", "item"], "left")
@@ -170,11 +166,7 @@ def divergence_report(docs: DataFrame, top_terms: int = TOP_TERMS) -> DataFrame:
     ranking = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pairs.withColumn("rank", F.row_number().over(ranking))
 
-    whole = counts.groupBy("lang", "id").agg(F.sum("n").alias("all"))
-    of_lang = groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("v").alias("v"))
-    usual = whole.join(of_lang, "lang").select("lang", "id", _share(F.col("all"), F.col("total"), F.col("v")).alias("q"))
-    more = shares.join(usual, ["lang", "id"]).filter("p > q").select("lang", "source", "id", _excess(F.col("p"), F.col("q")).alias("value"))
-    more = more.join(vocabulary.select("id", F.col("term").alias("item")), "id").select("lang", "source", F.lit("term").alias("part"), "item", "value")
+    more = shares.filter("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), _excess(F.col("p"), F.col("q")).alias("value"))
     more = more.withColumn("rank", F.row_number().over(ranking)).filter(F.col("rank") <= top_terms)
     return pairs.unionByName(more)
 
