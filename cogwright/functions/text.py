@@ -113,7 +113,7 @@ def error_codes(c: str | Column) -> Column:
 
 def category_name(c: str | Column, names: dict[int, str]) -> Column:
     """A fixed name for a category id, or CATEGORY and the id."""
-    fixed = F.element_at(F.create_map(*(F.lit(x) for kv in names.items() for x in kv)), _c(c).cast("int"))
+    fixed = F.element_at(F.create_map(*(F.lit(x) for kv in names.items() for x in kv)), _c(c).try_cast("int"))
     return F.coalesce(fixed, F.concat(F.lit("CATEGORY "), _c(c).cast("string")))
 
 

@@ -18,7 +18,7 @@ from ..functions.dates import parse_range
 from ..functions.text import clean_text, is_blank, let, part_key
 from ..functions.urls import query_param
 
-PARSED = "page_id long, title string, heading string, breadcrumb array<string>, metadata map<string,string>, anchors array<struct<href:string,text:string,data:map<string,string>>>, tables array<struct<header:array<string>,classes:array<string>,rows:array<struct<cells:array<string>,links:array<string>>>>>"
+PARSED = "page_id long, title string, heading string, breadcrumb array<string>, metadata map<string,string>, anchors array<struct<href:string,text:string,data:map<string,string>,label:string,listed:boolean>>, tables array<struct<header:array<string>,classes:array<string>,rows:array<struct<cells:array<string>,links:array<string>>>>>"
 
 
 class _Page(HTMLParser):
@@ -39,6 +39,7 @@ class _Page(HTMLParser):
         self._crumb_depth = 0
         self.anchors: list[dict] = []
         self._link: dict | None = None
+        self._lists: list[bool] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         a = dict(attrs)
@@ -46,8 +47,13 @@ class _Page(HTMLParser):
             if k.startswith("data-") and v and k not in ("data-href", "data-url"):
                 self.meta.setdefault(k[5:], v.strip())
         if tag == "a":
-            self._link = {"href": a.get("href") or "", "text": "", "data": {k[5:]: v or "" for k, v in a.items() if k.startswith("data-")}}
+            data = {k[5:]: v or "" for k, v in a.items() if k.startswith("data-")}
+            self._link = {"href": a.get("href") or "", "text": "", "data": data, "label": "", "listed": any(self._lists)}
             self.anchors.append(self._link)
+        if tag in ("ul", "ol"):
+            self._lists.append(False)
+        elif tag == "li":
+            self._lists = [*self._lists[:-1], True]  # an item ends the one before it
         if "breadcrumb" in (a.get("class") or ""):
             self._crumb_depth = self._crumb_depth or 1
         if tag == "table":
@@ -71,8 +77,11 @@ class _Page(HTMLParser):
             self._text += data
         if self._link is not None:
             self._link["text"] += data
+            self._link["label"] += data.strip()
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in ("ul", "ol", "li") and self._lists:
+            self._lists = self._lists[:-1] if tag != "li" else [*self._lists[:-1], False]
         if tag == "table" and self._depth:
             self._depth -= 1
         elif tag == "tr" and self._depth == 1 and self._row is not None:
@@ -266,40 +275,6 @@ def _anchors(parsed: DataFrame) -> DataFrame:
     return rows.select("page_id", "place", F.col("a.href").alias("href"), clean_text("a.text").alias("text"), F.col("a.data").alias("data"))
 
 
-def extract_brands(parsed: DataFrame, path: str = r"^/[^/?#]+/?$") -> tuple[DataFrame, DataFrame]:
-    """(brands, malformed): links whose path is a brand's; each name once, the first kept; links without a name are malformed."""
-    links = _anchors(parsed).filter(F.regexp_replace("href", "^https?://[^/]+", "").rlike(path))
-    w = Window.partitionBy("page_id", "text").orderBy("place")
-    good = links.filter("text is not null").withColumn("_n", F.row_number().over(w)).filter("_n = 1")
-    return good.select("page_id", F.col("text").alias("brand"), "href"), links.filter("text is null").select("page_id", "place", "href")
-
-
-def extract_models(parsed: DataFrame, brands: DataFrame) -> DataFrame:
-    """(page_id, brand, model, href): links below the page's own brand; brands: (page_id, brand_slug). Foreign brands are passed over."""
-    links = _anchors(parsed).join(brands, "page_id").withColumn("_p", F.filter(F.split(F.regexp_extract(F.regexp_replace("href", "^https?://[^/]+", ""), "^([^?#]*)", 1), "/"), lambda x: x != ""))
-    own = links.filter((F.size("_p") == 2) & (F.lower(F.get("_p", F.lit(0))) == F.lower("brand_slug")) & F.col("text").isNotNull())
-    w = Window.partitionBy("page_id", "text").orderBy("place")
-    return own.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("page_id", F.col("brand_slug").alias("brand"), F.col("text").alias("model"), "href")
-
-
-def extract_categories(parsed: DataFrame, key: str = "cid") -> tuple[DataFrame, DataFrame]:
-    """(categories, malformed): the first name of each category id on a page; other names of it are malformed."""
-    links = _anchors(parsed).withColumn("cid", query_param("href", key)).filter("cid is not null and text is not null")
-    first = F.first("text").over(Window.partitionBy("page_id", "cid").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    links = links.withColumn("name", first)
-    return links.groupBy("page_id", "cid").agg(F.first("name").alias("name")), links.filter("text <> name").select("page_id", "cid", F.col("text").alias("name"))
-
-
-def extract_groups(parsed: DataFrame) -> DataFrame:
-    """(page_id, cid, code, uid, name): `CODE: NAME` links; an image link has an empty code and gives way to a text link of its uid."""
-    links = _anchors(parsed).withColumns({"cid": query_param("href", "cid"), "uid": query_param("href", "uid")}).filter("uid is not null")
-    links = links.withColumns({"code": F.coalesce(clean_text(F.regexp_extract("text", "^([^:]+):", 1)), F.lit("")), "name": clean_text(F.regexp_replace("text", "^[^:]+:", ""))})
-    text_of = F.max((F.col("code") != "").cast("int")).over(Window.partitionBy("page_id", "cid", "uid"))
-    kept = links.withColumn("_t", text_of).filter((F.col("code") != "") | (F.col("_t") == 0))
-    w = Window.partitionBy("page_id", "cid", "uid", "code").orderBy("place")
-    return kept.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("page_id", "cid", "code", "uid", "name")
-
-
 def extract_hints(parsed: DataFrame, field: str) -> DataFrame:
     """(page_id, place, value): what links carry in a data attribute, such as compatibility hints or related numbers."""
     return _anchors(parsed).withColumn("value", F.element_at("data", field)).filter(~is_blank("value")).select("page_id", "place", "value")

@@ -118,13 +118,6 @@ def test_page_links(spark):
     html = """<a href="/toyota">Toyota</a><a href="/toyota/">Toyota</a><a href="/honda"><img></a><a href="/toyota/corolla">Corolla</a><a href="/honda/fit">Fit</a>
       <a href="/c?cid=1">Engine</a><a href="/c?cid=1">Motor</a><a href="/u?cid=1&uid=7"><img></a><a href="/u?cid=1&uid=7">A1: Block</a><a href="/u?cid=1&uid=8" data-fits="X"><img></a>"""
     parsed = pages.parse_pages(spark.createDataFrame([(1, html)], "page_id long, html string")).cache()
-    brands, malformed = pages.extract_brands(parsed)
-    assert [r.brand for r in brands.filter("brand = 'Toyota'").collect()] == ["Toyota"] and [r.href for r in malformed.collect()] == ["/honda"]
-    assert [r.model for r in pages.extract_models(parsed, spark.createDataFrame([(1, "toyota")], "page_id long, brand_slug string")).collect()] == ["Corolla"]
-    categories, bad = pages.extract_categories(parsed)
-    assert {r.name for r in bad.collect()} == {"Motor", "A1: Block"}
-    assert [r.name for r in categories.collect()] == ["Engine"]
-    assert {(r.uid, r.code, r.name) for r in pages.extract_groups(parsed).collect()} == {("7", "A1", "Block"), ("8", "", None)}
     assert [r.value for r in pages.extract_hints(parsed, "fits").collect()] == ["X"]
     a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, record_sha256 string")
     b = spark.createDataFrame([(1, "x"), (2, "z")], "k int, record_sha256 string")
