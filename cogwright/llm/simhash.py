@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ RADIUS = 3
 NEAR_RADIUS = 20
 #: Blocks that a fingerprint has at most when every block must agree; beyond that, blocks may differ in some bits.
 EXACT_BLOCKS = 8
+#: Fewer blocks would ask for more keys than a table of them should have.
+LEAST_BLOCKS = 4
 #: One in this many documents is looked up by near_report.
 QUERY_EVERY = 50
 #: Ranges of ids within which documents are ordered; see following().
@@ -100,16 +103,34 @@ def following(ids: DataFrame) -> DataFrame:
     return out.select("_id", "_sub", F.col("_next._id").alias("_next_id"), F.col("_next._sub").alias("_next_sub"))
 
 
-def block_plan(radius: int) -> list[tuple[int, int, int]]:
+def _flips(width: int, slack: int) -> int:
+    """How many keys lie within `slack` bits of a block's own."""
+    return sum(comb(width, n) for n in range(slack + 1))
+
+
+def _blocks_of(radius: int, blocks: int) -> list[tuple[int, int, int]]:
+    edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
+    return [(a, b, (radius + 1 + i) // blocks - 1) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+
+
+def search_cost(plan: list[tuple[int, int, int]], rows: int) -> float:
+    """Keys that a query probes, and fingerprints of `rows` random ones that it meets under them."""
+    return sum(_flips(b - a, slack) * (1 + rows / 2 ** (b - a)) for a, b, slack in plan)
+
+
+def block_plan(radius: int, rows: int = 0) -> list[tuple[int, int, int]]:
     """(first bit, end, slack) of each block: fingerprints within the radius differ in at most `slack` bits of some block.
 
     If they differed in more bits of each, the sum of slack + 1 over the blocks, radius + 1, would be beyond the radius.
+    Small radii have a block for each bit more, all of which must agree. For others the number of blocks is what makes a
+    search among `rows` fingerprints cheapest: the more there are, the wider the blocks, so that what a query meets by chance
+    grows much slower than they do.
     """
     if not 1 <= radius < BITS:
         raise ValueError("the radius is at least 1 and less than the bits")
-    blocks = radius + 1 if radius < EXACT_BLOCKS else max(4, -(-(radius + 1) // 3))
-    edges = [round(i * BITS / blocks) for i in range(blocks + 1)]
-    return [(a, b, (radius + 1 + i) // blocks - 1) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+    if radius < EXACT_BLOCKS:
+        return _blocks_of(radius, radius + 1)
+    return min((_blocks_of(radius, n) for n in range(LEAST_BLOCKS, radius + 2)), key=lambda p: search_cost(p, rows))
 
 
 def _block(a: int, b: int) -> Column:
@@ -121,15 +142,14 @@ def _block(a: int, b: int) -> Column:
     return F.shiftleft(_block(a, 64), b - 64).bitwiseOR(F.shiftrightunsigned(F.col("lo"), 128 - b))
 
 
-def block_tables(prints: DataFrame, radius: int) -> DataFrame:
+def block_tables(prints: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
     """Rows (table, key, ...) of one table for each block of block_plan: the fingerprint with that block as its key."""
-    keys = F.array(*(_block(a, b) for a, b, _ in block_plan(radius)))
+    keys = F.array(*(_block(a, b) for a, b, _ in plan))
     return prints.select("*", F.posexplode(keys).alias("table", "key"))
 
 
-def probes(queries: DataFrame, radius: int) -> DataFrame:
+def probes(queries: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
     """Rows (table, key, ...) of every key within a block's slack of the query's own, in each table."""
-    plan = block_plan(radius)
     own = F.array(*(_block(a, b) for a, b, _ in plan))
     rows = queries.select("*", F.posexplode(own).alias("table", "_own"))
     masks = [[sum(1 << i for i in bits) for n in range(slack + 1) for bits in combinations(range(b - a), n)] for a, b, slack in plan]
@@ -142,15 +162,16 @@ def probes(queries: DataFrame, radius: int) -> DataFrame:
 def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Pairs of a query fingerprint and each fingerprint at most `radius` bits away, itself included.
 
-    queries, prints: distinct (hi, lo). Two fingerprints that close differ in no more bits than its slack in one of the
+    queries, prints: distinct (hi, lo); prints are counted first, so pass a written table. Two fingerprints that close differ in no more bits than its slack in one of the
     blocks, so one of the tables has them under a probed key; a pair that several tables have comes from the first. The
     distance is a condition of the join, so only pairs within the radius leave it. Returns (q_hi, q_lo, hi, lo, distance).
     """
-    q = probes(queries.select("hi", "lo"), radius).select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo"), "table", "key")
-    p = block_tables(prints.select("hi", "lo"), radius)
+    plan = block_plan(radius, prints.count())
+    q = probes(queries.select("hi", "lo"), plan).select(F.col("hi").alias("q_hi"), F.col("lo").alias("q_lo"), "table", "key")
+    p = block_tables(prints.select("hi", "lo"), plan)
     x_hi, x_lo = F.col("q_hi").bitwiseXOR(F.col("hi")), F.col("q_lo").bitwiseXOR(F.col("lo"))
     earlier = F.lit(False)
-    for i, (a, b, slack) in enumerate(block_plan(radius)):
+    for i, (a, b, slack) in enumerate(plan):
         mask = ((1 << (b - a)) - 1) << (BITS - b)
         top, low = (m - 2**64 if m >= 2**63 else m for m in (mask >> 64, mask & (2**64 - 1)))
         differ = F.bit_count(x_hi.bitwiseAND(F.lit(top).cast("long"))) + F.bit_count(x_lo.bitwiseAND(F.lit(low).cast("long")))

@@ -203,6 +203,22 @@ def test_simhash(docs, unique, empty):
     assert simhash.near_report(empty).count() == 0
 
 
+def test_search_grows_slower_than_the_table(spark):
+    """Fingerprints that a query meets under its keys, counted at two sizes: ten times the table is far from ten times as many."""
+    from pyspark.sql import functions as F
+
+    met = []
+    for n in (3_000, 30_000):
+        prints = materialize(spark.range(n).select(F.xxhash64("id").alias("hi"), F.xxhash64("id", F.lit(1)).alias("lo")), "prints")
+        plan = simhash.block_plan(20, n)
+        pairs = simhash.probes(prints.limit(60), plan).select("table", "key").join(simhash.block_tables(prints, plan), ["table", "key"]).count()
+        met.append(pairs / 60)
+        assert pairs / 60 < 1.3 * simhash.search_cost(plan, n)
+    assert met[1] < 5 * met[0]
+    costs = [simhash.search_cost(simhash.block_plan(20, n), n) for n in (10**5, 10**6, 10**7, 10**8, 10**9)]
+    assert all(b < 6 * a for a, b in zip(costs[:-1], costs[1:], strict=True))
+
+
 def test_within_radius(spark):
     rng = random.Random(1)
     values = [rng.getrandbits(128) for _ in range(60)]
