@@ -6,7 +6,7 @@ A file is a row of segments, each of whole documents and followed by a line feed
     document ids i64[documents], token counts u64[documents]
     block starts u64[blocks + 1], block minima u32[blocks], exceptions of each block u8[blocks], widths u8[blocks]
     exception places u8[exceptions], exception values u32[exceptions] (the bits above the block's width)
-    packed blocks: 128 values less the minimum, `width` bits each
+    packed blocks: 128 values less the minimum, `width` bits each, the first in the lowest bits of words of 64
 
 A block's width is what the 90th percentile of its values needs; longer values keep their low bits in place and have the
 rest in the exception list. The last block is filled up with its minimum. A document that is longer than a segment should be
@@ -22,13 +22,14 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import key_or_null, key_or_sentinel, materialize, scratch_root, text_or_empty
+from .common import key_or_null, key_or_sentinel, materialize, scratch_root, slices, text_or_empty
 
 END_ID = 2
 BLOCK = 128
@@ -37,8 +38,10 @@ PERCENTILE = 90
 #: Ids after which a segment ends, and segments in a file: some 30 MB.
 SEGMENT_IDS = 1 << 18
 SEGMENTS_PER_FILE = 64
-#: Pieces of text whose ids a task remembers, and blocks that are unpacked at a time.
-REMEMBERED = 1_000_000
+#: Pieces of text whose ids a task remembers, words and characters of texts that are encoded together, and blocks that are unpacked at a time.
+REMEMBERED = 1_500_000
+LINES = 64
+TEXT_CHARS = 500_000
 UNPACKED_BLOCKS = 1 << 12
 MAGIC = b"PFR1"
 _HEAD = struct.Struct("<4sQIQII")
@@ -48,11 +51,7 @@ _LATIN, _ASCII, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"\x00-&(-@\[-`{-\x7f", r"!-&(
 #: them, or what stands between such words. Apostrophes begin contractions and other letters go on a word, so neither ends a
 #: piece; nor does white space of two characters or more, of which the pattern gives the last to what follows.
 _PIECE = re.compile(rf" ?[{_LATIN}]++(?=[{_ASCII}]|\Z)|(?s:.)+?(?=\Z|(?<=[{_ASCII}]) [{_LATIN}]|(?<=[{_MARKS}])[{_LATIN}]|(?<=\S\n)[{_LATIN}]|(?<=\S) (?=\S))")
-
-
 _WORD = re.compile(rf" ?[{_LATIN}]+")
-#: The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on in their order.
-_BYTE_LETTERS = {b: 256 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 
 
 class _Places(dict):
@@ -81,6 +80,7 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self._named = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        (self._line_feed,) = self._tokenizer.encode("\n", add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
@@ -89,12 +89,18 @@ class WordEncoder:
 
     def _learn(self) -> None:
         new, self._place.new = self._place.new, []
-        # A word of Latin letters is one word of the pattern, so it goes to the library's merges at once.
+        # Words of Latin letters go together, a line each: a line feed between them is a word of the pattern by itself.
         words = [p for p in new if _WORD.fullmatch(p)]
         others = [p for p in new if not _WORD.fullmatch(p)]
         found = {p: e.ids for p, e in zip(others, self._tokenizer.encode_batch(others, add_special_tokens=False), strict=True)}
-        merge = self._tokenizer.model.tokenize
-        found |= {p: [t.id for t in merge(p.encode().decode("latin-1").translate(_BYTE_LETTERS))] for p in words}
+        for i in range(0, len(words), LINES):
+            ids = self._tokenizer.encode("\n".join(words[i : i + LINES]), add_special_tokens=False).ids
+            ids.append(self._line_feed)
+            begin = 0
+            for p in words[i : i + LINES]:
+                end = ids.index(self._line_feed, begin)
+                found[p] = ids[begin:end]
+                begin = end + 1
         ids = np.fromiter((i for p in new for i in found[p]), dtype=np.uint32)
         n = self._known
         while len(self._flat) < self._used + len(ids):
@@ -105,22 +111,20 @@ class WordEncoder:
         self._starts[n + 1 : n + 1 + len(new)] = self._used + np.cumsum([len(found[p]) for p in new])
         self._used, self._known = self._used + len(ids), n + len(new)
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a text, as unsigned 32-bit integers."""
-        if not text:
-            return np.zeros(0, dtype=np.uint32)
-        if any(name in text for name in self._named):
-            return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        pieces = _PIECE.findall(text)
-        if self._known > REMEMBERED:
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, as unsigned 32-bit integers, and how many each text has."""
+        if len(self._place) > REMEMBERED:
             self._forget()
-        at = np.fromiter(map(self._place.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        pieces = [[t] if any(name in t for name in self._named) else _PIECE.findall(t) for t in texts]
+        counts = np.array([len(p) for p in pieces], dtype=np.int64)
+        at = np.fromiter(map(self._place.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=counts.sum())
         if self._place.new:
             self._learn()
         starts = self._starts[at]
         lengths = self._starts[at + 1] - starts
-        before = np.cumsum(lengths) - lengths
-        return self._flat[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self._flat[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])]
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
 
 @functools.lru_cache(maxsize=2)
@@ -133,18 +137,30 @@ def _bits_of(x: np.ndarray) -> np.ndarray:
     return np.frexp(x.astype(np.float64))[1]
 
 
+def _shifts(width: int) -> Iterator[tuple[int, int, int]]:
+    """(place, word, bit) of a block's values in words of 64 bits, low bits first."""
+    return ((i, *divmod(i * width, 64)) for i in range(BLOCK))
+
+
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
-    """Rows of BLOCK values as rows of 16 * width bytes, high bits first."""
-    word = np.dtype(">u2" if width <= 16 else ">u4")
-    bits = np.unpackbits(values.astype(word).view(np.uint8).reshape(len(values), BLOCK, word.itemsize), axis=2)
-    return np.packbits(bits[:, :, word.itemsize * 8 - width :].reshape(len(values), BLOCK * width), axis=1)
+    """Rows of BLOCK values as rows of 16 * width bytes. All rows' values of one place are moved at a time."""
+    columns, words = values.T.astype(np.uint64), np.zeros((2 * width, len(values)), dtype=np.uint64)
+    for i, word, bit in _shifts(width):
+        words[word] |= columns[i] << np.uint64(bit)
+        if bit + width > 64:
+            words[word + 1] |= columns[i] >> np.uint64(64 - bit)
+    return np.ascontiguousarray(words.T).astype("<u8", copy=False).view(np.uint8)
 
 
 def _unpack(packed: np.ndarray, width: int) -> np.ndarray:
-    word = np.dtype(">u2" if width <= 16 else ">u4")
-    bits = np.zeros((len(packed), BLOCK, word.itemsize * 8), dtype=np.uint8)
-    bits[:, :, word.itemsize * 8 - width :] = np.unpackbits(packed, axis=1).reshape(len(packed), BLOCK, width)
-    return np.packbits(bits, axis=2).view(word)[:, :, 0].astype(np.uint32)
+    words, mask = np.ascontiguousarray(packed.view("<u8").T), np.uint64((1 << width) - 1)
+    columns = np.empty((BLOCK, len(packed)), dtype=np.uint32)
+    for i, word, bit in _shifts(width):
+        x = words[word] >> np.uint64(bit)
+        if bit + width > 64:
+            x |= words[word + 1] << np.uint64(64 - bit)
+        columns[i] = x & mask
+    return columns.T
 
 
 def encode_segment(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -245,15 +261,20 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50
             return pd.DataFrame({"segment": [encode_segment(np.array(docs_), np.array(lengths), np.concatenate(parts))]})
 
         for pdf in batches:
-            for doc_id, text in zip(pdf["_id"], pdf["_text"], strict=True):
-                ids = known.encode(text)
-                if held and held + len(ids) >= SEGMENT_IDS:
-                    yield segment()
-                    docs_, lengths, parts, held = [], [], [], 0
-                docs_.append(doc_id)
-                lengths.append(len(ids) + 1)
-                parts += [ids, np.array([end_id], dtype=np.uint32)]
-                held += len(ids) + 1
+            numbers, texts = pdf["_id"].tolist(), pdf["_text"].tolist()
+            for a, b in slices(texts, TEXT_CHARS):
+                ids, counts = known.encode_all(texts[a:b])
+                # Each document's end id goes in after its ids.
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                begin = 0
+                for doc_id, n in zip(numbers[a:b], (counts + 1).tolist(), strict=True):
+                    if held and held + n > SEGMENT_IDS:
+                        yield segment()
+                        docs_, lengths, parts, held = [], [], [], 0
+                    docs_.append(doc_id)
+                    lengths.append(n)
+                    parts.append(ids[begin : begin + n])
+                    begin, held = begin + n, held + n
         if docs_:
             yield segment()
 

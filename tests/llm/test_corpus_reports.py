@@ -136,7 +136,19 @@ def test_token_files(spark, sf_dir, monkeypatch):
         at, last = at + r.n_tokens, r.doc_id
     monkeypatch.setattr(tokenfiles, "REMEMBERED", 50)
     small = tokenfiles.WordEncoder("byte_bpe_50k.json")
-    assert [len(small.encode(t or "")) + 1 for _, t in rows[:40]] == [n for _, n, _ in token_rows(rows[:40])]
+    for _ in range(2):
+        ids, counts = small.encode_all([t or "" for _, t in rows[:40]])
+        assert (counts + 1).tolist() == [n for _, n, _ in token_rows(rows[:40])] and len(ids) == counts.sum()
+
+
+def test_words_as_the_whole_text():
+    """Pieces that are encoded by themselves give the ids of the whole text, whatever stands next to each other."""
+    rng, known = random.Random(1), tokenfiles.WordEncoder("byte_bpe_50k.json")
+    alphabet = [*"abcXYZ", *"äÉßÿ", "ª", "µ", "λ", "ж", "中", "'", "'s", "'ll", "n't", " ", " ", " ", "  ", "\n", "\n\n", "\r\n", "\t", "\x1c", "\x85", "\xa0", "　", "3", "٣", "²", ".", ",", "!", "_", "-", "́", "😀", "×", "<|endoftext|>", "\x00"]
+    texts = ["".join(rng.choices(alphabet[: -2 if i % 3 else None], k=rng.randrange(0, 14))) for i in range(6000)]
+    ids, counts = known.encode_all(texts)
+    whole = known._tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert counts.tolist() == [len(e.ids) for e in whole] and ids.tolist() == [i for e in whole for i in e.ids]
 
 
 def test_token_files_clash_and_empty(spark):
