@@ -35,6 +35,11 @@ def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisits.revisit_report(spark, sf_dir)
 
 
+def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5_revisits over captures that went through the files of a web archive."""
+    return revisits.archive_report(spark, sf_dir)
+
+
 def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 85 % of their three-word shingles."""
     return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=3, percent=85)
@@ -92,8 +97,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op11_divergence": op11_divergence,
         "op12_tokens": op12_tokens,
         "op13_trie": op13_trie,
+        "warc_revisits": warc_revisits,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_revisits": revisits.REPORT_SQL, "op7_mix": mixing.REPORT_SQL, "op10_lines": linededup.REPORT_SQL, "op11_divergence": divergence.REPORT_SQL, "op13_trie": convtrie.REPORT_SQL}
+    return {"op5_revisits": revisits.REPORT_SQL, "op7_mix": mixing.REPORT_SQL, "op10_lines": linededup.REPORT_SQL, "op11_divergence": divergence.REPORT_SQL, "op13_trie": convtrie.REPORT_SQL, "warc_revisits": revisits.REPORT_SQL}

@@ -9,14 +9,19 @@ dealt over many tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, range_cuts, range_of, read_table
+from ..sources.archives import scan_archives, write_archive
+from .common import materialize, range_cuts, range_of, read_table, scratch_root
 
 #: Headers that a 304 response may carry and that replace the stored ones.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 RANGES = 256
+#: Bytes of a split of archives: small, as those made of the pages are.
+ARCHIVE_SPLIT = 1 << 20
 
 
 def canonical_url(url: str | Column) -> Column:
@@ -103,12 +108,41 @@ def page_captures(pages: DataFrame) -> DataFrame:
     return first.unionByName(again)
 
 
-def revisit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = resolve_revisits(page_captures(read_table(spark, sf_dir, "pages")))
+def _report(out: DataFrame) -> DataFrame:
     headers = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
     return out.select("record_id", "url_key", F.unix_seconds("captured_at").alias("captured_s"), "status", "response_id", headers.alias("headers"))
 
 
+def revisit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(resolve_revisits(page_captures(read_table(spark, sf_dir, "pages"))))
+
+
+def archive_captures(members: DataFrame) -> DataFrame:
+    """Captures of the records of an archive, as sources.archives reads them: responses, and revisits whose status is 304.
+
+    The number at the end of a record's id is its record_id, else a hash of it. Records that can't be read are left out; so are
+    those of other kinds. A date that is none is null, and its capture comes before all others.
+    """
+    number = F.coalesce(F.regexp_extract("record_id", r"(\d+)>?$", 1).try_cast("long"), F.xxhash64("record_id"))
+    kept = members.filter("error is null and (kind = 'response' or (kind = 'revisit' and status = 304))")
+    return kept.select(
+        number.alias("record_id"), "url", F.try_to_timestamp("captured_at", F.lit("yyyy-MM-dd'T'HH:mm:ssX")).alias("captured_at"), "kind", F.element_at("headers", "etag").alias("etag"), F.element_at("headers", "last-modified").alias("last_modified"), "headers",
+    )
+
+
+def archive_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """revisit_report() of the same captures, written to a web archive and read back by splits of its files."""
+    pages = read_table(spark, sf_dir, "pages")
+    bodies = pages.select((F.col("page_id") * 2).alias("record_id"), F.encode("html", "UTF-8").alias("body"))
+    captures = page_captures(pages).join(bodies, "record_id", "left").select(
+        "kind", "url", F.date_format("captured_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured_at"), F.concat(F.lit("urn:capture:"), F.col("record_id").cast("string")).alias("record_id"),
+        F.when(F.col("kind") == "revisit", 304).otherwise(200).alias("status"), "headers", "body",
+    )
+    path = f"{scratch_root(spark)}/archive-{uuid.uuid4().hex}"
+    write_archive(captures, path)
+    return _report(resolve_revisits(archive_captures(scan_archives(spark, path, ARCHIVE_SPLIT))))
+
+
 #: DuckDB SQL for revisit_report over `pages`.
 REPORT_SQL = r"""
 WITH cut AS (
