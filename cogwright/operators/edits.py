@@ -4,33 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.canonical import canonical
+
 #: Kinds of rows that fold_edits() gives out.
 HEAD, EVENT, CONFLICT = "head", "event", "conflict"
 _OUT = "kind string, request_id long, action string, revision long, status string, payload string, base_sha256 string, before string, after string, reason string"
 
 
-def _normal(x: object) -> object:
-    if isinstance(x, str):
-        return unicodedata.normalize("NFC", x)
-    if isinstance(x, list):
-        return [_normal(v) for v in x]
-    if isinstance(x, dict):
-        return {_normal(k): _normal(v) for k, v in x.items()}
-    return x
-
-
-def canonical(x: object) -> str:
-    """JSON in one form: normalised text, sorted keys, no spaces; a number that is none is an error."""
-    return json.dumps(_normal(x), ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
-
-
 class _Record:
     """One record's source, override, status and revision, as its edits change them."""
 

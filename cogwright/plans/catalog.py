@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..operators import gates, paging
+from ..operators import gates, overlay, pagestore, paging
+from ..operators.scratch import scratch_path
 from .base import FLAT_SQL, flat_catalog, query, table
 
 
@@ -23,6 +26,27 @@ def e6(spark: SparkSession, d: str) -> DataFrame:
     return found.orderBy("part_number", "vehicle_id", "order_id", "line").offset(200).limit(200).select("part_number", "part_id", "part_name", "brand", "model", "vehicle", "month")
 
 
+_FORMS_SQL = "SELECT 'current' AS form, * FROM flat UNION ALL SELECT 'bounded', * FROM flat WHERE group_code = 'R' UNION ALL SELECT 'sample', * FROM flat WHERE part_id % 10 = 3"
+
+
+@query("e6_list_pages", f"""WITH {FLAT_SQL}, once AS (SELECT form, part_number, vehicle_id, order_id, line, min(part_name) AS part_name FROM ({_FORMS_SQL}) GROUP BY ALL), placed AS (SELECT *, row_number() OVER (PARTITION BY form ORDER BY part_number, vehicle_id, order_id, line) AS place, count(*) OVER (PARTITION BY form) AS total FROM once),
+asked AS (SELECT *, least(5, greatest(1, (total + 199) // 200)) AS page FROM placed)
+SELECT form, part_number, vehicle_id, order_id, line, CASE WHEN vehicle_id % 4 = 1 THEN 'edited' ELSE part_name END AS part_name FROM asked WHERE place > (page - 1) * 200 AND place <= page * 200 AND vehicle_id % 5 <> 2""")
+def e6_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Page 5 of the current, the bounded and the sample list, each laid out by its order, with the edits of its vehicles."""
+    order = ["part_number", "vehicle_id", "order_id", "line"]
+    flat = flat_catalog(spark, d).groupBy(*order, "group_code", "part_id").agg(F.min("part_name").alias("part_name"))
+    heads = table(spark, d, "supplier").select(F.col("s_suppkey").alias("vehicle_id"), F.when(F.col("s_suppkey") % 4 == 1, '{"part_name":"edited"}').otherwise("{}").alias("payload"), F.when(F.col("s_suppkey") % 5 == 2, "retired").otherwise("active").alias("status"))
+    pages = []
+    for form, rule in (("current", "true"), ("bounded", "group_code = 'R'"), ("sample", "part_id % 10 = 3")):
+        rows = flat.filter(rule).groupBy(*order).agg(F.min("part_name").alias("part_name"))
+        path = scratch_path(spark, f"list-{form}")
+        pagestore.write_list(rows, path, order)
+        items, _ = pagestore.PagedList(spark, path, rows.schema, order).page(5, 200)
+        pages.append(overlay.effective(items, heads, "vehicle_id", ["part_name"]).select(F.lit(form).alias("form"), *order, "part_name"))
+    return reduce(DataFrame.unionByName, pages)
+
+
 @query("n2_orphans", "SELECT 'lineitem.l_partkey' AS rule, count(*) AS n_bad FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5) UNION ALL SELECT 'lineitem.l_suppkey', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) UNION ALL SELECT 'supplier.s_nationkey', count(*) FROM supplier WHERE s_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey > 0)")
 def n2(spark: SparkSession, d: str) -> DataFrame:
     """References to levels that a filter has unpublished."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import records, text, urls
+from ..functions.canonical import with_record_sha256
 from .base import query, table
 
 _ABS = r"'^[A-Za-z][A-Za-z0-9+.-]*://'"
@@ -77,3 +78,14 @@ def k1(spark: SparkSession, d: str) -> DataFrame:
 def a9_counters(spark: SparkSession, d: str) -> DataFrame:
     """Counters by two keys in one aggregation."""
     return table(spark, d, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+
+
+_MIXED_SQL = "SELECT doc_id, replace(lang, 'e', 'é' ) AS lang, text, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id / 4 END AS score FROM documents"
+
+
+@query("h1_canonical_json", f"""SELECT doc_id, sha256('{{"doc_id":' || doc_id || ',"lang":' || coalesce(CAST(to_json(nfc_normalize(lang)) AS VARCHAR), 'null') || ',"score":' || coalesce(CAST(score AS VARCHAR), 'null') || ',"text":' || coalesce(CAST(to_json(nfc_normalize(text)) AS VARCHAR), 'null') || '}}') AS record_sha256 FROM ({_MIXED_SQL})""")
+def h1_json(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of documents as JSON in one form: composed text, sorted keys, numbers as numbers (H1)."""
+    score = F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") / 4)
+    rows = table(spark, d, "documents").select("doc_id", F.replace("lang", F.lit("e"), F.lit("e\u0301")).alias("lang"), "text", score.alias("score"))
+    return with_record_sha256(rows, ["doc_id", "lang", "text", "score"]).select("doc_id", "record_sha256")
