@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import archives, catalog, curate, evidence, folds, functions, intake, lineage, records, rules, serve, summary, views  # noqa: F401  (each registers its queries)
+from . import archives, catalog, curate, entities, evidence, folds, functions, intake, lineage, records, rules, serve, summary, views  # noqa: F401  (each registers its queries)
 from .base import QUERIES, SQL, Query
 
 

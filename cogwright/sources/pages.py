@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_range
-from ..functions.text import clean_text, is_blank, let, part_key
+from ..functions.text import WHITE, clean_text, is_blank, let, part_key
 from ..functions.urls import query_param
 
 PARSED = "page_id long, title string, heading string, breadcrumb array<string>, metadata map<string,string>, anchors array<struct<href:string,text:string,data:map<string,string>,label:string,listed:boolean>>, tables array<struct<header:array<string>,classes:array<string>,rows:array<struct<cells:array<string>,links:array<string>>>>>"
@@ -303,6 +303,56 @@ def adapt_vehicle(metadata: Column, aliases: Mapping[str, Sequence[str]]) -> Col
     return F.struct(*(F.coalesce(*(clean_text(F.element_at(metadata, a)) for a in names)).alias(f) for f, names in aliases.items()))
 
 
+#: Names that a field of a vehicle goes by (fixed values).
+VEHICLE_ALIASES = {
+    "brand": ("brand", "make"), "name": ("name", "vehicle", "vehicle name"), "model": ("model", "model code", "sales code", "npl"), "description": ("description",), "options": ("options", "option"),
+    "prod_period": ("prod period", "production period", "prod range", "manufactured"), "catalog_code": ("catalog", "catalog code"), "vehicle_external_id": ("vehicle id", "vid", "uid"),
+}
+#: The same for brands that have names of their own, in the order in which they are looked for (fixed values).
+BRAND_FIELDS = {
+    "toyota": {"model": ("model", "model code", "frame", "frame code"), "description": ("description", "grade"), "options": ("options", "engine", "transmission", "destination")},
+    "audi": {"model": ("model", "model designation", "sales type"), "prod_period": ("prod period", "model year", "production period")},
+    "renault": {"model": ("model", "vehicle type", "type", "model code"), "options": ("options", "engine", "gearbox")},
+}
+
+
+def vehicle_record(metadata: Column) -> Column:
+    """struct of a vehicle's fields, its months and how exact they are, by the names that its brand uses; null if nothing tells a vehicle.
+
+    Names are compared trimmed, in lower case and without colons at the end; of names that are one then, the last counts. A field
+    is the value of the first name that is there, be it empty. It takes a brand, a name, a model or a period that is not empty.
+    """
+    plain = lambda k: F.regexp_replace(F.lower(F.regexp_replace(k, f"^{WHITE}|{WHITE}$", "")), ":+$", "")
+    entries = F.transform(F.coalesce(F.map_entries(metadata), F.array().cast("array<struct<key:string,value:string>>")), lambda e: F.struct(plain(e["key"]).alias("key"), F.coalesce(e["value"], F.lit("")).alias("value")))
+
+    def fields(e: Column) -> Column:
+        named = lambda n: F.try_element_at(F.filter(e, lambda x: x["key"] == n), F.lit(-1))["value"]
+        first = lambda names: F.coalesce(*(named(n) for n in names))
+        brand = F.lower(F.coalesce(F.nullif(named("brand"), F.lit("")), named("make"), F.lit("")))
+
+        def of(field: str) -> Column:
+            own = [(b, names[field]) for b, names in BRAND_FIELDS.items() if field in names]
+            known = [b for b in BRAND_FIELDS]
+            out = first(VEHICLE_ALIASES[field])
+            for b, names in reversed(own):
+                # The first brand that is found decides, also where it has no names of its own for this field.
+                before = known[: known.index(b)]
+                mine = F.contains(brand, F.lit(b))
+                for other in before:
+                    mine = mine & ~F.contains(brand, F.lit(other))
+                out = F.when(mine, first(names)).otherwise(out)
+            return out
+
+        return F.struct(*(of(f).alias(f) for f in VEHICLE_ALIASES))
+
+    def record(v: Column) -> Column:
+        told = F.greatest(*(F.coalesce(F.length(v[f]), F.lit(0)) for f in ("brand", "name", "model", "prod_period"))) > 0
+        months = lambda r: F.struct(*(v[f].alias(f) for f in VEHICLE_ALIASES), F.upper(F.nullif(v["brand"], F.lit(""))).alias("brand_normalized"), r["start"].alias("production_from"), r["end"].alias("production_to"), r["precision"].alias("production_precision"))
+        return F.when(told, let(parse_range(v["prod_period"]), months))
+
+    return let(let(entries, fields), record)
+
+
 def register_rows(parsed: DataFrame, header: Sequence[str], excluded: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of register tables with exactly this header (kind, name, code, year first of all by position).
 
