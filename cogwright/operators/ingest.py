@@ -1,7 +1,7 @@
 """Records of parsed pages put into a normalised store: each once by its natural key, with ids that are dense and stay.
 
 A record that the store has keeps its id; new ones follow the greatest, in the order in which the pages have them. Numbers are
-given out by ranges of that order whose counts are summed first, so no task sees all new records. Parents come before
+given out by ranges of that order whose counts are summed first, so no task sees all new records. Where nothing is new a table stays as it is. Parents come before
 their children, whose keys hold the parents' ids.
 """
 
@@ -17,7 +17,8 @@ from ..functions.ranges import range_cuts, range_of
 from ..functions.text import assembly_flag, part_key
 from .scratch import written
 
-RANGES = 256
+#: New records are numbered by ranges of their order, of about this many rows; very many go into RANGES larger ones, which spill.
+RANGES, ROWS_PER_RANGE = 256, 200_000
 #: The natural key and the other columns of each type of record, parents first (fixed values).
 TYPES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "vehicle": (("catalog_brand", "external_id", "model", "prod_period", "source_url"), ("name",)),
@@ -53,8 +54,13 @@ def get_or_create(store: DataFrame, rows: DataFrame, keys: Sequence[str], order:
     first = rows.groupBy(key.alias("_key")).agg(F.min(F.struct(*order)).alias("_at"), F.min_by(F.struct(*(others or [F.lit(0).alias("_")])), F.struct(*order)).alias("_rest"))
     known = store.select("id", key.alias("_key"))
     new = written(first.join(known, "_key", "left_anti"), "new-records")
+    count = new.count()  # from the files' footers
+    if not count:
+        return store, rows.withColumn("_key", key).join(known, "_key").drop("_key"), store.filter("false")
+    ranges = min(RANGES, -(-count // ROWS_PER_RANGE))
     place = F.col(f"_at.{order[0]}")
-    new = new.withColumn("_place", place).withColumn("_part", range_of(F.col("_place"), range_cuts(new.withColumn("_place", place), "_place", RANGES)))
+    cuts = range_cuts(new.select(place.alias("_place")), "_place", ranges) if ranges > 1 else []
+    new = new.withColumn("_part", range_of(place, cuts))
     counts = new.groupBy("_part").agg(F.count("*").alias("_n"))
     ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
@@ -62,9 +68,8 @@ def get_or_create(store: DataFrame, rows: DataFrame, keys: Sequence[str], order:
     inside = Window.partitionBy("_part").orderBy("_at", F.xxhash64("_key"))
     numbered = new.withColumn("_rank", F.row_number().over(inside)).join(F.broadcast(starts), "_part").crossJoin(F.broadcast(last))
     created = written(numbered.select((F.col("_last") + F.col("_ahead") + F.col("_rank")).alias("id"), *(F.col(f"_key.{c}").alias(c) for c in keys), *(F.col(f"_rest.{c}").alias(c) for c in others)).select(*store.columns), "created-records")
-    table = store.unionByName(created)
     ids = known.unionByName(created.select("id", key.alias("_key")))
-    return table, rows.withColumn("_key", key).join(ids, "_key").drop("_key"), created
+    return store.unionByName(created), rows.withColumn("_key", key).join(ids, "_key").drop("_key"), created
 
 
 def _chosen(parts: DataFrame, diagrams: DataFrame) -> DataFrame:
@@ -97,10 +102,8 @@ def ingest_pages(pages: Mapping[str, DataFrame], store: Mapping[str, DataFrame],
 
     vehicles = put("vehicle", pages["vehicles"], ["page_id"])
     of_page = vehicles.select("page_id", F.col("id").alias("vehicle_id"), "catalog_brand")
-    nodes = pages["taxonomies"].join(of_page.select("page_id", "vehicle_id"), "page_id").withColumn("_steps", F.col("path"))
-    nodes = nodes.select("*", F.posexplode("_steps").alias("depth", "_name")).drop("path", "_steps")
-    whole = pages["taxonomies"].select("page_id", "place", F.col("path").alias("_path"))
-    nodes = nodes.join(whole, ["page_id", "place"]).select(
+    nodes = pages["taxonomies"].withColumnRenamed("path", "_path").join(of_page.select("page_id", "vehicle_id"), "page_id").select("*", F.posexplode("_path").alias("depth", "_name"))
+    nodes = nodes.select(
         "page_id", "place", "depth", "vehicle_id", "source_url", F.col("_name").alias("name"), F.array_join(F.slice("_path", F.lit(1), F.col("depth") + 1), " > ").alias("path"),
         F.when(F.col("depth") > 0, F.array_join(F.slice("_path", F.lit(1), F.greatest("depth", F.lit(1))), " > ")).alias("parent_path"),
     )
@@ -120,7 +123,7 @@ def ingest_pages(pages: Mapping[str, DataFrame], store: Mapping[str, DataFrame],
     every = put("part_number", every, ["page_id", "step", "place"])
     part_of = lambda step: every.filter(F.col("step") == step).select("page_id", "place", F.col("id").alias("part_id"))
 
-    used = _chosen(parts.drop("source_url").join(pages["parts"].select("page_id", "place", "source_url"), ["page_id", "place"]), diagrams).filter("vehicle_id is not null and diagram_id is not null").join(part_of(0), ["page_id", "place"])
+    used = _chosen(parts, diagrams).filter("vehicle_id is not null and diagram_id is not null").join(part_of(0), ["page_id", "place"])
     occurrences = put("part_occurrence", used, ["page_id", "place"])
     sure: Column = F.lit(1.0 if verified else 0.7)
     fits = occurrences.select("page_id", "place", F.col("id").alias("occurrence_id"), "part_id", "vehicle_id", "diagram_id", "source_url", F.lit(derivation).alias("derivation"), F.lit(verified).alias("is_verified"), sure.alias("confidence"))
@@ -129,4 +132,4 @@ def ingest_pages(pages: Mapping[str, DataFrame], store: Mapping[str, DataFrame],
     put("part_relation", relations.join(part_of(2), ["page_id", "place"]).withColumn("to_number_normalized", part_key("to_number")), ["page_id", "place"])
     all_edges = reduce(DataFrame.unionByName, edges).distinct()
     out["record_source"] = store["record_source"].unionByName(all_edges.join(store["record_source"], ["record_type", "record_id", "page_id", "parser"], "left_anti"))
-    return {k: written(v, "store") for k, v in out.items()}, reduce(DataFrame.unionByName, new)
+    return {k: v if v is store[k] else written(v, "store") for k, v in out.items()}, reduce(DataFrame.unionByName, new)
