@@ -48,3 +48,21 @@ def history(heads: DataFrame, events: DataFrame, keys: Sequence[str]) -> DataFra
     """heads with their events as a list in the order of revisions."""
     listed = events.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("revision", "action", "request_id", "payload"))).alias("events"))
     return heads.join(listed, list(keys), "left")
+
+
+CATEGORY = ("category_main", "category_group", "category_small")
+
+
+def category_list(published: DataFrame, sampled: DataFrame, labels: DataFrame) -> DataFrame:
+    """Categories with where each comes from, whether its third level has a source, and its label.
+
+    published, sampled: category_main, category_group (null: none); labels: the three levels ('' where one is none), label; one row a category.
+    A category of several origins has a row for each. Labels meet all three levels, a missing one as ''; a null first level has no label.
+    """
+    of = lambda df, status: df.select("category_main", F.coalesce("category_group", F.lit("")).alias("category_group"), F.lit(None).cast("string").alias("category_small"), F.lit(status).alias("dataset_status"))
+    by_hand = labels.select("category_main", "category_group", F.nullif("category_small", F.lit("")).alias("category_small"), F.lit("manual_only").alias("dataset_status"))
+    every = of(published, "verified_bounded").unionByName(of(sampled, "sample_not_published")).unionByName(by_hand).distinct()
+    source = F.when(F.col("category_small").isNull(), "unavailable_in_current_hierarchy").otherwise("manual_only")
+    every = every.withColumns({"small_source_status": source, "_small": F.coalesce("category_small", F.lit(""))})
+    named = labels.select("category_main", "category_group", F.col("category_small").alias("_small"), "label")
+    return every.join(named, ["category_main", "category_group", "_small"], "left").select("dataset_status", *CATEGORY, "small_source_status", "label")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import entities, mappings
+from ..operators import entities, mappings, overlay
 from ..sources.pages import vehicle_record
 from .base import query, table
 
@@ -172,3 +172,14 @@ def p9(spark: SparkSession, d: str) -> DataFrame:
     period = F.when(k == 1, "Model Year:").otherwise("Prod Range")
     meta = F.create_map(F.lit(" Make:"), brand, F.lit("Frame"), F.concat(F.lit("frame"), size), F.lit("Sales Type"), F.concat(F.lit("sales"), size), F.lit("TYPE"), F.concat(F.lit("type"), size), F.lit("npl"), F.concat(F.lit("npl"), size), F.lit("Grade"), F.lit("grade"), F.lit("Engine "), F.col("p_type"), period, F.lit("2010 - 2015"))
     return table(spark, d, "part").select("p_partkey", vehicle_record(meta).alias("v")).select("p_partkey", *(f"v.{c}" for c in ("brand", "model", "description", "options", "prod_period", "production_from", "production_to", "brand_normalized")))
+
+
+_PUBLISHED = "SELECT p_brand AS category_main, CASE WHEN p_size % 5 > 0 THEN 'g' || (p_size % 4) END AS category_group FROM part WHERE p_partkey % 3 = 0"
+_SAMPLED = "SELECT p_brand AS category_main, 'g' || (p_size % 6) AS category_group FROM part WHERE p_partkey % 3 = 1"
+_LABELS = "SELECT p_brand AS category_main, CASE p_size % 7 WHEN 2 THEN '' ELSE 'g' || (p_size % 7) END AS category_group, CASE WHEN p_size % 7 > 3 AND p_size % 2 = 0 THEN 's' ELSE '' END AS category_small, min('L' || p_size) AS label FROM part WHERE p_size % 7 > 1 GROUP BY 1, 2, 3"
+
+
+@query("e10_categories", f"WITH p AS ({_PUBLISHED}), s AS ({_SAMPLED}), l AS ({_LABELS}), c AS (SELECT category_main, coalesce(category_group, '') AS category_group, CAST(NULL AS VARCHAR) AS category_small, 'verified_bounded' AS dataset_status FROM p UNION SELECT category_main, category_group, NULL, 'sample_not_published' FROM s UNION SELECT category_main, category_group, nullif(category_small, ''), 'manual_only' FROM l) SELECT c.*, CASE WHEN c.category_small IS NULL THEN 'unavailable_in_current_hierarchy' ELSE 'manual_only' END AS small_source_status, l.label FROM c LEFT JOIN l ON l.category_main = c.category_main AND l.category_group = c.category_group AND l.category_small = coalesce(c.category_small, '')")
+def e10_categories(spark: SparkSession, d: str) -> DataFrame:
+    """Categories with their origins, the source of their third level, and labels on all three keys."""
+    return overlay.category_list(*(_frame(spark, d, sql, "part") for sql in (_PUBLISHED, _SAMPLED, _LABELS)))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cogwright.operators import entities, mappings
+from cogwright.operators import entities, mappings, overlay
 from cogwright.sources.pages import vehicle_record
 
 DECODE = "vin string, make string, model string, engine string, trim string, model_year int, error_code string"
@@ -103,3 +103,15 @@ def test_diagrams_keep_nulls_and_need_a_category(spark):
     seen = spark.createDataFrame([(10, 1), (20, 2), (30, 3)], "id long, run_id long")
     assert [r.id for r in entities.of_last_sample(view, seen, runs).collect()] == [20]
     assert entities.of_last_sample(view, seen, runs.filter("status = 'none'")).count() == 0
+
+
+def test_categories_of_several_origins(spark):
+    two, four = "category_main string, category_group string", "category_main string, category_group string, category_small string, label string"
+    published = spark.createDataFrame([("a", None), ("a", None), ("b", "g"), (None, "g")], two)
+    labels = spark.createDataFrame([("a", "", "", "A"), ("b", "g", "s", "B"), (None, "g", "", "never")], four)
+    got = {tuple(r) for r in overlay.category_list(published, spark.createDataFrame([("b", "g")], two), labels).collect()}
+    none = "unavailable_in_current_hierarchy"
+    assert got == {
+        ("verified_bounded", "a", "", None, none, "A"), ("verified_bounded", "b", "g", None, none, None), ("verified_bounded", None, "g", None, none, None), ("sample_not_published", "b", "g", None, none, None),
+        ("manual_only", "a", "", None, none, "A"), ("manual_only", "b", "g", "s", "manual_only", "B"), ("manual_only", None, "g", None, none, None),
+    }
