@@ -98,8 +98,7 @@ def u4(spark: SparkSession, d: str) -> DataFrame:
 def e4(spark: SparkSession, d: str) -> DataFrame:
     """Each decoded VIN with how complete it is, its candidates and whether it is mapped."""
     decodes, vehicles = _vehicles(spark, d)
-    found = vin.candidates(decodes, vehicles)
-    counts = found.groupBy("vin").agg(F.countDistinct("vehicle_id").alias("candidates"), F.countDistinct(F.when(F.col("strict"), F.col("vehicle_id"))).alias("strict_candidates"))
+    counts = vin.candidate_counts(decodes, vehicles)
     mapped = _mappings(spark, d).select("vin").distinct().withColumn("_mapped", F.lit(True))
     j = decodes.withColumn("code", F.lit("0")).join(counts, "vin", "left").join(mapped, "vin", "left")
     n, strict = F.coalesce("candidates", F.lit(0)), F.coalesce("strict_candidates", F.lit(0))
