@@ -45,9 +45,10 @@ def record_receipts(groups: DataFrame, receipts: DataFrame) -> DataFrame:
     """Groups with their last receipt; the high-water mark of verified rows rises with status done only.
 
     groups: group_id, vehicle_id, fetched_run_key, fetched_status, fetched_row_count, verified_row_count; receipts:
-    group_id, run_key, status (done, not_found, partial), row_count, position.
+    group_id, run_key, status (done, not_found, partial), row_count, position. Of receipts at one position the greatest
+    run_key, then status, then row_count counts, and gives all three.
     """
-    last = last_per_key(receipts, ["group_id"], ["position"]).select("group_id", F.col("run_key").alias("_run"), F.col("status").alias("_status"), F.col("row_count").alias("_rows"))
+    last = last_per_key(receipts, ["group_id"], ["position", "run_key", "status", "row_count"]).select("group_id", F.col("run_key").alias("_run"), F.col("status").alias("_status"), F.col("row_count").alias("_rows"))
     high = receipts.filter("status = 'done'").groupBy("group_id").agg(F.max("row_count").alias("_high"))
     j = groups.join(last, "group_id", "left").join(high, "group_id", "left")
     return j.select("group_id", "vehicle_id", F.coalesce("_run", "fetched_run_key").alias("fetched_run_key"), F.coalesce("_status", "fetched_status").alias("fetched_status"), F.coalesce("_rows", "fetched_row_count").alias("fetched_row_count"), F.greatest("verified_row_count", "_high").alias("verified_row_count"))

@@ -174,7 +174,7 @@ _GROUP_RECEIPTS = "SELECT l_orderkey AS group_id, 'run9' AS run_key, CASE l_retu
 
 @query(
     "m12_receipts",
-    f"""WITH g AS ({_GROUPS.replace('{orders}', 'orders')}), r AS ({_GROUP_RECEIPTS.replace('{lineitem}', 'lineitem')}), l AS (SELECT group_id, arg_max(run_key, position) AS k, arg_max(status, position) AS s, arg_max(row_count, position) AS n, max(row_count) FILTER (status = 'done') AS high FROM r GROUP BY 1)
+    f"""WITH g AS ({_GROUPS.replace('{orders}', 'orders')}), r AS ({_GROUP_RECEIPTS.replace('{lineitem}', 'lineitem')}), t AS (SELECT group_id, max({{'p': position, 'k': run_key, 's': status, 'n': row_count}}) AS m, max(row_count) FILTER (status = 'done') AS high FROM r GROUP BY 1), l AS (SELECT group_id, m.k AS k, m.s AS s, m.n AS n, high FROM t)
 SELECT g.group_id, vehicle_id, coalesce(k, fetched_run_key) AS fetched_run_key, coalesce(s, fetched_status) AS fetched_status, coalesce(n, fetched_row_count) AS fetched_row_count, greatest(verified_row_count, high) AS verified_row_count FROM g LEFT JOIN l USING (group_id)""",
 )
 def m12(spark: SparkSession, d: str) -> DataFrame:
