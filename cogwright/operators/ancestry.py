@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 from .scratch import written
 
 
+def _moved(rows: DataFrame, by: DataFrame) -> DataFrame:
+    """Open rows, each after taking over what the record that it points to has found."""
+    jump = by.select(F.col("k").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("ancestors").alias("_more"), F.col("root").alias("_root"), F.col("defect").alias("_defect"))
+    return rows.join(jump, "up").select("k", "kind", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), F.concat("ancestors", "_more").alias("ancestors"), F.col("_root").alias("root"), F.col("_defect").alias("defect"))
+
+
 def resolve_chains(records: DataFrame, key: str, parent: str, kind: str | None = None, order: Sequence[str] = ()) -> DataFrame:
     """(key, kind, root, depth, ancestors, defect) for every record: its whole chain, or the first thing that is wrong with it.
 
-    In each round every open record takes over what the record that it points to points to, so a chain of n steps takes
+    In each round every open record that others point to takes over what the record that it points to points to, so a chain of n steps takes
     log2(n) rounds, each a join on the pointer that is written to shared scratch. Without an `order` of kinds any chain goes;
     ancestors is then empty. With one, a record's parent must be of the kind before its own, and ancestors has the keys from the
     nearest on. defect, the nearest on the way up: missing_parent, no_parent (of a kind that has one), wrong_type, or cycle
@@ -37,13 +43,20 @@ def resolve_chains(records: DataFrame, key: str, parent: str, kind: str | None =
         "k", "kind", up.alias("up"), F.when(up.isNotNull(), 1).otherwise(0).cast("long").alias("depth"), (F.coalesce(path, empty) if order else empty).alias("ancestors"), F.when(F.col("_bad").isNull() & up.isNull(), F.col("k")).alias("root"), F.col("_bad").alias("defect"),
     )
     state = written(state, "chains")
-    left = max(rows.count(), 1).bit_length() + 1
-    while left and not state.filter("up is not null").isEmpty():
+    # Only what others point to is followed by rounds; the rest, often most records, takes over its parent's answer at the end.
+    asked = state.filter("up is not null").select(F.col("up").alias("k")).distinct()
+    still = written(state.filter("up is not null").join(asked, "k", "left_semi"), "chains")
+    ends = state.filter("up is null")
+    followed, left = ends, max(still.count(), 1).bit_length() + 1
+    while left and not still.isEmpty():
         left -= 1
-        jump = state.select(F.col("k").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("ancestors").alias("_more"), F.col("root").alias("_root"), F.col("defect").alias("_defect"))
-        moved = state.filter("up is not null").join(jump, "up").select("k", "kind", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), F.concat("ancestors", "_more").alias("ancestors"), F.col("_root").alias("root"), F.col("_defect").alias("defect"))
-        state = written(state.filter("up is null").unionByName(moved), "chains")
-    # More rounds than the logarithm of all records: what is still open goes round.
+        moved = written(_moved(still, followed.unionByName(still)), "chains")
+        # Records whose chain is known are written once and only read after that.
+        followed, still = followed.unionByName(moved.filter("up is null")), moved.filter("up is not null")
+    inner = followed.unionByName(still)
+    leaves = state.filter("up is not null").join(asked, "k", "left_anti")
+    state = inner.unionByName(_moved(leaves, inner))
+    # More rounds than the logarithm of all records that are pointed to: what is still open goes round.
     return state.select(F.col("k").alias(key), "kind", "root", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"), F.when(F.col("defect").isNull() & F.col("up").isNull(), F.col("ancestors")).alias("ancestors"), F.coalesce("defect", F.when(F.col("up").isNotNull(), "cycle")).alias("defect"))
 
 

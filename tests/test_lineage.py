@@ -41,3 +41,19 @@ def test_full_run_is_merged(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_leaves_are_not_rewritten(spark, monkeypatch):
+    """A thousand records below a chain of nine are written twice, however many rounds the chain takes."""
+    kept, seen = ancestry.written, []
+
+    def counted(df, name):
+        out = kept(df, name)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(ancestry, "written", counted)
+    rows = spark.range(1009).selectExpr("id AS k", "CASE WHEN id = 0 THEN NULL WHEN id < 9 THEN id - 1 ELSE 8 END AS up")
+    got = {(r.k, r.root, r.depth) for r in ancestry.resolve_chains(rows, "k", "up").collect()}
+    assert got == {(k, 0, min(k, 9)) for k in range(1009)}
+    assert sum(seen) < 2 * 1009 + 100
