@@ -31,9 +31,14 @@ def _with_keys(df: DataFrame, name: str) -> DataFrame:
     return df.select(F.struct(*df.columns, *(alnum_key(f).alias(f"{f}_key") for f in FIELDS)).alias(name))
 
 
+def _form_key() -> Column:
+    """The digest of a vehicle's description: 32 bytes in each part row and link that is joined by it, not the description itself."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*_FORM)), 256))
+
+
 def vehicle_forms(snapshot: DataFrame) -> DataFrame:
     """(form, and the columns of a vehicle): each vehicle as its part rows describe it, once; `form` names the description."""
-    return snapshot.filter("vehicle_id is not null").select(*_FORM).distinct().withColumn("form", F.to_json(F.struct(*_FORM)))
+    return snapshot.filter("vehicle_id is not null").select(*_FORM).distinct().withColumn("form", _form_key())
 
 
 def only_ones(decodes: DataFrame, forms: DataFrame) -> DataFrame:
@@ -102,7 +107,7 @@ def fitments_by_link(decodes: DataFrame, links: DataFrame, snapshot: DataFrame)
     read = is_blank("part_range") | F.col("part_from").isNotNull() | F.col("part_to").isNotNull()
     first, last = fitment_window(F.col("production_from"), F.col("production_to"), F.col("part_from"), F.col("part_to"))
     parts = snapshot.filter("vehicle_id is not null and (production_from is not null or production_to is not null)").filter(read & ~is_blank("part_name"))
-    parts = parts.select("part_id", "vehicle_id", first.alias("fitment_from"), last.alias("fitment_to"), F.to_json(F.struct(*_FORM)).alias("form")).filter(ordered(F.col("fitment_from"), F.col("fitment_to")))
+    parts = parts.select("part_id", "vehicle_id", first.alias("fitment_from"), last.alias("fitment_to"), _form_key().alias("form")).filter(ordered(F.col("fitment_from"), F.col("fitment_to")))
     a, b = month_year(F.col("fitment_from")), month_year(F.col("fitment_to"))
     closed = parts.filter(a <= b).withColumn("model_year", F.explode(F.sequence(a, b)))
     still = parts.filter(a.isNull() | b.isNull())
