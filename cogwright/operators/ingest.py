@@ -19,6 +19,8 @@ from .scratch import written
 
 #: New records are numbered by ranges of their order, of about this many rows; very many go into RANGES larger ones, which spill.
 RANGES, ROWS_PER_RANGE = 256, 200_000
+#: Vehicles and diagrams are looked up in each task, if they are counted to be no more than this; beyond it, the joins shuffle.
+BROADCAST_ROWS = 1_000_000
 #: The natural key and the other columns of each type of record, parents first (fixed values).
 TYPES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "vehicle": (("catalog_brand", "external_id", "model", "prod_period", "source_url"), ("name",)),
@@ -43,20 +45,31 @@ def empty_store(spark: SparkSession) -> dict[str, DataFrame]:
     return {**{k: spark.createDataFrame([], _schema(k)) for k in TYPES}, "record_source": spark.createDataFrame([], "record_type string, record_id long, page_id long, parser string")}
 
 
-def get_or_create(store: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+def get_or_create(store: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str], derived: Mapping[str, Column] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(table, resolved, created): the store with the new records, rows with their ids, and the new records alone.
 
     store: id, keys and others; rows: keys, others and the order columns, of which the first is a long. Keys compare null-safe; of rows
-    with one key the first in order gives the others.
+    with one key the first in order gives the others. derived: others that are computed of a new record and not of each row. A hash
+    leads the keys, so that sorts tell them apart by a number; the keys themselves decide.
     """
+    derived = derived or {}
     others = [c for c in store.columns if c not in ("id", *keys)]
+    given = [c for c in others if c not in derived]
+    same = ["_hash", "_key"]
     key = F.struct(*keys)
-    first = rows.groupBy(key.alias("_key")).agg(F.min(F.struct(*order)).alias("_at"), F.min_by(F.struct(*(others or [F.lit(0).alias("_")])), F.struct(*order)).alias("_rest"))
-    known = store.select("id", key.alias("_key"))
-    new = written(first.join(known, "_key", "left_anti"), "new-records")
-    count = new.count()  # from the files' footers
+    keyed = lambda df, *more: df.select(*more, key.alias("_key")).withColumn("_hash", F.xxhash64("_key"))
+    typed = rows.withColumns({c: F.col(c).cast(store.schema[c].dataType) for c in keys if rows.schema[c].dataType != store.schema[c].dataType})  # equal keys have equal hashes
+    first = keyed(typed, F.struct(*order).alias("_order"), F.struct(*(given or [F.lit(0).alias("_")])).alias("_given"))
+    first = first.groupBy(*same).agg(F.min("_order").alias("_at"), F.min_by("_given", "_order").alias("_rest"))
+    last = store.agg(F.max("id")).first()[0]
+    found = first.withColumn("_id", F.lit(None).cast("long")) if last is None else first.join(keyed(store, F.col("id").alias("_id")), same, "left")
+    found = written(found, "found-records")
+    new = found.filter("_id is null")
+    known = found.filter("_id is not null").select("_id", *same)
+    with_ids = lambda ids: keyed(typed, *(c for c in rows.columns if c not in keys)).join(ids.withColumnRenamed("_id", "id"), same).select(*(F.col(f"_key.{c}").alias(c) if c in keys else F.col(c) for c in rows.columns), "id")
+    count = new.count()
     if not count:
-        return store, rows.withColumn("_key", key).join(known, "_key").drop("_key"), store.filter("false")
+        return store, with_ids(known), store.filter("false")
     ranges = min(RANGES, -(-count // ROWS_PER_RANGE))
     place = F.col(f"_at.{order[0]}")
     cuts = range_cuts(new.select(place.alias("_place")), "_place", ranges) if ranges > 1 else []
@@ -64,19 +77,25 @@ def get_or_create(store: DataFrame, rows: DataFrame, keys: Sequence[str], order:
     counts = new.groupBy("_part").agg(F.count("*").alias("_n"))
     ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
-    last = store.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_last"))
-    inside = Window.partitionBy("_part").orderBy("_at", F.xxhash64("_key"))
-    numbered = new.withColumn("_rank", F.row_number().over(inside)).join(F.broadcast(starts), "_part").crossJoin(F.broadcast(last))
-    created = written(numbered.select((F.col("_last") + F.col("_ahead") + F.col("_rank")).alias("id"), *(F.col(f"_key.{c}").alias(c) for c in keys), *(F.col(f"_rest.{c}").alias(c) for c in others)).select(*store.columns), "created-records")
-    ids = known.unionByName(created.select("id", key.alias("_key")))
-    return store.unionByName(created), rows.withColumn("_key", key).join(ids, "_key").drop("_key"), created
+    inside = Window.partitionBy("_part").orderBy(*(F.col(f"_at.{c}") for c in order), "_hash")
+    numbered = new.withColumn("_rank", F.row_number().over(inside)).join(F.broadcast(starts), "_part")
+    numbered = numbered.select((F.lit(last or 0) + F.col("_ahead") + F.col("_rank")).alias("id"), *(F.col(f"_key.{c}").alias(c) for c in keys), *(F.col(f"_rest.{c}").alias(c) for c in given))
+    created = written(numbered.withColumns(dict(derived)).select(*store.columns) if derived else numbered.select(*store.columns), "created-records")
+    ids = keyed(created, F.col("id").alias("_id"))
+    return created if last is None else store.unionByName(created), with_ids(ids if last is None else known.unionByName(ids)), created
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """df, broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def _chosen(parts: DataFrame, diagrams: DataFrame) -> DataFrame:
     """parts with diagram_id: that of the page which has the part's code, else its name, else the only one."""
-    last = lambda by: diagrams.filter(F.col(by).isNotNull()).groupBy("page_id", by).agg(F.max_by("id", "place").alias(f"_by_{by}"))
+    few = F.broadcast if diagrams.count() <= BROADCAST_ROWS else lambda df: df
+    last = lambda by: few(diagrams.filter(F.col(by).isNotNull()).groupBy("page_id", by).agg(F.max_by("id", "place").alias(f"_by_{by}")).withColumnRenamed(by, f"diagram_{by}"))
     only = diagrams.groupBy("page_id").agg(F.count_distinct("id").alias("_n"), F.min("id").alias("_only"))
-    j = parts.join(last("code").withColumnRenamed("code", "diagram_code"), ["page_id", "diagram_code"], "left").join(last("name").withColumnRenamed("name", "diagram_name"), ["page_id", "diagram_name"], "left").join(only, "page_id", "left")
+    j = parts.join(last("code"), ["page_id", "diagram_code"], "left").join(last("name"), ["page_id", "diagram_name"], "left").join(few(only), "page_id", "left")
     return j.withColumn("diagram_id", F.coalesce("_by_code", "_by_name", F.when(F.col("_n") == 1, F.col("_only")))).drop("_by_code", "_by_name", "_n", "_only")
 
 
@@ -92,44 +111,54 @@ def ingest_pages(pages: Mapping[str, DataFrame], store: Mapping[str, DataFrame],
     out: dict[str, DataFrame] = {}
     edges: list[DataFrame] = []
     new: list[DataFrame] = []
-
-    def put(kind: str, rows: DataFrame, order: Sequence[str]) -> DataFrame:
-        out[kind], resolved, created = get_or_create(store[kind], rows, TYPES[kind][0], order)
-        resolved = written(resolved, kind)
+    whole_tables: set[str] = set()  # written as they are
+
+    def put(kind: str, rows: DataFrame, order: Sequence[str], needed: Sequence[str], derived: Mapping[str, Column] | None = None) -> DataFrame:
+        """Put rows into the store; (page_id, id, needed) of each."""
+        out[kind], resolved, created = get_or_create(store[kind], rows, TYPES[kind][0], order, derived)
+        if out[kind] is created:
+            whole_tables.add(kind)
+        resolved = written(resolved.select("page_id", "id", *needed), kind)
         edges.append(resolved.select(F.lit(kind).alias("record_type"), F.col("id").alias("record_id"), "page_id", F.lit(parser).alias("parser")))
         new.append(created.agg(F.count("*").alias("created")).select(F.lit(kind).alias("record_type"), "created"))
         return resolved
 
-    vehicles = put("vehicle", pages["vehicles"], ["page_id"])
-    of_page = vehicles.select("page_id", F.col("id").alias("vehicle_id"), "catalog_brand")
+    vehicles = put("vehicle", pages["vehicles"], ["page_id"], ["catalog_brand"])
+    of_page = _small(vehicles.select("page_id", F.col("id").alias("vehicle_id"), "catalog_brand"))
     nodes = pages["taxonomies"].withColumnRenamed("path", "_path").join(of_page.select("page_id", "vehicle_id"), "page_id").select("*", F.posexplode("_path").alias("depth", "_name"))
     nodes = nodes.select(
         "page_id", "place", "depth", "vehicle_id", "source_url", F.col("_name").alias("name"), F.array_join(F.slice("_path", F.lit(1), F.col("depth") + 1), " > ").alias("path"),
         F.when(F.col("depth") > 0, F.array_join(F.slice("_path", F.lit(1), F.greatest("depth", F.lit(1))), " > ")).alias("parent_path"),
     )
-    nodes = put("taxonomy_node", nodes, ["page_id", "place", "depth"])
+    nodes = put("taxonomy_node", nodes, ["page_id", "place", "depth"], ["path"])
     per_page = nodes.groupBy("page_id").agg(F.count_distinct("id").alias("_n"), F.min("id").alias("_only"))
     named = nodes.groupBy("page_id", "path").agg(F.min("id").alias("_node"))
     diagrams = pages["diagrams"].join(of_page.select("page_id", "vehicle_id"), "page_id").withColumn("path", F.array_join("path", " > ")).join(named, ["page_id", "path"], "left").join(per_page, "page_id", "left")
-    diagrams = put("diagram", diagrams.withColumn("taxonomy_id", F.coalesce("_node", F.when(F.col("_n") == 1, F.col("_only")))).drop("_node", "_n", "_only", "path"), ["page_id", "place"])
+    diagrams = put("diagram", diagrams.withColumn("taxonomy_id", F.coalesce("_node", F.when(F.col("_n") == 1, F.col("_only")))).drop("_node", "_n", "_only", "path"), ["page_id", "place"], ["place", "code", "name"])
 
-    none = F.lit(None).cast("string")
-    parts, hints, relations = pages["parts"].join(of_page, "page_id", "left"), pages["hints"], pages["relations"]
+    # Numbers take along what their rows are about, so that nothing is joined back by its place.
+    none, about = F.lit(None).cast("string"), lambda name, *columns: F.struct(*columns).alias(name)
+    parts, hints, relations = _chosen(pages["parts"].join(of_page, "page_id", "left"), diagrams), pages["hints"], pages["relations"]
     numbers = [
-        parts.select("page_id", F.lit(0).alias("step"), "place", F.coalesce("brand", "catalog_brand").alias("brand"), "number", "name", "source_url"), hints.select("page_id", F.lit(1).alias("step"), "place", "brand", "number", none.alias("name"), "source_url"),
-        relations.select("page_id", F.lit(2).alias("step"), "place", none.alias("brand"), "number", none.alias("name"), "source_url"),
+        parts.select("page_id", F.lit(0).alias("step"), "place", F.coalesce("brand", "catalog_brand").alias("brand"), "number", "name", "source_url", about("_part", "vehicle_id", "diagram_id", "callout", "quantity", "range", "condition", "note")),
+        hints.select("page_id", F.lit(1).alias("step"), "place", "brand", "number", none.alias("name"), "source_url", about("_hint", "text")),
+        relations.select("page_id", F.lit(2).alias("step"), "place", none.alias("brand"), "number", none.alias("name"), "source_url", about("_relation", "to_number", "relation_type")),
     ]
-    every = reduce(DataFrame.unionByName, numbers).withColumns({"number_normalized": part_key("number"), "is_assembly": F.coalesce(assembly_flag("name")["flag"], F.lit(False))})
-    every = put("part_number", every, ["page_id", "step", "place"])
-    part_of = lambda step: every.filter(F.col("step") == step).select("page_id", "place", F.col("id").alias("part_id"))
-
-    used = _chosen(parts, diagrams).filter("vehicle_id is not null and diagram_id is not null").join(part_of(0), ["page_id", "place"])
-    occurrences = put("part_occurrence", used, ["page_id", "place"])
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbers)
+    if diagrams.count() > BROADCAST_ROWS:
+        every = written(every, "numbers")  # read twice, with joins that shuffle
+    whole = {"number_normalized": part_key("number"), "is_assembly": F.coalesce(assembly_flag("name")["flag"], F.lit(False))}
+    every = put("part_number", every, ["page_id", "step", "place"], ["step", "place", "source_url", "_part", "_hint", "_relation"], whole)
+    of_step = lambda step, name: every.filter(F.col("step") == step).select("page_id", "place", F.col("id").alias("part_id"), "source_url", f"{name}.*")
+
+    occurrences = put("part_occurrence", of_step(0, "_part").filter("vehicle_id is not null and diagram_id is not null"), ["page_id", "place"], ["place", "part_id", "vehicle_id", "diagram_id", "source_url"])
     sure: Column = F.lit(1.0 if verified else 0.7)
     fits = occurrences.select("page_id", "place", F.col("id").alias("occurrence_id"), "part_id", "vehicle_id", "diagram_id", "source_url", F.lit(derivation).alias("derivation"), F.lit(verified).alias("is_verified"), sure.alias("confidence"))
-    put("fitment", fits, ["page_id", "place"])
-    put("compatibility_hint", hints.join(part_of(1), ["page_id", "place"]), ["page_id", "place"])
-    put("part_relation", relations.join(part_of(2), ["page_id", "place"]).withColumn("to_number_normalized", part_key("to_number")), ["page_id", "place"])
-    all_edges = reduce(DataFrame.unionByName, edges).distinct()
-    out["record_source"] = store["record_source"].unionByName(all_edges.join(store["record_source"], ["record_type", "record_id", "page_id", "parser"], "left_anti"))
-    return {k: v if v is store[k] else written(v, "store") for k, v in out.items()}, reduce(DataFrame.unionByName, new)
+    put("fitment", fits, ["page_id", "place"], [])
+    put("compatibility_hint", of_step(1, "_hint"), ["page_id", "place"], [])
+    put("part_relation", of_step(2, "_relation"), ["page_id", "place"], [], {"to_number_normalized": part_key("to_number")})
+    ends = ["record_id", "page_id", "record_type", "parser"]  # first what tells most rows apart
+    every_edge, before = reduce(DataFrame.unionByName, edges).select(*ends).distinct().select("record_type", "record_id", "page_id", "parser"), store["record_source"]
+    out["record_source"] = every_edge if before.isEmpty() else before.unionByName(every_edge.join(before, ends, "left_anti"))
+    kept = {k for k in out if out[k] is store[k] or k in whole_tables}
+    return {k: v if k in kept else written(v, "store") for k, v in out.items()}, reduce(DataFrame.unionByName, new)

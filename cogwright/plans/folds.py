@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import edits, ingest
-from .base import query, table
+from ..operators.scratch import written
+from .base import once, query, table
 
 
 @query(
@@ -60,18 +61,18 @@ _PAGES = {
     "hints": "SELECT CAST(l_suppkey AS BIGINT) AS page_id, l_orderkey * 10 + l_linenumber AS place, 'hb' AS brand, 'N-' || l_partkey AS number, l_linestatus AS text, 'u' || l_suppkey % 40 AS source_url FROM {lines} WHERE l_linenumber = 5",
     "relations": "SELECT CAST(l_suppkey AS BIGINT) AS page_id, l_orderkey * 10 + l_linenumber AS place, 'N-' || l_partkey AS number, 'N-' || (l_partkey + 1) AS to_number, l_returnflag AS relation_type, 'u' || l_suppkey % 40 AS source_url FROM {lines} WHERE l_linenumber = 6",
 }
-_PAGES = {k: v.replace("{lines}", _ONCE) for k, v in _PAGES.items()}
 
 
 def _page_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    views = {t: table(spark, d, t) for t in ("supplier", "lineitem")}
+    lines = once(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_suppkey", "l_partkey", "l_returnflag", "l_linestatus", "l_quantity"])
+    views = {"supplier": table(spark, d, "supplier"), "lines": written(lines, "lines")}
     made = {k: spark.sql(v, **{n: t for n, t in views.items() if "{" + n + "}" in v}) for k, v in _PAGES.items()}
     made["diagrams"] = made["diagrams"].withColumn("path", F.lit(None).cast("array<string>"))
     made["taxonomies"] = spark.createDataFrame([], "page_id long, place int, path array<string>, source_url string")
     return made
 
 
-_P = {k: v.replace("{supplier}", "supplier").replace("{lineitem}", "lineitem") for k, v in _PAGES.items()}
+_P = {k: v.replace("{lines}", _ONCE).replace("{supplier}", "supplier").replace("{lineitem}", "lineitem") for k, v in _PAGES.items()}
 
 
 @query(

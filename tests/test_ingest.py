@@ -1,5 +1,7 @@
 """Eight types of records from pages, with ids that stay."""
 
+from pyspark.sql import functions as F
+
 from cogwright.operators import ingest
 
 SCHEMAS = {
@@ -58,3 +60,20 @@ def test_later_pages_follow(spark):
 def test_empty(spark):
     store, created = ingest.ingest_pages(pages(spark, lambda p: False), ingest.empty_store(spark), "p1", True, "page")
     assert all(df.count() == 0 for df in store.values()) and {r.created for r in created.collect()} == {0}
+
+
+def test_derived_columns_and_narrower_keys(spark):
+    store = spark.createDataFrame([(1, 5, None, "FIVE")], "id long, k long, k2 string, name string")
+    rows = spark.createDataFrame([(1, 5, None, "five"), (2, 6, "x", "six"), (3, 6, "x", "later"), (4, 6, None, "none")], "page_id long, k int, k2 string, text string")
+    table, resolved, created = ingest.get_or_create(store.withColumn("text", F.lower("name")), rows, ["k", "k2"], ["page_id"], {"name": F.upper("text")})
+    assert sorted((r.page_id, r.id) for r in resolved.collect()) == [(1, 1), (2, 2), (3, 2), (4, 3)]
+    assert sorted((r.id, r.k, r.name) for r in table.collect()) == [(1, 5, "FIVE"), (2, 6, "SIX"), (3, 6, "NONE")]
+    assert created.count() == 2
+
+
+def test_lookups_beyond_the_bound(spark, monkeypatch):
+    """Vehicles and diagrams that are too many to broadcast give the same records."""
+    store, _ = ingest.ingest_pages(pages(spark), ingest.empty_store(spark), "p1", False, "page")
+    monkeypatch.setattr(ingest, "BROADCAST_ROWS", 0)
+    joined, _ = ingest.ingest_pages(pages(spark), ingest.empty_store(spark), "p1", False, "page")
+    assert all(sorted(map(tuple, joined[k].collect()), key=repr) == sorted(map(tuple, store[k].collect()), key=repr) for k in store)
