@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import curation, evidence, publish
-from .base import query, table
+from ..operators.scratch import written
+from .base import once, query, table
 
 #: Snapshot rows, parsed records, captures, jobs and receipts of one run: a group is a supplier, a part is a line.
 _LINES = "SELECT min(l_suppkey) AS l_suppkey, min(l_returnflag) AS l_returnflag, l_linenumber, min(l_quantity) AS l_quantity, l_orderkey * 10 + l_linenumber AS part_id, md5(CAST(l_orderkey * 10 + l_linenumber AS STRING)) AS sha FROM {lineitem} GROUP BY l_orderkey, l_linenumber"
@@ -31,9 +32,13 @@ AS j(job_id, job_name, trigger_mode, status, exit_code, started_at, finished_at)
 
 def _texts(late: int = -1, broken: int = -1, off: int = -1) -> dict[str, str]:
     """The fixtures' SQL with the names of tables left open; -1 leaves a kind of fault out."""
-    lines = _LINES
+    return _texts_over(_LINES, None, late, broken, off)
+
+
+def _texts_over(lines: str, counted: str | None, late: int = -1, broken: int = -1, off: int = -1) -> dict[str, str]:
+    """The same over lines and counts that are made elsewhere."""
     records = _RECORDS.replace("{lines}", lines)
-    counted = _COUNTED.replace("{records}", records)
+    counted = counted or _COUNTED.replace("{records}", records)
     artifacts = _ARTIFACTS.replace("{counted}", counted).replace("{late}", str(late)).replace("{broken}", str(broken))
     return {"parts": _PARTS.replace("{lines}", lines), "records": records, "artifacts": artifacts, "receipts": _RECEIPTS.replace("{counted}", counted).replace("{off}", str(off)), "jobs": _JOBS}
 
@@ -43,8 +48,13 @@ def _ctes(**faults: int) -> str:
 
 
 def _tables(spark: SparkSession, d: str, **faults: int) -> dict[str, DataFrame]:
-    views = {"lineitem": table(spark, d, "lineitem"), "nation": table(spark, d, "nation")}
-    return {k: spark.sql(v, **{n: t for n, t in views.items() if "{" + n + "}" in v}) for k, v in _texts(**faults).items()}
+    """The fixtures. Lines are taken together once and counted once, since every table and check reads them."""
+    lines = once(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_suppkey", "l_returnflag", "l_quantity"])
+    part = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    views = {"nation": table(spark, d, "nation"), "once": written(lines.select("l_suppkey", "l_returnflag", "l_linenumber", "l_quantity", part.alias("part_id"), F.md5(part.cast("string")).alias("sha")), "lines")}
+    made = "SELECT * FROM {once}"
+    views["counts"] = written(spark.sql(_COUNTED.replace("{records}", _RECORDS.replace("{lines}", made)), once=views["once"]), "counts")
+    return {k: spark.sql(v, **{n: t for n, t in views.items() if "{" + n + "}" in v}) for k, v in _texts_over(made, "SELECT * FROM {counts}", **faults).items()}
 
 
 def _run(spark: SparkSession, target: int, totals: DataFrame | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cogwright.operators import ancestry, fullrun
+from cogwright.plans import evidence as evidence_plans
 
 
 def test_long_chain_and_cycles(spark):
@@ -57,3 +58,9 @@ def test_leaves_are_not_rewritten(spark, monkeypatch):
     got = {(r.k, r.root, r.depth) for r in ancestry.resolve_chains(rows, "k", "up").collect()}
     assert got == {(k, 0, min(k, 9)) for k in range(1009)}
     assert sum(seen) < 2 * 1009 + 100
+
+
+def test_evidence_lines_are_taken_together_once(spark, sf_dir):
+    """The fixtures of evidence read written lines; none of them takes the table's lines together again."""
+    made = evidence_plans._tables(spark, sf_dir)
+    assert all("lineitem" not in f for k in ("parts", "records", "artifacts", "receipts") for f in made[k].inputFiles())
