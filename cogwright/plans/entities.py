@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..operators import entities, mappings, overlay
 from ..sources.pages import vehicle_record
-from .base import query, table
+from .base import once, query, table
 
 # Lines as a parts catalog: categories are return flags of a supplier, groups are line states in them. One row an order line; of repeated ones the least.
 _LINES = """SELECT l_orderkey * 10 + l_linenumber AS part_id, min(l_suppkey) AS vehicle_id, min(l_returnflag) AS c, min(l_linestatus) AS g, min(l_quantity) AS q, min(l_partkey) AS p, min(l_shipdate) AS shipped FROM lineitem GROUP BY 1"""
+_LEAST = {"vehicle_id": "l_suppkey", "c": "l_returnflag", "g": "l_linestatus", "q": "l_quantity", "p": "l_partkey", "shipped": "l_shipdate"}
 _IDS = "vehicle_id * 100 + ascii(c) AS category_id, vehicle_id * 10000 + ascii(c) * 100 + ascii(g) AS group_id"
 _CATEGORIES = f"SELECT DISTINCT vehicle_id * 100 + ascii(c) AS category_id, vehicle_id, CASE WHEN c <> 'N' THEN 'cid' || vehicle_id END AS cid FROM ({_LINES}) x"
 _GROUPS = f"SELECT DISTINCT {_IDS}, g AS code, CASE WHEN vehicle_id % 3 > 0 THEN 'group ' || g END AS name, 'u' || vehicle_id AS uid, 'http://s/g/' || vehicle_id AS url FROM ({_LINES}) x"
@@ -23,10 +24,14 @@ def _duck(sql: str) -> str:
 
 def _frame(spark: SparkSession, d: str, sql: str, *names: str) -> DataFrame:
     """A query over fixture tables, named as in the SQL twin."""
-    text = sql.replace("MONTH_OF(shipped)", "date_format(shipped, 'yyyy-MM')").replace("YEAR_OF(shipped)", "date_format(shipped, 'yyyy')").replace("VARCHAR(9)", "STRING").replace("VARCHAR", "STRING")
+    views = {name: table(spark, d, name) for name in names}
+    if f"({_LINES})" in sql:
+        keyed = views["lineitem"].select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("part_id"), *(F.col(c).alias(k) for k, c in _LEAST.items()))
+        views["taken"] = once(keyed, ["part_id"], list(_LEAST))
+    text = sql.replace(f"({_LINES})", "{taken}").replace("MONTH_OF(shipped)", "date_format(shipped, 'yyyy-MM')").replace("YEAR_OF(shipped)", "date_format(shipped, 'yyyy')").replace("VARCHAR(9)", "STRING").replace("VARCHAR", "STRING")
     for name in names:
         text = text.replace(f"FROM {name}", f"FROM {{{name}}}")
-    return spark.sql(text, **{name: table(spark, d, name) for name in names})
+    return spark.sql(text, **{name: df for name, df in views.items() if "{" + name + "}" in text})
 
 
 _JSON_ID = "'{\"category_id\":' || category_id || ',\"category_cid\":' || coalesce('\"' || cid || '\"', 'null')"

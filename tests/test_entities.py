@@ -115,3 +115,13 @@ def test_categories_of_several_origins(spark):
         ("verified_bounded", "a", "", None, none, "A"), ("verified_bounded", "b", "g", None, none, None), ("verified_bounded", None, "g", None, none, None), ("sample_not_published", "b", "g", None, none, None),
         ("manual_only", "a", "", None, none, "A"), ("manual_only", "b", "g", "s", "manual_only", "B"), ("manual_only", None, "g", None, none, None),
     }
+
+
+def test_repeated_rows_are_dealt_by_their_number(spark, monkeypatch):
+    from cogwright.plans import base
+
+    monkeypatch.setattr(base, "ROWS_PER_TASK", 50)
+    rows = spark.range(400).select((F.col("id") % 300).alias("k"), F.when(F.col("id") >= 300, F.lit("a")).otherwise("b").alias("v"))
+    taken = base.once(rows, ["k"], ["v"])
+    assert taken.rdd.getNumPartitions() == 8
+    assert sorted(map(tuple, taken.collect())) == [(k, "a" if k < 100 else "b") for k in range(300)]
