@@ -6,13 +6,16 @@ import json
 import unicodedata
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Types whose values have one form as to_json writes them, if the text is plain.
 _PLAIN = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "double")
 
+#: Batches are rewritten in slices of about this many characters.
+SLICE_CHARS = 1 << 20
+
 
 def _normal(x: object) -> object:
     if isinstance(x, str):
@@ -29,8 +32,19 @@ def canonical(x: object) -> str:
     return json.dumps(_normal(x), ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
 
 
-def _rewrite(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else canonical(json.loads(t)))
+def _rewrite(texts: pa.Array) -> pa.Array:
+    """Texts in their one form. Only one slice of a batch is held as Python objects at a time."""
+    done: list[pa.Array] = []
+    part: list[str | None] = []
+    size = 0
+    for t in texts:
+        x = t.as_py()
+        part.append(None if x is None else canonical(json.loads(x)))
+        size += len(x or "")
+        if size >= SLICE_CHARS:
+            done.append(pa.array(part, texts.type))
+            part, size = [], 0
+    return pa.concat_arrays([*done, pa.array(part, texts.type)])
 
 
 def with_canonical_json(df: DataFrame, columns: Sequence[str], name: str = "canonical") -> DataFrame:
@@ -58,7 +72,7 @@ def with_canonical_json(df: DataFrame, columns: Sequence[str], name: str = "cano
     rows = df.select("*", text.alias("_json"), plain.alias("_plain"))
     # What is escaped by a number is a control character, whose digits differ.
     easy = F.col("_plain") & F.col("_json").rlike(r"^[\x20-\x7E]*$") & ~F.contains("_json", F.lit("\\u00"))
-    rewritten = F.pandas_udf(_rewrite, "string")(F.when(~F.col("_easy"), F.col("_json")))
+    rewritten = F.arrow_udf(_rewrite, "string")(F.when(~F.col("_easy"), F.col("_json")))
     return rows.withColumn("_easy", easy).withColumn(name, F.when(F.col("_easy"), F.col("_json")).otherwise(rewritten)).drop("_json", "_plain", "_easy")
 
 

@@ -4,8 +4,10 @@ import hashlib
 import json
 import unicodedata
 
+import pyarrow as pa
 import pytest
 
+from cogwright.functions import canonical
 from cogwright.functions.canonical import with_canonical_json, with_record_sha256
 
 
@@ -41,3 +43,11 @@ def test_no_number(spark):
     for bad in ("NaN", "Infinity"):
         with pytest.raises(Exception, match="no finite number"):
             with_canonical_json(spark.sql(f"select double('{bad}') x"), ["x"]).collect()
+
+
+def test_batches_in_slices(monkeypatch):
+    texts = [None, '{"b":"e\u0301","a":1}', None, '["x"]', "0.10"]
+    for chars in (1, 25, 1 << 20):
+        monkeypatch.setattr(canonical, "SLICE_CHARS", chars)
+        for n in range(len(texts) + 1):
+            assert canonical._rewrite(pa.array(texts[:n], pa.string())).to_pylist() == [None, '{"a":1,"b":"\u00e9"}', None, '["x"]', "0.1"][:n]
