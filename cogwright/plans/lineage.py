@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ancestry, fullrun
-from .base import query, table
+from ..operators.scratch import written
+from .base import ROWS_PER_TASK, query, table
 from .evidence import _ctes, _tables
 
 KINDS = ("brand", "model", "vehicle", "category", "group", "part")
@@ -19,6 +20,7 @@ UNION ALL SELECT DISTINCT 'category', 'c' || s || f, 'v' || s, NULL, NULL, NULL,
 UNION ALL SELECT DISTINCT 'group', 'g' || s || f || l_linenumber, 'c' || s || f, NULL, NULL, NULL, false FROM ({lines}) AS y
 UNION ALL SELECT 'part', 'p' || l_orderkey || '-' || l_linenumber, 'g' || s || f || l_linenumber, l_orderkey * 10 + l_linenumber, md5(CAST(CASE WHEN l_orderkey % 19 = 1 THEN 0 ELSE l_orderkey END AS STRING)), 'https://x/' || CASE WHEN l_orderkey % 23 = 1 THEN 'other' ELSE CAST(s AS STRING) END, true FROM ({lines}) AS z WHERE l_orderkey % 29 <> 1"""
 _PARTS = "SELECT l_orderkey * 10 + l_linenumber AS part_id, 'p' || l_orderkey || '-' || l_linenumber AS key, 'g' || s || f || CASE WHEN l_orderkey % 31 = 1 THEN 9 ELSE l_linenumber END AS group_key, md5(CAST(l_orderkey AS STRING)) AS record_sha256, 'https://x/' || s AS source_url FROM ({lines}) AS w"
+_PART_ID = "l_orderkey * 10 + l_linenumber"
 _TABLES = ("lineitem", "region", "nation", "supplier")
 
 
@@ -34,10 +36,24 @@ def _plain(text: str) -> str:
 
 
 def _made(spark: SparkSession, d: str, text: str) -> DataFrame:
-    text = _filled(text)
     return spark.sql(text, **{t: table(spark, d, t) for t in _TABLES if "{" + t + "}" in text})
 
 
+def _of_lines(spark: SparkSession, d: str, *texts: str) -> list[DataFrame]:
+    """What the texts say, made of _LINES that are taken together once and stored by part_id.
+
+    What is made of lines is wide and meets by that key, so it isn't shuffled. Categories and groups are made of distinct values.
+    """
+    lines = table(spark, d, "lineitem")
+    buckets, part_id = max(1, -(-lines.count() // ROWS_PER_TASK)), F.expr(_PART_ID)
+    dealt = lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag").repartition(buckets, part_id)
+    one = dealt.groupBy(part_id.alias("part_id"), "l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("s"), F.min("l_returnflag").alias("f"))
+    views = {t: table(spark, d, t) for t in _TABLES if t != "lineitem"} | {"lines": fullrun.stored_by(one, "part_id", buckets, "lines")}
+    views["groups"] = written(views["lines"].select("s", "f", "l_linenumber").distinct(), "groups")
+    made = [t.replace(_PART_ID, "part_id").replace("({lines}) AS x", "({groups}) AS x").replace("({lines}) AS y", "({groups}) AS y") for t in texts]
+    return [spark.sql(t, **{n: v for n, v in views.items() if "{" + n + "}" in t}) for t in made]
+
+
 _STEPS = "".join(f" LEFT JOIN r AS r{i} ON r{i}.key = r{i - 1}.parent" for i in range(1, 6))
 _WRONG = " ".join(f"WHEN r{i - 1}.parent IS NULL THEN 'no_parent' WHEN r{i}.key IS NULL THEN 'missing_parent' WHEN r{i}.kind <> '{KINDS[5 - i]}' THEN 'wrong_type'" for i in range(1, 6))
 
@@ -51,7 +67,8 @@ SELECT part_id, CASE WHEN defect IS NULL THEN chain END AS ancestors, defect FRO
 )
 def v9_ancestors(spark: SparkSession, d: str) -> DataFrame:
     """Each part's five ancestors, or what is wrong with its evidence (V8, V9)."""
-    out = ancestry.part_evidence(_made(spark, d, _PARTS), _made(spark, d, _RECORDS), KINDS)
+    parts, records = _of_lines(spark, d, _PARTS, _RECORDS)
+    out = ancestry.part_evidence(parts, records, KINDS)
     return out.select("part_id", F.array_join("ancestors", ">").alias("ancestors"), "defect")
 
 
